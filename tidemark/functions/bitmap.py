@@ -20,4 +20,4 @@ def offset(user_id: str | Column, seed: int = SEED, bits: int = BITS) -> Column:
     mask = (1 << bits) - 1
     chars = F.split(uid.cast("string"), "")
     return F.aggregate(chars, F.lit(0).cast("long"),
-                       lambda acc, c: F.bitwise_and(acc * seed + F.ascii(c), F.lit(mask).cast("long")))
+                       lambda acc, c: (acc * seed + F.ascii(c)).bitwiseAND(F.lit(mask).cast("long")))

@@ -43,12 +43,19 @@ def last_end(ts_ms: str, size: str, slide: str) -> Column:
     return (F.floor(F.col(ts_ms) / slide_ms) * slide_ms + size_ms).cast("long")
 
 
-def split_late(df: DataFrame, ts_ms: str, size: str, slide: str, bound: str | int, lateness: str | int,
-               seq_col: str = "seq") -> tuple[DataFrame, DataFrame]:
+def split_late(df: DataFrame, ts_ms: str, size: str, slide: str, bound: str | int = 0,
+               lateness: str | int = 0, seq_col: str = "seq",
+               watermark: str | None = None) -> tuple[DataFrame, DataFrame]:
     """(on_time, late): rows with ``first_end`` (earliest window end still open) that some window
-    accepts, and rows that every window drops (with the input columns only)."""
-    marked = watermark_before(df, ts_ms, bound, seq_col).withColumn(
-        "first_end", first_open_end(ts_ms, "watermark", size, slide, lateness))
-    on_time = marked.filter(F.col("first_end") <= last_end(ts_ms, size, slide)).drop("watermark")
-    late = marked.filter(F.col("first_end") > last_end(ts_ms, size, slide)).select(*df.columns)
+    accepts, and rows that every window drops (with the input columns only).
+
+    ``watermark`` names an existing watermark column (e.g. computed before a filter, as the watermark
+    follows every row of the stream); otherwise it is computed here from ``bound``.
+    """
+    cols = [c for c in df.columns if c != watermark]
+    marked = df if watermark else watermark_before(df, ts_ms, bound, seq_col)
+    wm = watermark or "watermark"
+    marked = marked.withColumn("first_end", first_open_end(ts_ms, wm, size, slide, lateness))
+    on_time = marked.filter(F.col("first_end") <= last_end(ts_ms, size, slide)).drop(wm)
+    late = marked.filter(F.col("first_end") > last_end(ts_ms, size, slide)).select(*cols)
     return on_time, late

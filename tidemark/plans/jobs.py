@@ -66,8 +66,8 @@ def hot_items_sql(spark: SparkSession, sf_dir: str, n: int = 5) -> DataFrame:
            .agg(F.count("item_id").alias("cnt"))
            .select("item_id", F.unix_millis(F.col("w.end")).alias("window_end"), "cnt"))
     return spark.sql(
-        "SELECT * FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY window_end ORDER BY cnt DESC, item_id)"
-        " AS row_num FROM {agg}) WHERE row_num <= {n}", agg=agg, n=n)
+        "SELECT * FROM (SELECT *, CAST(ROW_NUMBER() OVER (PARTITION BY window_end ORDER BY cnt DESC, item_id)"
+        " AS BIGINT) AS row_num FROM {agg}) WHERE row_num <= {n}", agg=agg, n=n)
 
 
 def hot_items_pure_sql(spark: SparkSession, sf_dir: str, n: int = 5) -> DataFrame:
@@ -75,7 +75,8 @@ def hot_items_pure_sql(spark: SparkSession, sf_dir: str, n: int = 5) -> DataFram
     data = behaviors(spark, sf_dir).select("item_id", "behavior", "ts")
     return spark.sql(
         "SELECT * FROM ("
-        "  SELECT *, ROW_NUMBER() OVER (PARTITION BY window_end ORDER BY cnt DESC, item_id) AS row_num"
+        "  SELECT *, CAST(ROW_NUMBER() OVER (PARTITION BY window_end ORDER BY cnt DESC, item_id) AS BIGINT)"
+        "    AS row_num"
         "  FROM ("
         "    SELECT item_id, count(item_id) AS cnt, unix_millis(window.end) AS window_end"
         "    FROM {data} WHERE behavior = 'pv'"
@@ -90,15 +91,13 @@ def access_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     return parse_access_log(lines)
 
 
-def _page_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return (access_log(spark, sf_dir)
-            .filter((F.col("method") == "GET") & ~F.col("url").rlike(STATIC_ASSET))
-            .withColumn("ts", F.timestamp_millis("timestamp")))
-
-
 def _page_split(spark, sf_dir, size, slide, bound, allowed_lateness):
-    return lateness.split_late(_page_requests(spark, sf_dir), "timestamp", size, slide, bound,
-                               allowed_lateness)
+    # The watermark follows every log line; the method and asset filters come after it.
+    marked = lateness.watermark_before(access_log(spark, sf_dir), "timestamp", bound)
+    requests = (marked.filter((F.col("method") == "GET") & ~F.col("url").rlike(STATIC_ASSET))
+                .withColumn("ts", F.timestamp_millis("timestamp")))
+    return lateness.split_late(requests, "timestamp", size, slide, watermark="watermark",
+                               lateness=allowed_lateness)
 
 
 def page_counts(spark: SparkSession, sf_dir: str, size: str = "10 minutes", slide: str = "5 seconds",

@@ -21,6 +21,7 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
         "spark.ui.enabled": "false",
+        "spark.ui.showConsoleProgress": "false",
         "spark.sql.shuffle.partitions": str(shuffle_partitions or 8),
     }
     for k, v in conf.items():

@@ -20,8 +20,10 @@ def parse_access_log(lines: DataFrame, value_col: str = "value", strict: bool =
     (``try_to_timestamp`` gives NULL). Works on batch and streaming DataFrames alike.
     """
     parts = F.split(F.col(value_col), " ")
-    to_ts = F.to_timestamp if strict else F.try_to_timestamp
-    ts = to_ts(parts.getItem(3), F.lit(LOG_TIME_FORMAT))
+    if strict:
+        ts = F.to_timestamp(parts.getItem(3), LOG_TIME_FORMAT)
+    else:
+        ts = F.try_to_timestamp(parts.getItem(3), F.lit(LOG_TIME_FORMAT))
     keep = [c for c in lines.columns if c == "seq"]
     out = lines.select(
         parts.getItem(0).alias("ip"),

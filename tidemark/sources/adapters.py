@@ -126,7 +126,7 @@ def access_log_lines(events: DataFrame, pages: DataFrame) -> DataFrame:
     # Only pages that events can point at; the filter reaches the scan and bounds the joined side.
     pg = pages.filter(F.col("page_id") < 100).select("page_id", "url")
     joined = ev.join(pg, "page_id", "left")
-    suffix = F.element_at(F.array(*[F.lit(s) for s in STATIC_SUFFIXES]), (F.col("page_id") % 10 + 1).cast("int"))
+    suffix = F.try_element_at(F.array(*[F.lit(s) for s in STATIC_SUFFIXES]), (F.col("page_id") % 10 + 1).cast("int"))
     url = F.concat(F.coalesce(F.col("url"), F.concat(F.lit("/page/"), F.col("page_id").cast("string"))),
                    F.coalesce(suffix, F.lit("")))
     stamp = F.timestamp_seconds(_epoch_s() - log_time_shift())
