@@ -74,9 +74,9 @@ def login_fail_timed(logins: DataFrame, limit_s: int = 2, min_fails: int = 2,
 
     Event-time semantics: a fail with no open group opens one until first + limit (exclusive); fails
     before that time join it; a success before that time cancels it. Runs of fails split at successes and
-    at gaps of at least ``limit`` are independent, so each run (with the success that ends it) is one
-    pandas group; within a run the groups are the greedy ``limit``-wide spans. Run ids come from chunked
-    sequence operators, so a busy user is spread over tasks.
+    at gaps of at least ``limit`` are independent; run ids come from chunked sequence operators, so a busy
+    user is spread over tasks. Rows are hash-partitioned by (user, run) and sorted, and one Arrow-batched
+    scan per partition forms the greedy ``limit``-wide spans of each run (with the success that ends it).
     """
     order = ["timestamp", "seq"]
     df = logins.select("user_id", "login_state", "timestamp", "seq").withColumn(
@@ -86,34 +86,36 @@ def login_fail_timed(logins: DataFrame, limit_s: int = 2, min_fails: int = 2,
     starts = is_fail & (F.col("prev1_login_state").isNull() | (F.col("prev1_login_state") != "fail")
                         | (F.col("timestamp") - F.col("prev1_timestamp") >= limit_s))
     df = seq.running_sum(df, ["user_id"], order, "_chunk", starts.cast("long"), out="_run")
-    rows = df.filter(F.col("_run") > 0).select("user_id", "_run", "timestamp", "seq",
-                                               is_fail.alias("is_fail"))
+    rows = (df.filter(F.col("_run") > 0)
+            .select("user_id", "_run", "timestamp", "seq", is_fail.alias("is_fail"))
+            .repartition("user_id", "_run")
+            .sortWithinPartitions("user_id", "_run", "timestamp", "seq"))
 
-    def groups(pdf):
+    def scan(batches):
+        # Rows arrive grouped by (user, run) and sorted by time; state carries across Arrow batches.
         import pandas as pd
-        pdf = pdf.sort_values(["timestamp", "seq"])
-        out, start, n, last = [], None, 0, None
-        user = int(pdf["user_id"].iloc[0])
-
-        def close():
-            if start is not None and n >= min_fails:
-                out.append((user, start, last, n))
-
-        for ts, fail in zip(pdf["timestamp"].tolist(), pdf["is_fail"].tolist()):
-            if start is not None and ts >= start + limit_s:
-                close()
-                start, n = None, 0
-            if fail:
-                if start is None:
-                    start, n = ts, 0
-                n, last = n + 1, ts
-            elif start is not None:          # a success inside the span cancels the group
-                start, n = None, 0
-        close()
-        return pd.DataFrame(out, columns=["user_id", "first_fail_time", "last_fail_time", "n"])
-
-    res = rows.groupBy("user_id", "_run").applyInPandas(
-        groups, "user_id long, first_fail_time long, last_fail_time long, n long")
+        cols = ["user_id", "first_fail_time", "last_fail_time", "n"]
+        cur, start, n, last = None, None, 0, None
+        for pdf in batches:
+            out = []
+            for user, run, ts, fail in zip(pdf["user_id"].tolist(), pdf["_run"].tolist(),
+                                           pdf["timestamp"].tolist(), pdf["is_fail"].tolist()):
+                if (user, run) != cur or (start is not None and ts >= start + limit_s):
+                    if start is not None and n >= min_fails:   # the timer closes the group
+                        out.append((cur[0], start, last, n))
+                    start, n = None, 0
+                    cur = (user, run)
+                if fail:
+                    if start is None:
+                        start, n = ts, 0
+                    n, last = n + 1, ts
+                elif start is not None:                         # a success inside the span cancels it
+                    start, n = None, 0
+            yield pd.DataFrame(out, columns=cols)
+        if start is not None and n >= min_fails:
+            yield pd.DataFrame([(cur[0], start, last, n)], columns=cols)
+
+    res = rows.mapInPandas(scan, "user_id long, first_fail_time long, last_fail_time long, n long")
     msg = TIMED_MSG.format(limit=limit_s, n="%d")
     return res.select("user_id", "first_fail_time", "last_fail_time",
                       F.format_string(msg, F.col("n")).alias("warning_msg"))

@@ -38,24 +38,37 @@ def _order(order: Cols, descending: bool = False) -> list[Column]:
 
 
 def running_sum(df: DataFrame, keys: Cols, order: Cols, chunk: str, value: Column | str,
-                out: str = "running", carry_below: int | None = None) -> DataFrame:
+                out: str = "running", carry_below: int | None = None,
+                next_of: str | None = None) -> DataFrame:
     """Inclusive running sum of ``value`` per key along ``order``.
 
     ``carry_below``: keep only chunks whose carried-in sum is below this bound (for a non-negative value,
     rows of later chunks can only have larger sums); used to stop ranking a key past a threshold.
+    ``next_of``: also add ``next_<col>``, the value of that column in the next row of the key (a lead
+    across chunk boundaries), computed in the same pass.
     """
     val = F.col(value) if isinstance(value, str) else value
     df = df.withColumn("_v", val)
-    totals = df.groupBy(*keys, chunk).agg(F.sum("_v").alias("_tot"))
-    before = Window.partitionBy(*keys).orderBy(chunk).rowsBetween(Window.unboundedPreceding, -1)
-    carry = totals.select(*keys, chunk, F.coalesce(F.sum("_tot").over(before), F.lit(0)).alias("_carry"))
+    aggs = [F.sum("_v").alias("_tot")]
+    if next_of:
+        aggs.append(F.min_by(F.col(next_of), F.struct(*[F.col(c) for c in order])).alias("_head"))
+    totals = df.groupBy(*keys, chunk).agg(*aggs)
+    by_chunk = Window.partitionBy(*keys).orderBy(chunk)
+    summary = [F.coalesce(F.sum("_tot").over(by_chunk.rowsBetween(Window.unboundedPreceding, -1)),
+                          F.lit(0)).alias("_carry")]
+    if next_of:
+        summary.append(F.lead("_head").over(by_chunk).alias("_next_head"))
+    carry = totals.select(*keys, chunk, *summary)
     if carry_below is not None:
         carry = carry.filter(F.col("_carry") < carry_below)
-    inside = Window.partitionBy(*keys, chunk).orderBy(*_order(order)).rowsBetween(
-        Window.unboundedPreceding, Window.currentRow)
-    return (df.join(carry, [*keys, chunk])
-            .withColumn(out, F.col("_carry") + F.sum("_v").over(inside))
-            .drop("_carry", "_v"))
+    inside = Window.partitionBy(*keys, chunk).orderBy(*_order(order))
+    out_df = (df.join(carry, [*keys, chunk])
+              .withColumn(out, F.col("_carry") + F.sum("_v").over(
+                  inside.rowsBetween(Window.unboundedPreceding, Window.currentRow))))
+    if next_of:
+        out_df = out_df.withColumn(f"next_{next_of}",
+                                   F.coalesce(F.lead(next_of).over(inside), F.col("_next_head")))
+    return out_df.drop("_carry", "_v", "_next_head")
 
 
 def rank(df: DataFrame, keys: Cols, order: Cols, chunk: str, out: str = "rank",
@@ -100,16 +113,22 @@ def shift(df: DataFrame, keys: Cols, order: Cols, chunk: str, cols: Cols, k: int
 
 def next_value(df: DataFrame, keys: Cols, order: Cols, chunk: str, value: Column | str,
                out: str = "next_value") -> DataFrame:
-    """First non-null ``value`` in a row strictly after each row of the same key along ``order``."""
+    """First non-null ``value`` in a row strictly after each row of the same key along ``order``.
+
+    Frames are written over the reversed order as ``UNBOUNDED PRECEDING .. 1 PRECEDING`` with
+    ``last(ignorenulls)``: a growing frame is evaluated incrementally, whereas a frame ending at
+    ``UNBOUNDED FOLLOWING`` is re-aggregated for every row (quadratic in the partition size).
+    """
     val = F.col(value) if isinstance(value, str) else value
     df = df.withColumn("_v", val)
-    after = Window.partitionBy(*keys, chunk).orderBy(*_order(order)).rowsBetween(1, Window.unboundedFollowing)
+    after = Window.partitionBy(*keys, chunk).orderBy(*_order(order, descending=True)).rowsBetween(
+        Window.unboundedPreceding, -1)
     order_key = F.struct(*[F.col(c) for c in order])
     firsts = (df.filter(F.col("_v").isNotNull()).groupBy(*keys, chunk)
               .agg(F.min_by("_v", order_key).alias("_first")))
     chunks = df.select(*keys, chunk).distinct().join(firsts, [*keys, chunk], "left")
-    later = Window.partitionBy(*keys).orderBy(chunk).rowsBetween(1, Window.unboundedFollowing)
-    carry = chunks.select(*keys, chunk, F.first("_first", ignorenulls=True).over(later).alias("_later"))
+    later = Window.partitionBy(*keys).orderBy(F.col(chunk).desc()).rowsBetween(Window.unboundedPreceding, -1)
+    carry = chunks.select(*keys, chunk, F.last("_first", ignorenulls=True).over(later).alias("_later"))
     return (df.join(carry, [*keys, chunk])
-            .withColumn(out, F.coalesce(F.first("_v", ignorenulls=True).over(after), F.col("_later")))
+            .withColumn(out, F.coalesce(F.last("_v", ignorenulls=True).over(after), F.col("_later")))
             .drop("_v", "_later"))

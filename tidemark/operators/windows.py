@@ -26,12 +26,16 @@ from tidemark.functions.time import duration_ms
 from tidemark.operators import sequence as seq
 
 
+# Windows per row up to which the direct form is used by ``method='auto'``.
+DIRECT_MAX = 12
+
+
 def event_ms(ts_col: str = "ts") -> Column:
     return F.unix_millis(F.col(ts_col))
 
 
 def window_count(df: DataFrame, keys: Sequence[str], size: str, slide: str | None = None,
-                 ts_col: str = "ts", method: str = "pane", count_col: str = "count",
+                 ts_col: str = "ts", method: str = "auto", count_col: str = "count",
                  count_expr: Column | None = None, chunk_panes: int | None = None,
                  first_end: str | None = None) -> DataFrame:
     """Rows per (keys, window): columns ``*keys, window_end, count_col``.
@@ -39,12 +43,16 @@ def window_count(df: DataFrame, keys: Sequence[str], size: str, slide: str | Non
     ``slide=None`` means tumbling. ``count_expr`` counts a column instead of rows (``count(col)`` skips
     NULLs). ``first_end`` names a column with the earliest window end (epoch ms) a row may still count in
     (late rows, see :mod:`tidemark.operators.lateness`). The pane form needs ``slide`` to divide ``size``;
-    otherwise the direct form is used.
+    otherwise the direct form is used. ``method='auto'`` takes the direct form up to ``DIRECT_MAX``
+    windows per row and panes above (measured: 1 h / 5 min is faster direct, 10 min / 5 s and 1 h / 5 s
+    are several times faster as panes).
     """
     keys = list(keys)
     size_ms = duration_ms(size)
     slide_ms = duration_ms(slide) if slide else size_ms
     counted = count_expr if count_expr is not None else F.lit(1)
+    if method == "auto":
+        method = "direct" if size_ms // slide_ms <= DIRECT_MAX else "pane"
     if method == "direct" or size_ms % slide_ms != 0:
         w = F.window(F.col(ts_col), size, slide) if slide else F.window(F.col(ts_col), size)
         if first_end:
@@ -68,12 +76,11 @@ def window_count(df: DataFrame, keys: Sequence[str], size: str, slide: str | Non
         F.struct(F.col("start").alias("pos"), F.col("_n").alias("d")),
         F.struct((F.col("pane") + n).alias("pos"), (-F.col("_n")).alias("d")))))
         .groupBy(*keys, "pos").agg(F.sum("d").alias("d")))
-    chunk_panes = chunk_panes or max(n * 64, 4096)
+    chunk_panes = chunk_panes or max(n * 8, 1024)
     deltas = deltas.withColumn("_chunk", F.floor(F.col("pos") / chunk_panes).cast("long"))
-    run = seq.running_sum(deltas, keys, ["pos"], "_chunk", "d", out="_level")
-    run = seq.next_value(run, keys, ["pos"], "_chunk", "pos", out="_next_pos")
+    run = seq.running_sum(deltas, keys, ["pos"], "_chunk", "d", out="_level", next_of="pos")
     # Level holds for window ends (pos+1 .. next_pos) in slides; the last position always has level 0.
     return (run.filter(F.col("_level") > 0)
             .select(*keys, F.col("_level").alias(count_col),
-                    F.explode(F.sequence(F.col("pos") + 1, F.col("_next_pos"))).alias("_end"))
+                    F.explode(F.sequence(F.col("pos") + 1, F.col("next_pos"))).alias("_end"))
             .select(*keys, (F.col("_end") * slide_ms).alias("window_end"), count_col))

@@ -42,13 +42,13 @@ def page_views(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ---- hot items ------------------------------------------------------------------------------------------
 
 def item_counts(spark: SparkSession, sf_dir: str, size: str = "1 hour", slide: str = "5 minutes",
-                method: str = "pane") -> DataFrame:
+                method: str = "auto") -> DataFrame:
     """(item_id, window_end, cnt): views per item and sliding window."""
     return windows.window_count(page_views(spark, sf_dir), ["item_id"], size, slide, method=method,
                                 count_col="cnt")
 
 
-def hot_items(spark: SparkSession, sf_dir: str, n: int = 5, method: str = "pane") -> DataFrame:
+def hot_items(spark: SparkSession, sf_dir: str, n: int = 5, method: str = "auto") -> DataFrame:
     """(window_end, rank, item_id, cnt): top-n viewed items per 1 h window sliding by 5 min."""
     ranked = topn.top_n(item_counts(spark, sf_dir, method=method), n, id_col="item_id")
     return ranked.select("window_end", "rank", "item_id", "cnt")
@@ -164,7 +164,7 @@ def _marketing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def channel_counts(spark: SparkSession, sf_dir: str, size: str = "1 hour", slide: str = "5 seconds",
-                   method: str = "pane") -> DataFrame:
+                   method: str = "auto") -> DataFrame:
     """(channel, behavior, window_end text, cnt) per 1 h window sliding by 5 s."""
     c = windows.window_count(_marketing(spark, sf_dir), ["channel", "behavior"], size, slide,
                              method=method, count_col="cnt")
@@ -172,7 +172,7 @@ def channel_counts(spark: SparkSession, sf_dir: str, size: str = "1 hour", slide
 
 
 def channel_total(spark: SparkSession, sf_dir: str, size: str = "1 hour", slide: str = "5 seconds",
-                  method: str = "pane") -> DataFrame:
+                  method: str = "auto") -> DataFrame:
     """('total', 'total', window_end text, cnt) per 1 h window sliding by 5 s."""
     c = windows.window_count(_marketing(spark, sf_dir), [], size, slide, method=method, count_col="cnt")
     return c.select(F.lit("total").alias("channel"), F.lit("total").alias("behavior"),
