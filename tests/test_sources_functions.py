@@ -1,0 +1,74 @@
+"""Record readers, access-log parsing, bitmap offsets, time text."""
+
+import pytest
+from pyspark.sql import functions as F
+
+from tests.conftest import rows
+from tidemark.functions import bitmap
+from tidemark.functions.time import duration_ms, ts_string
+from tidemark.sources import parse_access_log, publish_lines, read_records
+
+
+def test_read_records_failfast_and_permissive(spark, tmp_path):
+    p = tmp_path / "b.csv"
+    p.write_text("1,2,3,pv,1511658000\n4,x,6,pv,1511658001\n7,8,9,buy,1511658002")
+    with pytest.raises(Exception):
+        read_records(spark, str(p), "behavior").collect()
+    lenient = read_records(spark, str(p), "behavior", mode="PERMISSIVE")
+    got = rows(lenient, "user_id", "item_id", "_corrupt")
+    assert got == [(1, 2, None), (4, None, "4,x,6,pv,1511658001"), (7, 8, None)]
+
+
+def test_read_records_arrival_order(spark, tmp_path):
+    p = tmp_path / "l.csv"
+    p.write_text("\n".join(f"{i},1.1.1.1,fail,{1000 - i}" for i in range(50)))
+    df = read_records(spark, str(p), "login")
+    got = [r.user_id for r in df.orderBy("seq").collect()]
+    assert got == list(range(50))
+
+
+def test_access_log_parse_and_asset_filter(spark):
+    lines = spark.createDataFrame([
+        ("83.149.9.216 - - 17/05/2015:10:05:03 +0000 GET /presentations/logstash/",),
+        ("83.149.9.216 - - 17/05/2015:10:05:43 +0000 GET /images/kibana-dashboard3.png",),
+        ("83.149.9.216 - - 17/05/2015:10:05:47 +0000 GET /style.css",),
+        ("83.149.9.216 - - 17/05/2015:10:05:47 +0000 GET /style.css?x=1",),
+        ("83.149.9.216 - - 17/05/2015:10:05:48 +0000 POST /blog",),
+    ], "value string")
+    parsed = parse_access_log(lines)
+    assert parsed.first().timestamp == 1431857103000
+    from tidemark.plans.jobs import STATIC_ASSET
+    kept = parsed.filter((F.col("method") == "GET") & ~F.col("url").rlike(STATIC_ASSET))
+    assert sorted(r.url for r in kept.collect()) == ["/presentations/logstash/", "/style.css?x=1"]
+    bad = spark.createDataFrame([("1.1.1.1 - - 99/99/2015:10:05:03 +0000 GET /a",)], "value string")
+    assert parse_access_log(bad, strict=False).count() == 0
+
+
+def java_offset(uid: int, seed=61, bits=29):
+    h = 0
+    for ch in str(uid):
+        h = (h * seed + ord(ch)) & 0xFFFFFFFFFFFFFFFF   # 64-bit wrap
+    if h >= 1 << 63:
+        h -= 1 << 64
+    return h & ((1 << bits) - 1)
+
+
+def test_bitmap_offset_matches_long_arithmetic(spark):
+    ids = [0, 7, 543462, 937166, 12345678901, 9223372036854775807, -5, 10 ** 15 + 3]
+    df = spark.createDataFrame([(i,) for i in ids], "user_id long")
+    got = [r.o for r in df.select(bitmap.offset("user_id").alias("o")).collect()]
+    assert got == [java_offset(i) for i in ids]
+
+
+def test_ts_string_and_durations(spark):
+    df = spark.createDataFrame([(1511661900000,), (1511661899999,), (1511661899990,)], "ms long")
+    got = [r.s for r in df.select(ts_string("ms").alias("s")).collect()]
+    assert got == ["2017-11-26 02:05:00.0", "2017-11-26 02:04:59.999", "2017-11-26 02:04:59.99"]
+    assert duration_ms("1 hour") == 3600000 and duration_ms("5 seconds") == 5000
+    assert duration_ms("200 milliseconds") == 200
+
+
+def test_publish_lines_to_files(spark, tmp_path):
+    df = spark.createDataFrame([(1, "a"), (2, "b")], "x long, y string")
+    publish_lines(df, "text", path=str(tmp_path / "out"))
+    assert sorted(r.value for r in spark.read.text(str(tmp_path / "out")).collect()) == ["1,a", "2,b"]

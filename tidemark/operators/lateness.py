@@ -16,7 +16,7 @@ from tidemark.operators.sequence import arrival_chunk
 
 
 def watermark_before(df: DataFrame, ts_ms: str, bound: str | int, seq_col: str = "seq",
-                     out: str = "watermark", rows_per_chunk: int = 1 << 20) -> DataFrame:
+                     out: str = "watermark", rows_per_chunk: int = 1 << 16) -> DataFrame:
     """Add ``out``: watermark (epoch ms) at the arrival of each row; NULL for the first row."""
     bound_ms = duration_ms(bound)
     df = df.withColumn("_wchunk", arrival_chunk(seq_col, rows_per_chunk))
