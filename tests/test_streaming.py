@@ -145,3 +145,43 @@ def test_window_streams_equal_batch(rocks, tmp_path):
     uv = collect_stream(spark, sagg.uv_stream(src.filter("behavior = 'pv'")), tmp_path, "uv")
     exp3 = rows(jobs.unique_visitor(spark, SF["0.001"]))
     assert sorted(tuple(r) for r in uv) == exp3
+
+
+def test_ranked_changelog_and_late_rows(rocks, tmp_path):
+    spark = rocks
+    from tidemark.streaming.jobs import late_rows_writer, page_counts_stream, ranked_changelog_writer
+    base = 1_700_000_000_000
+    batches = [
+        [("a", base + 1000), ("b", base + 2000), ("b", base + 2500)],
+        [("a", base + 3000), ("a", base + 3500), ("c", base + 400_000)],   # a overtakes b in window 0-10min
+        [("c", base + 1500), ("d", base - 250_000)],                      # late within lateness / too late
+        [("z", base + 2_000_000)],
+    ]
+    src_dir = tmp_path / "req"
+    for i, b in enumerate(batches):
+        spark.createDataFrame(b, "url string, timestamp long").withColumn(
+            "ts", F.timestamp_millis("timestamp")).coalesce(1).write.parquet(str(src_dir / f"b{i}"))
+    schema = "url string, timestamp long, ts timestamp"
+    src = (spark.readStream.schema(schema).option("maxFilesPerTrigger", 1)
+           .option("recursiveFileLookup", "true").parquet(str(src_dir)))
+    changes = []
+    counts = page_counts_stream(src, "10 minutes", "10 minutes", "1 second", "1 minute")
+    q = (counts.writeStream.outputMode("update").trigger(availableNow=True)
+         .option("checkpointLocation", str(tmp_path / "ck1"))
+         .foreachBatch(ranked_changelog_writer(1, "url", str(tmp_path / "state"),
+                                               lambda df, e: changes.extend((e, *r) for r in df.collect())))
+         .start())
+    q.awaitTermination(300)
+    w0 = (base // 600000 + 1) * 600000
+    first = [c for c in changes if c[2] == w0]     # (epoch, url, window_end, cnt, rank, op)
+    # b leads after batch 0; a replaces it after batch 1 (retract b, insert a)
+    assert [(c[1], c[5]) for c in first if c[0] == 0] == [("b", True)]
+    assert sorted((c[1], c[5]) for c in first if c[0] == 1) == [("a", True), ("b", False)]
+    late = []
+    q2 = (src.writeStream.trigger(availableNow=True).option("checkpointLocation", str(tmp_path / "ck2"))
+          .foreachBatch(late_rows_writer("timestamp", "10 minutes", "10 minutes", "61 seconds",
+                                         str(tmp_path / "late"), lambda df, e: late.extend(df.collect())))
+          .start())
+    q2.awaitTermination(300)
+    assert sorted(r.url for r in late) == ["d"]
+    assert not [c for c in changes if c[0] == 2 and c[2] == w0]      # the late c does not change the leader

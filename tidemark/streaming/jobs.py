@@ -116,3 +116,82 @@ def split_writer(writers: dict[str, Callable[[DataFrame, int], None]],
         finally:
             batch.unpersist()
     return run
+
+
+def page_counts_stream(requests: DataFrame, size: str = "10 minutes", slide: str = "5 seconds",
+                       bound: str = "1 second", allowed_lateness: str = "1 minute") -> DataFrame:
+    """(url, window_end, cnt) with allowed lateness: the watermark delay is bound + lateness, so a window
+    accepts rows until the watermark passes its end by that much. In ``update`` output mode a window is
+    re-emitted whenever a (late) row changes it; in ``append`` mode once, final."""
+    from tidemark.functions.time import duration_ms
+    delay_ms = duration_ms(bound) + duration_ms(allowed_lateness)
+    return window_count_stream(requests, ["url"], size, slide, delay=f"{delay_ms} milliseconds")
+
+
+def _read_or_none(spark: SparkSession, path: str) -> DataFrame | None:
+    from pyspark.errors import AnalysisException
+    try:
+        return spark.read.parquet(path)
+    except AnalysisException:
+        return None
+
+
+def ranked_changelog_writer(n: int, id_col: str, state_dir: str, write: Callable[[DataFrame, int], None],
+                            window_col: str = "window_end", count_col: str = "cnt"
+                            ) -> Callable[[DataFrame, int], None]:
+    """foreachBatch function for ``update``-mode window counts: re-rank every window touched by the batch
+    and emit a retract stream, ``op = false`` for ranking rows that no longer hold and ``op = true`` for new
+    ones (rows that stay the same emit nothing).
+
+    Counts and rankings of past windows are kept as parquet tables partitioned by window under
+    ``state_dir`` (shared storage); each batch reads and overwrites only the partitions of the windows it
+    touches. ``write`` should be idempotent per ``epoch_id`` (a batch can be replayed after a failure).
+    """
+    counts_path, top_path = f"{state_dir}/counts", f"{state_dir}/top"
+
+    def run(batch: DataFrame, epoch_id: int) -> None:
+        spark = batch.sparkSession
+        keys = [id_col, window_col]
+        batch = batch.select(*keys, count_col)
+        touched = batch.select(window_col).distinct()
+        prev_counts = _read_or_none(spark, counts_path)
+        counts = batch
+        if prev_counts is not None:
+            kept = prev_counts.join(touched, window_col, "left_semi").join(batch.select(*keys), keys, "left_anti")
+            counts = kept.select(*keys, count_col).unionByName(batch)
+        counts = counts.checkpoint()              # cut lineage before the source partitions are overwritten
+        new_top = topn.top_n(counts, n, (window_col,), id_col=id_col).checkpoint()
+        prev_top = _read_or_none(spark, top_path)
+        old_top = (prev_top.join(touched, window_col, "left_semi").select(*new_top.columns)
+                   if prev_top is not None else new_top.limit(0))
+        changes = (old_top.exceptAll(new_top).withColumn("op", F.lit(False))
+                   .unionByName(new_top.exceptAll(old_top).withColumn("op", F.lit(True))))
+        write(changes, epoch_id)
+        for df, path in ((counts, counts_path), (new_top, top_path)):
+            (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+             .partitionBy(window_col).parquet(path))
+    return run
+
+
+def late_rows_writer(ts_ms_col: str, size: str, slide: str, delay: str, state_dir: str,
+                     write: Callable[[DataFrame, int], None]) -> Callable[[DataFrame, int], None]:
+    """foreachBatch function on the raw stream emitting the rows a windowed aggregation with watermark
+    ``delay`` drops from every window: the last window end of the row is at or below the watermark of the
+    batch (largest event time of earlier batches minus the delay). The largest event time seen so far is
+    one saved number under ``state_dir``. Batches must be cut as in the aggregation query (same source and
+    trigger settings) for the two to agree."""
+    from tidemark.functions.time import duration_ms
+    from tidemark.operators.lateness import last_end
+    delay_ms = duration_ms(delay)
+    path = f"{state_dir}/max_event_time"
+
+    def run(batch: DataFrame, epoch_id: int) -> None:
+        spark = batch.sparkSession
+        saved = _read_or_none(spark, path)
+        seen = saved.first()[0] if saved is not None else None
+        if seen is not None:
+            write(batch.filter(last_end(ts_ms_col, size, slide) <= F.lit(seen - delay_ms)), epoch_id)
+        top = batch.agg(F.max(ts_ms_col)).first()[0]
+        if top is not None and (seen is None or top > seen):
+            spark.createDataFrame([(int(top),)], "max_ts long").write.mode("overwrite").parquet(path)
+    return run
