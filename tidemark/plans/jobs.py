@@ -36,7 +36,7 @@ def behaviors(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def page_views(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return behaviors(spark, sf_dir).filter(F.col("behavior") == "pv")
+    return adapters.user_behavior(_t(spark, sf_dir, "events"), behaviors=["pv"])
 
 
 # ---- hot items ------------------------------------------------------------------------------------------
@@ -158,9 +158,8 @@ def uv_approx(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ---- marketing and ads ----------------------------------------------------------------------------------
 
 def _marketing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    m = adapters.marketing_events(_t(spark, sf_dir, "events"))
     # NULL-safe inequality: a NULL behaviour passes, as a null-tolerant "not equal" test does.
-    return m.filter(~F.col("behavior").eqNullSafe("UNINSTALL"))
+    return adapters.marketing_events(_t(spark, sf_dir, "events"), exclude=["UNINSTALL"])
 
 
 def channel_counts(spark: SparkSession, sf_dir: str, size: str = "1 hour", slide: str = "5 seconds",

@@ -53,8 +53,17 @@ def _ip(user: str = "user_id") -> Column:
                        (F.floor(u / 256) % 256).cast("string"), (u % 256).cast("string"))
 
 
-def user_behavior(events: DataFrame) -> DataFrame:
-    """events -> (user_id, item_id, category_id, behavior, timestamp s, ts, seq)."""
+def source_events(mapping: dict[str, str], wanted) -> list[str]:
+    """Source event types that map to one of ``wanted`` record values: filtering on them instead of on
+    the mapped column lets the predicate reach the parquet scan."""
+    return [src for src, dst in mapping.items() if dst in set(wanted)]
+
+
+def user_behavior(events: DataFrame, behaviors=None) -> DataFrame:
+    """events -> (user_id, item_id, category_id, behavior, timestamp s, ts, seq); ``behaviors`` keeps
+    only those behaviours (filtered on the source column, pushed to the scan)."""
+    if behaviors is not None:
+        events = events.filter(F.col("event_type").isin(source_events(BEHAVIOR_BY_EVENT, behaviors)))
     return events.select(
         F.col("user_id"),
         _k().alias("item_id"),
@@ -76,8 +85,12 @@ def login_events(events: DataFrame) -> DataFrame:
     ).withColumn("ts", F.timestamp_seconds("timestamp"))
 
 
-def marketing_events(events: DataFrame) -> DataFrame:
-    """events -> (user_id, behavior, channel, timestamp ms, ts)."""
+def marketing_events(events: DataFrame, exclude=None) -> DataFrame:
+    """events -> (user_id, behavior, channel, timestamp ms, ts); ``exclude`` drops those behaviours (a
+    NULL behaviour is kept), filtered on the source column."""
+    if exclude is not None:
+        drop = source_events(MARKETING_BY_EVENT, exclude)
+        events = events.filter(~F.col("event_type").isin(drop) | F.col("event_type").isNull())
     channel = F.element_at(F.array(*[F.lit(c) for c in CHANNELS]), (_k() % len(CHANNELS) + 1).cast("int"))
     return events.select(
         F.col("user_id"),
