@@ -110,6 +110,9 @@ def test_login_timed_stream_equals_batch(rocks, tmp_path):
     got = collect_stream(spark, sjobs.login_fail_timed_stream(src, 86400, 2), tmp_path, "lt")
     exp = rows(patterns.login_fail_timed(logins, 86400, 2))
     assert len(exp) > 0 and sorted(tuple(r) for r in got) == exp
+    streak = collect_stream(spark, sjobs.login_fail_streak_stream(src, 3, 86400 * 3), tmp_path, "ls")
+    exp2 = rows(patterns.login_fail_streak(logins, 3, 86400 * 3))
+    assert len(exp2) > 0 and sorted(tuple(r) for r in streak) == exp2
 
 
 def test_blocker_stream_equals_batch(rocks, tmp_path):
@@ -137,6 +140,17 @@ def test_window_streams_equal_batch(rocks, tmp_path):
     exp = rows(windows.window_count(beh.filter("behavior = 'pv'"), ["item_id"], "1 hour", "5 minutes",
                                     count_col="cnt"))
     assert sorted(tuple(r) for r in got) == exp
+    ranked = []
+    q = (sjobs.item_counts_stream(src).writeStream.outputMode("append").trigger(availableNow=True)
+         .option("checkpointLocation", str(tmp_path / "ck-top"))
+         .foreachBatch(sjobs.top_n_writer(5, "item_id", lambda df, e: ranked.extend(
+             (r.window_end, r.rank, r.item_id, r.cnt) for r in df.collect()))).start())
+    q.awaitTermination(600)
+    top = rows(windows.window_count(beh.filter("behavior = 'pv'"), ["item_id"], "1 hour", "5 minutes",
+                                    count_col="cnt").transform(lambda d: __import__(
+        "tidemark.operators.topn", fromlist=["top_n"]).top_n(d, 5, id_col="item_id")),
+        "window_end", "rank", "item_id", "cnt")
+    assert sorted(ranked) == top
     pane = collect_stream(spark, sagg.pane_window_count_stream(src.filter("behavior = 'pv'"), ["category_id"],
                                                                "1 hour", "5 minutes"), tmp_path, "pane")
     exp2 = rows(windows.window_count(beh.filter("behavior = 'pv'"), ["category_id"], "1 hour", "5 minutes",

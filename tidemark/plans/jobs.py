@@ -139,6 +139,11 @@ def page_view(spark: SparkSession, sf_dir: str, size: str = "1 hour", salt: int
     return counted.select(F.lit("pv").alias("url"), "window_end", "cnt")
 
 
+def page_view_salted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Page views per hour counted per (random salt 0-9, window) first, then summed per window."""
+    return page_view(spark, sf_dir, salt=10)
+
+
 def unique_visitor(spark: SparkSession, sf_dir: str) -> DataFrame:
     return distinct.uv_exact(page_views(spark, sf_dir))
 

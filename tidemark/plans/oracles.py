@@ -195,6 +195,7 @@ ORACLES: dict[str, str] = {
     "hot_pages_report": _report(HOT_PAGES_RANKED, "url", (" 页面URL = ", " 浏览量 = ")),
     "late_pages": LATE_PAGES,
     "page_view": PAGE_VIEW,
+    "page_view_salted": PAGE_VIEW,
     "unique_visitor": UNIQUE_VISITOR,
     "uv_bitmap": UV_BITMAP,
     "uv_running": UV_RUNNING,

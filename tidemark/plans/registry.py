@@ -16,6 +16,7 @@ QUERIES = {
     "hot_pages_report": jobs.hot_pages_report,
     "late_pages": jobs.late_pages,
     "page_view": jobs.page_view,
+    "page_view_salted": jobs.page_view_salted,
     "unique_visitor": jobs.unique_visitor,
     "uv_bitmap": jobs.uv_bitmap,
     "uv_running": jobs.uv_running,

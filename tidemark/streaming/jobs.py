@@ -17,7 +17,8 @@ from tidemark.operators import topn
 from tidemark.streaming.aggregations import event_time, pane_window_count_stream, window_count_stream
 from tidemark.streaming.processors import (
     LOGIN_WARNING, ORDER_RESULT, TX_RESULT, ClickBlockerProcessor, LoginFailPairProcessor,
-    LoginFailTimerProcessor, OrderPayTimeoutProcessor, OrderStateProcessor, TxMatchProcessor)
+    LoginFailStreakProcessor, LoginFailTimerProcessor, OrderPayTimeoutProcessor, OrderStateProcessor,
+    TxMatchProcessor)
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
@@ -57,6 +58,12 @@ def login_fail_timed_stream(logins: DataFrame, limit_s: int = 2, min_fails: int
         LoginFailTimerProcessor(limit_s, min_fails), LOGIN_WARNING, "Append", "EventTime")
 
 
+def login_fail_streak_stream(logins: DataFrame, times: int = 3, within_s: int = 5,
+                             delay: str = "200 milliseconds") -> DataFrame:
+    return event_time(logins, "ts", delay).groupBy("user_id").transformWithState(
+        LoginFailStreakProcessor(times, within_s), LOGIN_WARNING, "Append", "EventTime")
+
+
 def tx_match_stream(pays: DataFrame, receipts: DataFrame, pay_wait_s: int = 5, receipt_wait_s: int = 3,
                     delay: str = "200 milliseconds") -> DataFrame:
     """Pays and receipts as one keyed stream (watermark: the minimum over both inputs)."""

@@ -349,3 +349,58 @@ class TxMatchProcessor(StatefulProcessor):
 
     def close(self) -> None:
         pass
+
+
+class LoginFailStreakProcessor(StatefulProcessor):
+    """k strictly consecutive fails per user in event-time order, last - first < within.
+
+    Rows are buffered until the watermark passes them (a timer per row time), then consumed in event-time
+    order; the last k - 1 consumed rows are kept as context, so matches may span batches and overlap."""
+
+    def __init__(self, times: int = 3, within_s: int = 5):
+        self.k, self.within_s = times, within_s
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.buffer = handle.getListState("buffer", "timestamp long, seq long, fail boolean")
+        self.context = handle.getListState("context", "timestamp long, seq long, fail boolean")
+
+    def handleInputRows(self, key, rows, timerValues):
+        new = [(r["timestamp"], r["seq"] if r["seq"] is not None else 0, r["login_state"] == "fail")
+               for r in rows]
+        for ts in sorted({t for t, _, _ in new}):
+            self.handle.registerTimer(ts * 1000)
+        self.buffer.appendList(new)
+        return iter([])
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
+        (user,) = key
+        due = expiredTimerInfo.getExpiryTimeInMs()
+        buffered = list(self.buffer.get()) if self.buffer.exists() else []
+        ready = sorted(tuple(b) for b in buffered if b[0] * 1000 <= due)
+        if not ready:
+            return iter([])
+        rest = [tuple(b) for b in buffered if b[0] * 1000 > due]
+        ctx = [tuple(c) for c in self.context.get()] if self.context.exists() else []
+        seq_rows = ctx + ready
+        out = []
+        msg = patterns.STREAK_MSG.format(k=self.k)
+        for i in range(len(ctx), len(seq_rows)):
+            start = i - self.k + 1
+            if start < 0:
+                continue
+            window = seq_rows[start:i + 1]
+            if all(f for _, _, f in window) and window[-1][0] - window[0][0] < self.within_s:
+                out.append(Row(user_id=user, first_fail_time=window[0][0], last_fail_time=window[-1][0],
+                               warning_msg=msg))
+        self.buffer.clear()
+        if rest:
+            self.buffer.put(rest)
+        self.context.clear()
+        keep = seq_rows[-(self.k - 1):] if self.k > 1 else []
+        if keep:
+            self.context.put(keep)
+        return iter(out)
+
+    def close(self) -> None:
+        pass
