@@ -28,13 +28,14 @@ def pays_of(orders: DataFrame) -> DataFrame:
 
 
 def interval_join(pays: DataFrame, receipts: DataFrame, lower_s: int = -3, upper_s: int = 5,
-                  bucket_s: int = 60) -> DataFrame:
+                  bucket_s: int | None = None) -> DataFrame:
     """Every (pay, receipt) pair with equal tx id and ``pay.ts + lower <= receipt.ts <= pay.ts + upper``.
 
-    Equi-key is (tx_id, time bucket): a receipt sits in one bucket, a pay probes the (at most two) buckets
-    its interval touches, so a busy tx id only meets receipts near each pay in time.
+    Equi-key is (tx_id, time bucket as wide as the interval): a receipt sits in one bucket, a pay probes the
+    (at most two) buckets its interval touches, so a busy tx id only meets receipts near each pay in time.
     Output: order_id, tx_id, pay_time, pay_channel, receipt_time (epoch s).
     """
+    bucket_s = bucket_s or max(upper_s - lower_s, 1)
     assert bucket_s >= upper_s - lower_s
     r = receipts.select("tx_id", "pay_channel", F.col("timestamp").alias("receipt_time"),
                         F.floor(F.col("timestamp") / bucket_s).alias("_b"))

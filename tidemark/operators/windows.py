@@ -65,17 +65,20 @@ def window_count(df: DataFrame, keys: Sequence[str], size: str, slide: str | Non
     pane = F.floor(event_ms(ts_col) / slide_ms).cast("long")
     # Delta positions: +c at `start` (the row counts for ends start+1 ..), -c at pane + n.
     start = (F.floor(F.col(first_end) / slide_ms) - 1).cast("long") if first_end else pane
-    panes = (df.select(*keys, pane.alias("pane"), start.alias("start"), counted.alias("_c"))
-             .filter(F.col("start") < F.col("pane") + n)
-             .groupBy(*keys, "pane", "start").agg(F.count("_c").alias("_n")))
+    rows = (df.select(*keys, pane.alias("pane"), start.alias("start"),
+                      F.when(counted.isNotNull(), F.lit(1)).otherwise(F.lit(0)).cast("long").alias("_c"))
+            .filter(F.col("start") < F.col("pane") + n))
     if n == 1 and not first_end:
-        return panes.select(*keys, ((F.col("pane") + 1) * slide_ms).alias("window_end"),
-                            F.col("_n").alias(count_col)).filter(F.col(count_col) > 0)
-    # +c where the pane enters the windows, -c where it leaves (n slides later).
-    deltas = (panes.select(*keys, F.inline(F.array(
-        F.struct(F.col("start").alias("pos"), F.col("_n").alias("d")),
-        F.struct((F.col("pane") + n).alias("pos"), (-F.col("_n")).alias("d")))))
-        .groupBy(*keys, "pos").agg(F.sum("d").alias("d")))
+        return (rows.groupBy(*keys, "pane").agg(F.sum("_c").alias(count_col))
+                .filter(F.col(count_col) > 0)
+                .select(*keys, ((F.col("pane") + 1) * slide_ms).alias("window_end"), count_col))
+    # Both deltas of every row go into one aggregation by (keys, position): partial aggregation combines
+    # them map-side, so about one row per non-empty (key, pane) position crosses the shuffle.
+    deltas = (rows.select(*keys, F.inline(F.array(
+        F.struct(F.col("start").alias("pos"), F.col("_c").alias("d")),
+        F.struct((F.col("pane") + n).alias("pos"), (-F.col("_c")).alias("d")))))
+        .groupBy(*keys, "pos").agg(F.sum("d").alias("d"))
+        .filter(F.col("d") != 0))
     chunk_panes = chunk_panes or max(n * 8, 1024)
     deltas = deltas.withColumn("_chunk", F.floor(F.col("pos") / chunk_panes).cast("long"))
     run = seq.running_sum(deltas, keys, ["pos"], "_chunk", "d", out="_level", next_of="pos")
