@@ -1,8 +1,6 @@
 """Streaming forms equal the batch operators: inputs replayed as a file stream in several files,
 ``availableNow``, plus a far-future flush row so that every window and timer closes."""
 
-import os
-
 import pytest
 from pyspark.sql import functions as F
 
@@ -199,3 +197,19 @@ def test_ranked_changelog_and_late_rows(rocks, tmp_path):
     q2.awaitTermination(300)
     assert sorted(r.url for r in late) == ["d"]
     assert not [c for c in changes if c[0] == 2 and c[2] == w0]      # the late c does not change the leader
+
+
+def test_ad_province_stream_equals_batch(rocks, tmp_path):
+    spark = rocks
+    from tidemark.operators import blocking
+    clicks = adapters.ad_clicks(adapters.table(spark, SF["0.001"], "events"),
+                                adapters.table(spark, SF["0.001"], "nation"))
+    flush = spark.createDataFrame([(-1, -1, "zz", "zz", FAR, 10**9)],
+                                  "user_id long, ad_id long, province string, city string, timestamp long, "
+                                  "seq long").withColumn("ts", F.timestamp_seconds("timestamp")).select(
+        *clicks.columns)
+    src = replay(spark, clicks, tmp_path, "clicks", F.weekofyear("ts"), flush)
+    got = collect_stream(spark, sjobs.ad_province_stream(src, 3), tmp_path, "prov")
+    exp = rows(windows.window_count(blocking.block_clicks(clicks, 3), ["province"], "1 hour", "5 minutes",
+                                    count_col="cnt"))
+    assert sorted(tuple(r) for r in got) == exp

@@ -26,14 +26,6 @@ def duration_ms(text: str | int) -> int:
     return int(m.group(1)) * _UNITS_MS[m.group(2).lower()]
 
 
-def seconds_to_ts(col: str | Column) -> Column:
-    return F.timestamp_seconds(F.col(col) if isinstance(col, str) else col)
-
-
-def millis_to_ts(col: str | Column) -> Column:
-    return F.timestamp_millis(F.col(col) if isinstance(col, str) else col)
-
-
 def ts_string(ms: str | Column) -> Column:
     """Epoch ms -> 'yyyy-MM-dd HH:mm:ss.f' as a SQL timestamp prints: the fraction without trailing zeros,
     at least one digit ('... 10:00:00.0', '... 09:59:59.999'). Session time zone (UTC)."""

@@ -66,10 +66,10 @@ def reconcile(pays: DataFrame, receipts: DataFrame, mode: str = "interval", pay_
     """
     assert mode in ("key", "interval")
     p = pays.select("order_id", "tx_id", F.col("timestamp").alias("pay_time"))
-    p = p.withColumn("_chunk", F.floor(F.col("pay_time") / chunk_s).cast("long"))
+    p = p.withColumn("_chunk", seq.value_chunk("pay_time", chunk_s))
     p = seq.rank(p, ["tx_id"], ["pay_time", "order_id"], "_chunk", out="_n").drop("_chunk")
     r = receipts.select("tx_id", "pay_channel", F.col("timestamp").alias("receipt_time"))
-    r = r.withColumn("_chunk", F.floor(F.col("receipt_time") / chunk_s).cast("long"))
+    r = r.withColumn("_chunk", seq.value_chunk("receipt_time", chunk_s))
     r = seq.rank(r, ["tx_id"], ["receipt_time", "pay_channel"], "_chunk", out="_n").drop("_chunk")
     j = p.join(r, ["tx_id", "_n"], "full_outer")
     both = F.col("order_id").isNotNull() & F.col("receipt_time").isNotNull()

@@ -55,7 +55,7 @@ def login_fail_streak(logins: DataFrame, times: int = 3, within_s: int = 5,
     """(user_id, first_fail_time, last_fail_time, warning_msg): k consecutive fails in event time."""
     k = times
     df = logins.select("user_id", "login_state", "timestamp", "seq").withColumn(
-        "_chunk", F.floor(F.col("timestamp") / chunk_s).cast("long"))
+        "_chunk", seq.value_chunk("timestamp", chunk_s))
     order = ["timestamp", "seq"]
     if k > 1:
         df = seq.shift(df, ["user_id"], order, "_chunk", ["login_state", "timestamp"], k - 1, "next")
@@ -80,7 +80,7 @@ def login_fail_timed(logins: DataFrame, limit_s: int = 2, min_fails: int = 2,
     """
     order = ["timestamp", "seq"]
     df = logins.select("user_id", "login_state", "timestamp", "seq").withColumn(
-        "_chunk", F.floor(F.col("timestamp") / chunk_s).cast("long"))
+        "_chunk", seq.value_chunk("timestamp", chunk_s))
     df = seq.shift(df, ["user_id"], order, "_chunk", ["login_state", "timestamp"], 1, "prev")
     is_fail = F.col("login_state") == "fail"
     starts = is_fail & (F.col("prev1_login_state").isNull() | (F.col("prev1_login_state") != "fail")
@@ -129,7 +129,7 @@ def order_pay_match(orders: DataFrame, within_s: int = 300, chunk_s: int = 86400
     """(order_id, result_state): 'payed', or 'timeout <create + within, epoch ms>' per create."""
     df = orders.filter(F.col("event_type").isin("create", "pay")).withColumn(
         "_type_rank", F.when(F.col("event_type") == "create", 0).otherwise(1)).withColumn(
-        "_chunk", F.floor(F.col("timestamp") / chunk_s).cast("long"))
+        "_chunk", seq.value_chunk("timestamp", chunk_s))
     cols = ["order_id", "event_type", "timestamp", "_type_rank", "_chunk"] + (
         ["seq"] if "seq" in orders.columns else [])
     df = seq.next_value(df.select(*cols), ["order_id"], _order_cols(orders), "_chunk",

@@ -28,9 +28,9 @@ def arrival_chunk(seq_col: str = "seq", rows_per_chunk: int = 1 << 20) -> Column
     return F.floor(F.col(seq_col) / F.lit(rows_per_chunk)).cast("long")
 
 
-def time_chunk(ts_col: str = "ts", seconds: int = 86400) -> Column:
-    """Chunk by event-time bucket of ``seconds``."""
-    return F.floor(F.unix_micros(F.col(ts_col)) / F.lit(seconds * 1_000_000)).cast("long")
+def value_chunk(col: str, width: int) -> Column:
+    """Chunk by buckets of ``width`` of an ordered numeric column (e.g. epoch seconds: time buckets)."""
+    return F.floor(F.col(col) / F.lit(width)).cast("long")
 
 
 def _order(order: Cols, descending: bool = False) -> list[Column]:

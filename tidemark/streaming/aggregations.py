@@ -28,11 +28,13 @@ def event_time(df: DataFrame, ts_col: str = "ts", delay: str = "200 milliseconds
 
 
 def window_count_stream(df: DataFrame, keys: Sequence[str], size: str, slide: str | None = None,
-                        ts_col: str = "ts", delay: str = "200 milliseconds",
+                        ts_col: str = "ts", delay: str | None = "200 milliseconds",
                         count_col: str = "cnt") -> DataFrame:
-    """(keys, window_end ms, cnt) rows of closed windows."""
+    """(keys, window_end ms, cnt) rows of closed windows. ``delay=None``: the input already carries a
+    watermark (e.g. the event-time output of a stateful processor)."""
     w = F.window(ts_col, size, slide) if slide else F.window(ts_col, size)
-    return (event_time(df, ts_col, delay).groupBy(w.alias("w"), *keys).agg(F.count(F.lit(1)).alias(count_col))
+    src = event_time(df, ts_col, delay) if delay else df
+    return (src.groupBy(w.alias("w"), *keys).agg(F.count(F.lit(1)).alias(count_col))
             .select(*keys, F.unix_millis(F.col("w.end")).alias("window_end"), count_col))
 
 

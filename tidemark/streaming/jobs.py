@@ -39,12 +39,27 @@ def order_pay_timeout_stream(orders: DataFrame, within_s: int = 300,
             .transformWithState(OrderPayTimeoutProcessor(within_s), ORDER_RESULT, "Append", "EventTime"))
 
 
-def blocker_stream(clicks: DataFrame, limit: int = 100, reset_ms: int | None = None) -> DataFrame:
-    """Clicks plus ``tag`` ('data' | 'blacklist') and ``warning_msg``; arrival order by ``seq``."""
+def blocker_stream(clicks: DataFrame, limit: int = 100, reset_ms: int | None = None,
+                   delay: str | None = None) -> DataFrame:
+    """Clicks plus ``tag`` ('data' | 'blacklist') and ``warning_msg``; arrival order by ``seq``.
+
+    With ``delay`` the input gets a watermark on ``ts`` and the output keeps ``ts`` as its event-time
+    column, so windowed aggregations can follow (see :func:`ad_province_stream`)."""
+    if delay:
+        clicks = event_time(clicks, "ts", delay)
     schema = T.StructType(clicks.schema.fields + [T.StructField("tag", T.StringType()),
                                                   T.StructField("warning_msg", T.StringType())])
+    extra = {"eventTimeColumnName": "ts"} if delay else {}
     return clicks.groupBy("user_id", "ad_id").transformWithState(
-        ClickBlockerProcessor(limit, reset_ms), schema, "Append", "ProcessingTime" if reset_ms else "None")
+        ClickBlockerProcessor(limit, reset_ms), schema, "Append", "ProcessingTime" if reset_ms else "None",
+        **extra)
+
+
+def ad_province_stream(clicks: DataFrame, limit: int = 100, size: str = "1 hour", slide: str = "5 minutes",
+                       delay: str = "200 milliseconds") -> DataFrame:
+    """(province, window_end, cnt) of the clicks that pass the blocker, per sliding window."""
+    passed = blocker_stream(clicks, limit, delay=delay).filter(F.col("tag") == "data")
+    return window_count_stream(passed, ["province"], size, slide, delay=None)
 
 
 def login_fail_stream(logins: DataFrame, limit_s: int = 2, fail_times: int = 2) -> DataFrame:
