@@ -82,3 +82,14 @@ def test_next_value(data):
     w = Window.partitionBy("k").orderBy("seq").rowsBetween(1, Window.unboundedFollowing)
     exp = data.withColumn("x", F.first(F.when(F.col("flag"), F.col("t")), ignorenulls=True).over(w))
     _cmp(got, exp, ["k", "seq", "x"])
+
+
+@pytest.mark.parametrize("agg,inclusive", [("sum", True), ("max", False), ("min", True), ("sum", False)])
+def test_global_running_agg_two_level(data, agg, inclusive):
+    # no key: 1500 chunks of 2 rows, more than one block of chunk carries
+    df = data.withColumn("c2", F.floor(F.col("seq") / 2).cast("long"))
+    got = seq.running_agg(df, [], ["seq"], "c2", "t", "x", agg=agg, inclusive=inclusive)
+    fn = {"sum": F.sum, "max": F.max, "min": F.min}[agg]
+    w = Window.orderBy("seq").rowsBetween(Window.unboundedPreceding, 0 if inclusive else -1)
+    exp = df.withColumn("x", fn("t").over(w))
+    _cmp(got, exp, ["seq", "x"])

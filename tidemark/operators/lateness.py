@@ -2,17 +2,17 @@
 
 Watermark before row i = (max event time over rows that arrived before i) - bound. A window ending at e
 drops the row when ``e - 1 + lateness <= watermark``; a row that every one of its windows drops is a
-late row (a side output). The global running maximum is computed in two levels: a maximum per arrival
-chunk, a prefix over the (few) chunk maxima, then a running maximum inside each chunk.
+late row (a side output). The global running maximum is a chunked running aggregate: a maximum per
+arrival chunk, a two-level prefix over the chunk maxima, then a running maximum inside each chunk.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.time import duration_ms
-from tidemark.operators.sequence import arrival_chunk
+from tidemark.operators.sequence import arrival_chunk, running_agg
 
 
 def watermark_before(df: DataFrame, ts_ms: str, bound: str | int, seq_col: str = "seq",
@@ -20,14 +20,8 @@ def watermark_before(df: DataFrame, ts_ms: str, bound: str | int, seq_col: str =
     """Add ``out``: watermark (epoch ms) at the arrival of each row; NULL for the first row."""
     bound_ms = duration_ms(bound)
     df = df.withColumn("_wchunk", arrival_chunk(seq_col, rows_per_chunk))
-    maxima = df.groupBy("_wchunk").agg(F.max(ts_ms).alias("_cmax"))
-    # One row per arrival chunk: a single ordered partition over a small table.
-    prior = maxima.select("_wchunk", F.max("_cmax").over(
-        Window.orderBy("_wchunk").rowsBetween(Window.unboundedPreceding, -1)).alias("_prior"))
-    inside = Window.partitionBy("_wchunk").orderBy(seq_col).rowsBetween(Window.unboundedPreceding, -1)
-    return (df.join(prior, "_wchunk")
-            .withColumn(out, F.greatest(F.col("_prior"), F.max(ts_ms).over(inside)) - bound_ms)
-            .drop("_wchunk", "_prior"))
+    marked = running_agg(df, [], [seq_col], "_wchunk", ts_ms, "_maxbefore", agg="max", inclusive=False)
+    return marked.withColumn(out, F.col("_maxbefore") - bound_ms).drop("_wchunk", "_maxbefore")
 
 
 def first_open_end(ts_ms: str, watermark: str, size: str, slide: str, lateness: str | int) -> Column:

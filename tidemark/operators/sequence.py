@@ -37,40 +37,83 @@ def _order(order: Cols, descending: bool = False) -> list[Column]:
     return [F.col(c).desc() if descending else F.col(c).asc() for c in order]
 
 
-def running_sum(df: DataFrame, keys: Cols, order: Cols, chunk: str, value: Column | str,
-                out: str = "running", carry_below: int | None = None,
+_AGGS = {"sum": F.sum, "max": F.max, "min": F.min}
+_PICK = {"max": F.greatest, "min": F.least}   # NULL-ignoring combination of two partial results
+
+
+def _carry(totals: DataFrame, keys: Cols, chunk: str, agg: str, fanout: int = 1024) -> DataFrame:
+    """(keys, chunk, _carry): ``agg`` of the chunk totals of all earlier chunks of the key.
+
+    Per key the chunk summary is small (one row per chunk of that key). Without keys (a global running
+    value) it grows with the input, so it is itself split in two levels: blocks of ``fanout`` chunks get
+    a prefix over block totals (one small ordered partition), and chunks get a prefix inside their block.
+    """
+    fn = _AGGS[agg]
+    if keys:
+        before = Window.partitionBy(*keys).orderBy(chunk).rowsBetween(Window.unboundedPreceding, -1)
+        return totals.select(*keys, chunk, fn("_tot").over(before).alias("_carry"))
+    t = totals.withColumn("_blk", F.floor(F.col(chunk) / fanout))
+    blocks = t.groupBy("_blk").agg(fn("_tot").alias("_btot"))
+    block_carry = blocks.select("_blk", fn("_btot").over(
+        Window.orderBy("_blk").rowsBetween(Window.unboundedPreceding, -1)).alias("_bcarry"))
+    inner = Window.partitionBy("_blk").orderBy(chunk).rowsBetween(Window.unboundedPreceding, -1)
+    within = t.select("_blk", chunk, fn("_tot").over(inner).alias("_icarry"))
+    both = within.join(block_carry, "_blk")
+    if agg == "sum":
+        combined = F.when(F.col("_bcarry").isNull() & F.col("_icarry").isNull(), F.lit(None)).otherwise(
+            F.coalesce(F.col("_bcarry"), F.lit(0)) + F.coalesce(F.col("_icarry"), F.lit(0)))
+    else:
+        combined = _PICK[agg](F.col("_bcarry"), F.col("_icarry"))
+    return both.select(chunk, combined.alias("_carry"))
+
+
+def running_agg(df: DataFrame, keys: Cols, order: Cols, chunk: str, value: Column | str, out: str,
+                agg: str = "sum", inclusive: bool = True, carry_below: int | None = None,
                 next_of: str | None = None) -> DataFrame:
-    """Inclusive running sum of ``value`` per key along ``order``.
+    """Running ``agg`` (sum, max or min) of ``value`` per key along ``order``; ``inclusive=False`` covers
+    only the rows strictly before each row (NULL for the first row).
 
-    ``carry_below``: keep only chunks whose carried-in sum is below this bound (for a non-negative value,
-    rows of later chunks can only have larger sums); used to stop ranking a key past a threshold.
-    ``next_of``: also add ``next_<col>``, the value of that column in the next row of the key (a lead
-    across chunk boundaries), computed in the same pass.
+    ``carry_below`` (sums of non-negative values): keep only chunks whose carried-in sum is below this
+    bound, since rows of later chunks can only have larger sums; used to stop ranking a key past a
+    threshold. ``next_of``: also add ``next_<col>``, the value of that column in the next row of the key (a
+    lead across chunk boundaries), computed in the same pass.
     """
+    fn = _AGGS[agg]
     val = F.col(value) if isinstance(value, str) else value
     df = df.withColumn("_v", val)
-    aggs = [F.sum("_v").alias("_tot")]
+    aggs = [fn("_v").alias("_tot")]
     if next_of:
         aggs.append(F.min_by(F.col(next_of), F.struct(*[F.col(c) for c in order])).alias("_head"))
     totals = df.groupBy(*keys, chunk).agg(*aggs)
-    by_chunk = Window.partitionBy(*keys).orderBy(chunk)
-    summary = [F.coalesce(F.sum("_tot").over(by_chunk.rowsBetween(Window.unboundedPreceding, -1)),
-                          F.lit(0)).alias("_carry")]
+    carry = _carry(totals, keys, chunk, agg)          # NULL for the first chunk of a key
     if next_of:
-        summary.append(F.lead("_head").over(by_chunk).alias("_next_head"))
-    carry = totals.select(*keys, chunk, *summary)
+        heads = totals.select(*keys, chunk, F.lead("_head").over(
+            Window.partitionBy(*keys).orderBy(chunk)).alias("_next_head"))
+        carry = carry.join(heads, [*keys, chunk])
     if carry_below is not None:
-        carry = carry.filter(F.col("_carry") < carry_below)
+        carry = carry.filter(F.coalesce(F.col("_carry"), F.lit(0)) < carry_below)
     inside = Window.partitionBy(*keys, chunk).orderBy(*_order(order))
-    out_df = (df.join(carry, [*keys, chunk])
-              .withColumn(out, F.col("_carry") + F.sum("_v").over(
-                  inside.rowsBetween(Window.unboundedPreceding, Window.currentRow))))
+    frame = inside.rowsBetween(Window.unboundedPreceding, Window.currentRow if inclusive else -1)
+    local = fn("_v").over(frame)
+    if agg == "sum":
+        summed = F.coalesce(F.col("_carry"), F.lit(0)) + F.coalesce(local, F.lit(0))
+        total = F.when(F.col("_carry").isNull() & local.isNull(), F.lit(None)).otherwise(summed)
+    else:
+        total = _PICK[agg](F.col("_carry"), local)
+    out_df = df.join(carry, [*keys, chunk]).withColumn(out, total)
     if next_of:
         out_df = out_df.withColumn(f"next_{next_of}",
                                    F.coalesce(F.lead(next_of).over(inside), F.col("_next_head")))
     return out_df.drop("_carry", "_v", "_next_head")
 
 
+def running_sum(df: DataFrame, keys: Cols, order: Cols, chunk: str, value: Column | str,
+                out: str = "running", carry_below: int | None = None,
+                next_of: str | None = None) -> DataFrame:
+    """Inclusive running sum of ``value`` per key along ``order`` (see :func:`running_agg`)."""
+    return running_agg(df, keys, order, chunk, value, out, "sum", True, carry_below, next_of)
+
+
 def rank(df: DataFrame, keys: Cols, order: Cols, chunk: str, out: str = "rank",
          carry_below: int | None = None) -> DataFrame:
     """1-based position of each row within its key along ``order`` (a ``row_number``)."""
