@@ -54,7 +54,7 @@ FROM r GROUP BY window_end"""
 
 
 LOG = f"""WITH ev AS (SELECT event_id, user_id, event_type, ts, {K} AS page_id FROM events),
-pg AS (SELECT page_id, url FROM pages WHERE page_id < 100),
+pg AS (SELECT page_id, url FROM pages),
 lg AS (
   SELECT ev.event_id AS seq, {_ip('ev.user_id')} AS ip, '-' AS user_id,
     ({T_S.replace('ts', 'ev.ts')} - CASE WHEN ev.event_id % 50 = 7 THEN 900 WHEN ev.event_id % 10 = 3 THEN 90 ELSE 0 END) * 1000

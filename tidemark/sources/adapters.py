@@ -136,8 +136,7 @@ def access_log_lines(events: DataFrame, pages: DataFrame) -> DataFrame:
     view and click are GET, the other events POST. Line layout: ip, user, -, time, +0000, method, url.
     """
     ev = events.select("event_id", "user_id", "event_type", "ts", _k().alias("page_id"))
-    # Only pages that events can point at; the filter reaches the scan and bounds the joined side.
-    pg = pages.filter(F.col("page_id") < 100).select("page_id", "url")
+    pg = pages.select("page_id", "url")
     joined = ev.join(pg, "page_id", "left")
     suffix = F.try_element_at(F.array(*[F.lit(s) for s in STATIC_SUFFIXES]), (F.col("page_id") % 10 + 1).cast("int"))
     url = F.concat(F.coalesce(F.col("url"), F.concat(F.lit("/page/"), F.col("page_id").cast("string"))),
