@@ -157,6 +157,8 @@ def test_window_streams_equal_batch(rocks, tmp_path):
     uv = collect_stream(spark, sagg.uv_stream(src.filter("behavior = 'pv'")), tmp_path, "uv")
     exp3 = rows(jobs.unique_visitor(spark, SF["0.001"]))
     assert sorted(tuple(r) for r in uv) == exp3
+    bm = collect_stream(spark, sagg.uv_bitmap_stream(src.filter("behavior = 'pv'")), tmp_path, "uvb")
+    assert sorted(tuple(r) for r in bm) == rows(jobs.uv_bitmap(spark, SF["0.001"]))
 
 
 def test_ranked_changelog_and_late_rows(rocks, tmp_path):
