@@ -184,3 +184,12 @@ def test_top_n_ties_by_id(spark):
                                "window_end long, item_id long, cnt long")
     got = rows(topn.top_n(df, 2, id_col="item_id"), "window_end", "rank", "item_id")
     assert got == [(1, 1, 9), (1, 2, 3), (2, 1, 1)]
+
+
+def test_login_fail_timed_one_long_run(spark):
+    # a bot failing every second: one run of 2000 fails, greedy groups of 7 (limit 7 s), ended by a success
+    events = [(9, "fail", 1000 + i, i) for i in range(2000)] + [(9, "success", 1000 + 2000 + 3, 2000)]
+    df = spark.createDataFrame(events, "user_id long, login_state string, timestamp long, seq long")
+    got = rows(patterns.login_fail_timed(df, 7, 2, chunk_s=100))
+    exp = [(u, a, b, f"login fail in 7s for {n} times") for u, a, b, n in brute_timed(events, 7, 2)]
+    assert got == exp and len(got) == 286

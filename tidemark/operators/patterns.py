@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.operators import sequence as seq
+from tidemark.session import materialize
 
 # Result texts of the detectors.
 PAIR_MSG = "login fail {k} times in {limit}s"
@@ -73,52 +74,67 @@ def login_fail_timed(logins: DataFrame, limit_s: int = 2, min_fails: int = 2,
     """(user_id, first_fail_time, last_fail_time, warning_msg) of timer-closed fail groups.
 
     Event-time semantics: a fail with no open group opens one until first + limit (exclusive); fails
-    before that time join it; a success before that time cancels it. Runs of fails split at successes and
-    at gaps of at least ``limit`` are independent; run ids come from chunked sequence operators, so a busy
-    user is spread over tasks. Rows are hash-partitioned by (user, run) and sorted, and one Arrow-batched
-    scan per partition forms the greedy ``limit``-wide spans of each run (with the success that ends it).
+    before that time join it; a success before that time cancels it; at the deadline a group of at least
+    ``min_fails`` warns.
+
+    Runs of fails split at successes and at gaps of at least ``limit`` are independent. Inside a run the
+    group starts are the orbit of its first fail under ``next(i)`` = the first fail at or after
+    ``t_i + limit``. The orbit is built by pointer doubling: O(log n) rounds of joins on
+    (user, run, index), each round written to the shared checkpoint folder to cut the lineage, so no task
+    ever holds a whole run. Positions and ``next`` come from the chunked sequence operators.
     """
     order = ["timestamp", "seq"]
+    keys = ["user_id", "_run"]
     df = logins.select("user_id", "login_state", "timestamp", "seq").withColumn(
         "_chunk", seq.value_chunk("timestamp", chunk_s))
     df = seq.shift(df, ["user_id"], order, "_chunk", ["login_state", "timestamp"], 1, "prev")
     is_fail = F.col("login_state") == "fail"
-    starts = is_fail & (F.col("prev1_login_state").isNull() | (F.col("prev1_login_state") != "fail")
-                        | (F.col("timestamp") - F.col("prev1_timestamp") >= limit_s))
-    df = seq.running_sum(df, ["user_id"], order, "_chunk", starts.cast("long"), out="_run")
-    rows = (df.filter(F.col("_run") > 0)
-            .select("user_id", "_run", "timestamp", "seq", is_fail.alias("is_fail"))
-            .repartition("user_id", "_run")
-            .sortWithinPartitions("user_id", "_run", "timestamp", "seq"))
-
-    def scan(batches):
-        # Rows arrive grouped by (user, run) and sorted by time; state carries across Arrow batches.
-        import pandas as pd
-        cols = ["user_id", "first_fail_time", "last_fail_time", "n"]
-        cur, start, n, last = None, None, 0, None
-        for pdf in batches:
-            out = []
-            for user, run, ts, fail in zip(pdf["user_id"].tolist(), pdf["_run"].tolist(),
-                                           pdf["timestamp"].tolist(), pdf["is_fail"].tolist()):
-                if (user, run) != cur or (start is not None and ts >= start + limit_s):
-                    if start is not None and n >= min_fails:   # the timer closes the group
-                        out.append((cur[0], start, last, n))
-                    start, n = None, 0
-                    cur = (user, run)
-                if fail:
-                    if start is None:
-                        start, n = ts, 0
-                    n, last = n + 1, ts
-                elif start is not None:                         # a success inside the span cancels it
-                    start, n = None, 0
-            yield pd.DataFrame(out, columns=cols)
-        if start is not None and n >= min_fails:
-            yield pd.DataFrame([(cur[0], start, last, n)], columns=cols)
-
-    res = rows.mapInPandas(scan, "user_id long, first_fail_time long, last_fail_time long, n long")
+    opens = is_fail & (F.col("prev1_login_state").isNull() | (F.col("prev1_login_state") != "fail")
+                       | (F.col("timestamp") - F.col("prev1_timestamp") >= limit_s))
+    df = seq.running_sum(df, ["user_id"], order, "_chunk", opens.cast("long"), out="_run").filter(
+        F.col("_run") > 0).select(*keys, "timestamp", "seq", "_chunk", is_fail.alias("_fail"))
+    df = materialize(df, "fail-runs")
+    # The success that ends a run (its first success) can cancel the run's last group.
+    ends = df.filter(~F.col("_fail")).groupBy(*keys).agg(F.min("timestamp").alias("_succ"))
+    fails = materialize(seq.rank(df.filter("_fail").drop("_fail"), keys, order, "_chunk", out="_i")
+                        .withColumn("_i", F.col("_i") - 1), "fail-index")
+    runs = fails.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).join(ends, keys, "left")
+    # next(i): first fail with t >= t_i + limit, found as the next data row after a probe at t_i + limit.
+    probes = fails.select(*keys, (F.col("timestamp") + limit_s).alias("timestamp"), F.lit(0).alias("_kind"),
+                          F.col("_i").alias("_src"), F.lit(None).cast("long").alias("_val"))
+    data = fails.select(*keys, "timestamp", F.lit(1).alias("_kind"), F.col("_i").alias("_src"),
+                        F.col("_i").alias("_val"))
+    both = probes.unionByName(data).withColumn("_chunk", seq.value_chunk("timestamp", chunk_s))
+    nxt = materialize(seq.next_value(both, keys, ["timestamp", "_kind", "_src"], "_chunk", "_val", out="_p")
+                      .filter(F.col("_kind") == 0).join(runs.select(*keys, "_n"), keys)
+                      .select(*keys, F.col("_src").alias("_i"), F.coalesce("_p", "_n").alias("_p"), "_n"),
+                      "fail-next")
+    # Pointer doubling: S holds the jumps 0 .. 2^k - 1 from index 0, T the 2^k-th successor.
+    starts = nxt.filter(F.col("_i") == 0).select(*keys, "_i")
+    table = nxt
+    while table.filter(F.col("_p") < F.col("_n")).limit(1).count() > 0:
+        reached = starts.join(table, [*keys, "_i"]).filter(F.col("_p") < F.col("_n")).select(
+            *keys, F.col("_p").alias("_i"))
+        starts = materialize(starts.unionByName(reached).distinct(), "fail-starts")
+        hop = table.select(F.col("user_id").alias("_hu"), F.col("_run").alias("_hr"),
+                           F.col("_i").alias("_j"), F.col("_p").alias("_q"))
+        cond = ((F.col("user_id") == F.col("_hu")) & (F.col("_run") == F.col("_hr"))
+                & (F.col("_p") == F.col("_j")))
+        table = (table.join(hop, cond, "left")
+                 .select(*keys, "_i", F.coalesce("_q", "_n").alias("_p"), "_n"))
+        table = materialize(table, "fail-jumps")
+    # Each start s covers fails s .. next(s) - 1; the run's last group may be cancelled by its success.
+    groups = starts.join(nxt, [*keys, "_i"]).select(*keys, F.col("_i").alias("_s"), "_p", "_n")
+    first = fails.select(*keys, F.col("_i").alias("_s"), F.col("timestamp").alias("first_fail_time"))
+    last = fails.select(*keys, (F.col("_i") + 1).alias("_p"), F.col("timestamp").alias("last_fail_time"))
+    out = (groups.join(first, [*keys, "_s"]).join(last, [*keys, "_p"])
+           .join(runs.select(*keys, "_succ"), keys)
+           .withColumn("n", F.col("_p") - F.col("_s")))
+    cancelled = (F.col("_p") == F.col("_n")) & F.col("_succ").isNotNull() & (
+        F.col("_succ") < F.col("first_fail_time") + limit_s)
     msg = TIMED_MSG.format(limit=limit_s, n="%d")
-    return res.select("user_id", "first_fail_time", "last_fail_time",
-                      F.format_string(msg, F.col("n")).alias("warning_msg"))
+    return out.filter((F.col("n") >= min_fails) & ~cancelled).select(
+        "user_id", "first_fail_time", "last_fail_time", F.format_string(msg, F.col("n")).alias("warning_msg"))
 
 
 def _order_cols(orders: DataFrame) -> list[str]:

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def build_session(master: str | None = None, shuffle_partitions: int | None = None,
@@ -51,3 +52,13 @@ def checkpoint_path(spark: SparkSession, name: str) -> str:
     """A sub-folder of the shared checkpoint folder, e.g. for a streaming query's checkpointLocation."""
     base = ensure_checkpoint_dir(spark)
     return os.path.join(base, name)
+
+
+def materialize(df: DataFrame, tag: str = "stage") -> DataFrame:
+    """Write ``df`` once as parquet under the shared checkpoint folder and read it back: cuts the lineage
+    (a lost executor recomputes from the written files) and, unlike an eager ``checkpoint()`` of an
+    uncached plan, computes the plan a single time."""
+    spark = df.sparkSession
+    path = os.path.join(ensure_checkpoint_dir(spark), "tidemark", f"{tag}-{uuid.uuid4().hex}")
+    df.write.parquet(path)
+    return spark.read.parquet(path)

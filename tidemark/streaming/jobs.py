@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.operators import topn
+from tidemark.session import materialize
 from tidemark.streaming.aggregations import event_time, pane_window_count_stream, window_count_stream
 from tidemark.streaming.processors import (
     LOGIN_WARNING, ORDER_RESULT, TX_RESULT, ClickBlockerProcessor, LoginFailPairProcessor,
@@ -181,8 +182,10 @@ def ranked_changelog_writer(n: int, id_col: str, state_dir: str, write: Callable
         if prev_counts is not None:
             kept = prev_counts.join(touched, window_col, "left_semi").join(batch.select(*keys), keys, "left_anti")
             counts = kept.select(*keys, count_col).unionByName(batch)
-        counts = counts.checkpoint()              # cut lineage before the source partitions are overwritten
-        new_top = topn.top_n(counts, n, (window_col,), id_col=id_col).checkpoint()
+        # Written once to the shared checkpoint folder: cuts the lineage before the source partitions are
+        # overwritten below.
+        counts = materialize(counts, "rank-counts")
+        new_top = materialize(topn.top_n(counts, n, (window_col,), id_col=id_col), "rank-top")
         prev_top = _read_or_none(spark, top_path)
         old_top = (prev_top.join(touched, window_col, "left_semi").select(*new_top.columns)
                    if prev_top is not None else new_top.limit(0))
