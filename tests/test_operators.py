@@ -119,7 +119,7 @@ def test_login_fail_timed_vs_brute_force(spark):
         u = 0 if rnd.random() < 0.3 else rnd.randrange(1, 40)
         events.append((u, "fail" if rnd.random() < 0.7 else "success", rnd.randrange(0, 20000), s))
     df = spark.createDataFrame(events, "user_id long, login_state string, timestamp long, seq long")
-    got = rows(patterns.login_fail_timed(df, 30, 2, chunk_s=500))
+    got = rows(patterns.login_fail_timed(df, 30, 2, rows_per_chunk=50))
     exp = [(u, a, b, f"login fail in 30s for {n} times") for u, a, b, n in brute_timed(events, 30, 2)]
     assert got == exp
 
@@ -190,6 +190,17 @@ def test_login_fail_timed_one_long_run(spark):
     # a bot failing every second: one run of 2000 fails, greedy groups of 7 (limit 7 s), ended by a success
     events = [(9, "fail", 1000 + i, i) for i in range(2000)] + [(9, "success", 1000 + 2000 + 3, 2000)]
     df = spark.createDataFrame(events, "user_id long, login_state string, timestamp long, seq long")
-    got = rows(patterns.login_fail_timed(df, 7, 2, chunk_s=100))
+    got = rows(patterns.login_fail_timed(df, 7, 2, rows_per_chunk=64))
     exp = [(u, a, b, f"login fail in 7s for {n} times") for u, a, b, n in brute_timed(events, 7, 2)]
     assert got == exp and len(got) == 286
+
+
+def test_order_and_tx_balanced_chunking(spark, tmp_path):
+    df = read_records(spark, write_csv(tmp_path, "orders.csv", ORDERS), "order")
+    assert rows(patterns.order_pay_match(df, 300, "balanced", 2)) == rows(patterns.order_pay_match(df, 300))
+    p = joins.pays_of(read_records(spark, write_csv(tmp_path, "o.csv", PAYS), "order"))
+    r = read_records(spark, write_csv(tmp_path, "r.csv", RECEIPTS), "receipt")
+    for mode in ("key", "interval"):
+        a = rows(joins.reconcile(p, r, mode, chunking="balanced", rows_per_chunk=1), "tag", "tx_id", "pay_time")
+        b = rows(joins.reconcile(p, r, mode), "tag", "tx_id", "pay_time")
+        assert a == b

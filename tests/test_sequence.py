@@ -93,3 +93,24 @@ def test_global_running_agg_two_level(data, agg, inclusive):
     w = Window.orderBy("seq").rowsBetween(Window.unboundedPreceding, 0 if inclusive else -1)
     exp = df.withColumn("x", fn("t").over(w))
     _cmp(got, exp, ["seq", "x"])
+
+
+def test_balanced_chunks(data):
+    # t in 0..499 with bucket 10: chunks are runs of buckets holding about 40 rows of a key
+    df = seq.balanced_chunk(data.drop("chunk"), ["k"], "t", bucket=10, target_rows=40, out="chunk")
+    per = {}
+    for r in df.select("k", "t", "chunk").collect():
+        per.setdefault((r.k, r.chunk), []).append(r.t)
+    spans = {}
+    for (k, c), ts in per.items():
+        spans.setdefault(k, []).append((min(ts), max(ts), c, len(ts)))
+    for k, items in spans.items():
+        items.sort(key=lambda x: x[2])
+        for a, b in zip(items, items[1:]):
+            assert a[1] < b[0] or a[1] // 10 == b[0] // 10 == a[0] // 10  # contiguous, ordered in time
+    hot = [n for (k, _), n in ((kc, len(v)) for kc, v in per.items()) if k == 0]
+    assert len(hot) > 10 and max(hot) <= 40 + 40                     # the 40% key is spread over chunks
+    got = seq.shift(df, ["k"], ["t", "seq"], "chunk", ["v"], 2, "prev")
+    w = Window.partitionBy("k").orderBy("t", "seq")
+    exp = df.withColumn("prev1_v", F.lag("v", 1).over(w)).withColumn("prev2_v", F.lag("v", 2).over(w))
+    _cmp(got, exp, ["k", "seq", "prev1_v", "prev2_v"])

@@ -54,7 +54,7 @@ UNMATCHED_RECEIPTS = "unmatched-receipts"
 
 
 def reconcile(pays: DataFrame, receipts: DataFrame, mode: str = "interval", pay_wait_s: int = 5,
-              receipt_wait_s: int = 3, chunk_s: int = 86400) -> DataFrame:
+              receipt_wait_s: int = 3, chunking: str = "time", rows_per_chunk: int = 1 << 20) -> DataFrame:
     """Pair pays and receipts one to one per tx id, keeping the unmatched rows of both sides.
 
     The n-th pay of a tx id (by time) is paired with its n-th receipt. ``mode='key'`` accepts every such
@@ -62,14 +62,15 @@ def reconcile(pays: DataFrame, receipts: DataFrame, mode: str = "interval", pay_
     the receipt lies within [pay - receipt_wait, pay + pay_wait] (inclusive), the event-time outcome of a
     pay waiting ``pay_wait`` seconds and a receipt waiting ``receipt_wait`` seconds; a rejected pair yields
     one unmatched row on each side. Output columns: tag, order_id, tx_id, pay_time, pay_channel,
-    receipt_time. Ranking is chunked by event time so a busy tx id is spread over tasks.
+    receipt_time. Ranking is chunked along event time (hourly buckets, or ``chunking='balanced'``) so a
+    busy tx id is spread over tasks.
     """
     assert mode in ("key", "interval")
     p = pays.select("order_id", "tx_id", F.col("timestamp").alias("pay_time"))
-    p = p.withColumn("_chunk", seq.value_chunk("pay_time", chunk_s))
+    p = seq.chunk_by(p, ["tx_id"], "pay_time", chunking, target_rows=rows_per_chunk)
     p = seq.rank(p, ["tx_id"], ["pay_time", "order_id"], "_chunk", out="_n").drop("_chunk")
     r = receipts.select("tx_id", "pay_channel", F.col("timestamp").alias("receipt_time"))
-    r = r.withColumn("_chunk", seq.value_chunk("receipt_time", chunk_s))
+    r = seq.chunk_by(r, ["tx_id"], "receipt_time", chunking, target_rows=rows_per_chunk)
     r = seq.rank(r, ["tx_id"], ["receipt_time", "pay_channel"], "_chunk", out="_n").drop("_chunk")
     j = p.join(r, ["tx_id", "_n"], "full_outer")
     both = F.col("order_id").isNotNull() & F.col("receipt_time").isNotNull()

@@ -52,11 +52,11 @@ def login_fail_pairs(logins: DataFrame, limit_s: int = 2, fail_times: int = 2,
 
 
 def login_fail_streak(logins: DataFrame, times: int = 3, within_s: int = 5,
-                      chunk_s: int = 86400) -> DataFrame:
+                      rows_per_chunk: int = 1 << 20) -> DataFrame:
     """(user_id, first_fail_time, last_fail_time, warning_msg): k consecutive fails in event time."""
     k = times
-    df = logins.select("user_id", "login_state", "timestamp", "seq").withColumn(
-        "_chunk", seq.value_chunk("timestamp", chunk_s))
+    df = seq.balanced_chunk(logins.select("user_id", "login_state", "timestamp", "seq"), ["user_id"],
+                            "timestamp", target_rows=rows_per_chunk)
     order = ["timestamp", "seq"]
     if k > 1:
         df = seq.shift(df, ["user_id"], order, "_chunk", ["login_state", "timestamp"], k - 1, "next")
@@ -70,7 +70,7 @@ def login_fail_streak(logins: DataFrame, times: int = 3, within_s: int = 5,
 
 
 def login_fail_timed(logins: DataFrame, limit_s: int = 2, min_fails: int = 2,
-                     chunk_s: int = 86400) -> DataFrame:
+                     rows_per_chunk: int = 1 << 20) -> DataFrame:
     """(user_id, first_fail_time, last_fail_time, warning_msg) of timer-closed fail groups.
 
     Event-time semantics: a fail with no open group opens one until first + limit (exclusive); fails
@@ -85,8 +85,8 @@ def login_fail_timed(logins: DataFrame, limit_s: int = 2, min_fails: int = 2,
     """
     order = ["timestamp", "seq"]
     keys = ["user_id", "_run"]
-    df = logins.select("user_id", "login_state", "timestamp", "seq").withColumn(
-        "_chunk", seq.value_chunk("timestamp", chunk_s))
+    df = seq.balanced_chunk(logins.select("user_id", "login_state", "timestamp", "seq"), ["user_id"],
+                            "timestamp", target_rows=rows_per_chunk)
     df = seq.shift(df, ["user_id"], order, "_chunk", ["login_state", "timestamp"], 1, "prev")
     is_fail = F.col("login_state") == "fail"
     opens = is_fail & (F.col("prev1_login_state").isNull() | (F.col("prev1_login_state") != "fail")
@@ -104,7 +104,7 @@ def login_fail_timed(logins: DataFrame, limit_s: int = 2, min_fails: int = 2,
                           F.col("_i").alias("_src"), F.lit(None).cast("long").alias("_val"))
     data = fails.select(*keys, "timestamp", F.lit(1).alias("_kind"), F.col("_i").alias("_src"),
                         F.col("_i").alias("_val"))
-    both = probes.unionByName(data).withColumn("_chunk", seq.value_chunk("timestamp", chunk_s))
+    both = seq.balanced_chunk(probes.unionByName(data), keys, "timestamp", target_rows=rows_per_chunk)
     nxt = materialize(seq.next_value(both, keys, ["timestamp", "_kind", "_src"], "_chunk", "_val", out="_p")
                       .filter(F.col("_kind") == 0).join(runs.select(*keys, "_n"), keys)
                       .select(*keys, F.col("_src").alias("_i"), F.coalesce("_p", "_n").alias("_p"), "_n"),
@@ -141,11 +141,15 @@ def _order_cols(orders: DataFrame) -> list[str]:
     return ["timestamp", "_type_rank"] + (["seq"] if "seq" in orders.columns else [])
 
 
-def order_pay_match(orders: DataFrame, within_s: int = 300, chunk_s: int = 86400) -> DataFrame:
-    """(order_id, result_state): 'payed', or 'timeout <create + within, epoch ms>' per create."""
+def order_pay_match(orders: DataFrame, within_s: int = 300, chunking: str = "time",
+                    rows_per_chunk: int = 1 << 20) -> DataFrame:
+    """(order_id, result_state): 'payed', or 'timeout <create + within, epoch ms>' per create.
+
+    An order has a handful of events, so hourly time chunks are the default; ``chunking='balanced'``
+    bounds the rows per task for any order id at the cost of one more pass."""
     df = orders.filter(F.col("event_type").isin("create", "pay")).withColumn(
-        "_type_rank", F.when(F.col("event_type") == "create", 0).otherwise(1)).withColumn(
-        "_chunk", seq.value_chunk("timestamp", chunk_s))
+        "_type_rank", F.when(F.col("event_type") == "create", 0).otherwise(1))
+    df = seq.chunk_by(df, ["order_id"], "timestamp", chunking, target_rows=rows_per_chunk)
     cols = ["order_id", "event_type", "timestamp", "_type_rank", "_chunk"] + (
         ["seq"] if "seq" in orders.columns else [])
     df = seq.next_value(df.select(*cols), ["order_id"], _order_cols(orders), "_chunk",
