@@ -13,6 +13,7 @@ from tidemark.functions import report
 from tidemark.functions.time import end_string
 from tidemark.operators import blocking, distinct, joins, lateness, patterns, topn, windows
 from tidemark.sources import adapters
+from tidemark.session import materialize
 from tidemark.sources.access_log import parse_access_log
 
 # Values used on the driver tables (sparse event data).
@@ -92,10 +93,13 @@ def access_log(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _page_split(spark, sf_dir, size, slide, bound, allowed_lateness):
-    # The watermark follows every log line; the method and asset filters come after it.
-    marked = lateness.watermark_before(access_log(spark, sf_dir), "timestamp", bound)
-    requests = (marked.filter((F.col("method") == "GET") & ~F.col("url").rlike(STATIC_ASSET))
-                .withColumn("ts", F.timestamp_millis("timestamp")))
+    # The watermark follows every log line; the method and asset filters come after it. The parsed log
+    # and the marked requests are each read by several branches (chunk summaries and joins), so each is
+    # written once to the shared checkpoint folder instead of being recomputed from the scans per branch.
+    log = materialize(access_log(spark, sf_dir), "access-log")
+    marked = lateness.watermark_before(log, "timestamp", bound)
+    requests = materialize(marked.filter((F.col("method") == "GET") & ~F.col("url").rlike(STATIC_ASSET))
+                           .withColumn("ts", F.timestamp_millis("timestamp")), "page-requests")
     return lateness.split_late(requests, "timestamp", size, slide, watermark="watermark",
                                lateness=allowed_lateness)
 
