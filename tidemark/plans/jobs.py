@@ -93,11 +93,10 @@ def access_log(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _page_split(spark, sf_dir, size, slide, bound, allowed_lateness):
-    # The watermark follows every log line; the method and asset filters come after it. The parsed log
-    # and the marked requests are each read by several branches (chunk summaries and joins), so each is
-    # written once to the shared checkpoint folder instead of being recomputed from the scans per branch.
-    log = materialize(access_log(spark, sf_dir), "access-log")
-    marked = lateness.watermark_before(log, "timestamp", bound)
+    # The watermark follows every log line; the method and asset filters come after it. The marked
+    # requests feed the pane window, whose chunk summaries and joins read them several times; they are
+    # written once to the shared checkpoint folder so the log is not rebuilt from the scans per branch.
+    marked = lateness.watermark_before(access_log(spark, sf_dir), "timestamp", bound)
     requests = materialize(marked.filter((F.col("method") == "GET") & ~F.col("url").rlike(STATIC_ASSET))
                            .withColumn("ts", F.timestamp_millis("timestamp")), "page-requests")
     return lateness.split_late(requests, "timestamp", size, slide, watermark="watermark",
