@@ -141,6 +141,34 @@ p AS (SELECT *, lead(st, 1) OVER w AS s1, lead(st, 2) OVER w AS s2, lead(t, 2) O
 SELECT user_id, t AS first_fail_time, t2 AS last_fail_time, 'login fail 3 times' AS warning_msg
 FROM p WHERE st = 'fail' AND s1 = 'fail' AND s2 = 'fail' AND t2 - t < 86400"""
 
+LOGIN_FAIL_TIMED = f"""WITH RECURSIVE l AS ({LOGINS}),
+o AS (SELECT *, lag(st) OVER w AS pst, lag(t) OVER w AS pt FROM l WINDOW w AS (PARTITION BY user_id ORDER BY t, seq)),
+r AS (SELECT *, sum(CASE WHEN st = 'fail' AND (pst IS NULL OR pst <> 'fail' OR t - pt >= 7200) THEN 1 ELSE 0 END)
+        OVER (PARTITION BY user_id ORDER BY t, seq ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS run FROM o),
+f AS (SELECT user_id, run, t, row_number() OVER (PARTITION BY user_id, run ORDER BY t, seq) - 1 AS i
+      FROM r WHERE run > 0 AND st = 'fail'),
+ends AS (SELECT user_id, run, min(t) AS succ FROM r WHERE run > 0 AND st <> 'fail' GROUP BY user_id, run),
+n AS (SELECT user_id, run, count(*) AS n FROM f GROUP BY user_id, run),
+nx AS (SELECT a.user_id, a.run, a.i, coalesce(min(b.i), any_value(n.n)) AS p
+       FROM f a JOIN n ON n.user_id = a.user_id AND n.run = a.run
+       LEFT JOIN f b ON b.user_id = a.user_id AND b.run = a.run AND b.t >= a.t + 7200
+       GROUP BY a.user_id, a.run, a.i),
+path AS (SELECT user_id, run, 0 AS i FROM n
+         UNION ALL
+         SELECT nx.user_id, nx.run, nx.p FROM path
+         JOIN nx ON nx.user_id = path.user_id AND nx.run = path.run AND nx.i = path.i
+         JOIN n ON n.user_id = nx.user_id AND n.run = nx.run
+         WHERE nx.p < n.n),
+g AS (SELECT path.user_id, path.run, path.i AS s, nx.p AS e, n.n FROM path
+      JOIN nx ON nx.user_id = path.user_id AND nx.run = path.run AND nx.i = path.i
+      JOIN n ON n.user_id = path.user_id AND n.run = path.run)
+SELECT g.user_id, a.t AS first_fail_time, b.t AS last_fail_time,
+       'login fail in 7200s for ' || CAST(g.e - g.s AS VARCHAR) || ' times' AS warning_msg
+FROM g JOIN f a ON a.user_id = g.user_id AND a.run = g.run AND a.i = g.s
+JOIN f b ON b.user_id = g.user_id AND b.run = g.run AND b.i = g.e - 1
+LEFT JOIN ends ON ends.user_id = g.user_id AND ends.run = g.run
+WHERE g.e - g.s >= 2 AND NOT (g.e = g.n AND ends.succ IS NOT NULL AND ends.succ < a.t + 7200)"""
+
 ORDER_ROWS = """WITH o AS (SELECT o_orderkey AS k, epoch_us(o_orderdate) // 1000000 AS tc FROM orders),
 cr AS (SELECT k AS order_id, tc AS t FROM o WHERE k % 13 <> 0),
 py AS (SELECT k AS order_id, 'tx' || CAST(k AS VARCHAR) AS tx_id, tc + (k * 7919) % 1800 AS t FROM o WHERE k % 11 <> 0),
@@ -206,6 +234,7 @@ ORACLES: dict[str, str] = {
     "ad_province": AD_PROVINCE,
     "login_fail": LOGIN_FAIL,
     "login_fail_streak": LOGIN_FAIL_STREAK,
+    "login_fail_timed": LOGIN_FAIL_TIMED,
     "order_pay_timeout": ORDER_PAY_TIMEOUT,
     "order_timeout": ORDER_TIMEOUT,
     "tx_match": _tx_match(True),

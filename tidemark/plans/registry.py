@@ -36,7 +36,7 @@ QUERIES = {
     "tx_join": jobs.tx_join,
 }
 
-# uv_approx is an estimate and login_fail_timed a greedy grouping (checked against brute force in tests).
+# uv_approx is an estimate and has no SQL; login_fail_timed's greedy grouping is a recursive SQL query.
 assert set(ORACLES) <= set(QUERIES)
 
 FLAGSHIP = "hot_items"
