@@ -23,21 +23,23 @@ has one. Ties cannot matter, as the component's smallest doc_id is kept. Extra c
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import SPACES, WordHashes, ascii_lower, binary_values
-from tidemark.llm.graph import components
+from tidemark.llm.common import WordHashes, binary_values
+from tidemark.llm.graph import components, files_for
 from tidemark.session import materialize
 
 SHINGLE = 5
 PERCENT = 80
-PERMUTATIONS = 126
-BAND = 6
+PERMUTATIONS = 224
+BAND = 8
+ROUNDS = 2
 SEED = 20
 _CHUNK = 1024
 _MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -94,42 +96,48 @@ def estimate(a: np.ndarray, b: np.ndarray) -> float:
     return float((a == b).mean())
 
 
-def class_key(text: str = "text") -> Column:
-    """128-bit key of the lower-cased word sequence; null without words."""
-    t = F.trim(ascii_lower(F.col(text)), F.lit(SPACES))
-    return F.when(F.length(t) > 0, F.unhex(F.md5(F.regexp_replace(t, r"[\x20\x09-\x0D]+", " "))))
+def words_of(raw: bytes | None) -> list[bytes]:
+    """Lower-cased words [^\\x20\\x09-\\x0D]+ of a text in UTF-8."""
+    return raw.lower().split() if raw else []
+
+
+def text_key(text: str = "text") -> Column:
+    """Tells the rows of one doc_id apart."""
+    return F.md5(F.coalesce(F.col(text), F.lit("")))
 
 
 def _signed(docs: DataFrame, shingle: int, perms, band: int) -> DataFrame:
-    """doc_id, ck, n_shingles, bands."""
+    """doc_id, tk, ck (128-bit key of the word sequence, null without words), n_shingles, bands."""
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes()
         for batch in batches:
-            n, bands = [], []
+            keys, n, bands = [], [], []
             for raw in binary_values(batch.column("raw")):
-                s = shingle_hashes(hashes.of(raw.lower().split() if raw else []), shingle)
+                words = words_of(raw)
+                s = shingle_hashes(hashes.of(words), shingle)
+                keys.append(hashlib.md5(b" ".join(words)).digest() if words else None)
                 n.append(len(s))
-                bands.append(bands_of(signature(s, perms), band) if len(s) else None)
+                bands.append(bands_of(signature(s, perms), band) if words else None)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), batch.column("ck"), pa.array(n, pa.int64()),
-                 pa.array(bands, pa.list_(pa.int64()))], names=["doc_id", "ck", "n_shingles", "bands"])
+                [batch.column("doc_id"), batch.column("tk"), pa.array(keys, pa.binary()), pa.array(n, pa.int64()),
+                 pa.array(bands, pa.list_(pa.int64()))], names=["doc_id", "tk", "ck", "n_shingles", "bands"])
 
-    return (docs.select("doc_id", class_key().alias("ck"), F.col("text").cast("binary").alias("raw"))
-            .mapInArrow(run, f"doc_id {kind}, ck binary, n_shingles long, bands array<long>"))
+    return (docs.select("doc_id", text_key().alias("tk"), F.col("text").cast("binary").alias("raw"))
+            .mapInArrow(run, f"doc_id {kind}, tk string, ck binary, n_shingles long, bands array<long>"))
 
 
 def _sets(docs: DataFrame, wanted: DataFrame, shingle: int) -> DataFrame:
-    """(cid, n_shingles, hashes) for the wanted classes (cid, ck, home): the text of one document of each."""
-    own = docs.select("doc_id", class_key().alias("tk"), F.col("text").cast("binary").alias("raw"))
-    found = (wanted.join(own, (F.col("tk") == F.col("ck")) & F.col("doc_id").eqNullSafe(F.col("home")))
+    """(cid, hashes) for the wanted classes (cid, home, tk): the set of one document of each."""
+    own = docs.select("doc_id", text_key().alias("own_tk"), F.col("text").cast("binary").alias("raw"))
+    found = (wanted.join(own, F.col("doc_id").eqNullSafe(F.col("home")) & (F.col("own_tk") == F.col("tk")))
              .select("cid", "raw"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes()
         for batch in batches:
-            s = [shingle_hashes(hashes.of(raw.lower().split()), shingle).view(np.int64)
+            s = [shingle_hashes(hashes.of(words_of(raw)), shingle).view(np.int64)
                  for raw in binary_values(batch.column("raw"))]
             yield pa.RecordBatch.from_arrays([batch.column("cid"), pa.array(s, pa.list_(pa.int64()))],
                                              names=["cid", "hashes"])
@@ -150,61 +158,113 @@ def _sizes_fit(n: str, m: str, percent: int) -> Column:
     return F.lit(100) * F.least(F.col(n), F.col(m)) >= F.lit(percent) * F.greatest(F.col(n), F.col(m))
 
 
-def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT,
-                    n_permutations: int = PERMUTATIONS, band: int = BAND) -> DataFrame:
-    """doc_id, ck (the class key), n_shingles, component_id, kept; one row per document."""
+def _merged(label: DataFrame, links: DataFrame, files: int) -> DataFrame:
+    """``label`` (cid, component) after the links (a, b) have merged components."""
+    end = lambda c: label.select(F.col("cid").alias(c), F.col("component").alias(f"c{c}"))
+    edges = links.join(end("a"), "a").join(end("b"), "b").select(F.col("ca").alias("a"), F.col("cb").alias("b"))
+    new = components(edges).select("id", F.col("component").alias("root"))
+    return materialize(label.join(new, F.col("component") == F.col("id"), "left")
+                       .select("cid", F.coalesce("root", "component").alias("component")), "minmax-labels", files)
+
+
+def _mixed(members: DataFrame, label: DataFrame, turn: int) -> DataFrame:
+    """The members of buckets with several components, with their number and with one class of the first and one
+    of the last component; which of a component's classes changes by bucket and turn."""
+    apart = members.join(label, "cid")
+    pick = F.struct("component", F.xxhash64("cid", "key", F.lit(turn)).alias("draw"), "cid", "n")
+    ends = (apart.groupBy("key").agg(F.min(pick).alias("low"), F.max(pick).alias("high"), F.count(F.lit(1)).alias("size"))
+            .where("low.component <> high.component"))
+    return apart.join(ends, "key")
+
+
+def _partners(mixed: DataFrame, percent: int) -> DataFrame:
+    """For each class, one class of another component in each of its buckets: pairs (a, b)."""
+    other = F.when(F.col("component") != F.col("low.component"), F.col("low")).otherwise(F.col("high"))
+    return (mixed.select("cid", "n", other.alias("o")).where(_sizes_fit("n", "o.n", percent))
+            .select(F.least("cid", "o.cid").alias("a"), F.greatest("cid", "o.cid").alias("b")).distinct())
+
+
+def _rarest(sets: DataFrame, percent: int) -> DataFrame:
+    """(cid, n, left, component, h): of each set (cid, component, hashes) the rarest shingles, so many that a set
+    that reaches the similarity must hold one of them among its own rarest; ``left`` is how many shingles of the
+    set are not rarer than this one, itself included."""
+    each = sets.select("cid", "component", F.size("hashes").alias("n"), F.explode("hashes").alias("h"))
+    counts = each.groupBy("h").agg(F.count(F.lit(1)).alias("df"))
+    rank = F.row_number().over(Window.partitionBy("cid").orderBy("df", "h"))
+    need = F.ceil(F.lit(percent) * F.col("n") / F.lit(100))
+    return (each.join(counts, "h").withColumn("left", F.col("n") - rank + 1)
+            .where((F.col("left") >= need) & (F.col("df") > 1)).select("cid", "n", "left", "component", "h"))
+
+
+def _apart(rare: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) of different components that share a rare shingle that can be the first of enough. Two sets
+    that reach the similarity p have at least p / (1 + p) of their sizes in common, all of it from the first
+    common shingle (in the order of rarity) on; so at that one, both have as many shingles left."""
+    sizes = rare.groupBy("h", "component").agg(F.count(F.lit(1)).alias("m"))
+    largest = sizes.groupBy("h").agg(F.max(F.struct("m", "component")).alias("top"), F.count(F.lit(1)).alias("k")).where(
+        "k > 1").select("h", F.col("top.component").alias("largest"))
+    shared = rare.join(largest, "h")
+    x = shared.where("component <> largest").select("h", F.col("cid").alias("a"), F.col("n").alias("na"),
+                                                    F.col("left").alias("la"), F.col("component").alias("ca"))
+    y = shared.select("h", F.col("cid").alias("b"), F.col("n").alias("nb"), F.col("left").alias("lb"),
+                      F.col("component").alias("cb"))
+    enough = (100 + percent) * F.least("la", "lb") >= percent * (F.col("na") + F.col("nb"))
+    return (x.join(y, "h").where((F.col("ca") != F.col("cb")) & _sizes_fit("na", "nb", percent) & enough)
+            .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
+
+
+def _classified(docs: DataFrame, shingle: int, percent: int, n_permutations: int, band: int) -> DataFrame:
+    """doc_id, tk, n_shingles, component_id; one row per document."""
     docs = docs.select("doc_id", "text")
-    perms = permutations(n_permutations)
-    signed = materialize(_signed(docs, shingle, perms, band), "minmax-signed")
-    # one row per class of equal word sequences; ids are fixed by being written
+    signed = materialize(_signed(docs, shingle, permutations(n_permutations), band), "minmax-signed")
+    # one row per class of equal word sequences; its number is fixed by being written
     classes = materialize(
         signed.where(F.col("ck").isNotNull()).groupBy("ck").agg(
-            F.min("doc_id").alias("home"), F.first("n_shingles").alias("n"), F.first("bands").alias("bands"))
+            F.min(F.struct("doc_id", "tk")).alias("home"), F.min("doc_id").alias("smallest"),
+            F.first("n_shingles").alias("n"), F.first("bands").alias("bands"))
         .withColumn("cid", F.monotonically_increasing_id()), "minmax-classes")
     keyed = classes.select("cid", "n", F.explode("bands").alias("key"))
-    buckets = (keyed.groupBy("key").agg(F.min(F.struct("cid", "n")).alias("low"), F.max(F.struct("cid", "n")).alias("high"))
-               .where("low.cid <> high.cid"))
-    members = materialize(keyed.join(buckets, "key").select(
-        "key", "cid", "n", F.col("low.cid").alias("low"), F.col("low.n").alias("low_n"),
-        F.col("high.cid").alias("high"), F.col("high.n").alias("high_n")), "minmax-members")
-    sets = materialize(_sets(docs, members.select("cid").distinct().join(classes, "cid").select("cid", "ck", "home"),
-                             shingle), "minmax-sets")
-    stars = members.groupBy("cid").agg(
-        F.min(F.when(_sizes_fit("n", "low_n", percent) & (F.col("low") < F.col("cid")), F.col("low"))).alias("low"),
-        F.max(F.when(_sizes_fit("n", "high_n", percent) & (F.col("high") > F.col("cid")), F.col("high"))).alias("high"))
-    pairs = (stars.select(F.col("low").alias("a"), F.col("cid").alias("b"))
-             .unionByName(stars.select(F.col("cid").alias("a"), F.col("high").alias("b")))
-             .where("a is not null and b is not null").distinct())
-    links = materialize(_linked(pairs, sets, percent), "minmax-links")
-    first = components(links).select(F.col("id").alias("cid"), "component")
-    # what is still apart and yet in one bucket
-    apart = (members.select("key", "cid", "n").join(first, "cid", "left")
-             .withColumn("component", F.coalesce("component", "cid")))
-    mixed = (apart.groupBy("key").agg(F.min("component").alias("c0"), F.max("component").alias("c1"))
-             .where("c0 <> c1").select("key"))
-    open_ = materialize(apart.join(mixed, "key", "left_semi"), "minmax-open")
-    x = open_.select("key", F.col("cid").alias("a"), F.col("n").alias("na"), F.col("component").alias("ca"))
-    y = open_.select("key", F.col("cid").alias("b"), F.col("n").alias("nb"), F.col("component").alias("cb"))
-    rest = (x.join(y, "key").where((F.col("a") < F.col("b")) & (F.col("ca") != F.col("cb"))
-                                   & _sizes_fit("na", "nb", percent)).select("a", "b").distinct())
-    more = _linked(rest, sets, percent)
-    groups = materialize(components(links.unionByName(more)), "minmax-groups")
-    named = (groups.join(classes.select(F.col("cid").alias("id"), "home"), "id"))
-    smallest = named.groupBy("component").agg(F.min("home").alias("smallest"))
-    by_class = (classes.select("cid", F.col("ck").alias("class_key"), "home")
-                .join(groups.select(F.col("id").alias("cid"), "component"), "cid", "left")
-                .join(smallest, "component", "left")
-                .select("class_key", F.coalesce("smallest", "home").alias("smallest")))
-    return (signed.select("doc_id", "ck", "n_shingles").join(by_class, F.col("ck") == F.col("class_key"), "left")
-            .select("doc_id", "ck", "n_shingles",
-                    F.when(F.col("ck").isNull(), F.col("doc_id")).otherwise(F.col("smallest")).alias("component_id"))
-            .withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id"))))
-
-
-def one_of_each(docs: DataFrame, **params) -> DataFrame:
+    shared = keyed.groupBy("key").agg(F.min("cid").alias("c0"), F.max("cid").alias("c1")).where("c0 <> c1").select("key")
+    members = materialize(keyed.join(shared, "key"), "minmax-members")
+    files = files_for(members.count())
+    label = materialize(members.select("cid").distinct().withColumn("component", F.col("cid")), "minmax-labels", files)
+    sets = materialize(_sets(docs, label.join(classes, "cid").select(
+        "cid", F.col("home.doc_id").alias("home"), F.col("home.tk").alias("tk")), shingle), "minmax-sets")
+    tested = None
+    for turn in range(ROUNDS):
+        pairs = _partners(_mixed(members, label, turn), percent)
+        pairs = materialize(pairs if tested is None else pairs.join(tested, ["a", "b"], "left_anti"), "minmax-pairs", files)
+        links = materialize(_linked(pairs, sets, percent), "minmax-links")
+        tested = pairs if tested is None else tested.unionByName(pairs)
+        if not links.isEmpty():
+            label = _merged(label, links, files)
+    # classes that still share a bucket with another component; the one pair of a bucket of two is tested
+    rest = _mixed(members, label, ROUNDS).where("size > 2").select("cid", "component").distinct()
+    rare = materialize(_rarest(sets.join(rest, "cid"), percent), "minmax-rarest")
+    pairs = _apart(rare, percent).join(tested, ["a", "b"], "left_anti")
+    label = _merged(label, materialize(_linked(pairs, sets, percent), "minmax-links"), files)
+    named = classes.select("cid", F.col("ck").alias("class_key"), "smallest").join(label, "cid", "left")
+    lowest = (named.where("component is not null").groupBy("component").agg(F.min("smallest").alias("lowest"))
+              .withColumnRenamed("component", "of"))
+    by_class = (named.join(lowest, F.col("component") == F.col("of"), "left")
+                .select("class_key", F.coalesce("lowest", "smallest").alias("lowest")))
+    return (signed.select("doc_id", "tk", "ck", "n_shingles").join(by_class, F.col("ck") == F.col("class_key"), "left")
+            .select("doc_id", "tk", "n_shingles",
+                    F.when(F.col("ck").isNull(), F.col("doc_id")).otherwise(F.col("lowest")).alias("component_id")))
+
+
+def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT,
+                    n_permutations: int = PERMUTATIONS, band: int = BAND) -> DataFrame:
+    """doc_id, n_shingles, component_id, kept; one row per document."""
+    return _classified(docs, shingle, percent, n_permutations, band).drop("tk").withColumn(
+        "kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+
+
+def one_of_each(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT,
+                n_permutations: int = PERMUTATIONS, band: int = BAND) -> DataFrame:
     """The documents that stay, one of each group, with all their columns. Rows that repeat the kept doc_id with
     an equal text are one document and stay together."""
-    gone = (near_duplicates(docs, **params).where(~F.col("kept"))
-            .select(F.col("doc_id").alias("_gone_id"), F.col("ck").alias("_gone_ck")).distinct())
-    return docs.join(gone, F.col("doc_id").eqNullSafe(F.col("_gone_id")) & (class_key() == F.col("_gone_ck")),
-                     "left_anti")
+    gone = (_classified(docs, shingle, percent, n_permutations, band)
+            .where(~F.col("doc_id").eqNullSafe(F.col("component_id")))
+            .select(F.col("doc_id").alias("_gone_id"), F.col("tk").alias("_gone_tk")).distinct())
+    return docs.join(gone, F.col("doc_id").eqNullSafe(F.col("_gone_id")) & (text_key() == F.col("_gone_tk")), "left_anti")
