@@ -1,4 +1,5 @@
 import json
+import random
 
 from tidemark.llm import tool_calls
 
@@ -39,19 +40,19 @@ def test_defined_cases(spark):
     assert len(out) == 17
     by = {(r["conv_id"], r["call_id"]): r for r in out if r["call_id"] is not None}
     a = by[1, "a"]
-    assert (a["level"], a["status"], a["errors"], a["n_results"]) == (0, "ok", "", 2)
+    assert (a["place"], a["step"], a["status"], a["errors"], a["n_results"]) == (1, 0, "ok", "", 2)
     assert a["json"] == ('{"arguments":{"n":1.5,"o":{"b":[{"c":"é\\n","d":1}],"z":1},"q":"x"},"id":"a","name":"ask",'
                          '"result":"early \\"quoted\\"\\n"}')
-    assert (by[1, "b"]["level"], by[1, "b"]["errors"]) == (1, "missing:q,type:n,unknown:p")
-    assert (by[1, "c"]["level"], by[1, "c"]["errors"], by[1, "c"]["status"]) == (2, "type:q", "invalid")
+    assert (by[1, "b"]["place"], by[1, "b"]["errors"]) == (2, "missing:q,type:n,unknown:p")
+    assert (by[1, "c"]["place"], by[1, "c"]["errors"], by[1, "c"]["status"]) == (3, "type:q", "invalid")
     assert by[1, "d"]["errors"] == "dependency,json" and json.loads(by[1, "d"]["json"])["arguments"] == "{broken"
-    assert by[1, "e"]["errors"] == "json" and by[1, "e"]["level"] == 0
-    assert [by[1, x]["errors"] for x in "fgh"] == ["cycle,tool", "cycle", "cycle"]
+    assert by[1, "e"]["errors"] == "json" and by[1, "e"]["step"] == 0
+    assert [by[1, x]["errors"] for x in "fgh"] == ["cycle,tool", "cycle", ""]
     assert by[2, "a"]["errors"] == "dependency" and json.loads(by[2, "a"]["json"])["result"] is None
     assert by[2, "k"]["errors"] == "conflict" and json.loads(by[2, "k"]["json"])["arguments"] == {"q": "one"}
     assert by[2, "k"]["status"] == "invalid"
     assert by[None, "a"]["status"] == "ok"
-    assert by[3, "n"]["errors"] == "tool" and by[3, "n"]["level"] == 0
+    assert by[3, "n"]["errors"] == "tool" and by[3, "n"]["place"] == 0
     assert by[1, "zz"]["status"] == "orphan_result" and json.loads(by[1, "zz"]["json"])["result"] == "lost"
     assert len(json.loads(by[4, "long"]["json"])["arguments"]["q"]) == 200_000
     loose = [r for r in out if r["call_id"] is None]
@@ -59,11 +60,50 @@ def test_defined_cases(spark):
         (3, "invalid", "id"), (3, "invalid", "id"), (5, "orphan_result", "")]
 
 
-def test_no_result_and_long_chain(spark):
-    calls = [(1, f"c{i}", i, "ask", '{"q":"x"}', [f"c{i - 1}"] if i else []) for i in range(8)]
+def test_long_chains_need_no_rounds(spark, monkeypatch):
+    calls = [(1, f"c{i}", i, "ask", '{"q":"x"}', [f"c{i - 1}"] if i else []) for i in range(300)]
+    rounds = []
+    real = tool_calls.materialize
+    monkeypatch.setattr(tool_calls, "materialize", lambda df, tag: rounds.append(tag) or real(df, tag))
     out = {r["call_id"]: r for r in run(spark, calls, [])}
-    assert [out[f"c{i}"]["level"] for i in range(8)] == list(range(8))
-    assert {r["status"] for r in out.values()} == {"no_result"}
+    assert [(out[f"c{i}"]["place"], out[f"c{i}"]["step"]) for i in range(300)] == [(i, 0) for i in range(300)]
+    assert {r["status"] for r in out.values()} == {"no_result"} and len(rounds) < 8
+
+
+def test_any_graph_is_ordered_topologically(spark):
+    rng = random.Random(7)
+    calls = []
+    for conv in range(30):
+        n = rng.randrange(1, 12)
+        for i in range(n):
+            deps = [f"c{rng.randrange(n)}" for _ in range(rng.randrange(3))]
+            if conv % 3:  # no cycles: dependencies of a random order
+                deps = [d for d in deps if (int(d[1:]) * 7 + conv) % 13 < (i * 7 + conv) % 13]
+            calls.append((conv, f"c{i}", rng.choice([i, 3]), "ask", '{"q":"x"}', deps))
+    out = {(r["conv_id"], r["call_id"]): r for r in run(spark, calls, [])}
+    for conv, call, turn, _, _, deps in calls:
+        me = out[conv, call]
+        if conv % 3:
+            assert "cycle" not in me["errors"]
+        for d in deps:
+            if me["step"] is not None and out[conv, d]["step"] is not None:
+                key = lambda r: (r["place"], r["step"], r["turn"], r["call_id"])
+                assert key(out[conv, d]) < key(me)
+    # a call has no step if and only if it is in a cycle or behind one at its place
+    for conv in range(0, 30, 3):
+        own = {c: set(d) for k, c, _, _, _, d in calls if k == conv}
+        in_cycle = set()
+        for c in own:
+            seen, todo = set(), list(own[c])
+            while todo:
+                x = todo.pop()
+                if x not in seen:
+                    seen.add(x)
+                    todo += own[x]
+            if c in seen:
+                in_cycle.add(c)
+        none = {c for c in own if out[conv, c]["step"] is None}
+        assert in_cycle <= none and (in_cycle or not none)
 
 
 def test_json_is_canonical(spark):

@@ -77,6 +77,91 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, c
 FROM docs LEFT JOIN words USING (r) LEFT JOIN found USING (r)
 """
 
+_AUTHORITY = r"regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.\-]*://([^/?#]*)', 1)"
+_PATH = r"regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.\-]*://[^/?#]*(/[^?#]*)', 1)"
+_HOST = _LOWER.format(rf"regexp_replace(regexp_replace({_AUTHORITY}, '^.*@', ''), ':[0-9]*$', '')")
+
+
+def _digits(start: int, n: int) -> str:
+    return f"CAST('0x' || substr(md5(pattern), {start}, {n}) AS BIGINT)"
+
+
+# every capture against every interval
+URL_LISTS = rf"""
+WITH p AS (
+  SELECT page_id, url, 1704067200 + (page_id * 86413) % 31622400 AS t,
+         nullif(regexp_replace({_HOST}, '\.$', ''), '') AS host,
+         coalesce(nullif({_PATH}, ''), '/') AS path
+  FROM pages),
+hosts AS (SELECT DISTINCT host, regexp_extract(path, '^(/[^/]+/)', 1) AS part FROM p WHERE host IS NOT NULL),
+pats AS (
+  SELECT 'blocklist' AS list, 'domain' AS kind, host AS pattern FROM hosts
+  UNION SELECT 'parents', 'domain', regexp_replace(host, '^[^.]*\.', '') FROM hosts
+  UNION SELECT 'sections', 'prefix', {_LOWER.format('host || part')} FROM hosts WHERE part <> ''),
+dated AS (
+  SELECT *, 1704067200 + 86400 * ({_digits(1, 6)} % 250) AS added, 86400 * (1 + {_digits(7, 4)} % 90) AS on_list,
+         86400 * ({_digits(11, 4)} % 60) AS off_list,
+         CASE WHEN {_digits(15, 2)} % 4 = 0 THEN 'allow' ELSE 'block' END AS action, {_digits(17, 2)} % 3 AS n
+  FROM pats),
+valid AS (
+  SELECT list, kind, pattern, action, added AS lo, CASE WHEN n > 0 THEN added + on_list END AS hi FROM dated
+  UNION ALL
+  SELECT list, kind, pattern, action, added + on_list + off_list, NULL FROM dated WHERE n > 1),
+hit AS (
+  SELECT p.page_id, v.*, row_number() OVER (PARTITION BY p.page_id ORDER BY kind <> 'prefix', -length(pattern),
+                                            action <> 'allow', list, pattern, lo) AS rank,
+         count(*) OVER (PARTITION BY p.page_id) AS n_active
+  FROM p JOIN valid v ON v.lo <= p.t AND (v.hi IS NULL OR p.t < v.hi)
+   AND CASE v.kind WHEN 'domain' THEN p.host = v.pattern OR ends_with(p.host, '.' || v.pattern)
+                   ELSE starts_with(p.host || {_LOWER.format('p.path')}, v.pattern) END)
+SELECT p.page_id, p.url, p.t AS fetched_at, p.host, h.action, h.list, h.pattern, h.lo AS valid_from,
+       coalesce(h.n_active, 0) AS n_active
+FROM p LEFT JOIN hit h ON h.page_id = p.page_id AND h.rank = 1
+"""
+
+# the only dependencies that point forward are those of turn 1 on turn 3, which waits for it in turn
+TOOL_CALLS = """
+WITH c AS (
+  SELECT conv_id, turn, text, 'c' || conv_id || '-' || turn AS id, (conv_id * 7 + turn) % 11 AS fault,
+         (conv_id + turn) % 3 AS kind, length(coalesce(text, '')) AS n, CAST(to_json(coalesce(text, '')) AS VARCHAR) AS q
+  FROM conversations WHERE role = 'assistant'),
+r AS (SELECT conv_id, turn, turn - 1 AS answers, text, 'c' || conv_id || '-' || (turn - 1) AS id
+      FROM conversations WHERE role = 'user'),
+deps AS (
+  SELECT conv_id, turn, turn - 2 AS dep FROM c WHERE turn >= 2
+  UNION SELECT conv_id, turn, turn - 4 FROM c WHERE turn >= 5
+  UNION SELECT conv_id, turn, turn + 2 FROM c WHERE conv_id % 50 = 7 AND turn = 1),
+known AS (SELECT d.* FROM deps d JOIN c ON c.conv_id = d.conv_id AND c.turn = d.dep),
+lost AS (SELECT DISTINCT conv_id, turn FROM (SELECT * FROM deps EXCEPT SELECT * FROM known)),
+round AS (SELECT conv_id, unnest([1, 3]) AS turn FROM known WHERE dep > turn),
+calls AS (
+  SELECT c.*, CASE WHEN round.turn IS NULL THEN c.turn ELSE 3 END AS place, CASE WHEN round.turn IS NULL THEN 0 END AS step,
+         CASE WHEN fault = 4 THEN 'lookup' WHEN kind = 0 THEN 'search' WHEN kind = 1 THEN 'fetch' ELSE 'total' END AS name,
+         list_sort(list_filter([
+           CASE WHEN fault = 4 THEN 'tool' WHEN kind = 0 AND fault = 0 THEN 'type:limit'
+                WHEN kind = 0 AND fault = 1 THEN 'missing:query' WHEN kind = 1 AND fault = 2 THEN 'unknown:extra'
+                WHEN kind = 1 AND fault = 3 THEN 'json' END,
+           CASE WHEN lost.turn IS NOT NULL THEN 'dependency' END, CASE WHEN round.turn IS NOT NULL THEN 'cycle' END],
+           lambda x: x IS NOT NULL)) AS errs,
+         CASE WHEN kind = 0 AND fault = 0 THEN '{"limit":"' || n || '","query":' || q || '}'
+              WHEN kind = 0 AND fault = 1 THEN '{"lang":"en"}'
+              WHEN kind = 0 THEN '{"lang":"en","limit":' || n || ',"query":' || q || '}'
+              WHEN kind = 1 AND fault = 2 THEN '{"depth":' || c.turn || ',"extra":1,"path":' || q || '}'
+              WHEN kind = 1 AND fault = 3 THEN '"{\\"path\\":\\""'
+              WHEN kind = 1 THEN '{"depth":' || c.turn || ',"path":' || q || '}'
+              ELSE '{"exact":true,"values":[' || c.turn || ',' || n || ']}' END AS arguments
+  FROM c LEFT JOIN lost ON lost.conv_id = c.conv_id AND lost.turn = c.turn
+  LEFT JOIN round ON round.conv_id = c.conv_id AND round.turn = c.turn)
+SELECT coalesce(k.conv_id, r.conv_id) AS conv_id, coalesce(k.id, r.id) AS call_id, coalesce(k.turn, r.turn) AS turn,
+       k.place, k.step,
+       CASE WHEN k.id IS NULL THEN 'orphan_result' WHEN len(errs) > 0 THEN 'invalid' WHEN r.id IS NULL THEN 'no_result'
+            ELSE 'ok' END AS status,
+       coalesce(array_to_string(errs, ','), '') AS errors, CAST(r.id IS NOT NULL AS BIGINT) AS n_results,
+       '{"arguments":' || coalesce(arguments, 'null') || ',"id":"' || coalesce(k.id, r.id) || '","name":'
+       || coalesce('"' || name || '"', 'null') || ',"result":' || coalesce(CAST(to_json(r.text) AS VARCHAR), 'null') || '}' AS json
+FROM calls k FULL OUTER JOIN r ON r.conv_id = k.conv_id AND r.answers = k.turn
+"""
+
 # base32 of a SHA-1: each 5 hex digits are 4 characters
 WARC = """
 WITH digests AS (
@@ -94,4 +179,4 @@ SELECT page_id, payload_bytes, payload_digest,
 FROM encoded
 """
 
-ORACLES = {"op2_warc": WARC, "op4_decontam": DECONTAM, "op6_line_dedup": LINE_DEDUP, "op8_mixing": MIXING}
+ORACLES = {"op1_url_lists": URL_LISTS, "op2_warc": WARC, "op4_decontam": DECONTAM, "op6_line_dedup": LINE_DEDUP, "op8_mixing": MIXING, "op9_tool_calls": TOOL_CALLS}

@@ -5,19 +5,21 @@ topologically by their dependencies, validates the arguments against the tools'
 call with its result as canonical JSON (sorted keys at every depth, no blanks).
 
 Calls and results are each reduced to one row per identifier by a partial aggregation before they meet in a full
-join, so an identifier that very many rows repeat is no load on one task. The order is found by peeling: in each
-round the calls whose dependencies all have a level get the next one; a round is two anti-joins over what is
-left, and there are as many rounds as the longest chain of dependencies is long. No conversation is gathered:
-(level, turn, call_id) is its order.
+join, so an identifier that very many rows repeat is no load on one task. No conversation is gathered: its order
+is (place, step, turn, call_id). A call's place is its turn, or the place of a call it depends on, if that is
+later; turns order all dependencies that point back, however long their chains, and only what depends on a
+call of its own turn or later is moved. Calls of one place that depend on each other are told apart by the
+step, found by peeling: in each round those that wait for none that is left get the next step. So the rounds
+are as many as dependencies that point forward stand in a row.
 
 Statuses: ``ok``, ``invalid`` (errors say why), ``no_result``, ``orphan_result``. Errors: ``json`` (arguments are
 no JSON object), ``tool`` (unknown), ``missing:<p>``, ``type:<p>``, ``unknown:<p>``, ``dependency`` (on a call that
-the conversation does not have), ``cycle`` (level is null), ``conflict`` (calls that differ share an identifier),
-``id`` (none).
+the conversation does not have), ``cycle`` (in one, or behind it at the same place; step is null), ``conflict``
+(calls that differ share an identifier), ``id`` (none).
 
 Defined cases: of calls that share an identifier the smallest (by turn, name, arguments) is taken, equal ones are
 one; of several results the earliest is taken and ``n_results`` tells their number; calls and results without an
-identifier are not linked, and stay a row each; a null conv_id is a conversation of its own; null arguments are
+identifier are not linked, and stay a row each; a null conv_id is a conversation of its own, a null turn counts as turn 0; null arguments are
 no JSON; a null result text is null in the JSON. Empty tables give empty results. Extra columns are not read.
 """
 
@@ -35,13 +37,6 @@ _TYPES = {"string": "^STRING$", "integer": "^BIGINT$", "number": "^(BIGINT|DOUBL
           "boolean": "^BOOLEAN$", "object": "^OBJECT", "array": "^ARRAY"}
 
 
-def _same_key(a: DataFrame, b: DataFrame, left: list[str], right: list[str]) -> Column:
-    cond = F.lit(True)
-    for x, y in zip(left, right):
-        cond = cond & a[x].eqNullSafe(b[y])
-    return cond
-
-
 def argument_errors(arguments: Column, params: Column) -> Column:
     """Sorted error names of an arguments text against a schema: array of (param, type, required), null for an
     unknown tool."""
@@ -78,39 +73,79 @@ def _quoted(c: Column) -> Column:
     return F.when(c.isNull(), F.lit("null")).otherwise(F.substring(whole, F.lit(6), F.length(whole) - 6))
 
 
-def levels(calls: DataFrame) -> DataFrame:
-    """conv_id, call_id, level, n_unknown; ``calls`` has one row per conv_id, call_id and depends_on. The level is
-    null in and behind a cycle."""
-    nodes = materialize(calls.select(*KEY), "tool-nodes")
-    wanted = materialize(calls.select(*KEY, F.explode(F.array_distinct("depends_on")).alias("dep")), "tool-deps")
-    known = nodes.select(F.col("conv_id").alias("kc"), F.col("call_id").alias("ki"))
-    on_known = F.col("conv_id").eqNullSafe(F.col("kc")) & (F.col("dep") == F.col("ki"))
-    edges = materialize(wanted.join(known, on_known, "left_semi"), "tool-edges")
-    unknown = (wanted.join(known, on_known, "left_anti").groupBy(*KEY).agg(F.count(F.lit(1)).alias("n_unknown"))
-               .select(F.col("conv_id").alias("uc"), F.col("call_id").alias("ui"), "n_unknown"))
-    parts, pending, level = [], nodes, 0
+def _on(a: str, b: str, left: str = "conv_id", right: str = "kc") -> Column:
+    return F.col(left).eqNullSafe(F.col(right)) & (F.col(a) == F.col(b))
+
+
+def _places(edges: DataFrame) -> DataFrame:
+    """(kc, ki, moved): the calls whose place is later than their turn, by edges (conv_id, call_id, turn, dep,
+    dep_turn). A place only grows, up to the last turn, so the rounds end, with cycles too."""
+    def largest(rows: DataFrame) -> DataFrame:
+        return rows.groupBy("conv_id", "call_id").agg(F.max("at").alias("moved")).select(
+            F.col("conv_id").alias("kc"), F.col("call_id").alias("ki"), "moved")
+
+    moved = materialize(largest(edges.where("dep_turn > turn").select("conv_id", "call_id", F.col("dep_turn").alias("at"))),
+                        "tool-moved")
+    known = moved.agg(F.count(F.lit(1)), F.sum("moved")).first()
+    while known[0]:
+        behind = edges.join(moved, _on("dep", "ki")).where("moved >= turn").select(
+            "conv_id", "call_id", F.greatest("moved", "turn").alias("at"))
+        old = moved.select(F.col("kc").alias("conv_id"), F.col("ki").alias("call_id"), F.col("moved").alias("at"))
+        moved = materialize(largest(old.unionByName(behind)), "tool-moved")
+        now = moved.agg(F.count(F.lit(1)), F.sum("moved")).first()
+        if tuple(now) == tuple(known):
+            break
+        known = now
+    return moved
+
+
+def _steps(edges: DataFrame) -> DataFrame:
+    """conv_id, call_id, step of the calls in edges (conv_id, call_id, dep); null in and behind a cycle."""
+    pending = materialize(edges.select("conv_id", "call_id").union(edges.select("conv_id", "dep")).distinct(), "tool-pending")
+    parts, step = [], 0
     while not pending.isEmpty():
-        waiting = edges.select(F.col("conv_id").alias("wc"), F.col("call_id").alias("wi")).distinct()
-        free = F.col("conv_id").eqNullSafe(F.col("wc")) & (F.col("call_id") == F.col("wi"))
-        ready = materialize(pending.join(waiting, free, "left_anti"), "tool-ready")
+        waiting = edges.select(F.col("conv_id").alias("kc"), F.col("call_id").alias("ki")).distinct()
+        ready = materialize(pending.join(waiting, _on("call_id", "ki"), "left_anti"), "tool-ready")
         if ready.isEmpty():
-            parts.append(pending.withColumn("level", F.lit(None).cast("int")))
+            parts.append(pending.withColumn("step", F.lit(None).cast("int")))
             break
-        parts.append(ready.withColumn("level", F.lit(level)))
-        pending = materialize(pending.join(waiting, free, "left_semi"), "tool-pending")
-        done = ready.select(F.col("conv_id").alias("dc"), F.col("call_id").alias("di"))
-        edges = materialize(edges.join(done, F.col("conv_id").eqNullSafe(F.col("dc")) & (F.col("dep") == F.col("di")),
-                                       "left_anti"), "tool-edges")
-        level += 1
-    out = parts[0] if parts else nodes.withColumn("level", F.lit(None).cast("int"))
+        parts.append(ready.withColumn("step", F.lit(step)))
+        pending = materialize(pending.join(waiting, _on("call_id", "ki"), "left_semi"), "tool-pending")
+        done = ready.select(F.col("conv_id").alias("kc"), F.col("call_id").alias("ki"))
+        edges = materialize(edges.join(done, _on("dep", "ki"), "left_anti"), "tool-edges")
+        step += 1
+    out = pending.withColumn("step", F.lit(None).cast("int")).limit(0) if not parts else parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
-    return (out.join(unknown, F.col("conv_id").eqNullSafe(F.col("uc")) & (F.col("call_id") == F.col("ui")), "left")
-            .select(*KEY, "level", F.coalesce("n_unknown", F.lit(0)).alias("n_unknown")))
+    return out
+
+
+def ordered(calls: DataFrame) -> DataFrame:
+    """conv_id, call_id, place, step, n_unknown; ``calls`` has one row per conv_id, call_id, with turn and
+    depends_on."""
+    nodes = materialize(calls.select(*KEY, F.coalesce("turn", F.lit(0)).cast("long").alias("turn")), "tool-nodes")
+    wanted = (calls.select(*KEY, F.coalesce("turn", F.lit(0)).cast("long").alias("turn"),
+                           F.explode(F.array_distinct("depends_on")).alias("dep")))
+    known = nodes.select(F.col("conv_id").alias("kc"), F.col("call_id").alias("ki"), F.col("turn").alias("dep_turn"))
+    found = materialize(wanted.join(known, _on("dep", "ki"), "left").drop("kc", "ki"), "tool-deps")
+    unknown = (found.where("dep_turn is null").groupBy(*KEY).agg(F.count(F.lit(1)).alias("n_unknown"))
+               .select(F.col("conv_id").alias("uc"), F.col("call_id").alias("ui"), "n_unknown"))
+    edges = found.where("dep_turn is not null")
+    moved = _places(edges)
+    other = moved.select(F.col("kc").alias("dc"), F.col("ki").alias("di"), F.col("moved").alias("dep_moved"))
+    placed = (edges.join(moved, _on("call_id", "ki"), "left").join(other, _on("dep", "di", right="dc"), "left")
+              .withColumn("place", F.coalesce("moved", "turn")).withColumn("dep_place", F.coalesce("dep_moved", "dep_turn")))
+    same = materialize(placed.where("place = dep_place").select("conv_id", "call_id", "dep"), "tool-edges")
+    steps = _steps(same).select(F.col("conv_id").alias("sc"), F.col("call_id").alias("si"), "step", F.lit(True).alias("tied"))
+    return (nodes.join(moved, _on("call_id", "ki"), "left").join(steps, _on("call_id", "si", right="sc"), "left")
+            .join(unknown, _on("call_id", "ui", right="uc"), "left")
+            .select(*KEY, F.coalesce("moved", "turn").alias("place"),
+                    F.when(F.col("tied"), F.col("step")).otherwise(F.lit(0)).alias("step"),
+                    F.coalesce("n_unknown", F.lit(0)).alias("n_unknown")))
 
 
 def link(calls: DataFrame, results: DataFrame, schemas: DataFrame) -> DataFrame:
-    """conv_id, call_id, turn, level, status, errors (sorted, comma-joined), n_results, json.
+    """conv_id, call_id, turn, place, step, status, errors (sorted, comma-joined), n_results, json.
 
     ``calls``: conv_id, call_id, turn, name, arguments, depends_on. ``results``: conv_id, call_id, turn, content.
     ``schemas``: name, param, type, required."""
@@ -121,14 +156,15 @@ def link(calls: DataFrame, results: DataFrame, schemas: DataFrame) -> DataFrame:
     found = (results.where(F.col("call_id").isNotNull()).groupBy(*KEY)
              .agg(F.min(F.struct("turn", "content")).alias("r"), F.count(F.lit(1)).alias("n_results"))
              .select(F.col("conv_id").alias("rc"), F.col("call_id").alias("ri"), "r", "n_results"))
-    order = levels(own).select(F.col("conv_id").alias("lc"), F.col("call_id").alias("li"), "level", "n_unknown")
+    order = ordered(own).select(F.col("conv_id").alias("lc"), F.col("call_id").alias("li"), "place", "step", "n_unknown")
     tools = schemas.groupBy(F.col("name").alias("tool")).agg(
         F.sort_array(F.collect_set(F.struct("param", "type", "required"))).alias("params"))
     linked = own.join(order, F.col("conv_id").eqNullSafe(F.col("lc")) & (F.col("call_id") == F.col("li")), "left")
     # calls without an identifier are only validated
     loose = calls.where(F.col("call_id").isNull()).select(
         *KEY, "turn", "name", "arguments", "depends_on", F.lit(False).alias("conflict"),
-        F.lit(None).cast("int").alias("level"), F.lit(0).cast("long").alias("n_unknown"))
+        F.lit(None).cast("long").alias("place"), F.lit(None).cast("int").alias("step"),
+        F.lit(0).cast("long").alias("n_unknown"))
     linked = linked.select(*loose.columns).unionByName(loose).withColumn("is_call", F.lit(True))
     both = linked.join(found, F.col("conv_id").eqNullSafe(F.col("rc")) & (F.col("call_id") == F.col("ri")), "full")
     both = both.join(tools, F.col("name") == F.col("tool"), "left")
@@ -137,7 +173,7 @@ def link(calls: DataFrame, results: DataFrame, schemas: DataFrame) -> DataFrame:
     errors = F.when(is_call, F.sort_array(F.array_distinct(F.concat(
         argument_errors(F.col("arguments"), F.col("params")), flag(F.col("call_id").isNull(), "id"),
         flag(F.col("conflict"), "conflict"), flag(F.col("n_unknown") > 0, "dependency"),
-        flag(F.col("call_id").isNotNull() & F.col("level").isNull(), "cycle"))))).otherwise(F.array().cast("array<string>"))
+        flag(F.col("call_id").isNotNull() & F.col("step").isNull(), "cycle"))))).otherwise(F.array().cast("array<string>"))
     out = both.withColumn("errs", errors)
     arguments = F.coalesce(canonical(F.col("arguments")), _quoted(F.col("arguments")))
     ident = F.coalesce("call_id", "ri")
@@ -148,11 +184,11 @@ def link(calls: DataFrame, results: DataFrame, schemas: DataFrame) -> DataFrame:
               .when(F.col("r").isNull(), "no_result").otherwise("ok"))
     linked_rows = out.select(
         F.when(is_call, F.col("conv_id")).otherwise(F.col("rc")).alias("conv_id"), ident.alias("call_id"),
-        F.coalesce("turn", "r.turn").alias("turn"), "level", status.alias("status"),
+        F.coalesce("turn", "r.turn").alias("turn"), "place", "step", status.alias("status"),
         F.array_join("errs", ",").alias("errors"), F.coalesce("n_results", F.lit(0).cast("long")).alias("n_results"),
         json.alias("json"))
     lost = results.where(F.col("call_id").isNull()).select(
-        "conv_id", F.col("call_id"), "turn", F.lit(None).cast("int").alias("level"), F.lit("orphan_result").alias("status"),
+        "conv_id", F.col("call_id"), "turn", F.lit(None).cast("long").alias("place"), F.lit(None).cast("int").alias("step"), F.lit("orphan_result").alias("status"),
         F.lit("").alias("errors"), F.lit(1).cast("long").alias("n_results"),
         F.concat(F.lit('{"arguments":null,"id":null,"name":null,"result":'), _quoted(F.col("content")), F.lit("}")).alias("json"))
     return linked_rows.unionByName(lost)
