@@ -37,7 +37,7 @@ def let(value: Column, body) -> Column:
 class WordHashes(dict):
     """64-bit hash of each word, remembered while the vocabulary stays small."""
 
-    MOST = 500_000
+    MOST = 200_000
 
     def __missing__(self, word: bytes) -> int:
         if len(self) >= self.MOST:

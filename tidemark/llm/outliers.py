@@ -29,6 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import SPACES, let
+from tidemark.llm.graph import files_for
 from tidemark.session import materialize
 
 #: Fixed values of the contract.
@@ -210,23 +211,26 @@ def estimates(rows: DataFrame, steps: int = STEPS, share: float = KEPT_SHARE) ->
     d2 = chi2_quantile(share, D)
     factor = share / chi2_cdf(d2, D + 2)
     inside = chi2_quantile(1 - REWEIGHT_TAIL, D)
-    centre = _medians(rows)
+    # the small tables are written, in few files, so that their size is known and the rows need not be dealt out
+    # by group to meet them
+    files = files_for(rows.select("g").distinct().count())
+    centre = materialize(_medians(rows), "mcd", files)
     # the first subsets: nearest to the medians in all features together, and in the worst of them
     scaled = [(F.col(X[i]) - F.col(f"c{i}")) / F.lit(FLOORS[i]) for i in range(D)]
     first = rows.join(centre, "g").select("g", *X, F.explode(F.array(
         F.struct(F.lit(0).alias("start"), _bin(sum((s * s for s in scaled), F.lit(0.0))).alias("bin")),
         F.struct(F.lit(1).alias("start"), _bin(F.greatest(*[s * s for s in scaled])).alias("bin")))).alias("b"))
     binned = first.select("g", "b.start", "b.bin", *X).groupBy("g", "start", "bin").agg(*_moments())
-    est = materialize(_estimate(_concentrated(binned, share), factor), "mcd")
+    est = materialize(_estimate(_concentrated(binned, share), factor), "mcd", files)
     for _ in range(steps):
         binned = rows.join(est, "g").select("g", "start", _bin(distance()).alias("bin"), *X).groupBy(
             "g", "start", "bin").agg(*_moments())
-        est = materialize(_estimate(_concentrated(binned, share), factor), "mcd")
+        est = materialize(_estimate(_concentrated(binned, share), factor), "mcd", files)
     best = est.groupBy("g").agg(F.min(F.struct("log_det", "start")).alias("b")).select("g", F.col("b.start").alias("start"))
-    est = est.join(best, ["g", "start"])
+    est = materialize(est.join(best, ["g", "start"]), "mcd", files)
     near = rows.join(est, "g").withColumn("near", distance() <= F.lit(inside))
     sums = near.groupBy("g").agg(F.count(F.lit(1)).alias("n_rows"), *_moments(F.col("near")))
-    return materialize(_estimate(sums, (1 - REWEIGHT_TAIL) / chi2_cdf(inside, D + 2)), "mcd").withColumnRenamed("n_rows", "n")
+    return materialize(_estimate(sums, (1 - REWEIGHT_TAIL) / chi2_cdf(inside, D + 2)), "mcd", files).withColumnRenamed("n_rows", "n")
 
 
 def judge(docs: DataFrame, cutoff: float = CUTOFF, min_group: int = MIN_GROUP) -> DataFrame:
@@ -241,7 +245,8 @@ def judge(docs: DataFrame, cutoff: float = CUTOFF, min_group: int = MIN_GROUP) -
     names = base.select("lang", "source").distinct().select(
         group_key("lang", "source").alias("group"), F.posexplode(F.array(*levels)).alias("rank", "g"))
     chosen = names.join(est, "g").groupBy("group").agg(F.min(F.struct("rank", "g")).alias("b"))
-    chosen = chosen.select(F.col("group"), F.col("b.g").alias("g")).join(est, "g").drop("g", "n")
+    chosen = materialize(chosen.select(F.col("group"), F.col("b.g").alias("g")).join(est, "g").drop("g", "n"),
+                         "mcd", files_for(names.count()))
     out = base.withColumn("group", group_key("lang", "source")).join(chosen, "group", "left")
     out = out.withColumn("distance", F.when(~F.col("base_failed"), distance()))
     return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
