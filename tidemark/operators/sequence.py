@@ -11,6 +11,10 @@ are cut into ordered *chunks* (an arrival range, or an event-time bucket), the r
 
 The chunk summaries hold at most a few rows per (key, chunk), so their windows partitioned by key are small.
 ``order`` columns must give a total order within a key (add a unique tie-breaker).
+
+NULL is a key value like any other. The operators work on one struct column of the key columns: a struct is
+never NULL itself, structs with NULLs in the same places are equal, and the grouping, the windows and the
+joins of an operator all hash the same column, so NULL-safety adds no shuffle.
 """
 
 from __future__ import annotations
@@ -21,6 +25,12 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 Cols = Sequence[str]
+KEY = "_seq_key"
+
+
+def _keyed(df: DataFrame, keys: Cols) -> tuple[DataFrame, list[str]]:
+    """``df`` with its key columns packed into one NULL-safe column, and the names to group and join by."""
+    return (df.withColumn(KEY, F.struct(*[F.col(k) for k in keys])), [KEY]) if keys else (df, [])
 
 
 def arrival_chunk(seq_col: str = "seq", rows_per_chunk: int = 1 << 20) -> Column:
@@ -42,12 +52,12 @@ def balanced_chunk(df: DataFrame, keys: Cols, col: str, bucket: int = 60, target
     the running count of the key (a histogram of one row per non-empty bucket, so its window per key is
     bounded by the time span, not by the data). Only a single bucket above the target stays one chunk.
     """
-    df = df.withColumn("_bk", F.floor(F.col(col) / bucket).cast("long"))
+    df, keys = _keyed(df.withColumn("_bk", F.floor(F.col(col) / bucket).cast("long")), keys)
     hist = df.groupBy(*keys, "_bk").agg(F.count(F.lit(1)).alias("_cnt"))
     before = Window.partitionBy(*keys).orderBy("_bk").rowsBetween(Window.unboundedPreceding, -1)
     hist = hist.select(*keys, "_bk", F.floor(F.coalesce(F.sum("_cnt").over(before), F.lit(0))
                                              / target_rows).cast("long").alias(out))
-    return df.join(hist, [*keys, "_bk"]).drop("_bk")
+    return df.join(hist, [*keys, "_bk"]).drop("_bk", KEY)
 
 
 def chunk_by(df: DataFrame, keys: Cols, col: str, chunking: str = "time", width: int = 3600,
@@ -107,7 +117,7 @@ def running_agg(df: DataFrame, keys: Cols, order: Cols, chunk: str, value: Colum
     """
     fn = _AGGS[agg]
     val = F.col(value) if isinstance(value, str) else value
-    df = df.withColumn("_v", val)
+    df, keys = _keyed(df.withColumn("_v", val), keys)
     aggs = [fn("_v").alias("_tot")]
     if next_of:
         aggs.append(F.min_by(F.col(next_of), F.struct(*[F.col(c) for c in order])).alias("_head"))
@@ -131,7 +141,7 @@ def running_agg(df: DataFrame, keys: Cols, order: Cols, chunk: str, value: Colum
     if next_of:
         out_df = out_df.withColumn(f"next_{next_of}",
                                    F.coalesce(F.lead(next_of).over(inside), F.col("_next_head")))
-    return out_df.drop("_carry", "_v", "_next_head")
+    return out_df.drop("_carry", "_v", "_next_head", KEY)
 
 
 def running_sum(df: DataFrame, keys: Cols, order: Cols, chunk: str, value: Column | str,
@@ -154,6 +164,7 @@ def shift(df: DataFrame, keys: Cols, order: Cols, chunk: str, cols: Cols, k: int
     assert direction in ("prev", "next") and k >= 1
     prefix = prefix or direction
     back = direction == "prev"
+    df, keys = _keyed(df, keys)
     carried = list(dict.fromkeys([*order, *cols]))
     # Edge rows: the last k (prev) or first k (next) rows of every chunk.
     edge_rank = Window.partitionBy(*keys, chunk).orderBy(*_order(order, descending=back))
@@ -178,7 +189,7 @@ def shift(df: DataFrame, keys: Cols, order: Cols, chunk: str, cols: Cols, k: int
     for i in range(1, k + 1):
         for c in cols:
             both = both.withColumn(f"{prefix}{i}_{c}", fn(F.col(c), i).over(w))
-    return both.filter(~F.col("_is_ctx")).drop("_is_ctx")
+    return both.filter(~F.col("_is_ctx")).drop("_is_ctx", KEY)
 
 
 def next_value(df: DataFrame, keys: Cols, order: Cols, chunk: str, value: Column | str,
@@ -190,7 +201,7 @@ def next_value(df: DataFrame, keys: Cols, order: Cols, chunk: str, value: Column
     ``UNBOUNDED FOLLOWING`` is re-aggregated for every row (quadratic in the partition size).
     """
     val = F.col(value) if isinstance(value, str) else value
-    df = df.withColumn("_v", val)
+    df, keys = _keyed(df.withColumn("_v", val), keys)
     after = Window.partitionBy(*keys, chunk).orderBy(*_order(order, descending=True)).rowsBetween(
         Window.unboundedPreceding, -1)
     order_key = F.struct(*[F.col(c) for c in order])
@@ -201,4 +212,4 @@ def next_value(df: DataFrame, keys: Cols, order: Cols, chunk: str, value: Column
     carry = chunks.select(*keys, chunk, F.last("_first", ignorenulls=True).over(later).alias("_later"))
     return (df.join(carry, [*keys, chunk])
             .withColumn(out, F.coalesce(F.last("_v", ignorenulls=True).over(after), F.col("_later")))
-            .drop("_v", "_later"))
+            .drop("_v", "_later", KEY))
