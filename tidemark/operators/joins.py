@@ -7,19 +7,19 @@ from pyspark.sql import functions as F
 
 from tidemark.operators import sequence as seq
 
-# Broadcast a dimension only when it is proven small; above the bound the planner's shuffle join is used.
-DIMENSION_MAX_ROWS = 100_000
+# Bytes up to which a dimension is broadcast (by the optimizer's own estimate of its size).
+DIMENSION_MAX_BYTES = 32 << 20
 
 
 def join_dimension(fact: DataFrame, dim: DataFrame, on, how: str = "inner",
-                   max_rows: int = DIMENSION_MAX_ROWS) -> DataFrame:
-    """Join a fact table to a dimension, broadcasting the dimension only after checking its row count.
+                   max_bytes: int = DIMENSION_MAX_BYTES) -> DataFrame:
+    """Join a fact table to a dimension, broadcasting the dimension if its estimated size is within the bound.
 
-    The check reads at most ``max_rows + 1`` rows of the dimension. Above the bound the join is left to the
-    planner (sort-merge, or a broadcast that AQE picks from runtime sizes).
+    The size comes from the plan's statistics (file sizes), so no job runs while the plan is built. Above the
+    bound the join is left to the planner (sort-merge, or a broadcast that AQE picks from runtime sizes).
     """
-    small = dim.limit(max_rows + 1).count() <= max_rows
-    return fact.join(F.broadcast(dim) if small else dim, on, how)
+    size = int(dim._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    return fact.join(F.broadcast(dim) if size <= max_bytes else dim, on, how)
 
 
 def pays_of(orders: DataFrame) -> DataFrame:
@@ -53,43 +53,128 @@ UNMATCHED_PAYS = "unmatched-pays"
 UNMATCHED_RECEIPTS = "unmatched-receipts"
 
 
-def reconcile(pays: DataFrame, receipts: DataFrame, mode: str = "interval", pay_wait_s: int = 5,
-              receipt_wait_s: int = 3, chunking: str = "time", rows_per_chunk: int = 1 << 20) -> DataFrame:
-    """Pair pays and receipts one to one per tx id, keeping the unmatched rows of both sides.
-
-    The n-th pay of a tx id (by time) is paired with its n-th receipt. ``mode='key'`` accepts every such
-    pair (a bounded replay where each side waits for the other); ``mode='interval'`` accepts it only when
-    the receipt lies within [pay - receipt_wait, pay + pay_wait] (inclusive), the event-time outcome of a
-    pay waiting ``pay_wait`` seconds and a receipt waiting ``receipt_wait`` seconds; a rejected pair yields
-    one unmatched row on each side. Output columns: tag, order_id, tx_id, pay_time, pay_channel,
-    receipt_time. Ranking is chunked along event time (hourly buckets, or ``chunking='balanced'``) so a
-    busy tx id is spread over tasks.
-    """
-    assert mode in ("key", "interval")
+def pair_waiting(pays: list[tuple], receipts: list[tuple], pay_wait: int, receipt_wait: int) -> list[tuple]:
+    """Pairs of (pay, receipt), either None, from two lists of (time, ...) sorted by time.
+
+    A pay waits until time + pay_wait for a receipt and a receipt until time + receipt_wait for a pay; a row
+    that comes takes the one that has waited longest. As neither side waits while the other does, both lists
+    can be walked side by side: of the two heads, one that is too old for the other will never be taken."""
+    out, i, j = [], 0, 0
+    while i < len(pays) and j < len(receipts):
+        p, r = pays[i][0], receipts[j][0]
+        if r > p + pay_wait:
+            out.append((pays[i], None))
+            i += 1
+        elif p > r + receipt_wait:
+            out.append((None, receipts[j]))
+            j += 1
+        else:
+            out.append((pays[i], receipts[j]))
+            i, j = i + 1, j + 1
+    return out + [(p, None) for p in pays[i:]] + [(None, r) for r in receipts[j:]]
+
+
+def _sessions(events: DataFrame, wait_s: int, chunking: str, rows_per_chunk: int) -> DataFrame:
+    """``events`` with ``_session``: rows of a tx id that lie more than ``wait_s`` apart from all before them
+    begin a new one, and no pair can reach over that gap. Gaps are found on the distinct times of a tx id,
+    chunked along time, so a busy tx id is spread over tasks."""
+    times = events.select("tx_id", "t").distinct()
+    times = seq.chunk_by(times, ["tx_id"], "t", chunking, target_rows=rows_per_chunk)
+    times = seq.shift(times, ["tx_id"], ["t"], "_chunk", ["t"], 1, "prev")
+    opens = F.col("prev1_t").isNull() | (F.col("t") - F.col("prev1_t") > wait_s)
+    times = seq.running_agg(times, ["tx_id"], ["t"], "_chunk", F.when(opens, F.col("t")), "_session", "max")
+    times = times.select(F.col("tx_id").alias("_tx"), F.col("t").alias("_t"), "_session")
+    return events.join(times, F.col("tx_id").eqNullSafe(F.col("_tx")) & (F.col("t") == F.col("_t"))).drop("_tx", "_t")
+
+
+def _paired_by_waiting(pays: DataFrame, receipts: DataFrame, pay_wait_s: int, receipt_wait_s: int, chunking: str,
+                       rows_per_chunk: int) -> DataFrame:
+    """One row per pair or single: tx_id, order_id, pay_time, pay_channel, receipt_time."""
+    none = F.lit(None)
+    events = (pays.select("tx_id", F.col("timestamp").alias("t"), F.lit(0).alias("side"), "order_id",
+                          none.cast("string").alias("pay_channel"))
+              .unionByName(receipts.select("tx_id", F.col("timestamp").alias("t"), F.lit(1).alias("side"),
+                                           none.cast("long").alias("order_id"), "pay_channel")))
+    pay, receipt = F.col("side") == 0, F.col("side") == 1
+    per = events.groupBy("tx_id").agg(
+        F.count(F.when(pay, 1)).alias("_np"), F.count(F.when(receipt, 1)).alias("_nr"),
+        F.max(F.when(pay, F.struct("t", "order_id"))).alias("p"),
+        F.max(F.when(receipt, F.struct("t", "pay_channel"))).alias("r"))
+    # almost every tx id has at most one row of either side; only the others are walked through
+    simple = (F.col("_np") <= 1) & (F.col("_nr") <= 1)
+    near = (F.col("r.t") <= F.col("p.t") + pay_wait_s) & (F.col("p.t") <= F.col("r.t") + receipt_wait_s)
+    apart = F.col("p").isNotNull() & F.col("r").isNotNull() & ~near
+    sides = F.when(apart, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(-1)))
+    split = per.filter(simple).select("tx_id", F.explode(sides).alias("_side"), "p", "r")
+    split = (split.withColumn("p", F.when(F.col("_side") != 1, F.col("p")))
+             .withColumn("r", F.when(F.col("_side") != 0, F.col("r")))
+             .select("tx_id", F.col("p.order_id").alias("order_id"), F.col("p.t").alias("pay_time"),
+                     F.col("r.pay_channel").alias("pay_channel"), F.col("r.t").alias("receipt_time")))
+
+    def walk(batches):
+        import pyarrow as pa
+        kinds = [pa.string(), pa.int64(), pa.int64(), pa.string(), pa.int64()]
+        names = ["tx_id", "order_id", "pay_time", "pay_channel", "receipt_time"]
+        session, held = None, ([], [])
+
+        def pairs():
+            return [(session[0], p and p[1], p and p[0], r and r[1], r and r[0])
+                    for p, r in pair_waiting(*held, pay_wait_s, receipt_wait_s)]
+
+        def batch_of(rows):
+            return pa.RecordBatch.from_arrays([pa.array([x[i] for x in rows], k) for i, k in enumerate(kinds)], names=names)
+
+        for batch in batches:
+            out = []
+            for tx, s, t, side, order_id, channel in zip(*(c.to_pylist() for c in batch.columns)):
+                if (tx, s) != session:
+                    out += pairs() if session else []
+                    session, held = (tx, s), ([], [])
+                held[side].append((t, channel if side else order_id))
+            yield batch_of(out)
+        if session:
+            yield batch_of(pairs())
+
+    busy = per.filter(~simple).select(F.col("tx_id").alias("_busy"))
+    rows = events.join(busy, F.col("tx_id").eqNullSafe(F.col("_busy")), "left_semi")
+    rows = _sessions(rows, max(pay_wait_s, receipt_wait_s), chunking, rows_per_chunk)
+    order = ["tx_id", "_session", "t", "side", "order_id", "pay_channel"]
+    walked = (rows.select(*order).repartition("tx_id", "_session").sortWithinPartitions(*order)
+              .mapInArrow(walk, "tx_id string, order_id long, pay_time long, pay_channel string, receipt_time long"))
+    return split.unionByName(walked)
+
+
+def _paired_by_rank(pays: DataFrame, receipts: DataFrame, chunking: str, rows_per_chunk: int) -> DataFrame:
+    """The n-th pay of a tx id with its n-th receipt: tx_id, order_id, pay_time, pay_channel, receipt_time."""
     p = pays.select("order_id", "tx_id", F.col("timestamp").alias("pay_time"))
     p = seq.chunk_by(p, ["tx_id"], "pay_time", chunking, target_rows=rows_per_chunk)
     p = seq.rank(p, ["tx_id"], ["pay_time", "order_id"], "_chunk", out="_n").drop("_chunk")
     r = receipts.select("tx_id", "pay_channel", F.col("timestamp").alias("receipt_time"))
     r = seq.chunk_by(r, ["tx_id"], "receipt_time", chunking, target_rows=rows_per_chunk)
     r = seq.rank(r, ["tx_id"], ["receipt_time", "pay_channel"], "_chunk", out="_n").drop("_chunk")
-    j = p.join(r, ["tx_id", "_n"], "full_outer")
-    both = F.col("order_id").isNotNull() & F.col("receipt_time").isNotNull()
-    if mode == "interval":
-        both = both & (F.col("receipt_time") >= F.col("pay_time") - receipt_wait_s) & (
-            F.col("receipt_time") <= F.col("pay_time") + pay_wait_s)
-
-    def row(tag, order_id, pay_time, pay_channel, receipt_time):
-        return F.struct(F.lit(tag).alias("tag"), order_id.cast("long").alias("order_id"),
-                        F.col("tx_id").alias("tx_id"), pay_time.cast("long").alias("pay_time"),
-                        pay_channel.cast("string").alias("pay_channel"),
-                        receipt_time.cast("long").alias("receipt_time"))
+    key = F.struct("tx_id", "_n")
+    j = p.withColumn("_k", key).drop("tx_id", "_n").join(r.withColumn("_k", key).drop("tx_id", "_n"), "_k", "full_outer")
+    return j.withColumn("tx_id", F.col("_k.tx_id"))
 
-    none = F.lit(None)
-    matched = row(MATCHED, F.col("order_id"), F.col("pay_time"), F.col("pay_channel"), F.col("receipt_time"))
-    pay_left = row(UNMATCHED_PAYS, F.col("order_id"), F.col("pay_time"), none, none)
-    receipt_left = row(UNMATCHED_RECEIPTS, none, none, F.col("pay_channel"), F.col("receipt_time"))
-    # One pass over the joined rows: a pair is either matched or split into its unmatched sides.
-    out = F.when(both, F.array(matched)).otherwise(F.array_compact(F.array(
-        F.when(F.col("order_id").isNotNull(), pay_left),
-        F.when(F.col("receipt_time").isNotNull(), receipt_left))))
-    return j.select(F.inline(out))
+
+def reconcile(pays: DataFrame, receipts: DataFrame, mode: str = "interval", pay_wait_s: int = 5,
+              receipt_wait_s: int = 3, chunking: str = "balanced", rows_per_chunk: int = 1 << 20) -> DataFrame:
+    """Pair pays and receipts one to one per tx id, keeping the unmatched rows of both sides.
+
+    ``mode='interval'``: in event time a pay waits ``pay_wait`` seconds for a receipt and a receipt
+    ``receipt_wait`` seconds for a pay (both inclusive); whichever comes takes the one that has waited
+    longest, and a row whose wait ends is unmatched. A tx id with one row of either side is decided in an
+    aggregation. Those of others are cut into sessions between which nothing can reach (see ``_sessions``), and
+    each session is walked through in order.
+
+    ``mode='key'`` pairs the n-th pay of a tx id with its n-th receipt, however far apart (a bounded replay
+    where each side waits for the other). A NULL tx id is a key like any other.
+
+    Output columns: tag, order_id, tx_id, pay_time, pay_channel, receipt_time.
+    """
+    assert mode in ("key", "interval")
+    j = (_paired_by_rank(pays, receipts, chunking, rows_per_chunk) if mode == "key" else
+         _paired_by_waiting(pays, receipts, pay_wait_s, receipt_wait_s, chunking, rows_per_chunk))
+    tag = (F.when(F.col("pay_time").isNotNull() & F.col("receipt_time").isNotNull(), MATCHED)
+           .when(F.col("pay_time").isNotNull(), UNMATCHED_PAYS).otherwise(UNMATCHED_RECEIPTS))
+    return j.select(tag.alias("tag"), "order_id", "tx_id", "pay_time", "pay_channel", "receipt_time")
