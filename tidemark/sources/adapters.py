@@ -183,3 +183,44 @@ def receipt_events(orders: DataFrame) -> DataFrame:
     return (orders.filter((key % 11 != 0) & (key % 17 != 0))
             .select(tx.alias("tx_id"), channel.alias("pay_channel"), (paid + key % 13 - 6).alias("timestamp"))
             .withColumn("ts", F.timestamp_seconds("timestamp")))
+
+
+def retried_pays(orders: DataFrame) -> DataFrame:
+    """Pays of ``order_events`` with retries under the same tx id: for key % 5 = 0 a second pay 4 s later, for
+    key % 10 = 0 a third 100 s later (order_id, tx_id, timestamp s, ts)."""
+    pays = order_events(orders).filter(F.col("event_type") == "pay")
+    key = F.col("order_id")
+    none = F.lit(None).cast("int")
+    shift = F.array_compact(F.array(F.lit(0), F.when(key % 5 == 0, F.lit(4)).otherwise(none),
+                                    F.when(key % 10 == 0, F.lit(100)).otherwise(none)))
+    return (pays.select("order_id", "tx_id", "timestamp", F.explode(shift).alias("_d"))
+            .select("order_id", "tx_id", (F.col("timestamp") + F.col("_d")).alias("timestamp"))
+            .withColumn("ts", F.timestamp_seconds("timestamp")))
+
+
+def repeated_receipts(orders: DataFrame) -> DataFrame:
+    """Receipts of ``receipt_events`` and more under the same tx ids: one 2 s later for every third receipt
+    time, one 101 s later for every seventh (tx_id, pay_channel, timestamp s, ts)."""
+    t = F.col("timestamp")
+    none = F.lit(None).cast("int")
+    shift = F.array_compact(F.array(F.lit(0), F.when(t % 3 == 0, F.lit(2)).otherwise(none),
+                                    F.when(t % 7 == 0, F.lit(101)).otherwise(none)))
+    return (receipt_events(orders).select("tx_id", "pay_channel", t, F.explode(shift).alias("_d"))
+            .select("tx_id", "pay_channel", (t + F.col("_d")).alias("timestamp"))
+            .withColumn("ts", F.timestamp_seconds("timestamp")))
+
+
+def early_paid_orders(orders: DataFrame) -> DataFrame:
+    """``order_events`` with the pays of key % 4 = 0 moved 2000 s back, before their creates."""
+    early = (F.col("event_type") == "pay") & (F.col("order_id") % 4 == 0)
+    return (order_events(orders).withColumn("timestamp", F.when(early, F.col("timestamp") - 2000)
+                                            .otherwise(F.col("timestamp")))
+            .withColumn("ts", F.timestamp_seconds("timestamp")))
+
+
+def cut_lines(lines: DataFrame) -> DataFrame:
+    """Access-log lines with every ninth (by ``seq``) cut before the method and every eleventh without a time."""
+    short = F.regexp_extract("value", r"^(\S+ \S+ \S+ \S+)", 1)
+    blank = F.regexp_replace("value", r"^(\S+ \S+ \S+) \S+", "$1 -")
+    return lines.withColumn("value", F.when(F.col("seq") % 9 == 0, short).when(F.col("seq") % 11 == 0, blank)
+                            .otherwise(F.col("value")))

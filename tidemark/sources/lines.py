@@ -12,7 +12,8 @@ from pyspark.sql import functions as F
 
 def line_stream(spark: SparkSession, fmt: str, options: dict[str, str] | None = None,
                 path: str | None = None) -> DataFrame:
-    """A streaming DataFrame with one string column ``value`` per line or message.
+    """A streaming DataFrame with one string column ``value`` per line or message (kafka: and its offset as
+    ``seq``).
 
     ``fmt`` is ``kafka`` (options such as ``kafka.bootstrap.servers``, ``subscribe``, ``startingOffsets``),
     ``socket`` (``host``, ``port``) or ``text`` (a folder of files, ``path``).
@@ -22,7 +23,7 @@ def line_stream(spark: SparkSession, fmt: str, options: dict[str, str] | None =
         reader = reader.option(k, v)
     df = reader.load(path) if path else reader.load()
     if fmt == "kafka":
-        df = df.select(F.col("value").cast("string").alias("value"))
+        return df.select(F.col("value").cast("string").alias("value"), F.col("offset").alias("seq"))
     return df.select("value")
 
 
