@@ -201,7 +201,8 @@ def test_ranked_changelog_and_late_rows(rocks, tmp_path):
     assert not [c for c in changes if c[0] == 2 and c[2] == w0]      # the late c does not change the leader
 
 
-def test_ad_province_stream_equals_batch(rocks, tmp_path):
+@pytest.mark.parametrize("reset", ["none", "calendar_day"])
+def test_ad_province_stream_equals_batch(rocks, tmp_path, reset):
     spark = rocks
     from tidemark.operators import blocking
     clicks = adapters.ad_clicks(adapters.table(spark, SF["0.001"], "events"),
@@ -211,7 +212,7 @@ def test_ad_province_stream_equals_batch(rocks, tmp_path):
                                   "seq long").withColumn("ts", F.timestamp_seconds("timestamp")).select(
         *clicks.columns)
     src = replay(spark, clicks, tmp_path, "clicks", F.weekofyear("ts"), flush)
-    got = collect_stream(spark, sjobs.ad_province_stream(src, 3), tmp_path, "prov")
-    exp = rows(windows.window_count(blocking.block_clicks(clicks, 3), ["province"], "1 hour", "5 minutes",
+    got = collect_stream(spark, sjobs.ad_province_stream(src, 3, reset=reset), tmp_path, "prov")
+    exp = rows(windows.window_count(blocking.block_clicks(clicks, 3, reset=reset), ["province"], "1 hour", "5 minutes",
                                     count_col="cnt"))
     assert sorted(tuple(r) for r in got) == exp

@@ -4,9 +4,12 @@
     python -m tidemark order-timeout --orders OrderLog.csv [--method pattern] [--out result_dir]
     python -m tidemark tx-match --orders OrderLog.csv --receipts ReceiptLog.csv --mode key
     python -m tidemark hot-items --behavior UserBehavior.csv --report-text
+    python -m tidemark stream hot-items --behavior incoming_dir --out results --checkpoint state [--once]
 
-Without ``--out`` the first rows are shown; with it the result is written as parquet (or csv/json with
-``--format``). On a cluster, submit with spark-submit and pass no ``--master``.
+With ``--out`` the whole result is written as parquet (or csv/json with ``--format``); without it a preview of
+the first rows is printed, which says so. ``stream`` runs the streaming form of a job over line files that come
+into a folder, or with ``--source kafka`` over topics. On a cluster, submit with spark-submit and pass no
+``--master``.
 """
 
 from __future__ import annotations
@@ -25,6 +28,8 @@ def main(argv: list[str] | None = None) -> int:
         for name, (fn, inputs) in JOBS.items():
             print(f"{name:22s} inputs: {', '.join('--' + i.replace('_', '-') for i in inputs)}")
         return 0
+    if argv[0] == "stream":
+        return stream(argv[1:])
     name, rest = argv[0], argv[1:]
     fn, inputs = JOBS[name]
     ap = argparse.ArgumentParser(prog=f"tidemark {name}")
@@ -49,9 +54,33 @@ def main(argv: list[str] | None = None) -> int:
     if out:
         df.write.mode("overwrite").format(fmt).save(out)
     else:
+        print(f"preview of at most {show} rows; --out writes all")
         df.show(show, truncate=False)
     return 0
 
 
+def stream(argv: list[str]) -> int:
+    from tidemark.streaming.wiring import STREAM_JOBS, start
+    if not argv or argv[0] not in STREAM_JOBS:
+        for name, (inputs, _) in STREAM_JOBS.items():
+            print(f"stream {name:22s} inputs: {', '.join('--' + i.replace('_', '-') for i in inputs)}")
+        return 0 if not argv else 2
+    job = argv[0]
+    ap = argparse.ArgumentParser(prog=f"tidemark stream {job}")
+    for i in STREAM_JOBS[job][0]:
+        ap.add_argument("--" + i.replace("_", "-"), dest=i, required=True, help="folder of line files, or topic")
+    ap.add_argument("--out", required=True)
+    ap.add_argument("--checkpoint", required=True)
+    ap.add_argument("--source", default="text", choices=["text", "kafka"])
+    ap.add_argument("--option", action="append", default=[], metavar="KEY=VALUE", help="source option")
+    ap.add_argument("--once", action="store_true", help="take what is there and end")
+    ap.add_argument("--master")
+    args = ap.parse_args(argv[1:])
+    query = start(build_session(args.master), job, {i: getattr(args, i) for i in STREAM_JOBS[job][0]}, args.out,
+                  args.checkpoint, args.source, dict(o.split("=", 1) for o in args.option), args.once)
+    query.awaitTermination()
+    return 0
+
+
 if __name__ == "__main__":
     raise SystemExit(main())

@@ -13,13 +13,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.functions import bitmap, report
+from tidemark.functions.time import duration_ms
 from tidemark.operators import topn
-from tidemark.session import materialize
+from tidemark.operators.lateness import last_end
+from tidemark.session import delete_path, list_names, path_exists
 from tidemark.streaming.aggregations import event_time, pane_window_count_stream, window_count_stream
 from tidemark.streaming.processors import (
-    LOGIN_WARNING, ORDER_RESULT, TX_RESULT, ClickBlockerProcessor, LoginFailPairProcessor,
+    LOGIN_WARNING, ORDER_RESULT, RUNNING_UV, TX_RESULT, ClickBlockerProcessor, LoginFailPairProcessor,
     LoginFailStreakProcessor, LoginFailTimerProcessor, OrderPayTimeoutProcessor, OrderStateProcessor,
-    TxMatchProcessor)
+    RunningNumberProcessor, TxMatchProcessor)
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
@@ -40,32 +43,37 @@ def order_pay_timeout_stream(orders: DataFrame, within_s: int = 300,
             .transformWithState(OrderPayTimeoutProcessor(within_s), ORDER_RESULT, "Append", "EventTime"))
 
 
-def blocker_stream(clicks: DataFrame, limit: int = 100, reset_ms: int | None = None,
-                   delay: str | None = None) -> DataFrame:
+def blocker_stream(clicks: DataFrame, limit: int = 100, reset: str = "none", delay: str | None = None,
+                   ttl_s: int | None = None) -> DataFrame:
     """Clicks plus ``tag`` ('data' | 'blacklist') and ``warning_msg``; arrival order by ``seq``.
 
-    With ``delay`` the input gets a watermark on ``ts`` and the output keeps ``ts`` as its event-time
-    column, so windowed aggregations can follow (see :func:`ad_province_stream`)."""
+    ``reset='calendar_day'`` counts each day of event time anew (needs ``delay``). With ``delay`` the input gets
+    a watermark on ``ts`` and the output keeps ``ts`` as its event-time column, so windowed aggregations can
+    follow (see :func:`ad_province_stream`). ``ttl_s`` bounds the life of the counts without a reset."""
+    if reset != "none" and not delay:
+        raise ValueError("a daily reset needs a watermark delay")
     if delay:
         clicks = event_time(clicks, "ts", delay)
     schema = T.StructType(clicks.schema.fields + [T.StructField("tag", T.StringType()),
                                                   T.StructField("warning_msg", T.StringType())])
     extra = {"eventTimeColumnName": "ts"} if delay else {}
+    mode = "EventTime" if reset != "none" else "ProcessingTime" if ttl_s else "None"
     return clicks.groupBy("user_id", "ad_id").transformWithState(
-        ClickBlockerProcessor(limit, reset_ms), schema, "Append", "ProcessingTime" if reset_ms else "None",
-        **extra)
+        ClickBlockerProcessor(limit, reset, ttl_s), schema, "Append", mode, **extra)
 
 
 def ad_province_stream(clicks: DataFrame, limit: int = 100, size: str = "1 hour", slide: str = "5 minutes",
-                       delay: str = "200 milliseconds") -> DataFrame:
+                       delay: str = "200 milliseconds", reset: str = "calendar_day") -> DataFrame:
     """(province, window_end, cnt) of the clicks that pass the blocker, per sliding window."""
-    passed = blocker_stream(clicks, limit, delay=delay).filter(F.col("tag") == "data")
+    passed = blocker_stream(clicks, limit, reset, delay=delay).filter(F.col("tag") == "data")
     return window_count_stream(passed, ["province"], size, slide, delay=None)
 
 
-def login_fail_stream(logins: DataFrame, limit_s: int = 2, fail_times: int = 2) -> DataFrame:
+def login_fail_stream(logins: DataFrame, limit_s: int = 2, fail_times: int = 2,
+                      ttl_s: int | None = None) -> DataFrame:
     return logins.groupBy("user_id").transformWithState(
-        LoginFailPairProcessor(limit_s, fail_times), LOGIN_WARNING, "Append", "None")
+        LoginFailPairProcessor(limit_s, fail_times, ttl_s), LOGIN_WARNING, "Append",
+        "ProcessingTime" if ttl_s else "None")
 
 
 def login_fail_timed_stream(logins: DataFrame, limit_s: int = 2, min_fails: int = 2,
@@ -117,6 +125,34 @@ def channel_counts_stream(marketing: DataFrame, size: str = "1 hour", slide: str
     return pane_window_count_stream(m, ["channel", "behavior"], size, slide, delay=delay)
 
 
+def channel_total_stream(marketing: DataFrame, size: str = "1 hour", slide: str = "5 seconds",
+                         delay: str = "200 milliseconds") -> DataFrame:
+    """(window_end, cnt) over all channels and behaviours but UNINSTALL."""
+    m = marketing.filter(~F.col("behavior").eqNullSafe("UNINSTALL"))
+    return pane_window_count_stream(m, [], size, slide, delay=delay)
+
+
+def page_view_stream(behaviors: DataFrame, size: str = "1 hour", salt: int = 10,
+                     delay: str = "200 milliseconds") -> DataFrame:
+    """(url='pv', window_end, cnt): page views per (random salt, window), then summed per window."""
+    pv = behaviors.filter(F.col("behavior") == "pv").withColumn("_salt", (F.rand() * salt).cast("int"))
+    parts = (event_time(pv, "ts", delay).groupBy(F.window("ts", size).alias("w"), "_salt")
+             .agg(F.count(F.lit(1)).alias("_n")).select(F.window_time("w").alias("_t"), "_n"))
+    return (parts.groupBy(F.window("_t", size).alias("w")).agg(F.sum("_n").alias("cnt"))
+            .select(F.lit("pv").alias("url"), F.unix_millis(F.col("w.end")).alias("window_end"), "cnt"))
+
+
+def uv_running_stream(views: DataFrame, size: str = "1 hour", delay: str = "200 milliseconds") -> DataFrame:
+    """(url='uv', window_end, cnt, user_id): one row per new bitmap offset of a window with its running number.
+    New offsets are found by (window, offset), spread over tasks; only they are numbered per window."""
+    end_ms = F.unix_millis(F.col("w.end"))
+    seen = (event_time(views, "ts", delay)
+            .select(F.window("ts", size).alias("w"), bitmap.offset(F.col("user_id")).alias("_off"), "user_id", "seq")
+            .dropDuplicates(["w", "_off"]).withColumn("window_end", end_ms))
+    return seen.select("window_end", "user_id", "seq", "w").groupBy("window_end").transformWithState(
+        RunningNumberProcessor(), RUNNING_UV, "Append", "EventTime")
+
+
 # ---- foreachBatch writers -------------------------------------------------------------------------------
 
 def top_n_writer(n: int, id_col: str, write: Callable[[DataFrame, int], None],
@@ -142,59 +178,104 @@ def split_writer(writers: dict[str, Callable[[DataFrame, int], None]],
 
 
 def page_counts_stream(requests: DataFrame, size: str = "10 minutes", slide: str = "5 seconds",
-                       bound: str = "1 second", allowed_lateness: str = "1 minute") -> DataFrame:
+                       bound: str = "1 second", allowed_lateness: str = "1 minute",
+                       mode: str = "update") -> DataFrame:
     """(url, window_end, cnt) with allowed lateness: the watermark delay is bound + lateness, so a window
     accepts rows until the watermark passes its end by that much. In ``update`` output mode a window is
-    re-emitted whenever a (late) row changes it; in ``append`` mode once, final."""
-    from tidemark.functions.time import duration_ms
-    delay_ms = duration_ms(bound) + duration_ms(allowed_lateness)
-    return window_count_stream(requests, ["url"], size, slide, delay=f"{delay_ms} milliseconds")
+    re-emitted whenever a (late) row changes it; with ``mode='append'`` it comes once, final, and rows are
+    counted per pane first instead of being copied to all their windows."""
+    delay = f"{duration_ms(bound) + duration_ms(allowed_lateness)} milliseconds"
+    if mode == "append" and duration_ms(size) % duration_ms(slide) == 0:
+        return pane_window_count_stream(requests, ["url"], size, slide, delay=delay)
+    return window_count_stream(requests, ["url"], size, slide, delay=delay)
+
+
+class EpochState:
+    """Tables of a foreachBatch writer, one folder per epoch under ``state_dir`` (shared storage).
+
+    An epoch reads the state of the one before it and writes its own, so a replayed epoch sees what its first
+    run saw, whether or not that run got as far as writing. Older folders than these two are deleted."""
+
+    def __init__(self, spark: SparkSession, state_dir: str):
+        self.spark, self.dir = spark, state_dir
 
+    def _epochs(self) -> list[int]:
+        return [int(n.removeprefix("epoch=")) for n in list_names(self.spark, self.dir) if n.startswith("epoch=")]
 
-def _read_or_none(spark: SparkSession, path: str) -> DataFrame | None:
-    from pyspark.errors import AnalysisException
-    try:
-        return spark.read.parquet(path)
-    except AnalysisException:
-        return None
+    def path(self, epoch: int, name: str) -> str:
+        return f"{self.dir}/epoch={epoch}/{name}"
+
+    def read_before(self, epoch: int, name: str) -> DataFrame | None:
+        """The table as the last epoch before this one left it."""
+        before = [e for e in self._epochs() if e < epoch and path_exists(self.spark, f"{self.path(e, name)}/_SUCCESS")]
+        return self.spark.read.parquet(self.path(max(before), name)) if before else None
+
+    def write(self, epoch: int, name: str, df: DataFrame) -> DataFrame:
+        df.write.mode("overwrite").parquet(self.path(epoch, name))
+        return self.spark.read.schema(df.schema).parquet(self.path(epoch, name))
+
+    def forget_before(self, epoch: int) -> None:
+        """Keep this epoch and the one before it."""
+        for e in sorted(e for e in self._epochs() if e < epoch)[:-1]:
+            delete_path(self.spark, f"{self.dir}/epoch={e}")
 
 
 def ranked_changelog_writer(n: int, id_col: str, state_dir: str, write: Callable[[DataFrame, int], None],
-                            window_col: str = "window_end", count_col: str = "cnt"
+                            window_col: str = "window_end", count_col: str = "cnt", keep: str | None = None
                             ) -> Callable[[DataFrame, int], None]:
     """foreachBatch function for ``update``-mode window counts: re-rank every window touched by the batch
     and emit a retract stream, ``op = false`` for ranking rows that no longer hold and ``op = true`` for new
     ones (rows that stay the same emit nothing).
 
-    Counts and rankings of past windows are kept as parquet tables partitioned by window under
-    ``state_dir`` (shared storage); each batch reads and overwrites only the partitions of the windows it
-    touches. ``write`` should be idempotent per ``epoch_id`` (a batch can be replayed after a failure).
+    The counts and rankings of open windows are an :class:`EpochState`; a replayed batch emits the same
+    changes again, so ``write`` only has to be idempotent per ``epoch_id``. ``keep``: windows that end so long
+    before the latest one are closed and leave the state (window size + bound + lateness is enough); the
+    state holds all windows without it.
     """
-    counts_path, top_path = f"{state_dir}/counts", f"{state_dir}/top"
-
     def run(batch: DataFrame, epoch_id: int) -> None:
-        spark = batch.sparkSession
+        state = EpochState(batch.sparkSession, state_dir)
         keys = [id_col, window_col]
         batch = batch.select(*keys, count_col)
         touched = batch.select(window_col).distinct()
-        prev_counts = _read_or_none(spark, counts_path)
         counts = batch
+        prev_counts = state.read_before(epoch_id, "counts")
         if prev_counts is not None:
-            kept = prev_counts.join(touched, window_col, "left_semi").join(batch.select(*keys), keys, "left_anti")
-            counts = kept.select(*keys, count_col).unionByName(batch)
-        # Written once to the shared checkpoint folder: cuts the lineage before the source partitions are
-        # overwritten below.
-        counts = materialize(counts, "rank-counts")
-        new_top = materialize(topn.top_n(counts, n, (window_col,), id_col=id_col), "rank-top")
-        prev_top = _read_or_none(spark, top_path)
-        old_top = (prev_top.join(touched, window_col, "left_semi").select(*new_top.columns)
-                   if prev_top is not None else new_top.limit(0))
-        changes = (old_top.exceptAll(new_top).withColumn("op", F.lit(False))
-                   .unionByName(new_top.exceptAll(old_top).withColumn("op", F.lit(True))))
-        write(changes, epoch_id)
-        for df, path in ((counts, counts_path), (new_top, top_path)):
-            (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-             .partitionBy(window_col).parquet(path))
+            counts = prev_counts.join(batch.select(*keys), keys, "left_anti").select(*counts.columns).unionByName(batch)
+        if keep is not None:
+            last = counts.agg(F.max(window_col)).first()[0]
+            if last is not None:
+                counts = counts.filter(F.col(window_col) >= last - duration_ms(keep))
+        counts = state.write(epoch_id, "counts", counts)
+        open_ = counts.select(window_col).distinct()
+        columns = [id_col, window_col, count_col, "rank"]
+        new_top = topn.top_n(counts.join(touched, window_col, "left_semi"), n, (window_col,), id_col=id_col).select(*columns)
+        prev_top = state.read_before(epoch_id, "top")
+        top = new_top if prev_top is None else prev_top.join(touched, window_col, "left_anti").join(
+            open_, window_col, "left_semi").select(*columns).unionByName(new_top)
+        top = state.write(epoch_id, "top", top)
+        new_top = top.join(touched, window_col, "left_semi").select(*columns)
+        old_top = (new_top.limit(0) if prev_top is None else
+                   prev_top.join(touched, window_col, "left_semi").join(open_, window_col, "left_semi").select(*columns))
+        both = old_top.withColumn("_d", F.lit(-1)).unionByName(new_top.withColumn("_d", F.lit(1)))
+        changes = both.groupBy(*columns).agg(F.sum("_d").alias("_d")).filter(F.col("_d") != 0)
+        write(changes.select(*columns, (F.col("_d") > 0).alias("op")), epoch_id)
+        state.forget_before(epoch_id)
+    return run
+
+
+def report_writer(n: int, id_col: str, state_dir: str, write: Callable[[DataFrame, int], None], labels: tuple,
+                  keep: str | None = None) -> Callable[[DataFrame, int], None]:
+    """foreachBatch function for ``update``-mode window counts: the text ranking of every window whose ranking
+    the batch has changed, again whenever a late row changes it."""
+    def run(batch: DataFrame, epoch_id: int) -> None:
+        spark = batch.sparkSession
+
+        def rendered(changes: DataFrame, epoch: int) -> None:
+            top = spark.read.parquet(EpochState(spark, state_dir).path(epoch, "top"))
+            changed = changes.select("window_end").distinct()
+            write(report.topn_report(top.join(changed, "window_end", "left_semi"), id_col, labels), epoch)
+
+        ranked_changelog_writer(n, id_col, state_dir, rendered, keep=keep)(batch, epoch_id)
     return run
 
 
@@ -202,21 +283,20 @@ def late_rows_writer(ts_ms_col: str, size: str, slide: str, delay: str, state_di
                      write: Callable[[DataFrame, int], None]) -> Callable[[DataFrame, int], None]:
     """foreachBatch function on the raw stream emitting the rows a windowed aggregation with watermark
     ``delay`` drops from every window: the last window end of the row is at or below the watermark of the
-    batch (largest event time of earlier batches minus the delay). The largest event time seen so far is
-    one saved number under ``state_dir``. Batches must be cut as in the aggregation query (same source and
-    trigger settings) for the two to agree."""
-    from tidemark.functions.time import duration_ms
-    from tidemark.operators.lateness import last_end
+    batch (largest event time of earlier batches minus the delay). The largest event time after each epoch
+    is an :class:`EpochState`, so a replay emits the same rows. Batches must be cut as in the aggregation
+    query (same source and trigger settings) for the two to agree."""
     delay_ms = duration_ms(delay)
-    path = f"{state_dir}/max_event_time"
 
     def run(batch: DataFrame, epoch_id: int) -> None:
         spark = batch.sparkSession
-        saved = _read_or_none(spark, path)
+        state = EpochState(spark, state_dir)
+        saved = state.read_before(epoch_id, "max_event_time")
         seen = saved.first()[0] if saved is not None else None
         if seen is not None:
             write(batch.filter(last_end(ts_ms_col, size, slide) <= F.lit(seen - delay_ms)), epoch_id)
-        top = batch.agg(F.max(ts_ms_col)).first()[0]
-        if top is not None and (seen is None or top > seen):
-            spark.createDataFrame([(int(top),)], "max_ts long").write.mode("overwrite").parquet(path)
+        times = [t for t in (seen, batch.agg(F.max(ts_ms_col)).first()[0]) if t is not None]
+        if times:
+            state.write(epoch_id, "max_event_time", spark.createDataFrame([(int(max(times)),)], "max_ts long"))
+            state.forget_before(epoch_id)
     return run

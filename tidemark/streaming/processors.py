@@ -9,12 +9,14 @@ Spark calls the handler methods by keyword: the names and parameter names below
 
 from __future__ import annotations
 
+import heapq
+
 from pyspark.sql import Row
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from tidemark.operators import blocking, patterns
-from tidemark.operators.joins import MATCHED, UNMATCHED_PAYS, UNMATCHED_RECEIPTS
+from tidemark.operators.joins import MATCHED, UNMATCHED_PAYS, UNMATCHED_RECEIPTS, pair_waiting
 
 ORDER_RESULT = T.StructType([T.StructField("order_id", T.LongType()),
                              T.StructField("result_state", T.StringType())])
@@ -27,72 +29,65 @@ TX_RESULT = T.StructType([T.StructField("tag", T.StringType()), T.StructField("o
                           T.StructField("pay_channel", T.StringType()),
                           T.StructField("receipt_time", T.LongType())])
 
+RUNNING_UV = T.StructType([T.StructField("url", T.StringType()), T.StructField("window_end", T.LongType()),
+                           T.StructField("cnt", T.LongType()), T.StructField("user_id", T.LongType())])
+DAY_S = 86400
+
 
 def _by(*names):
     return lambda r: tuple((r[n] if r[n] is not None else 0) for n in names)
 
 
 class OrderStateProcessor(StatefulProcessor):
-    """Create/pay state machine per order with a ``timeout_s`` event-time timer.
+    """One result per order from its first create and first pay, by the rule of
+    :func:`tidemark.operators.patterns.order_state`.
 
-    create: if already paid -> 'payed successfully'; else wait until create + timeout.
-    pay: if created -> 'payed successfully' when pay < create + timeout, else 'payed but already timeout';
-    else wait for the create until the watermark passes the pay time. Expired timers emit 'timeout' (no pay)
-    or 'payed but not found created log' (no create).
-    """
+    State is what the rule needs, the two event times. With both known the result is out; with one known it
+    has a deadline in event time, after which the rule decides with what there is: a lone create waits
+    until create + ``timeout_s``, a lone pay until the watermark reaches it, as its create lies before it."""
 
     def __init__(self, timeout_s: int = 900):
-        self.timeout_ms = timeout_s * 1000
+        self.timeout_s = timeout_s
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.state = handle.getValueState(
-            "order", "created boolean, payed boolean, timer long")
+        self.times = handle.getValueState("times", "create long, pay long")
+
+    def _result(self, order_id, create, pay):
+        if pay is None:
+            state = patterns.TIMED_OUT
+        elif create is None:
+            state = patterns.NO_CREATE
+        else:
+            state = patterns.PAYED_OK if pay < create + self.timeout_s else patterns.PAYED_LATE
+        return Row(order_id=order_id, result_state=state)
 
-    def _clear(self, timer):
-        if timer is not None:
-            self.handle.deleteTimer(timer)
-        self.state.clear()
+    def _deadline(self, create, pay):
+        return (pay if create is None else create + self.timeout_s) * 1000
 
     def handleInputRows(self, key, rows, timerValues):
-        (order_id,) = key
-        created, payed, timer = self.state.get() if self.state.exists() else (False, False, None)
-        out = []
-        for r in sorted(rows, key=lambda r: (r["timestamp"], r["event_type"] != "create")):
-            ts_ms = r["timestamp"] * 1000
+        create, pay = self.times.get() if self.times.exists() else (None, None)
+        if create is not None or pay is not None:
+            self.handle.deleteTimer(self._deadline(create, pay))
+        for r in rows:
             if r["event_type"] == "create":
-                if payed:
-                    out.append(Row(order_id=order_id, result_state=patterns.PAYED_OK))
-                    self._clear(timer)
-                    created, payed, timer = False, False, None
-                else:
-                    timer = ts_ms + self.timeout_ms
-                    self.handle.registerTimer(timer)
-                    created = True
+                create = r["timestamp"] if create is None else min(create, r["timestamp"])
             elif r["event_type"] == "pay":
-                if created:
-                    ok = ts_ms < timer
-                    out.append(Row(order_id=order_id,
-                                   result_state=patterns.PAYED_OK if ok else patterns.PAYED_LATE))
-                    self._clear(timer)
-                    created, payed, timer = False, False, None
-                else:
-                    timer = ts_ms
-                    self.handle.registerTimer(timer)
-                    payed = True
-        if created or payed:
-            self.state.update((created, payed, timer))
-        return iter(out)
+                pay = r["timestamp"] if pay is None else min(pay, r["timestamp"])
+        if create is not None and pay is not None:
+            self.times.clear()
+            return iter([self._result(key[0], create, pay)])
+        if create is not None or pay is not None:
+            self.times.update((create, pay))
+            self.handle.registerTimer(self._deadline(create, pay))
+        return iter([])
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
-        (order_id,) = key
-        created, payed, _ = self.state.get() if self.state.exists() else (False, False, None)
-        self.state.clear()
-        if payed:
-            return iter([Row(order_id=order_id, result_state=patterns.NO_CREATE)])
-        if created:
-            return iter([Row(order_id=order_id, result_state=patterns.TIMED_OUT)])
-        return iter([])
+        if not self.times.exists():
+            return iter([])
+        create, pay = self.times.get()
+        self.times.clear()
+        return iter([self._result(key[0], create, pay)])
 
     def close(self) -> None:
         pass
@@ -148,36 +143,49 @@ class OrderPayTimeoutProcessor(StatefulProcessor):
 
 
 class ClickBlockerProcessor(StatefulProcessor):
-    """Per (user, ad): the first ``limit`` rows pass (tag 'data'); the first row over it raises one
-    'blacklist' warning; later rows are dropped. With ``reset_ms`` a processing-time timer started by the
-    first row clears the count (a daily reset)."""
+    """The rule of :mod:`tidemark.operators.blocking` per (user, ad): by its position in arrival order and
+    reset period a row passes (up to ``limit``, tag 'data'), warns (the next one, 'blacklist') or is dropped.
+
+    State is the number of rows per period. With ``reset='calendar_day'`` a period is a day of event time and
+    its number goes when the watermark passes the day's end; without a reset the one number stays, for
+    ``ttl_s`` if that is given. Only the rows that can still get out are held in memory."""
 
-    def __init__(self, limit: int = 100, reset_ms: int | None = None):
-        self.limit, self.reset_ms = limit, reset_ms
+    def __init__(self, limit: int = 100, reset: str = "none", ttl_s: int | None = None):
+        assert reset in ("none", "calendar_day")
+        self.limit, self.daily, self.ttl_s = limit, reset == "calendar_day", ttl_s
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.state = handle.getValueState("clicks", "count long, sent boolean")
+        extra = {"ttlDurationMs": self.ttl_s * 1000} if self.ttl_s else {}
+        self.seen = handle.getMapState("seen", "period long", "rows long", **extra)
 
     def handleInputRows(self, key, rows, timerValues):
-        count, sent = self.state.get() if self.state.exists() else (0, False)
-        msg = blocking.WARNING_MSG.format(limit=self.limit)
+        heads, counts = {}, {}
+        for n, r in enumerate(rows):
+            period = r["timestamp"] // DAY_S if self.daily else 0
+            if period not in counts:
+                counts[period] = [self.seen.getValue((period,))[0] if self.seen.containsKey((period,)) else 0, 0]
+            counts[period][1] += 1
+            room = self.limit + 1 - counts[period][0]
+            if room > 0:  # keep the first rows by arrival, largest seq on top
+                heap = heads.setdefault(period, [])
+                item = (-(r["seq"] or 0), n, r)
+                heapq.heappush(heap, item) if len(heap) < room else heapq.heappushpop(heap, item)
         out = []
-        for r in sorted(rows, key=_by("seq")):
-            if count == 0 and self.reset_ms:
-                self.handle.registerTimer(timerValues.getCurrentProcessingTimeInMs() + self.reset_ms)
-            if count >= self.limit:
-                if not sent:
-                    sent = True
-                    out.append(Row(**r.asDict(), tag="blacklist", warning_msg=msg))
-                continue
-            count += 1
-            out.append(Row(**r.asDict(), tag="data", warning_msg=None))
-        self.state.update((count, sent))
+        for period, (before, new) in counts.items():
+            self.seen.updateValue((period,), (min(before + new, self.limit + 1),))
+            if self.daily and not before:
+                self.handle.registerTimer((period + 1) * DAY_S * 1000)
+            for pos, (_, _, r) in enumerate(sorted(heads.get(period, []), key=lambda i: (-i[0], i[1])), before + 1):
+                passed = pos <= self.limit
+                out.append(Row(**r.asDict(), tag="data" if passed else "blacklist",
+                               warning_msg=None if passed else blocking.WARNING_MSG.format(limit=self.limit)))
         return iter(out)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
-        self.state.clear()
+        period = expiredTimerInfo.getExpiryTimeInMs() // (DAY_S * 1000) - 1
+        if self.seen.containsKey((period,)):
+            self.seen.removeKey((period,))
         return iter([])
 
     def close(self) -> None:
@@ -186,14 +194,15 @@ class ClickBlockerProcessor(StatefulProcessor):
 
 class LoginFailPairProcessor(StatefulProcessor):
     """Per user, in arrival order: a fail right after ``fail_times - 1`` fails, first to last within
-    ``limit_s``, warns; a success clears."""
+    ``limit_s``, warns; a success clears. ``ttl_s``: forget a user's fails after so long (processing time)."""
 
-    def __init__(self, limit_s: int = 2, fail_times: int = 2):
-        self.limit_s, self.k = limit_s, fail_times
+    def __init__(self, limit_s: int = 2, fail_times: int = 2, ttl_s: int | None = None):
+        self.limit_s, self.k, self.ttl_s = limit_s, fail_times, ttl_s
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.fails = handle.getListState("fails", "ts long")
+        extra = {"ttlDurationMs": self.ttl_s * 1000} if self.ttl_s else {}
+        self.fails = handle.getListState("fails", "ts long", **extra)
 
     def handleInputRows(self, key, rows, timerValues):
         (user,) = key
@@ -276,77 +285,89 @@ class LoginFailTimerProcessor(StatefulProcessor):
 
 
 class TxMatchProcessor(StatefulProcessor):
-    """Per tx id over the union of pays (side 'pay') and receipts (side 'receipt'): the first to arrive
-    waits (a pay ``pay_wait_s``, a receipt ``receipt_wait_s``) for the other; a match clears both; an
-    expired wait emits the waiting row as unmatched.
+    """Pays (side 'pay') and receipts of a tx id, paired by the rule of
+    :func:`tidemark.operators.joins.pair_waiting`.
 
-    Waits are judged in event time also inside a micro-batch: a row that comes after the waiting row's
-    deadline does not match it (the waiting row is emitted as unmatched first), so the result does not
-    depend on where batches are cut."""
+    Rows are held until the watermark says that nothing can come before them any more; the rule is then
+    applied to all held rows, and its leading decisions are out as far as they are final: a pair when the
+    watermark has passed both rows, a single when it has passed the end of its wait. So results depend
+    neither on where batches are cut nor on the order of rows in them. Each row has the one or two deadlines at
+    which its own decision becomes final; the state is drained once per watermark."""
 
     def __init__(self, pay_wait_s: int = 5, receipt_wait_s: int = 3):
-        self.pay_wait_ms, self.receipt_wait_ms = pay_wait_s * 1000, receipt_wait_s * 1000
+        self.waits = (pay_wait_s, receipt_wait_s)
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.pay = handle.getValueState("pay", "order_id long, ts long")
-        self.receipt = handle.getValueState("receipt", "channel string, ts long")
+        self.held = handle.getListState("held", "side int, t long, order_id long, channel string")
+        self.drained = handle.getValueState("drained", "watermark long")
 
     def handleInputRows(self, key, rows, timerValues):
-        (tx,) = key
-        out = []
-        for r in sorted(rows, key=_by("timestamp")):
-            out += self._expire_before(tx, r["timestamp"])
-            if r["side"] == "pay":
-                if self.receipt.exists():
-                    ch, rts = self.receipt.get()
-                    out.append(Row(tag=MATCHED, order_id=r["order_id"], tx_id=tx, pay_time=r["timestamp"],
-                                   pay_channel=ch, receipt_time=rts))
-                    self.receipt.clear()
-                else:
-                    self.handle.registerTimer(r["timestamp"] * 1000 + self.pay_wait_ms)
-                    self.pay.update((r["order_id"], r["timestamp"]))
-            else:
-                if self.pay.exists():
-                    oid, pts = self.pay.get()
-                    out.append(Row(tag=MATCHED, order_id=oid, tx_id=tx, pay_time=pts,
-                                   pay_channel=r["pay_channel"], receipt_time=r["timestamp"]))
-                    self.pay.clear()
-                else:
-                    self.handle.registerTimer(r["timestamp"] * 1000 + self.receipt_wait_ms)
-                    self.receipt.update((r["pay_channel"], r["timestamp"]))
+        new = []
+        for r in rows:
+            side = 0 if r["side"] == "pay" else 1
+            new.append((side, r["timestamp"], r["order_id"], r["pay_channel"]))
+            for t in (r["timestamp"], r["timestamp"] + self.waits[side]):
+                self.handle.registerTimer(t * 1000 + 1)
+        self.held.appendList(new)
+        return iter([])
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
+        watermark = timerValues.getCurrentWatermarkInMs()
+        if self.drained.exists() and self.drained.get()[0] == watermark:
+            return iter([])
+        held = [tuple(h) for h in self.held.get()] if self.held.exists() else []
+        sides = [sorted(((t, o, c) for s, t, o, c in held if s == side), key=lambda x: (x[0], x[1] or 0, x[2] or ""))
+                 for side in (0, 1)]
+        out, n_out = [], 0
+        decided = pair_waiting(*sides, *self.waits)
+        final = lambda t: t * 1000 < watermark
+        for p, r in decided:
+            ready = (final(max(p[0], r[0])) if p and r else final(p[0] + self.waits[0]) if p
+                     else final(r[0] + self.waits[1]))
+            if not ready:
+                break
+            n_out += 1
+            out.append(Row(tag=MATCHED if p and r else UNMATCHED_PAYS if p else UNMATCHED_RECEIPTS,
+                           order_id=p and p[1], tx_id=key[0], pay_time=p and p[0], pay_channel=r and r[2],
+                           receipt_time=r and r[0]))
+        rest = [(0, *p) for p, _ in decided[n_out:] if p] + [(1, *r) for _, r in decided[n_out:] if r]
+        if rest:
+            if n_out:
+                self.held.put(rest)
+            self.drained.update((watermark,))
+        else:
+            self.held.clear()
+            self.drained.clear()
         return iter(out)
 
-    def _expire_before(self, tx, ts):
-        """Unmatched rows whose wait ended before event time ``ts`` (seconds)."""
-        out = []
-        if self.pay.exists() and ts * 1000 > self.pay.get()[1] * 1000 + self.pay_wait_ms:
-            oid, pts = self.pay.get()
-            out.append(Row(tag=UNMATCHED_PAYS, order_id=oid, tx_id=tx, pay_time=pts, pay_channel=None,
-                           receipt_time=None))
-            self.pay.clear()
-        if self.receipt.exists() and ts * 1000 > self.receipt.get()[1] * 1000 + self.receipt_wait_ms:
-            ch, rts = self.receipt.get()
-            out.append(Row(tag=UNMATCHED_RECEIPTS, order_id=None, tx_id=tx, pay_time=None, pay_channel=ch,
-                           receipt_time=rts))
-            self.receipt.clear()
-        return out
+    def close(self) -> None:
+        pass
 
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
-        (tx,) = key
+
+class RunningNumberProcessor(StatefulProcessor):
+    """Numbers the rows of a window in arrival order, on over batches; the rows are the first of their ids
+    already, so a window's state is one number, which goes when the watermark passes its end."""
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.n = handle.getValueState("n", "n long")
+
+    def handleInputRows(self, key, rows, timerValues):
+        n = self.n.get()[0] if self.n.exists() else 0
+        if not n:
+            self.handle.registerTimer(key[0])
         out = []
-        if self.pay.exists():
-            oid, pts = self.pay.get()
-            out.append(Row(tag=UNMATCHED_PAYS, order_id=oid, tx_id=tx, pay_time=pts, pay_channel=None,
-                           receipt_time=None))
-        if self.receipt.exists():
-            ch, rts = self.receipt.get()
-            out.append(Row(tag=UNMATCHED_RECEIPTS, order_id=None, tx_id=tx, pay_time=None, pay_channel=ch,
-                           receipt_time=rts))
-        self.pay.clear()
-        self.receipt.clear()
+        for r in sorted(rows, key=_by("seq")):
+            n += 1
+            out.append(Row(url="uv", window_end=key[0], cnt=n, user_id=r["user_id"]))
+        self.n.update((n,))
         return iter(out)
 
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
+        self.n.clear()
+        return iter([])
+
     def close(self) -> None:
         pass
 
@@ -364,6 +385,7 @@ class LoginFailStreakProcessor(StatefulProcessor):
         self.handle = handle
         self.buffer = handle.getListState("buffer", "timestamp long, seq long, fail boolean")
         self.context = handle.getListState("context", "timestamp long, seq long, fail boolean")
+        self.drained = handle.getValueState("drained", "watermark long")
 
     def handleInputRows(self, key, rows, timerValues):
         new = [(r["timestamp"], r["seq"] if r["seq"] is not None else 0, r["login_state"] == "fail")
@@ -375,7 +397,11 @@ class LoginFailStreakProcessor(StatefulProcessor):
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
         (user,) = key
-        due = expiredTimerInfo.getExpiryTimeInMs()
+        # the first timer of a watermark takes all that it has passed; the others of it find nothing to do
+        due = timerValues.getCurrentWatermarkInMs()
+        if self.drained.exists() and self.drained.get()[0] == due:
+            return iter([])
+        self.drained.update((due,))
         buffered = list(self.buffer.get()) if self.buffer.exists() else []
         ready = sorted(tuple(b) for b in buffered if b[0] * 1000 <= due)
         if not ready:
