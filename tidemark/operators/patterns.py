@@ -79,74 +79,70 @@ def login_fail_timed(logins: DataFrame, limit_s: int = 2, min_fails: int = 2,
 
     Runs of fails split at successes and at gaps of at least ``limit`` are independent. Inside a run the
     group starts are the orbit of its first fail under ``next(i)`` = the first fail at or after
-    ``t_i + limit``. The orbit is built by pointer doubling: O(log n) rounds of joins on
-    (user, run, index), each round written to the shared checkpoint folder to cut the lineage, so no task
-    ever holds a whole run. Positions and ``next`` come from the chunked sequence operators.
+    ``t_i + limit``. The orbit is built by pointer doubling: O(log n) rounds of joins on (run, index), each
+    round written to the shared checkpoint folder to cut the lineage. The jump table keeps only fails whose
+    jump stays inside the run, so it shrinks with every round and the loop ends when it is empty. Positions
+    and ``next`` come from the chunked sequence operators. What joins on the run alone is one row per run; a
+    run with very many fails is split there by adaptive execution only.
     """
     order = ["timestamp", "seq"]
-    keys = ["user_id", "_run"]
+    keys = ["run"]
     df = seq.balanced_chunk(logins.select("user_id", "login_state", "timestamp", "seq"), ["user_id"],
                             "timestamp", target_rows=rows_per_chunk)
     df = seq.shift(df, ["user_id"], order, "_chunk", ["login_state", "timestamp"], 1, "prev")
     is_fail = F.col("login_state") == "fail"
     opens = is_fail & (F.col("prev1_login_state").isNull() | (F.col("prev1_login_state") != "fail")
                        | (F.col("timestamp") - F.col("prev1_timestamp") >= limit_s))
-    df = seq.running_sum(df, ["user_id"], order, "_chunk", opens.cast("long"), out="_run").filter(
-        F.col("_run") > 0).select(*keys, "timestamp", "seq", "_chunk", is_fail.alias("_fail"))
+    df = seq.running_sum(df, ["user_id"], order, "_chunk", opens.cast("long"), out="_run")
+    # a struct, so that a NULL user is a user
+    df = df.filter(F.col("_run") > 0).select(F.struct("user_id", "_run").alias("run"), "timestamp", "seq", "_chunk",
+                                             is_fail.alias("_fail"))
     df = materialize(df, "fail-runs")
     # The success that ends a run (its first success) can cancel the run's last group.
-    ends = df.filter(~F.col("_fail")).groupBy(*keys).agg(F.min("timestamp").alias("_succ"))
+    ends = df.filter(~F.col("_fail")).groupBy("run").agg(F.min("timestamp").alias("_succ"))
     fails = materialize(seq.rank(df.filter("_fail").drop("_fail"), keys, order, "_chunk", out="_i")
                         .withColumn("_i", F.col("_i") - 1), "fail-index")
-    runs = fails.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).join(ends, keys, "left")
+    runs = fails.groupBy("run").agg(F.count(F.lit(1)).alias("_n")).join(ends, "run", "left")
     # next(i): first fail with t >= t_i + limit, found as the next data row after a probe at t_i + limit.
-    probes = fails.select(*keys, (F.col("timestamp") + limit_s).alias("timestamp"), F.lit(0).alias("_kind"),
+    probes = fails.select("run", (F.col("timestamp") + limit_s).alias("timestamp"), F.lit(0).alias("_kind"),
                           F.col("_i").alias("_src"), F.lit(None).cast("long").alias("_val"))
-    data = fails.select(*keys, "timestamp", F.lit(1).alias("_kind"), F.col("_i").alias("_src"),
+    data = fails.select("run", "timestamp", F.lit(1).alias("_kind"), F.col("_i").alias("_src"),
                         F.col("_i").alias("_val"))
     both = seq.balanced_chunk(probes.unionByName(data), keys, "timestamp", target_rows=rows_per_chunk)
     nxt = materialize(seq.next_value(both, keys, ["timestamp", "_kind", "_src"], "_chunk", "_val", out="_p")
-                      .filter(F.col("_kind") == 0).join(runs.select(*keys, "_n"), keys)
-                      .select(*keys, F.col("_src").alias("_i"), F.coalesce("_p", "_n").alias("_p"), "_n"),
-                      "fail-next")
-    # Pointer doubling: S holds the jumps 0 .. 2^k - 1 from index 0, T the 2^k-th successor.
-    starts = nxt.filter(F.col("_i") == 0).select(*keys, "_i")
-    table = nxt
-    while table.filter(F.col("_p") < F.col("_n")).limit(1).count() > 0:
-        reached = starts.join(table, [*keys, "_i"]).filter(F.col("_p") < F.col("_n")).select(
-            *keys, F.col("_p").alias("_i"))
-        starts = materialize(starts.unionByName(reached).distinct(), "fail-starts")
-        hop = table.select(F.col("user_id").alias("_hu"), F.col("_run").alias("_hr"),
-                           F.col("_i").alias("_j"), F.col("_p").alias("_q"))
-        cond = ((F.col("user_id") == F.col("_hu")) & (F.col("_run") == F.col("_hr"))
-                & (F.col("_p") == F.col("_j")))
-        table = (table.join(hop, cond, "left")
-                 .select(*keys, "_i", F.coalesce("_q", "_n").alias("_p"), "_n"))
-        table = materialize(table, "fail-jumps")
+                      .filter(F.col("_kind") == 0).select("run", F.col("_src").alias("_i"), "_p"), "fail-next")
+    # Pointer doubling: starts holds the jumps 0 .. 2^k - 1 from index 0, jumps the 2^k-th successors.
+    starts = nxt.filter(F.col("_i") == 0).select("run", "_i")
+    jumps = nxt.filter(F.col("_p").isNotNull())
+    while not jumps.isEmpty():
+        reached = starts.join(jumps, ["run", "_i"]).select("run", F.col("_p").alias("_i"))
+        starts = materialize(starts.unionByName(reached), "fail-starts")
+        hop = jumps.select("run", F.col("_i").alias("_p"), F.col("_p").alias("_q"))
+        jumps = materialize(jumps.join(hop, ["run", "_p"]).select("run", "_i", F.col("_q").alias("_p")), "fail-jumps")
     # Each start s covers fails s .. next(s) - 1; the run's last group may be cancelled by its success.
-    groups = starts.join(nxt, [*keys, "_i"]).select(*keys, F.col("_i").alias("_s"), "_p", "_n")
-    first = fails.select(*keys, F.col("_i").alias("_s"), F.col("timestamp").alias("first_fail_time"))
-    last = fails.select(*keys, (F.col("_i") + 1).alias("_p"), F.col("timestamp").alias("last_fail_time"))
-    out = (groups.join(first, [*keys, "_s"]).join(last, [*keys, "_p"])
-           .join(runs.select(*keys, "_succ"), keys)
-           .withColumn("n", F.col("_p") - F.col("_s")))
-    cancelled = (F.col("_p") == F.col("_n")) & F.col("_succ").isNotNull() & (
-        F.col("_succ") < F.col("first_fail_time") + limit_s)
+    groups = (starts.join(nxt, ["run", "_i"]).join(runs, "run")
+              .select("run", F.col("_i").alias("_s"), F.coalesce("_p", "_n").alias("_e"), F.col("_p").isNull().alias("_last"),
+                      "_succ"))
+    first = fails.select("run", F.col("_i").alias("_s"), F.col("timestamp").alias("first_fail_time"))
+    last = fails.select("run", (F.col("_i") + 1).alias("_e"), F.col("timestamp").alias("last_fail_time"))
+    out = groups.join(first, ["run", "_s"]).join(last, ["run", "_e"]).withColumn("n", F.col("_e") - F.col("_s"))
+    cancelled = F.col("_last") & F.col("_succ").isNotNull() & (F.col("_succ") < F.col("first_fail_time") + limit_s)
     msg = TIMED_MSG.format(limit=limit_s, n="%d")
     return out.filter((F.col("n") >= min_fails) & ~cancelled).select(
-        "user_id", "first_fail_time", "last_fail_time", F.format_string(msg, F.col("n")).alias("warning_msg"))
+        F.col("run.user_id").alias("user_id"), "first_fail_time", "last_fail_time",
+        F.format_string(msg, F.col("n")).alias("warning_msg"))
 
 
 def _order_cols(orders: DataFrame) -> list[str]:
     return ["timestamp", "_type_rank"] + (["seq"] if "seq" in orders.columns else [])
 
 
-def order_pay_match(orders: DataFrame, within_s: int = 300, chunking: str = "time",
+def order_pay_match(orders: DataFrame, within_s: int = 300, chunking: str = "balanced",
                     rows_per_chunk: int = 1 << 20) -> DataFrame:
     """(order_id, result_state): 'payed', or 'timeout <create + within, epoch ms>' per create.
 
-    An order has a handful of events, so hourly time chunks are the default; ``chunking='balanced'``
-    bounds the rows per task for any order id at the cost of one more pass."""
+    The rows per task are bounded for any order id; ``chunking='time'`` saves a pass where every order has a
+    handful of events. A NULL order id is a key like any other."""
     df = orders.filter(F.col("event_type").isin("create", "pay")).withColumn(
         "_type_rank", F.when(F.col("event_type") == "create", 0).otherwise(1))
     df = seq.chunk_by(df, ["order_id"], "timestamp", chunking, target_rows=rows_per_chunk)

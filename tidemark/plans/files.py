@@ -65,12 +65,14 @@ def marketing_by_channel(spark: SparkSession, marketing: str, total: bool = Fals
     return c.select("channel", "behavior", end_string("window_end").alias("window_end"), "cnt")
 
 
-def ad_statistics(spark: SparkSession, ad_clicks: str, limit: int = 100, output: str = "province") -> DataFrame:
-    """``output``: 'province' (counts per province and window), 'blacklist' (warnings) or 'passed'."""
+def ad_statistics(spark: SparkSession, ad_clicks: str, limit: int = 100, output: str = "province",
+                  reset: str = "none") -> DataFrame:
+    """``output``: 'province' (counts per province and window), 'blacklist' (warnings) or 'passed'. ``reset``:
+    'none', or 'calendar_day' to count each day anew."""
     clicks = _with_ts(read_records(spark, ad_clicks, "ad_click"))
     if output == "blacklist":
-        return blocking.blacklist_warnings(clicks, limit)
-    passed = blocking.block_clicks(clicks, limit)
+        return blocking.blacklist_warnings(clicks, limit, reset=reset)
+    passed = blocking.block_clicks(clicks, limit, reset=reset)
     if output == "passed":
         return passed.drop("seq", "ts")
     c = windows.window_count(passed, ["province"], "1 hour", "5 minutes", count_col="cnt")

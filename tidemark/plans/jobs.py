@@ -12,9 +12,9 @@ from pyspark.sql import functions as F
 from tidemark.functions import report
 from tidemark.functions.time import end_string
 from tidemark.operators import blocking, distinct, joins, lateness, patterns, topn, windows
-from tidemark.sources import adapters
+from tidemark.sources import adapters, records
 from tidemark.session import materialize
-from tidemark.sources.access_log import parse_access_log
+from tidemark.sources.access_log import parse_access_log, rejected_lines
 
 # Values used on the driver tables (sparse event data).
 DRIVER = {
@@ -92,13 +92,15 @@ def access_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     return parse_access_log(lines)
 
 
-def _page_split(spark, sf_dir, size, slide, bound, allowed_lateness):
+def _page_split(spark, sf_dir, size, slide, bound, allowed_lateness, write=True):
     # The watermark follows every log line; the method and asset filters come after it. The marked
     # requests feed the pane window, whose chunk summaries and joins read them several times; they are
     # written once to the shared checkpoint folder so the log is not rebuilt from the scans per branch.
     marked = lateness.watermark_before(access_log(spark, sf_dir), "timestamp", bound)
-    requests = materialize(marked.filter((F.col("method") == "GET") & ~F.col("url").rlike(STATIC_ASSET))
-                           .withColumn("ts", F.timestamp_millis("timestamp")), "page-requests")
+    requests = (marked.filter((F.col("method") == "GET") & ~F.col("url").rlike(STATIC_ASSET))
+                .withColumn("ts", F.timestamp_millis("timestamp")))
+    if write:
+        requests = materialize(requests, "page-requests")
     return lateness.split_late(requests, "timestamp", size, slide, watermark="watermark",
                                lateness=allowed_lateness)
 
@@ -122,7 +124,7 @@ def hot_pages_report(spark: SparkSession, sf_dir: str, n: int = 3) -> DataFrame:
 def late_pages(spark: SparkSession, sf_dir: str, size: str = "10 minutes", slide: str = "5 seconds",
                bound: str = "1 second", allowed_lateness: str = "1 minute") -> DataFrame:
     """(ip, user_id, timestamp, method, url): requests too late for every window (the late side output)."""
-    _, late = _page_split(spark, sf_dir, size, slide, bound, allowed_lateness)
+    _, late = _page_split(spark, sf_dir, size, slide, bound, allowed_lateness, write=False)
     return late.select("ip", "user_id", "timestamp", "method", "url")
 
 
@@ -259,3 +261,89 @@ def tx_match_key(spark: SparkSession, sf_dir: str) -> DataFrame:
 def tx_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(order_id, tx_id, pay_time, pay_channel, receipt_time): receipts within [-3 s, +5 s] of the pay."""
     return joins.interval_join(joins.pays_of(_orders(spark, sf_dir)), _receipts(spark, sf_dir), -3, 5)
+
+
+def tx_match_repeated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Reconciliation where tx ids repeat, with orphans between the pairs."""
+    orders = _t(spark, sf_dir, "orders")
+    return joins.reconcile(adapters.retried_pays(orders), adapters.repeated_receipts(orders), "interval")
+
+
+def order_timeout_early(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(order_id, result_state) of orders many of which are paid before they are created."""
+    return patterns.order_state(adapters.early_paid_orders(_t(spark, sf_dir, "orders")), 900)
+
+
+# ---- further forms of the analyses ----------------------------------------------------------------------
+
+def channel_counts_null(spark: SparkSession, sf_dir: str, method: str = "auto") -> DataFrame:
+    """``channel_counts`` with 'signup' events as a NULL behaviour and user_id % 7 = 0 on a NULL channel."""
+    m = _marketing(spark, sf_dir).join(
+        _t(spark, sf_dir, "events").filter("event_type = 'signup'").select(F.col("event_id").alias("seq")), "seq", "left_anti")
+    nulls = adapters.marketing_events(_t(spark, sf_dir, "events").filter("event_type = 'signup'")).withColumn(
+        "behavior", F.lit(None).cast("string"))
+    m = m.select(*nulls.columns).unionByName(nulls).withColumn(
+        "channel", F.when(F.col("user_id") % 7 != 0, F.col("channel")))
+    c = windows.window_count(m, ["channel", "behavior"], "1 hour", "5 seconds", method=method, count_col="cnt")
+    return c.select("channel", "behavior", end_string("window_end").alias("window_end"), "cnt")
+
+
+def ad_blacklist_daily(spark: SparkSession, sf_dir: str, limit: int = 2) -> DataFrame:
+    """(user_id, ad_id, warning_msg): one warning per key and calendar day over the limit."""
+    return blocking.blacklist_warnings(_clicks(spark, sf_dir), limit, reset="calendar_day")
+
+
+def ad_passed_daily(spark: SparkSession, sf_dir: str, limit: int = 2) -> DataFrame:
+    """The ad clicks that pass the blocker when its counts begin anew each calendar day."""
+    return blocking.block_clicks(_clicks(spark, sf_dir), limit, reset="calendar_day").select(
+        "user_id", "ad_id", "province", "city", "timestamp")
+
+
+def uv_bitmap_small(spark: SparkSession, sf_dir: str, bits: int = 5) -> DataFrame:
+    """Distinct offsets in a bitmap so small that user ids collide."""
+    return distinct.uv_bitmap(page_views(spark, sf_dir), bits=bits)
+
+
+def uv_approx_checked(spark: SparkSession, sf_dir: str, rsd: float = 0.01) -> DataFrame:
+    """(url, window_end, cnt, within): the exact count and whether the estimate is within 5 rsd (and 1) of it."""
+    exact = distinct.uv_exact(page_views(spark, sf_dir))
+    approx = distinct.uv_approx(page_views(spark, sf_dir), rsd=rsd).select("window_end", F.col("cnt").alias("_a"))
+    return exact.join(approx, "window_end").select(
+        "url", "window_end", "cnt", (F.abs(F.col("_a") - F.col("cnt")) <= 5 * rsd * F.col("cnt") + 1).alias("within"))
+
+
+def _round_trip(df: DataFrame, kind: str) -> DataFrame:
+    """Records written as lines and parsed again."""
+    return records.parse_records(records.render_records(df, kind), kind)
+
+
+def records_behavior(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _round_trip(behaviors(spark, sf_dir), "behavior")
+
+
+def records_ad_click(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _round_trip(_clicks(spark, sf_dir), "ad_click")
+
+
+def records_login(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _round_trip(_logins(spark, sf_dir), "login")
+
+
+def records_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _round_trip(_orders(spark, sf_dir), "order")
+
+
+def records_receipt(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _round_trip(_receipts(spark, sf_dir), "receipt")
+
+
+def access_log_lenient(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(method, url, kept, rejected): lines per request that the lenient reading keeps, and the number of lines
+    that it rejects (method and url NULL)."""
+    lines = adapters.cut_lines(adapters.access_log_lines(_t(spark, sf_dir, "events"), _t(spark, sf_dir, "pages")))
+    zero = F.lit(0).cast("long")
+    kept = parse_access_log(lines, strict=False).groupBy("method", "url").agg(F.count(F.lit(1)).alias("kept"))
+    lost = rejected_lines(lines).agg(F.count(F.lit(1)).alias("rejected"))
+    none = F.lit(None).cast("string")
+    return kept.withColumn("rejected", zero).unionByName(
+        lost.select(none.alias("method"), none.alias("url"), zero.alias("kept"), "rejected"))

@@ -212,6 +212,81 @@ SELECT py.order_id, py.tx_id, py.t AS pay_time, rc.pay_channel, rc.t AS receipt_
 FROM py JOIN rc ON py.tx_id = rc.tx_id AND rc.t BETWEEN py.t - 3 AND py.t + 5"""
 
 
+# Each tx id is walked through by the clock: the state is how many pays and receipts are done with; the next
+# pay and the next receipt pair up, or the one that cannot wait for the other goes.
+TX_MATCH_REPEATED = """WITH RECURSIVE o AS (SELECT o_orderkey AS k, epoch_us(o_orderdate) // 1000000 AS tc FROM orders),
+py AS (SELECT k AS order_id, 'tx' || CAST(k AS VARCHAR) AS tx_id, tc + (k * 7919) % 1800 + d AS t
+       FROM o, (VALUES (0), (4), (100)) v(d)
+       WHERE k % 11 <> 0 AND (d = 0 OR (d = 4 AND k % 5 = 0) OR (d = 100 AND k % 10 = 0))),
+r0 AS (SELECT CASE WHEN k % 19 = 0 THEN 'rx' ELSE 'tx' END || CAST(k AS VARCHAR) AS tx_id,
+              CASE WHEN k % 2 = 0 THEN 'wechat' ELSE 'alipay' END AS pay_channel,
+              tc + (k * 7919) % 1800 + k % 13 - 6 AS t0 FROM o WHERE k % 11 <> 0 AND k % 17 <> 0),
+rc AS (SELECT tx_id, pay_channel, t0 + d AS t FROM r0, (VALUES (0), (2), (101)) v(d)
+       WHERE d = 0 OR (d = 2 AND t0 % 3 = 0) OR (d = 101 AND t0 % 7 = 0)),
+p AS (SELECT *, row_number() OVER (PARTITION BY tx_id ORDER BY t, order_id) AS i FROM py),
+r AS (SELECT *, row_number() OVER (PARTITION BY tx_id ORDER BY t, pay_channel) AS j FROM rc),
+walk AS (
+  SELECT tx_id, CAST(1 AS BIGINT) AS i, CAST(1 AS BIGINT) AS j, '' AS did
+  FROM (SELECT tx_id FROM py UNION SELECT tx_id FROM rc)
+  UNION ALL
+  SELECT tx_id, i + CASE WHEN did <> 'receipt' THEN 1 ELSE 0 END, j + CASE WHEN did <> 'pay' THEN 1 ELSE 0 END, did
+  FROM (SELECT w.tx_id, w.i, w.j,
+               CASE WHEN r.t IS NULL OR r.t > p.t + 5 THEN 'pay' WHEN p.t IS NULL OR p.t > r.t + 3 THEN 'receipt'
+                    ELSE 'both' END AS did
+        FROM walk w LEFT JOIN p ON p.tx_id = w.tx_id AND p.i = w.i LEFT JOIN r ON r.tx_id = w.tx_id AND r.j = w.j
+        WHERE p.t IS NOT NULL OR r.t IS NOT NULL)),
+done AS (SELECT tx_id, did, CASE WHEN did <> 'receipt' THEN i - 1 END AS i, CASE WHEN did <> 'pay' THEN j - 1 END AS j
+         FROM walk WHERE did <> '')
+SELECT CASE did WHEN 'both' THEN 'matched-pays' WHEN 'pay' THEN 'unmatched-pays' ELSE 'unmatched-receipts' END AS tag,
+       p.order_id, d.tx_id, p.t AS pay_time, r.pay_channel, r.t AS receipt_time
+FROM done d LEFT JOIN p ON p.tx_id = d.tx_id AND p.i = d.i LEFT JOIN r ON r.tx_id = d.tx_id AND r.j = d.j"""
+
+ORDER_TIMEOUT_EARLY = ORDER_TIMEOUT.replace(
+    "tc + (k * 7919) % 1800 AS t FROM o WHERE k % 11 <> 0)",
+    "tc + (k * 7919) % 1800 - CASE WHEN k % 4 = 0 THEN 2000 ELSE 0 END AS t FROM o WHERE k % 11 <> 0)")
+
+CHANNEL_COUNTS_NULL = f"""WITH m AS (
+  SELECT CASE event_type WHEN 'click' THEN 'CLICK' WHEN 'view' THEN 'DOWNLOAD' WHEN 'purchase' THEN 'INSTALL' END AS behavior,
+         CASE WHEN user_id % 7 <> 0 THEN ['app store', 'wechat', 'weibo'][{K} % 3 + 1] END AS channel, {T_MS} AS t
+  FROM events WHERE event_type IS DISTINCT FROM 'error'),
+w AS (SELECT channel, behavior, (t // 5000 + 1 + j) * 5000 AS e FROM m, range(720) r(j))
+SELECT channel, behavior, {_ts_string('e')} AS window_end, count(*) AS cnt FROM w GROUP BY channel, behavior, e"""
+
+CLICKS_DAILY = CLICKS.replace("PARTITION BY user_id, ad_id ORDER", "PARTITION BY user_id, ad_id, timestamp // 86400 ORDER")
+
+AD_BLACKLIST_DAILY = f"""{CLICKS_DAILY}
+SELECT user_id, ad_id, 'click over 2times.' AS warning_msg FROM r WHERE pos = 3"""
+
+AD_PASSED_DAILY = f"""{CLICKS_DAILY}
+SELECT user_id, ad_id, province, city, timestamp FROM r WHERE pos <= 2"""
+
+UV_BITMAP_SMALL = f"""WITH pv AS ({PV})
+SELECT 'uv' AS url, (t * 1000 // 3600000 + 1) * 3600000 AS window_end, count(DISTINCT {_offset()} % 32) AS cnt
+FROM pv GROUP BY 2"""
+
+UV_APPROX_CHECKED = f"""WITH u AS ({UNIQUE_VISITOR}) SELECT *, true AS within FROM u"""
+
+RECORDS_BEHAVIOR = f"""SELECT user_id, {K} AS item_id, CAST({K} % 10 AS INTEGER) AS category_id,
+  CASE event_type WHEN 'view' THEN 'pv' WHEN 'purchase' THEN 'buy' WHEN 'click' THEN 'cart' WHEN 'signup' THEN 'fav'
+                  WHEN 'error' THEN 'other' END AS behavior, {T_S} AS timestamp FROM events"""
+
+RECORDS_AD_CLICK = f"""{CLICKS} SELECT user_id, ad_id, province, city, timestamp FROM r"""
+
+RECORDS_LOGIN = f"""SELECT user_id, {_ip()} AS ip,
+  CASE WHEN event_type = 'error' THEN 'fail' ELSE 'success' END AS login_state, {T_S} AS timestamp FROM events"""
+
+RECORDS_ORDER = f"""{ORDER_ROWS}
+SELECT order_id, 'create' AS event_type, '' AS tx_id, t AS timestamp FROM cr
+UNION ALL SELECT order_id, 'pay', tx_id, t FROM py"""
+
+RECORDS_RECEIPT = f"""{ORDER_ROWS} SELECT tx_id, pay_channel, t AS timestamp FROM rc"""
+
+ACCESS_LOG_LENIENT = f"""{LOG.split('wm AS (')[0].rstrip().rstrip(',')}
+SELECT method, url, count(*) AS kept, CAST(0 AS BIGINT) AS rejected FROM lg
+WHERE seq % 9 <> 0 AND seq % 11 <> 0 GROUP BY method, url
+UNION ALL SELECT NULL, NULL, 0, count(*) FROM lg WHERE seq % 9 = 0 OR seq % 11 = 0"""
+
+
 ORACLES: dict[str, str] = {
     "hot_items": HOT_ITEMS,
     "item_counts": ITEM_COUNTS,
@@ -240,4 +315,17 @@ ORACLES: dict[str, str] = {
     "tx_match": _tx_match(True),
     "tx_match_key": _tx_match(False),
     "tx_join": TX_JOIN,
+    "tx_match_repeated": TX_MATCH_REPEATED,
+    "order_timeout_early": ORDER_TIMEOUT_EARLY,
+    "channel_counts_null": CHANNEL_COUNTS_NULL,
+    "ad_blacklist_daily": AD_BLACKLIST_DAILY,
+    "ad_passed_daily": AD_PASSED_DAILY,
+    "uv_bitmap_small": UV_BITMAP_SMALL,
+    "uv_approx_checked": UV_APPROX_CHECKED,
+    "records_behavior": RECORDS_BEHAVIOR,
+    "records_ad_click": RECORDS_AD_CLICK,
+    "records_login": RECORDS_LOGIN,
+    "records_order": RECORDS_ORDER,
+    "records_receipt": RECORDS_RECEIPT,
+    "access_log_lenient": ACCESS_LOG_LENIENT,
 }
