@@ -15,13 +15,13 @@ from pyspark.sql import types as T
 
 from tidemark.functions import bitmap, report
 from tidemark.functions.time import duration_ms
-from tidemark.operators import topn
+from tidemark.operators import patterns, topn
 from tidemark.operators.lateness import last_end
 from tidemark.session import delete_path, list_names, path_exists
 from tidemark.streaming.aggregations import event_time, pane_window_count_stream, window_count_stream
 from tidemark.streaming.processors import (
     LOGIN_WARNING, ORDER_RESULT, RUNNING_UV, TX_RESULT, ClickBlockerProcessor, LoginFailPairProcessor,
-    LoginFailStreakProcessor, LoginFailTimerProcessor, OrderPayTimeoutProcessor, OrderStateProcessor,
+    LoginFailStreakProcessor, LoginFailTimerProcessor, OrderStateProcessor,
     RunningNumberProcessor, TxMatchProcessor)
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
@@ -38,9 +38,22 @@ def order_state_stream(orders: DataFrame, timeout_s: int = 900, delay: str = "20
 
 def order_pay_timeout_stream(orders: DataFrame, within_s: int = 300,
                              delay: str = "200 milliseconds") -> DataFrame:
-    return (event_time(orders, "ts", delay).filter(F.col("event_type").isin("create", "pay"))
-            .groupBy("order_id")
-            .transformWithState(OrderPayTimeoutProcessor(within_s), ORDER_RESULT, "Append", "EventTime"))
+    """(order_id, result_state) per create: 'payed' if a pay of the order follows within the limit (strict), else
+    'timeout <create + within, epoch ms>'. An outer interval join of the creates with the pays, so state
+    lives no longer than the interval; a create with several such pays comes out once."""
+    src = event_time(orders, "ts", delay)
+    own = [F.col("seq").alias("c_seq")] if "seq" in orders.columns else []
+    creates = src.filter(F.col("event_type") == "create").select("order_id", F.col("timestamp").alias("c_time"),
+                                                                 F.col("ts").alias("c_ts"), *own)
+    pays = src.filter(F.col("event_type") == "pay").select(F.col("order_id").alias("p_id"), F.col("ts").alias("p_ts"))
+    cond = F.col("order_id").eqNullSafe(F.col("p_id")) & F.expr(
+        f"p_ts >= c_ts AND p_ts < c_ts + INTERVAL '{within_s}' SECOND")
+    joined = creates.join(pays, cond, "left_outer")
+    timeout = F.concat(F.lit(patterns.TIMEOUT_PREFIX), ((F.col("c_time") + within_s) * 1000).cast("string"))
+    names = [c for c in joined.columns if c == "c_seq"]
+    state = F.when(F.col("p_ts").isNotNull(), patterns.PAYED).otherwise(timeout).alias("result_state")
+    once = joined.select("order_id", "c_ts", *names, state).dropDuplicates(["order_id", "c_ts", *names])
+    return once.select("order_id", "result_state")
 
 
 def blocker_stream(clicks: DataFrame, limit: int = 100, reset: str = "none", delay: str | None = None,

@@ -93,55 +93,6 @@ class OrderStateProcessor(StatefulProcessor):
         pass
 
 
-class OrderPayTimeoutProcessor(StatefulProcessor):
-    """Each create waits ``within_s`` for a later pay: 'payed', or 'timeout <create + within ms>'."""
-
-    def __init__(self, within_s: int = 300):
-        self.within_ms = within_s * 1000
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
-        self.pending = handle.getListState("pending", "created long")
-
-    def handleInputRows(self, key, rows, timerValues):
-        (order_id,) = key
-        pending = [p[0] for p in self.pending.get()] if self.pending.exists() else []
-        out = []
-        for r in sorted(rows, key=lambda r: (r["timestamp"], r["event_type"] != "create")):
-            ts_ms = r["timestamp"] * 1000
-            if r["event_type"] == "create":
-                pending.append(ts_ms)
-                self.handle.registerTimer(ts_ms + self.within_ms)
-            elif r["event_type"] == "pay":
-                for c in pending:
-                    if ts_ms - c < self.within_ms:
-                        out.append(Row(order_id=order_id, result_state=patterns.PAYED))
-                    else:
-                        out.append(Row(order_id=order_id,
-                                       result_state=f"{patterns.TIMEOUT_PREFIX}{c + self.within_ms}"))
-                    self.handle.deleteTimer(c + self.within_ms)
-                pending = []
-        self.pending.clear()
-        if pending:
-            self.pending.put([(c,) for c in pending])
-        return iter(out)
-
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
-        (order_id,) = key
-        due = expiredTimerInfo.getExpiryTimeInMs()
-        pending = [p[0] for p in self.pending.get()] if self.pending.exists() else []
-        out = [Row(order_id=order_id, result_state=f"{patterns.TIMEOUT_PREFIX}{c + self.within_ms}")
-               for c in pending if c + self.within_ms <= due]
-        keep = [c for c in pending if c + self.within_ms > due]
-        self.pending.clear()
-        if keep:
-            self.pending.put([(c,) for c in keep])
-        return iter(out)
-
-    def close(self) -> None:
-        pass
-
-
 class ClickBlockerProcessor(StatefulProcessor):
     """The rule of :mod:`tidemark.operators.blocking` per (user, ad): by its position in arrival order and
     reset period a row passes (up to ``limit``, tag 'data'), warns (the next one, 'blacklist') or is dropped.
