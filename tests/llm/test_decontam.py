@@ -101,3 +101,21 @@ def test_empty_tables(spark):
     assert decontam.phrase_matches(index, none).where(F.size("spans") > 0).count() == 0
     assert decontam.phrase_matches(index, none).count() == len(awkward.texts())
     assert decontam.phrase_matches(decontam.build_index(awkward.empty(spark)), awkward.items(spark)).count() == 0
+
+
+def test_queries_of_common_words_are_taken_in_parts(monkeypatch):
+    import numpy as np
+    words = [b"a", b"b"] * 300 + [b"a"] * 100
+    hashes = decontam.WordHashes()
+    import pyarrow as pa
+    i32 = pa.list_(pa.int32())
+    seg_schema = pa.schema([("segment", pa.string()), ("doc_ids", pa.list_(pa.int64())), ("starts", i32), ("n_words", i32),
+                            ("terms", pa.binary()), ("offsets", pa.binary()), ("positions", pa.binary())])
+    row = decontam._segment([1], [0], [len(words)], [hashes.of(words)], seg_schema).to_pylist()[0]
+    seg = decontam.Segment(row["starts"], row["n_words"], row["terms"], row["offsets"], row["positions"])
+    queries = np.array([hashes.of(list(q)) for q in ([b"a", b"b", b"a"], [b"b", b"a", b"a"], [b"a", b"a", b"a"], [b"b", b"b", b"a"])])
+    whole = sorted(zip(*(x.tolist() for x in seg.phrases(queries))))
+    want = sorted((i, s) for i, q in enumerate(([b"a", b"b", b"a"], [b"b", b"a", b"a"], [b"a", b"a", b"a"], [b"b", b"b", b"a"]))
+                  for s in range(len(words) - 2) if words[s:s + 3] == q)
+    monkeypatch.setattr(decontam, "CANDIDATES", 50)
+    assert whole == want == sorted(zip(*(x.tolist() for x in seg.phrases(queries))))

@@ -39,6 +39,8 @@ WINDOW = 10
 #: Words of a segment (a longer document is a segment of its own), and words between two documents.
 SEGMENT_WORDS = 1 << 18
 GAP = 64
+#: Candidate positions that are intersected at once, about.
+CANDIDATES = 1 << 21
 #: Characters of query texts that are sent to the tasks at once.
 BLOCK_CHARS = 32 << 20
 
@@ -131,10 +133,18 @@ class Segment:
         ids = ids[rows]
         counts = self.offsets[ids + 1] - self.offsets[ids]
         order = np.argsort(counts, axis=1, kind="stable")  # rarest term first
+        n = np.take_along_axis(counts, order[:, :1], 1)[:, 0]
+        # queries of common words alone have many candidates; these are intersected some queries at a time
+        parts = np.split(np.arange(len(rows)), np.flatnonzero(np.diff(np.cumsum(n) // CANDIDATES)) + 1)
+        found = [(rows[part], *self._intersect(ids[part], order[part])) for part in parts]
+        return np.concatenate([own[q] for own, q, _ in found]), np.concatenate([start for _, _, start in found])
+
+    def _intersect(self, ids: np.ndarray, order: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         pick = lambda a, j: np.take_along_axis(a, order[:, j:j + 1], 1)[:, 0]
-        term, n = pick(ids, 0), pick(counts, 0)
+        term = pick(ids, 0)
+        n = self.offsets[term + 1] - self.offsets[term]
         # the postings of each query's rarest term, less its offset in the phrase
-        q = np.repeat(np.arange(len(rows)), n)
+        q = np.repeat(np.arange(len(ids)), n)
         nth = np.arange(len(q)) - np.repeat(np.cumsum(n) - n, n)
         start = self.positions[self.offsets[term][q] + nth] - order[q, 0]
         ok = start >= 0
@@ -144,7 +154,7 @@ class Segment:
             at = np.minimum(np.searchsorted(self.keys, want), len(self.keys) - 1)
             ok = self.keys[at] == want
             q, start = q[ok], start[ok]
-        return rows[q], start
+        return q, start
 
     def near(self, queries: np.ndarray, within: int) -> tuple[np.ndarray, np.ndarray]:
         """(query row, start) of every span of ``within`` words, one that begins with a term of the query, that
