@@ -137,7 +137,8 @@ def access_log_lines(events: DataFrame, pages: DataFrame) -> DataFrame:
     """
     ev = events.select("event_id", "user_id", "event_type", "ts", _k().alias("page_id"))
     pg = pages.select("page_id", "url")
-    joined = ev.join(pg, "page_id", "left")
+    # some hundred distinct page ids: broadcast while the pages' ids and urls are small, else left to the planner
+    joined = join_dimension(ev, pg, "page_id", "left")
     suffix = F.try_element_at(F.array(*[F.lit(s) for s in STATIC_SUFFIXES]), (F.col("page_id") % 10 + 1).cast("int"))
     url = F.concat(F.coalesce(F.col("url"), F.concat(F.lit("/page/"), F.col("page_id").cast("string"))),
                    F.coalesce(suffix, F.lit("")))
