@@ -15,18 +15,18 @@ def files_for(rows: int) -> int:
     return 1 + rows // ROWS_PER_FILE
 
 
-def components(links: DataFrame, most_rounds: int = 60) -> DataFrame:
+def components(links: DataFrame, files: int | None = None, most_rounds: int = 60) -> DataFrame:
     """(id, component) for every id of the links (a, b); component is the smallest id of its component.
 
     Each round hangs the larger neighbours of a node, and the node, on its smallest neighbour (large star), and
     then its smaller neighbours likewise (small star); the links become stars around the smallest ids in a few
     rounds, and never more in number. A node's neighbours are never gathered: the smallest comes from a
     partial aggregation and is joined back, so a node with very many links is split like any other row.
-    The number of files follows the number of links, which only falls.
+    The number of files follows the number of links, which only falls; ``files``: where it is known beforehand.
     """
     edges = materialize(
-        links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v").distinct(), "links")
-    files = files_for(edges.count())
+        links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v").distinct(), "links", files)
+    files = files or files_for(edges.count())
     for _ in range(most_rounds):
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))

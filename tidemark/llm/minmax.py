@@ -162,7 +162,7 @@ def _merged(label: DataFrame, links: DataFrame, files: int) -> DataFrame:
     """``label`` (cid, component) after the links (a, b) have merged components."""
     end = lambda c: label.select(F.col("cid").alias(c), F.col("component").alias(f"c{c}"))
     edges = links.join(end("a"), "a").join(end("b"), "b").select(F.col("ca").alias("a"), F.col("cb").alias("b"))
-    new = components(edges).select("id", F.col("component").alias("root"))
+    new = components(edges, files).select("id", F.col("component").alias("root"))
     return materialize(label.join(new, F.col("component") == F.col("id"), "left")
                        .select("cid", F.coalesce("root", "component").alias("component")), "minmax-labels", files)
 
@@ -234,7 +234,7 @@ def _classified(docs: DataFrame, shingle: int, percent: int, n_permutations: int
     for turn in range(ROUNDS):
         pairs = _partners(_mixed(members, label, turn), percent)
         pairs = materialize(pairs if tested is None else pairs.join(tested, ["a", "b"], "left_anti"), "minmax-pairs", files)
-        links = materialize(_linked(pairs, sets, percent), "minmax-links")
+        links = materialize(_linked(pairs, sets, percent).repartition(files), "minmax-links")
         tested = pairs if tested is None else tested.unionByName(pairs)
         if not links.isEmpty():
             label = _merged(label, links, files)
@@ -242,7 +242,7 @@ def _classified(docs: DataFrame, shingle: int, percent: int, n_permutations: int
     rest = _mixed(members, label, ROUNDS).where("size > 2").select("cid", "component").distinct()
     rare = materialize(_rarest(sets.join(rest, "cid"), percent), "minmax-rarest")
     pairs = _apart(rare, percent).join(tested, ["a", "b"], "left_anti")
-    label = _merged(label, materialize(_linked(pairs, sets, percent), "minmax-links"), files)
+    label = _merged(label, materialize(_linked(pairs, sets, percent).repartition(files), "minmax-links"), files)
     named = classes.select("cid", F.col("ck").alias("class_key"), "smallest").join(label, "cid", "left")
     lowest = (named.where("component is not null").groupBy("component").agg(F.min("smallest").alias("lowest"))
               .withColumnRenamed("component", "of"))
