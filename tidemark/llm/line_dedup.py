@@ -84,24 +84,20 @@ class LineRuns:
 
     def add(self, own: DataFrame) -> DataFrame:
         """Add a batch (h1, h2, n_docs, top; one row per hash). Returns its new lines, those in no earlier run."""
-        staged = self._table(self._write(own))
-        fresh, seen = staged, None
+        fresh, seen = own, None
         for name in self.runs():
             run = self._table(name).select(*KEY)
             known = fresh.join(run.hint("merge"), KEY, "left_semi")
             fresh = fresh.join(run.hint("merge"), KEY, "left_anti")
             seen = known if seen is None else seen.unionByName(known)
         if seen is None:
-            self._push(0, self._last())
+            rows = own
         else:
-            repeats = seen.withColumn("top", F.lit(None).cast(own.schema["top"].dataType))
-            self._push(0, self._write(fresh.unionByName(repeats)))
+            rows = fresh.unionByName(seen.withColumn("top", F.lit(None).cast(own.schema["top"].dataType)))
+        self._push(0, self._write(rows))
         self.compact()
         return fresh
 
-    def _last(self) -> str:
-        return f"{self.name}_{self.n - 1}"
-
     def _push(self, level: int, name: str) -> None:
         while len(self.levels) <= level:
             self.levels.append([])
