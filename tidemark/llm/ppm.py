@@ -35,6 +35,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import binary_values, crc_mod
+from tidemark.session import materialize
 
 FOLDS, HELD_OUT = 5, 0
 ORDER = 3
@@ -56,7 +57,8 @@ def held_out(doc_id: str = "doc_id") -> Column:
 def training_rows(docs: DataFrame, fit_docs: int = FIT_DOCS, fit_chars: int = FIT_CHARS) -> DataFrame:
     """lang and raw of the sample that is learnt from."""
     rows = docs.where(F.col("lang").isNotNull() & (crc_mod("doc_id", FOLDS) != HELD_OUT))
-    sizes = rows.groupBy(F.col("lang").alias("_lang")).agg(F.count(F.lit(1)).alias("_n"))
+    # one row per language, written so that its size is known and no text is dealt out by language to meet it
+    sizes = materialize(rows.groupBy(F.col("lang").alias("_lang")).agg(F.count(F.lit(1)).alias("_n")), "ppm-sizes", 1)
     draw = F.pmod(F.xxhash64(F.lit("ppm"), "doc_id"), F.lit(1 << 30)) / F.lit(float(1 << 30))
     return (rows.where(F.length("text").between(1, fit_chars)).join(sizes, F.col("lang") == F.col("_lang"))
             .where(draw * F.col("_n") < fit_docs).select("lang", F.col("text").cast("binary").alias("raw")))
