@@ -2,8 +2,8 @@
 
 ``write`` turns pages into WARC records and stores them in ``.warc.zst`` layout: a leading skippable frame that
 holds the (itself compressed) Zstandard dictionary, then one frame per record, so that a record can be read
-alone with the file's dictionary. The dictionary is trained from archived records: a bounded sample, the
-``SAMPLE`` records with the smallest hash among those of at most ``SAMPLE_BYTES``.
+alone with the file's dictionary. The dictionary is trained from archived records, a bounded sample: on
+average ``SAMPLE`` chosen by a hash, at most twice as many, of at most ``SAMPLE_BYTES`` each.
 
 Of records with equal payloads the one with the largest page_id is a response, the others are revisits that
 refer to it and hold no payload (payloads shorter than ``min_revisit`` bytes are always responses). Equal
@@ -119,9 +119,12 @@ def records(archive: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
 
 def build_dictionary(pages: DataFrame, sample: int = SAMPLE, sample_bytes: int = SAMPLE_BYTES) -> bytes:
     """Train on a bounded sample of records of pages (page_id, url, html)."""
-    rows = (pages.where(F.octet_length(F.coalesce("html", F.lit(""))) <= sample_bytes)
+    # a share of the pages by hash: no task sends more than its part of the sample to the driver
+    share = min(1.0, sample / max(1, pages.count()))
+    draw = F.pmod(F.xxhash64("page_id", "url"), F.lit(1 << 40)) / F.lit(float(1 << 40))
+    rows = (pages.where((draw < share) & (F.octet_length(F.coalesce("html", F.lit(""))) <= sample_bytes))
             .select("page_id", "url", F.coalesce(F.col("html").cast("binary"), F.lit(b"")).alias("payload"))
-            .orderBy(F.xxhash64("page_id", "url"), "page_id").limit(sample).collect())
+            .limit(2 * sample).collect())
     return train([record(r["page_id"], r["url"], bytes(r["payload"]), base32_sha1(bytes(r["payload"])))
                   for r in rows])
 
