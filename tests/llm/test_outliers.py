@@ -79,6 +79,22 @@ def test_estimate_is_the_covariance_of_clean_rows(spark):
     assert far.where("not bad").agg(F.avg(F.col("out").cast("int"))).first()[0] < 0.01
 
 
+@pytest.mark.parametrize("feature", [0, 4])
+def test_a_third_of_identical_far_copies(spark, feature):
+    """They bend neither centre nor scatter, and hide no other row that lies out in their direction."""
+    rng = np.random.default_rng(5)
+    sd = np.array([1.0, 0.1, 0.05, 0.03, 0.03])
+    clean = rng.normal(0, 1, (2000, outliers.D)) * sd + 3
+    unit = np.hypot(sd, outliers.FLOORS) * (np.arange(outliers.D) == feature)
+    x = np.vstack([clean, np.tile(3 + 12 * unit, (1000, 1)), [3 + 8 * unit]])
+    kind = ["clean"] * 2000 + ["copy"] * 1000 + ["other"]
+    rows = spark.createDataFrame([("g", k, *map(float, v)) for k, v in zip(kind, x)], ["g", "kind", *outliers.X]).repartition(4)
+    est = outliers.estimates(rows.drop("kind"))
+    gone = rows.join(est, "g").groupBy("kind").agg(F.avg((outliers.distance() > outliers.CUTOFF).cast("int")).alias("out"))
+    by = {r["kind"]: r["out"] for r in gone.collect()}
+    assert by["copy"] == 1 and by["other"] == 1 and by["clean"] < 0.01
+
+
 def test_small_groups_use_their_language(spark):
     docs = spark.read.parquet(f"{SF['0.01']}/documents.parquet").select("doc_id", "lang", "source", "text")
     own = docs.withColumn("source", F.when(F.col("doc_id") % 100 == 0, F.concat(F.lit("tiny"), F.col("doc_id").cast("string")))

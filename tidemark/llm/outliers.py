@@ -2,13 +2,14 @@
 
 Base statistics are counted over each whole text in one row-wise expression, written once, and transformed to
 five features. Per language and source a minimum-covariance-determinant estimate of their centre and scatter
-is found by concentration steps: the 75 % of the rows with the smallest Mahalanobis distances under the current
-estimate give the next one, which never raises the determinant. Two starts are concentrated, and the one with
+is found by concentration steps: the half of the rows with the smallest Mahalanobis distances under the current
+estimate gives the next one, which never raises the determinant. Two starts are concentrated, and the one with
 the smaller determinant is taken, corrected for the trimming, reweighted once, and used for the distances. A
-document whose squared distance exceeds the cutoff is rejected.
+document whose squared distance exceeds the cutoff is rejected. Half of the rows, as a third of a group may be
+copies of one junk text: these share a bin, and a mark that falls into it would take all of them.
 
 A step is a single aggregation: distances fall into bins of their logarithm, and count and moments are summed
-per group and bin, at most ``BINS`` rows a group however many documents it has; the bins up to the 75 % mark are
+per group and bin, at most ``BINS`` rows a group however many documents it has; the bins up to the half mark are
 then added up. So a group with most of the documents is summed by all tasks. Scatter matrices get a small
 diagonal, as features such as symbols are constant in most clean text. Cholesky factors and their inverses are
 columns of the small table of estimates.
@@ -41,7 +42,7 @@ MOST_REPEAT_PERCENT = 30
 #: Standard deviations that are added to each feature's own, in the order of ``features``.
 FLOORS = (0.5, 0.15, 0.1, 0.05, 0.1)
 D = len(FLOORS)
-KEPT_SHARE = 0.75
+KEPT_SHARE = 0.5
 STEPS = 3
 MIN_GROUP = 50
 #: Documents of a clean group beyond the cutoff: 1 in 100,000 if its features were normal.
