@@ -89,6 +89,20 @@ def test_signature_is_unbiased_and_better_than_its_halves():
     assert np.std(errors) < np.std(halves)
 
 
+def test_short_pairs_at_the_threshold_share_a_band():
+    """4 of 5 shingles in common, the hardest pair at 0.8: at most 1 in 100,000 missed."""
+    permutations = minmax.BAND // 2
+    bands = 2 * minmax.PERMUTATIONS // minmax.BAND
+    for k, n in ((4, 5), (8, 10), (80, 100)):
+        assert (1 - (k * (k - 1) / (n * (n - 1))) ** permutations) ** bands < 1e-5
+    rng = np.random.default_rng(7)
+    perms, missed = minmax.permutations(), 0
+    for h in rng.integers(0, 1 << 63, (10_000, 5), dtype=np.uint64):
+        a, b = (minmax.bands_of(minmax.signature(x, perms)) for x in (h[:4], h))
+        missed += not (a == b).any()
+    assert missed == 0
+
+
 def test_one_of_each_keeps_rows_and_columns(spark):
     docs = awkward.documents(spark)
     out = minmax.one_of_each(docs, shingle=2)
