@@ -103,6 +103,29 @@ def test_short_pairs_at_the_threshold_share_a_band():
     assert missed == 0
 
 
+def test_rare_shingles_of_repeated_rows(spark):
+    """Rows that are all there twice give each class one set, and the exact search its pairs."""
+    rng = random.Random(3)
+    rows, n = [], 0
+    for _ in range(15):
+        words = [f"v{rng.randrange(60)}" for _ in range(20)]
+        for _ in range(4):
+            rows.append((n, " ".join(words)))
+            n += 1
+            words = list(words)
+            words[rng.randrange(20)] = f"v{rng.randrange(60)}"
+    want = {(i, j) for i in range(n) for j in range(i + 1, n)
+            if 100 * len(shingles(rows[i][1], 1) & shingles(rows[j][1], 1))
+            >= 80 * len(shingles(rows[i][1], 1) | shingles(rows[j][1], 1))}
+    docs = spark.createDataFrame(rows + rows, "doc_id long, text string")
+    wanted = docs.distinct().select(F.col("doc_id").alias("cid"), F.col("doc_id").alias("home"), minmax.text_key().alias("tk"))
+    sets = minmax._sets(docs, wanted, 1).cache()
+    assert sets.count() == n
+    rare = minmax._rarest(sets.withColumn("component", F.col("cid")), 80)
+    found = {tuple(r) for r in minmax._linked(minmax._apart(rare, 80), sets, 80).collect()}
+    assert len(want) > 20 and found == want
+
+
 def test_one_of_each_keeps_rows_and_columns(spark):
     docs = awkward.documents(spark)
     out = minmax.one_of_each(docs, shingle=2)

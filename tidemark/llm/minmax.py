@@ -134,7 +134,7 @@ def _sets(docs: DataFrame, wanted: DataFrame, shingle: int) -> DataFrame:
     """(cid, hashes) for the wanted classes (cid, home, tk): the set of one document of each."""
     own = docs.select("doc_id", text_key().alias("own_tk"), F.col("text").cast("binary").alias("raw"))
     found = (wanted.join(own, F.col("doc_id").eqNullSafe(F.col("home")) & (F.col("own_tk") == F.col("tk")))
-             .select("cid", "raw"))
+             .select("cid", "raw").dropDuplicates(["cid"]))  # a repeated row has its class once
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes()
