@@ -51,6 +51,10 @@ def test_awkward_rows(spark):
         assert got(minmax.near_duplicates(awkward.documents(spark), size)) == norm(brute(awkward.texts(), size))
 
 
+def test_awkward_rows_in_five_words(spark):
+    assert got(minmax.near_duplicates(awkward.documents(spark), 5)) == norm(brute(awkward.texts(), 5))
+
+
 def test_groups_chains_and_strangers(spark):
     rng = random.Random(11)
     rows, n = [], 0
