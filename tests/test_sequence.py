@@ -114,3 +114,16 @@ def test_balanced_chunks(data):
     w = Window.partitionBy("k").orderBy("t", "seq")
     exp = df.withColumn("prev1_v", F.lag("v", 1).over(w)).withColumn("prev2_v", F.lag("v", 2).over(w))
     _cmp(got, exp, ["k", "seq", "prev1_v", "prev2_v"])
+
+
+def test_running_xor_and_null_times(spark):
+    rows = [(k, None if i == 0 else i, (i * 7919 + (k or 5)) % 1000) for k in (1, 2, None) for i in range(50)]
+    data = spark.createDataFrame(rows, "k long, t long, v long")
+    want = {}
+    for k, t, v in rows:
+        want[k, t] = want.get((k, t - 1 if t and t > 1 else None), 0) ^ v if t else v
+    for target in (7, 1 << 20):
+        df, chunk = seq.chunk_by(data, ["k"], "t", "balanced", target_rows=target)
+        assert (chunk is None) == (target > 50)
+        got = seq.running_agg(df, ["k"], ["t"], chunk, "v", "x", "xor").collect()
+        assert {(r["k"], r["t"]): r["x"] for r in got} == want and len(got) == len(rows)

@@ -79,10 +79,10 @@ def _sessions(events: DataFrame, wait_s: int, chunking: str, rows_per_chunk: int
     begin a new one, and no pair can reach over that gap. Gaps are found on the distinct times of a tx id,
     chunked along time, so a busy tx id is spread over tasks."""
     times = events.select("tx_id", "t").distinct()
-    times = seq.chunk_by(times, ["tx_id"], "t", chunking, target_rows=rows_per_chunk)
-    times = seq.shift(times, ["tx_id"], ["t"], "_chunk", ["t"], 1, "prev")
+    times, chunk = seq.chunk_by(times, ["tx_id"], "t", chunking, target_rows=rows_per_chunk)
+    times = seq.shift(times, ["tx_id"], ["t"], chunk, ["t"], 1, "prev")
     opens = F.col("prev1_t").isNull() | (F.col("t") - F.col("prev1_t") > wait_s)
-    times = seq.running_agg(times, ["tx_id"], ["t"], "_chunk", F.when(opens, F.col("t")), "_session", "max")
+    times = seq.running_agg(times, ["tx_id"], ["t"], chunk, F.when(opens, F.col("t")), "_session", "max")
     times = times.select(F.col("tx_id").alias("_tx"), F.col("t").alias("_t"), "_session")
     return events.join(times, F.col("tx_id").eqNullSafe(F.col("_tx")) & (F.col("t") == F.col("_t"))).drop("_tx", "_t")
 
@@ -147,11 +147,11 @@ def _paired_by_waiting(pays: DataFrame, receipts: DataFrame, pay_wait_s: int, re
 def _paired_by_rank(pays: DataFrame, receipts: DataFrame, chunking: str, rows_per_chunk: int) -> DataFrame:
     """The n-th pay of a tx id with its n-th receipt: tx_id, order_id, pay_time, pay_channel, receipt_time."""
     p = pays.select("order_id", "tx_id", F.col("timestamp").alias("pay_time"))
-    p = seq.chunk_by(p, ["tx_id"], "pay_time", chunking, target_rows=rows_per_chunk)
-    p = seq.rank(p, ["tx_id"], ["pay_time", "order_id"], "_chunk", out="_n").drop("_chunk")
+    p, chunk = seq.chunk_by(p, ["tx_id"], "pay_time", chunking, target_rows=rows_per_chunk)
+    p = seq.rank(p, ["tx_id"], ["pay_time", "order_id"], chunk, out="_n").drop("_chunk")
     r = receipts.select("tx_id", "pay_channel", F.col("timestamp").alias("receipt_time"))
-    r = seq.chunk_by(r, ["tx_id"], "receipt_time", chunking, target_rows=rows_per_chunk)
-    r = seq.rank(r, ["tx_id"], ["receipt_time", "pay_channel"], "_chunk", out="_n").drop("_chunk")
+    r, chunk = seq.chunk_by(r, ["tx_id"], "receipt_time", chunking, target_rows=rows_per_chunk)
+    r = seq.rank(r, ["tx_id"], ["receipt_time", "pay_channel"], chunk, out="_n").drop("_chunk")
     key = F.struct("tx_id", "_n")
     j = p.withColumn("_k", key).drop("tx_id", "_n").join(r.withColumn("_k", key).drop("tx_id", "_n"), "_k", "full_outer")
     return j.withColumn("tx_id", F.col("_k.tx_id"))

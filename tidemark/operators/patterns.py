@@ -55,11 +55,11 @@ def login_fail_streak(logins: DataFrame, times: int = 3, within_s: int = 5,
                       rows_per_chunk: int = 1 << 20) -> DataFrame:
     """(user_id, first_fail_time, last_fail_time, warning_msg): k consecutive fails in event time."""
     k = times
-    df = seq.balanced_chunk(logins.select("user_id", "login_state", "timestamp", "seq"), ["user_id"],
-                            "timestamp", target_rows=rows_per_chunk)
+    df, chunk = seq.chunk_by(logins.select("user_id", "login_state", "timestamp", "seq"), ["user_id"],
+                             "timestamp", "balanced", target_rows=rows_per_chunk)
     order = ["timestamp", "seq"]
     if k > 1:
-        df = seq.shift(df, ["user_id"], order, "_chunk", ["login_state", "timestamp"], k - 1, "next")
+        df = seq.shift(df, ["user_id"], order, chunk, ["login_state", "timestamp"], k - 1, "next")
     all_fail = F.col("login_state") == "fail"
     for i in range(1, k):
         all_fail = all_fail & (F.col(f"next{i}_login_state") == "fail")
@@ -87,20 +87,20 @@ def login_fail_timed(logins: DataFrame, limit_s: int = 2, min_fails: int = 2,
     """
     order = ["timestamp", "seq"]
     keys = ["run"]
-    df = seq.balanced_chunk(logins.select("user_id", "login_state", "timestamp", "seq"), ["user_id"],
-                            "timestamp", target_rows=rows_per_chunk)
-    df = seq.shift(df, ["user_id"], order, "_chunk", ["login_state", "timestamp"], 1, "prev")
+    df, chunk = seq.chunk_by(logins.select("user_id", "login_state", "timestamp", "seq"), ["user_id"],
+                             "timestamp", "balanced", target_rows=rows_per_chunk)
+    df = seq.shift(df, ["user_id"], order, chunk, ["login_state", "timestamp"], 1, "prev")
     is_fail = F.col("login_state") == "fail"
     opens = is_fail & (F.col("prev1_login_state").isNull() | (F.col("prev1_login_state") != "fail")
                        | (F.col("timestamp") - F.col("prev1_timestamp") >= limit_s))
-    df = seq.running_sum(df, ["user_id"], order, "_chunk", opens.cast("long"), out="_run")
+    df = seq.running_sum(df, ["user_id"], order, chunk, opens.cast("long"), out="_run")
     # a struct, so that a NULL user is a user
-    df = df.filter(F.col("_run") > 0).select(F.struct("user_id", "_run").alias("run"), "timestamp", "seq", "_chunk",
-                                             is_fail.alias("_fail"))
+    df = df.filter(F.col("_run") > 0).select(F.struct("user_id", "_run").alias("run"), "timestamp", "seq",
+                                             *([chunk] if chunk else []), is_fail.alias("_fail"))
     df = materialize(df, "fail-runs")
     # The success that ends a run (its first success) can cancel the run's last group.
     ends = df.filter(~F.col("_fail")).groupBy("run").agg(F.min("timestamp").alias("_succ"))
-    fails = materialize(seq.rank(df.filter("_fail").drop("_fail"), keys, order, "_chunk", out="_i")
+    fails = materialize(seq.rank(df.filter("_fail").drop("_fail"), keys, order, chunk, out="_i")
                         .withColumn("_i", F.col("_i") - 1), "fail-index")
     runs = fails.groupBy("run").agg(F.count(F.lit(1)).alias("_n")).join(ends, "run", "left")
     # next(i): first fail with t >= t_i + limit, found as the next data row after a probe at t_i + limit.
@@ -108,15 +108,16 @@ def login_fail_timed(logins: DataFrame, limit_s: int = 2, min_fails: int = 2,
                           F.col("_i").alias("_src"), F.lit(None).cast("long").alias("_val"))
     data = fails.select("run", "timestamp", F.lit(1).alias("_kind"), F.col("_i").alias("_src"),
                         F.col("_i").alias("_val"))
-    both = seq.balanced_chunk(probes.unionByName(data), keys, "timestamp", target_rows=rows_per_chunk)
-    nxt = materialize(seq.next_value(both, keys, ["timestamp", "_kind", "_src"], "_chunk", "_val", out="_p")
+    both, chunk = seq.chunk_by(probes.unionByName(data), keys, "timestamp", "balanced", target_rows=rows_per_chunk)
+    nxt = materialize(seq.next_value(both, keys, ["timestamp", "_kind", "_src"], chunk, "_val", out="_p")
                       .filter(F.col("_kind") == 0).select("run", F.col("_src").alias("_i"), "_p"), "fail-next")
-    # Pointer doubling: starts holds the jumps 0 .. 2^k - 1 from index 0, jumps the 2^k-th successors.
+    # Pointer doubling: starts holds the jumps 0 .. 2^k - 1 from index 0, jumps the 2^k-th successors. A round
+    # writes the starts that it adds and the jumps that are left.
     starts = nxt.filter(F.col("_i") == 0).select("run", "_i")
     jumps = nxt.filter(F.col("_p").isNotNull())
     while not jumps.isEmpty():
-        reached = starts.join(jumps, ["run", "_i"]).select("run", F.col("_p").alias("_i"))
-        starts = materialize(starts.unionByName(reached), "fail-starts")
+        reached = materialize(starts.join(jumps, ["run", "_i"]).select("run", F.col("_p").alias("_i")), "fail-starts")
+        starts = starts.unionByName(reached)
         hop = jumps.select("run", F.col("_i").alias("_p"), F.col("_p").alias("_q"))
         jumps = materialize(jumps.join(hop, ["run", "_p"]).select("run", "_i", F.col("_q").alias("_p")), "fail-jumps")
     # Each start s covers fails s .. next(s) - 1; the run's last group may be cancelled by its success.
@@ -145,10 +146,10 @@ def order_pay_match(orders: DataFrame, within_s: int = 300, chunking: str = "bal
     handful of events. A NULL order id is a key like any other."""
     df = orders.filter(F.col("event_type").isin("create", "pay")).withColumn(
         "_type_rank", F.when(F.col("event_type") == "create", 0).otherwise(1))
-    df = seq.chunk_by(df, ["order_id"], "timestamp", chunking, target_rows=rows_per_chunk)
-    cols = ["order_id", "event_type", "timestamp", "_type_rank", "_chunk"] + (
+    df, chunk = seq.chunk_by(df, ["order_id"], "timestamp", chunking, target_rows=rows_per_chunk)
+    cols = ["order_id", "event_type", "timestamp", "_type_rank"] + ([chunk] if chunk else []) + (
         ["seq"] if "seq" in orders.columns else [])
-    df = seq.next_value(df.select(*cols), ["order_id"], _order_cols(orders), "_chunk",
+    df = seq.next_value(df.select(*cols), ["order_id"], _order_cols(orders), chunk,
                         F.when(F.col("event_type") == "pay", F.col("timestamp")), out="_next_pay")
     creates = df.filter(F.col("event_type") == "create")
     ok = F.col("_next_pay").isNotNull() & (F.col("_next_pay") - F.col("timestamp") < within_s)

@@ -24,6 +24,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.session import materialize
+
 Cols = Sequence[str]
 KEY = "_seq_key"
 
@@ -43,39 +45,75 @@ def value_chunk(col: str, width: int) -> Column:
     return F.floor(F.col(col) / F.lit(width)).cast("long")
 
 
+#: Rows up to which the chunk table of heavy keys is broadcast (a few dozen bytes each).
+BROADCAST_ROWS = 1 << 18
+
+
 def balanced_chunk(df: DataFrame, keys: Cols, col: str, bucket: int = 60, target_rows: int = 1 << 20,
                    out: str = "_chunk") -> DataFrame:
     """Add ``out``: chunk ids along an ordered numeric column (e.g. epoch seconds) that hold about
     ``target_rows`` rows of a key each, however busy the key is at any time.
 
-    Rows are counted per (key, bucket of ``bucket`` width); consecutive buckets are packed into chunks by
-    the running count of the key (a histogram of one row per non-empty bucket, so its window per key is
-    bounded by the time span, not by the data). Only a single bucket above the target stays one chunk.
+    Keys are counted first (one aggregation, run at once; only its maximum comes back). Where no key has more than
+    ``target_rows`` rows, every row is in chunk 0 and nothing is shuffled for it. Rows of heavier keys are
+    counted per (key, bucket of ``bucket`` width); consecutive buckets are packed into chunks by the running count of
+    the key (its window is bounded by the time span, not by the data). Only a single bucket above the
+    target stays one chunk. That table holds heavy keys alone and is broadcast up to ``BROADCAST_ROWS`` rows; a larger
+    one is joined to the rows of heavy keys, and the others stay where they are. A NULL in ``col`` is in chunk 0,
+    before all others.
     """
-    df, keys = _keyed(df.withColumn("_bk", F.floor(F.col(col) / bucket).cast("long")), keys)
-    hist = df.groupBy(*keys, "_bk").agg(F.count(F.lit(1)).alias("_cnt"))
+    chunked, name = _balanced(df, keys, col, bucket, target_rows, out)
+    return chunked if name else chunked.withColumn(out, F.lit(0).cast("long"))
+
+
+def _balanced(df: DataFrame, keys: Cols, col: str, bucket: int, target_rows: int, out: str) -> tuple[DataFrame, str | None]:
+    own = df
+    df, keys = _keyed(df, keys)
+    per_key = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_cnt"))
+    most = per_key.agg(F.max("_cnt")).first()[0] or 0
+    if most <= target_rows:
+        return own, None
+    df = df.withColumn("_bk", F.floor(F.col(col) / bucket).cast("long"))
+    heavy = materialize(per_key.filter(F.col("_cnt") > target_rows).select(*keys), "heavy-keys")
+    heavy = F.broadcast(heavy) if heavy.count() <= BROADCAST_ROWS else heavy
+    busy = df.join(heavy, keys, "left_semi")
+    hist = busy.filter(F.col("_bk").isNotNull()).groupBy(*keys, "_bk").agg(F.count(F.lit(1)).alias("_cnt"))
     before = Window.partitionBy(*keys).orderBy("_bk").rowsBetween(Window.unboundedPreceding, -1)
-    hist = hist.select(*keys, "_bk", F.floor(F.coalesce(F.sum("_cnt").over(before), F.lit(0))
-                                             / target_rows).cast("long").alias(out))
-    return df.join(hist, [*keys, "_bk"]).drop("_bk", KEY)
+    hist = materialize(hist.select(*keys, "_bk", (F.floor(F.coalesce(F.sum("_cnt").over(before), F.lit(0)) / target_rows)
+                                                  .cast("long") + 1).alias("_at")), "chunks")
+    if hist.count() <= BROADCAST_ROWS:
+        df = df.join(F.broadcast(hist), [*keys, "_bk"], "left")
+    else:
+        rest = df.join(heavy, keys, "left_anti").withColumn("_at", F.lit(0).cast("long"))
+        df = busy.join(hist, [*keys, "_bk"], "left").unionByName(rest)
+    return df.withColumn(out, F.coalesce("_at", F.lit(0))).drop("_bk", "_at", KEY), out
 
 
 def chunk_by(df: DataFrame, keys: Cols, col: str, chunking: str = "time", width: int = 3600,
-             target_rows: int = 1 << 20, out: str = "_chunk") -> DataFrame:
-    """Event-time chunks: ``time`` = fixed buckets of ``width`` (no extra pass; rows per chunk bounded by the
-    key's rate times the width), ``balanced`` = :func:`balanced_chunk` (bounded rows however bursty a key
-    is, for one more aggregation and join)."""
+             target_rows: int = 1 << 20, out: str = "_chunk") -> tuple[DataFrame, str | None]:
+    """``df`` and the name of its chunk column by event time: ``time`` = fixed buckets of ``width`` (no extra pass;
+    rows per chunk bounded by the key's rate times the width), ``balanced`` = :func:`balanced_chunk` (bounded
+    rows however bursty a key is, for one more aggregation). The name is None where no key needs cutting: the operators
+    below then work per key, in a single shuffle."""
     if chunking == "balanced":
-        return balanced_chunk(df, keys, col, target_rows=target_rows, out=out)
-    return df.withColumn(out, value_chunk(col, width))
+        return _balanced(df, keys, col, 60, target_rows, out)
+    return df.withColumn(out, value_chunk(col, width)), out
 
 
 def _order(order: Cols, descending: bool = False) -> list[Column]:
     return [F.col(c).desc() if descending else F.col(c).asc() for c in order]
 
 
-_AGGS = {"sum": F.sum, "max": F.max, "min": F.min}
-_PICK = {"max": F.greatest, "min": F.least}   # NULL-ignoring combination of two partial results
+_AGGS = {"sum": F.sum, "max": F.max, "min": F.min, "xor": F.bit_xor}
+
+
+def _either(a: Column, b: Column, both: Column) -> Column:
+    return F.when(a.isNull(), b).when(b.isNull(), a).otherwise(both)
+
+
+# NULL-ignoring combination of two partial results
+_PICK = {"max": F.greatest, "min": F.least, "sum": lambda a, b: _either(a, b, a + b),
+         "xor": lambda a, b: _either(a, b, a.bitwiseXOR(b))}
 
 
 def _carry(totals: DataFrame, keys: Cols, chunk: str, agg: str, fanout: int = 1024) -> DataFrame:
@@ -96,28 +134,30 @@ def _carry(totals: DataFrame, keys: Cols, chunk: str, agg: str, fanout: int = 10
     inner = Window.partitionBy("_blk").orderBy(chunk).rowsBetween(Window.unboundedPreceding, -1)
     within = t.select("_blk", chunk, fn("_tot").over(inner).alias("_icarry"))
     both = within.join(block_carry, "_blk")
-    if agg == "sum":
-        combined = F.when(F.col("_bcarry").isNull() & F.col("_icarry").isNull(), F.lit(None)).otherwise(
-            F.coalesce(F.col("_bcarry"), F.lit(0)) + F.coalesce(F.col("_icarry"), F.lit(0)))
-    else:
-        combined = _PICK[agg](F.col("_bcarry"), F.col("_icarry"))
-    return both.select(chunk, combined.alias("_carry"))
+    return both.select(chunk, _PICK[agg](F.col("_bcarry"), F.col("_icarry")).alias("_carry"))
 
 
-def running_agg(df: DataFrame, keys: Cols, order: Cols, chunk: str, value: Column | str, out: str,
+def running_agg(df: DataFrame, keys: Cols, order: Cols, chunk: str | None, value: Column | str, out: str,
                 agg: str = "sum", inclusive: bool = True, carry_below: int | None = None,
                 next_of: str | None = None) -> DataFrame:
-    """Running ``agg`` (sum, max or min) of ``value`` per key along ``order``; ``inclusive=False`` covers
+    """Running ``agg`` (sum, max, min or xor) of ``value`` per key along ``order``; ``inclusive=False`` covers
     only the rows strictly before each row (NULL for the first row).
 
     ``carry_below`` (sums of non-negative values): keep only chunks whose carried-in sum is below this
     bound, since rows of later chunks can only have larger sums; used to stop ranking a key past a
     threshold. ``next_of``: also add ``next_<col>``, the value of that column in the next row of the key (a
-    lead across chunk boundaries), computed in the same pass.
+    lead across chunk boundaries), computed in the same pass. ``chunk=None``: no key needs cutting.
     """
     fn = _AGGS[agg]
     val = F.col(value) if isinstance(value, str) else value
     df, keys = _keyed(df.withColumn("_v", val), keys)
+    if chunk is None:
+        by = Window.partitionBy(*keys).orderBy(*_order(order))
+        df = df.withColumn(out, fn("_v").over(by.rowsBetween(Window.unboundedPreceding,
+                                                            Window.currentRow if inclusive else -1)))
+        if next_of:
+            df = df.withColumn(f"next_{next_of}", F.lead(next_of).over(by))
+        return df.drop("_v", KEY)
     aggs = [fn("_v").alias("_tot")]
     if next_of:
         aggs.append(F.min_by(F.col(next_of), F.struct(*[F.col(c) for c in order])).alias("_head"))
@@ -132,32 +172,27 @@ def running_agg(df: DataFrame, keys: Cols, order: Cols, chunk: str, value: Colum
     inside = Window.partitionBy(*keys, chunk).orderBy(*_order(order))
     frame = inside.rowsBetween(Window.unboundedPreceding, Window.currentRow if inclusive else -1)
     local = fn("_v").over(frame)
-    if agg == "sum":
-        summed = F.coalesce(F.col("_carry"), F.lit(0)) + F.coalesce(local, F.lit(0))
-        total = F.when(F.col("_carry").isNull() & local.isNull(), F.lit(None)).otherwise(summed)
-    else:
-        total = _PICK[agg](F.col("_carry"), local)
-    out_df = df.join(carry, [*keys, chunk]).withColumn(out, total)
+    out_df = df.join(carry, [*keys, chunk]).withColumn(out, _PICK[agg](F.col("_carry"), local))
     if next_of:
         out_df = out_df.withColumn(f"next_{next_of}",
                                    F.coalesce(F.lead(next_of).over(inside), F.col("_next_head")))
     return out_df.drop("_carry", "_v", "_next_head", KEY)
 
 
-def running_sum(df: DataFrame, keys: Cols, order: Cols, chunk: str, value: Column | str,
+def running_sum(df: DataFrame, keys: Cols, order: Cols, chunk: str | None, value: Column | str,
                 out: str = "running", carry_below: int | None = None,
                 next_of: str | None = None) -> DataFrame:
     """Inclusive running sum of ``value`` per key along ``order`` (see :func:`running_agg`)."""
     return running_agg(df, keys, order, chunk, value, out, "sum", True, carry_below, next_of)
 
 
-def rank(df: DataFrame, keys: Cols, order: Cols, chunk: str, out: str = "rank",
+def rank(df: DataFrame, keys: Cols, order: Cols, chunk: str | None, out: str = "rank",
          carry_below: int | None = None) -> DataFrame:
     """1-based position of each row within its key along ``order`` (a ``row_number``)."""
     return running_sum(df, keys, order, chunk, F.lit(1).cast("long"), out, carry_below)
 
 
-def shift(df: DataFrame, keys: Cols, order: Cols, chunk: str, cols: Cols, k: int,
+def shift(df: DataFrame, keys: Cols, order: Cols, chunk: str | None, cols: Cols, k: int,
           direction: str = "prev", prefix: str | None = None) -> DataFrame:
     """Add ``{prefix}{i}_{c}`` for i = 1..k and c in ``cols``: the value of ``c`` in the i-th previous
     (``direction='prev'``, a lag) or next (``'next'``, a lead) row of the same key along ``order``."""
@@ -165,6 +200,9 @@ def shift(df: DataFrame, keys: Cols, order: Cols, chunk: str, cols: Cols, k: int
     prefix = prefix or direction
     back = direction == "prev"
     df, keys = _keyed(df, keys)
+    if chunk is None:
+        by, fn = Window.partitionBy(*keys).orderBy(*_order(order)), F.lag if back else F.lead
+        return df.select("*", *[fn(c, i).over(by).alias(f"{prefix}{i}_{c}") for i in range(1, k + 1) for c in cols]).drop(KEY)
     carried = list(dict.fromkeys([*order, *cols]))
     # Edge rows: the last k (prev) or first k (next) rows of every chunk.
     edge_rank = Window.partitionBy(*keys, chunk).orderBy(*_order(order, descending=back))
@@ -192,7 +230,7 @@ def shift(df: DataFrame, keys: Cols, order: Cols, chunk: str, cols: Cols, k: int
     return both.filter(~F.col("_is_ctx")).drop("_is_ctx", KEY)
 
 
-def next_value(df: DataFrame, keys: Cols, order: Cols, chunk: str, value: Column | str,
+def next_value(df: DataFrame, keys: Cols, order: Cols, chunk: str | None, value: Column | str,
                out: str = "next_value") -> DataFrame:
     """First non-null ``value`` in a row strictly after each row of the same key along ``order``.
 
@@ -202,8 +240,10 @@ def next_value(df: DataFrame, keys: Cols, order: Cols, chunk: str, value: Column
     """
     val = F.col(value) if isinstance(value, str) else value
     df, keys = _keyed(df.withColumn("_v", val), keys)
-    after = Window.partitionBy(*keys, chunk).orderBy(*_order(order, descending=True)).rowsBetween(
+    after = Window.partitionBy(*keys, *([chunk] if chunk else [])).orderBy(*_order(order, descending=True)).rowsBetween(
         Window.unboundedPreceding, -1)
+    if chunk is None:
+        return df.withColumn(out, F.last("_v", ignorenulls=True).over(after)).drop("_v", KEY)
     order_key = F.struct(*[F.col(c) for c in order])
     firsts = (df.filter(F.col("_v").isNotNull()).groupBy(*keys, chunk)
               .agg(F.min_by("_v", order_key).alias("_first")))
