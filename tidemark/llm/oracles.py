@@ -179,4 +179,92 @@ SELECT page_id, payload_bytes, payload_digest,
 FROM encoded
 """
 
-ORACLES = {"op1_url_lists": URL_LISTS, "op2_warc": WARC, "op4_decontam": DECONTAM, "op6_line_dedup": LINE_DEDUP, "op8_mixing": MIXING, "op9_tool_calls": TOOL_CALLS}
+# crc32 of a decimal number: the table of bytes, then a fold over the digits
+_CRC_TABLE = """
+crc_table AS (
+  SELECT list(v ORDER BY i) AS t
+  FROM (SELECT i, list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0],
+                              lambda a, x: CASE WHEN a % 2 = 1 THEN xor(3988292384, a >> 1) ELSE a >> 1 END) AS v
+        FROM range(256) r(i)))"""
+_CRC = ("xor(4294967295, list_reduce([4294967295] || list_transform(string_split(CAST({} AS VARCHAR), ''), lambda d: ascii(d)), "
+        "lambda a, b: xor(t[(xor(a, b) & 255) + 1], a >> 8)))")
+
+RUNS = rf"""
+WITH {_CRC_TABLE.strip()},
+hashed AS (
+  SELECT doc_id, {_CRC.format('doc_id')} AS h, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS own
+  FROM documents, crc_table),
+placed AS (SELECT *, len(own) AS n, CASE WHEN len(own) > 0 THEN (h // 10) % len(own) END AS a FROM hashed),
+docs AS (
+  SELECT row_number() OVER () AS r, doc_id, n,
+         CASE WHEN h % 10 = 0 AND n > 0 THEN list_transform(range(n), lambda i: own[
+           1 + CASE WHEN i < a THEN i ELSE a + (i - a) % (1 + (n - a) // (3 + (h // 10) % 8)) END]) ELSE own END AS w
+  FROM placed),
+words AS (SELECT r, n, unnest(w) AS word, generate_subscripts(w, 1) - 1 AS i FROM docs),
+equal AS (
+  SELECT x.r, y.i - x.i AS q, x.i FROM words x JOIN words y ON x.r = y.r AND x.word = y.word
+  WHERE y.i > x.i AND 4 * (y.i - x.i) <= x.n),
+stretches AS (
+  SELECT r, q, min(i) AS start, count(*) + q AS length
+  FROM (SELECT *, i - row_number() OVER (PARTITION BY r, q ORDER BY i) AS g FROM equal)
+  GROUP BY r, q, g HAVING count(*) + q >= greatest(6, 4 * q)),
+runs AS (
+  SELECT * FROM stretches s WHERE NOT EXISTS (
+    SELECT 1 FROM stretches p WHERE p.r = s.r AND p.q < s.q AND s.q % p.q = 0 AND p.start <= s.start
+                                AND p.start + p.length >= s.start + s.length)),
+dropped AS (SELECT DISTINCT r, unnest(range(start + q, start + length)) AS i FROM runs),
+listed AS (
+  SELECT r, count(*) AS n_runs, string_agg(start || ',' || length || ',' || q || chr(10), '' ORDER BY start, q) AS text,
+         first({{'start': start, 'length': length, 'q': q}} ORDER BY length DESC, start, q) AS top
+  FROM runs GROUP BY r),
+kept AS (
+  SELECT w.r, string_agg(w.word, ' ' ORDER BY w.i) AS text
+  FROM words w ANTI JOIN dropped d ON d.r = w.r AND d.i = w.i GROUP BY w.r)
+SELECT d.doc_id, coalesce(l.n_runs, 0) AS n_runs, CAST(l.top.start AS BIGINT) AS start,
+       CAST(l.top.length AS BIGINT) AS length, CAST(l.top.q AS BIGINT) AS period,
+       CAST(1000 * l.top.length // l.top.q AS BIGINT) AS exponent_milli, sha256(coalesce(l.text, '')) AS runs_sha256,
+       sha256(coalesce(k.text, '')) AS collapsed_sha256
+FROM docs d LEFT JOIN listed l ON l.r = d.r LEFT JOIN kept k ON k.r = d.r
+"""
+
+PREFIX_TRIE = rf"""
+WITH {_CRC_TABLE.strip()},
+turns AS (
+  SELECT conv_id AS c, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS pos,
+         md5(md5(coalesce(role, '')) || md5(coalesce(text, ''))) AS k,
+         len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS n_words
+  FROM conversations WHERE conv_id IS NOT NULL),
+convs AS (SELECT c, n, {_CRC.format('c')} % 4 AS h
+          FROM (SELECT c, count(*) AS n FROM turns GROUP BY c), crc_table),
+rebuilt AS (
+  SELECT v.c, b.pos AS d, b.k, b.n_words FROM convs v JOIN turns b ON b.c = v.c - v.c % 20 AND b.pos <= v.h
+  UNION ALL
+  SELECT v.c, t.pos - v.h + least(v.h, coalesce(b.n, 0)), t.k, t.n_words
+  FROM convs v JOIN turns t ON t.c = v.c AND t.pos > v.h LEFT JOIN convs b ON b.c = v.c - v.c % 20),
+prefixes AS (
+  SELECT c, 0 AS d, 0 AS n_words, md5('') AS p FROM convs
+  UNION ALL
+  SELECT c, d, n_words, md5(string_agg(k, '') OVER (PARTITION BY c ORDER BY d)) FROM rebuilt),
+members AS (
+  SELECT *, lag(p) OVER (PARTITION BY c ORDER BY d) AS above, lead(d) OVER (PARTITION BY c ORDER BY d) IS NULL AS ends
+  FROM prefixes),
+nodes AS (
+  SELECT p, d, min(c) AS conv_id, count(*) AS n_convs, max(n_words) AS n_words, any_value(above) AS above,
+         string_agg(CAST(c AS VARCHAR), ',' ORDER BY c) FILTER (WHERE ends) AS ids
+  FROM members GROUP BY p, d),
+children AS (SELECT above AS p, d - 1 AS d, count(*) AS n FROM nodes WHERE d > 0 GROUP BY ALL),
+weighed AS (
+  SELECT n.conv_id, n.d, (n.n_convs - 1) * n.n_words AS saved, CAST(x.n IS NULL AS INT) AS leaf
+  FROM nodes n LEFT JOIN children x ON x.p = n.p AND x.d = n.d),
+sums AS (
+  SELECT m.p, m.d, sum(w.saved) AS saved, sum(w.leaf) AS leaves
+  FROM members m JOIN weighed w ON w.conv_id = m.c AND w.d >= m.d GROUP BY m.p, m.d)
+SELECT n.conv_id, CAST(n.d AS BIGINT) AS depth, a.conv_id AS parent_conv_id, n.n_convs, coalesce(x.n, 0) AS n_children,
+       CAST(s.leaves AS BIGINT) AS n_leaves, CAST(s.saved AS BIGINT) AS saved_tokens, sha256(coalesce(n.ids, '')) AS ends_sha256
+FROM nodes n JOIN sums s ON s.p = n.p AND s.d = n.d
+LEFT JOIN children x ON x.p = n.p AND x.d = n.d
+LEFT JOIN nodes a ON a.p = n.above AND a.d = n.d - 1
+"""
+
+ORACLES = {"op1_url_lists": URL_LISTS, "op2_warc": WARC, "op4_decontam": DECONTAM, "op6_line_dedup": LINE_DEDUP, "op8_mixing": MIXING, "op9_tool_calls": TOOL_CALLS,
+           "op11_runs": RUNS, "op12_prefix_trie": PREFIX_TRIE}

@@ -3,10 +3,12 @@ of its contract from what the operator returns."""
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import decontam, line_dedup, minmax, mixing, outliers, ppm, qda, tool_calls, url_lists, warc
+from tidemark.llm import (
+    decontam, line_dedup, minmax, mixing, outliers, packing, ppm, prefix_trie, qda, runs, tool_calls, url_lists, warc)
 from tidemark.llm.common import table
 
 
@@ -60,6 +62,21 @@ def op10_minmax(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minmax.near_duplicates(table(spark, sf_dir, "documents"), shingle=2)
 
 
+def op11_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return runs.digest(runs.find(runs.with_planted_runs(docs)))
+
+
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = table(spark, sf_dir, "conversations")
+    return prefix_trie.build(prefix_trie.rebuilt(prefix_trie.numbered(turns)))
+
+
+def op13_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return packing.digest(packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json")))
+
+
 QUERIES = {
     "op1_url_lists": op1_url_lists,
     "op2_warc": op2_warc,
@@ -71,4 +88,7 @@ QUERIES = {
     "op8_mixing": op8_mixing,
     "op9_tool_calls": op9_tool_calls,
     "op10_minmax": op10_minmax,
+    "op11_runs": op11_runs,
+    "op12_prefix_trie": op12_prefix_trie,
+    "op13_packing": op13_packing,
 }
