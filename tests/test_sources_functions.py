@@ -72,3 +72,12 @@ def test_publish_lines_to_files(spark, tmp_path):
     df = spark.createDataFrame([(1, "a"), (2, "b")], "x long, y string")
     publish_lines(df, "text", path=str(tmp_path / "out"))
     assert sorted(r.value for r in spark.read.text(str(tmp_path / "out")).collect()) == ["1,a", "2,b"]
+
+
+def test_null_fields_keep_their_place_in_lines(spark):
+    from tidemark.sources import lines, records
+    df = spark.createDataFrame([(1, None, "x"), (None, "a", None)], "a long, b string, c string")
+    assert [r[0] for r in lines.lines_of(df).collect()] == ["1,,x", ",a,"]
+    receipts = spark.createDataFrame([("t1", None, 5), (None, "wechat", None)], "tx_id string, pay_channel string, timestamp long")
+    back = records.parse_records(lines.lines_of(receipts), "receipt")
+    assert sorted(map(repr, back.collect())) == sorted(map(repr, receipts.collect()))

@@ -9,6 +9,7 @@
 * :func:`order_pay_match`: each ``create`` is followed by the first later ``pay`` of the order within a
   limit (strict), else it times out at create + limit.
 * :func:`order_state`: one result per order from its create and pay times.
+* :func:`order_cycles`: one result per cycle of an order id that is used again and again.
 
 Ordering is per key; rows are chunked (arrival or event-time buckets) so that one busy key spreads over
 many tasks, see :mod:`tidemark.operators.sequence`.
@@ -173,3 +174,52 @@ def order_state(orders: DataFrame, timeout_s: int = 900) -> DataFrame:
              .when(c.isNotNull(), TIMED_OUT)
              .otherwise(NO_CREATE))
     return agg.filter(c.isNotNull() | p.isNotNull()).select("order_id", state.alias("result_state"))
+
+
+def order_cycles(orders: DataFrame, timeout_s: int = 900, late_s: int | None = None, early_s: int | None = None,
+                 chunking: str = "balanced", rows_per_chunk: int = 1 << 20) -> DataFrame:
+    """(order_id, cycle_time, result_state): one result per cycle of an order id, which every outcome closes.
+
+    Rows of an id are taken in event-time order (create before pay, then ``seq``):
+
+    * a pay that finds a create waiting is 'payed successfully' before create + ``timeout_s``, else 'payed but already
+      timeout'; a create that finds a pay waiting is 'payed successfully';
+    * a waiting create is a 'timeout' when another create comes at or after create + ``timeout_s`` (one that comes
+      before begins the wait anew), when no pay has come by create + ``timeout_s`` + ``late_s``, and at the end;
+    * a waiting pay is 'payed but not found created log' when another pay comes, when no create has come by pay +
+      ``early_s`` (inclusive), and at the end.
+
+    ``late_s`` and ``early_s`` None wait for ever (the rule of :func:`order_state`, which gives the same results for
+    ids used once); a stream needs them. ``cycle_time`` is the time of the row that waited.
+
+    What waits after a row is that row or nothing. It is nothing only if the row closed a cycle, and whether it did follows
+    from the row before, and so on: a row's effect is a function of the state before it. Those functions compose to
+    very little. A row that has the kind of the row before it, or comes too late for it, waits whatever the state was;
+    after it the kinds alternate, and the rows of its kind wait while those of the other kind close. So the state
+    after any row is known from the kind of the last such row, which is one value per chunk to carry over: a running
+    last value along the key, chunked as elsewhere (:mod:`tidemark.operators.sequence`). Rows of other types and rows
+    without a time are left out. A NULL order id is a key like any other.
+    """
+    order = ["timestamp", "_kind"] + (["seq"] if "seq" in orders.columns else [])
+    df = orders.filter(F.col("event_type").isin("create", "pay") & F.col("timestamp").isNotNull()).select(
+        "order_id", (F.col("event_type") == "pay").cast("int").alias("_kind"), *[c for c in order if c != "_kind"])
+    df, chunk = seq.chunk_by(df, ["order_id"], "timestamp", chunking, target_rows=rows_per_chunk)
+    df = seq.shift(df, ["order_id"], order, chunk, ["_kind", "timestamp"], 1, "prev")
+    t, before, kind, kind_before = F.col("timestamp"), F.col("prev1_timestamp"), F.col("_kind"), F.col("prev1__kind")
+    pay = kind == 1
+    in_time = (F.lit(True) if late_s is None else t < before + timeout_s + late_s, F.lit(True) if early_s is None else t <= before + early_s)
+    meets = kind_before.isNotNull() & (kind != kind_before) & F.when(pay, in_time[0]).otherwise(in_time[1])
+    df = df.withColumn("_meets", meets)
+    # the kind of the last row that waits whatever came before it; the largest of the ordered structs is the last
+    last = F.struct(*[F.col(c) for c in order])
+    df = seq.running_agg(df, ["order_id"], order, chunk, F.when(~F.col("_meets"), last), "_anchor", "max")
+    df = df.withColumn("_waits", kind == F.col("_anchor._kind"))
+    # seen from the row that waits: what the next row of the id makes of it
+    df = seq.shift(df.drop("prev1__kind", "prev1_timestamp"), ["order_id"], order, chunk,
+                   ["_kind", "timestamp", "_meets"], 1, "next")
+    t_next, paired = F.col("next1_timestamp"), F.coalesce(F.col("next1__meets"), F.lit(False))
+    created = (F.when(paired & (t_next < t + timeout_s), PAYED_OK).when(paired, PAYED_LATE)
+               .when((F.col("next1__kind") == 0) & (t_next < t + timeout_s), F.lit(None)).otherwise(TIMED_OUT))
+    payed = F.when(paired, PAYED_OK).otherwise(NO_CREATE)
+    return (df.filter("_waits").select("order_id", t.alias("cycle_time"), F.when(pay, payed).otherwise(created).alias("result_state"))
+            .filter(F.col("result_state").isNotNull()))

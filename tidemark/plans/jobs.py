@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from tidemark.functions import report
 from tidemark.functions.time import end_string
 from tidemark.operators import blocking, distinct, joins, lateness, patterns, topn, windows
-from tidemark.sources import adapters, records
+from tidemark.sources import adapters, lines, records
 from tidemark.session import materialize
 from tidemark.sources.access_log import parse_access_log, rejected_lines
 
@@ -22,6 +22,8 @@ DRIVER = {
     "login_streak_within_s": 86400,  # 3 consecutive fails within 1 day (5 s)
     "login_timed_limit_s": 7200,     # timer-closed fail groups of 2 h (2 s)
     "click_limit": 12,               # clicks per (user, ad) before blocking (100)
+    "order_late_s": 3600,            # how long a pay may come after the order's time is up
+    "order_early_s": 1800,           # how long a pay waits for its create
 }
 
 # Static-asset pattern of the page ranking (a url ending in one of these is skipped).
@@ -88,8 +90,7 @@ def hot_items_pure_sql(spark: SparkSession, sf_dir: str, n: int = 5) -> DataFram
 # ---- pages, page views, unique visitors -----------------------------------------------------------------
 
 def access_log(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lines = adapters.access_log_lines(_t(spark, sf_dir, "events"), _t(spark, sf_dir, "pages"))
-    return parse_access_log(lines)
+    return parse_access_log(adapters.access_log_lines(_t(spark, sf_dir, "events"), _t(spark, sf_dir, "pages")))
 
 
 def _page_split(spark, sf_dir, size, slide, bound, allowed_lateness, write=True):
@@ -274,6 +275,20 @@ def order_timeout_early(spark: SparkSession, sf_dir: str) -> DataFrame:
     return patterns.order_state(adapters.early_paid_orders(_t(spark, sf_dir, "orders")), 900)
 
 
+def order_cycles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(order_id, cycle_time, result_state): one result per cycle of order ids that are used again."""
+    return patterns.order_cycles(adapters.reused_orders(_t(spark, sf_dir, "orders")), 900, DRIVER["order_late_s"],
+                                 DRIVER["order_early_s"])
+
+
+def published_receipts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Receipts, some without a channel or a time, published as lines and parsed again."""
+    receipts = _receipts(spark, sf_dir).select(
+        "tx_id", F.when(F.col("timestamp") % 5 != 0, F.col("pay_channel")).alias("pay_channel"),
+        F.when(F.col("timestamp") % 7 != 0, F.col("timestamp")).alias("timestamp"))
+    return records.parse_records(lines.lines_of(receipts), "receipt")
+
+
 # ---- further forms of the analyses ----------------------------------------------------------------------
 
 def channel_counts_null(spark: SparkSession, sf_dir: str, method: str = "auto") -> DataFrame:
@@ -340,10 +355,10 @@ def records_receipt(spark: SparkSession, sf_dir: str) -> DataFrame:
 def access_log_lenient(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(method, url, kept, rejected): lines per request that the lenient reading keeps, and the number of lines
     that it rejects (method and url NULL)."""
-    lines = adapters.cut_lines(adapters.access_log_lines(_t(spark, sf_dir, "events"), _t(spark, sf_dir, "pages")))
+    log = adapters.cut_lines(adapters.access_log_lines(_t(spark, sf_dir, "events"), _t(spark, sf_dir, "pages")))
     zero = F.lit(0).cast("long")
-    kept = parse_access_log(lines, strict=False).groupBy("method", "url").agg(F.count(F.lit(1)).alias("kept"))
-    lost = rejected_lines(lines).agg(F.count(F.lit(1)).alias("rejected"))
+    kept = parse_access_log(log, strict=False).groupBy("method", "url").agg(F.count(F.lit(1)).alias("kept"))
+    lost = rejected_lines(log).agg(F.count(F.lit(1)).alias("rejected"))
     none = F.lit(None).cast("string")
     return kept.withColumn("rejected", zero).unionByName(
         lost.select(none.alias("method"), none.alias("url"), zero.alias("kept"), "rejected"))

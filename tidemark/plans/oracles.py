@@ -286,6 +286,31 @@ SELECT method, url, count(*) AS kept, CAST(0 AS BIGINT) AS rejected FROM lg
 WHERE seq % 9 <> 0 AND seq % 11 <> 0 GROUP BY method, url
 UNION ALL SELECT NULL, NULL, 0, count(*) FROM lg WHERE seq % 9 = 0 OR seq % 11 = 0"""
 
+PUBLISHED_RECEIPTS = f"""{ORDER_ROWS}
+SELECT tx_id, CASE WHEN t % 5 <> 0 THEN pay_channel END AS pay_channel, CASE WHEN t % 7 <> 0 THEN t END AS timestamp FROM rc"""
+
+# The rows of an id one after the other: what waits (c a create, p a pay, nothing) and since when.
+ORDER_CYCLES = """WITH RECURSIVE o AS (
+  SELECT o_orderkey AS k, epoch_us(o_orderdate) // 1000000 + 3000 * j AS b, j FROM orders, range(4) r(j)),
+rows AS (
+  SELECT k - k % 2 AS order_id, 'c' AS e, b AS t, k * 4 + j AS seq FROM o WHERE (k + j) % 7 <> 0
+  UNION ALL SELECT k - k % 2, 'c', b + 500, k * 4 + j FROM o WHERE (k + j) % 9 = 0
+  UNION ALL SELECT k - k % 2, 'p', b + (k * 7919 + j * 1009) % 5000, k * 4 + j FROM o WHERE (k + j) % 5 <> 0),
+n AS (SELECT *, row_number() OVER (PARTITION BY order_id ORDER BY t, e, seq) AS i FROM rows
+      UNION ALL SELECT order_id, 'end', 1000000000000, NULL, count(*) + 1 FROM rows GROUP BY order_id),
+walk AS (
+  SELECT order_id, CAST(1 AS BIGINT) AS i, CAST(NULL AS VARCHAR) AS w, CAST(NULL AS BIGINT) AS since, CAST(NULL AS VARCHAR) AS result,
+         CAST(NULL AS BIGINT) AS opened FROM (SELECT DISTINCT order_id FROM rows)
+  UNION ALL
+  SELECT order_id, i + 1, CASE WHEN e = 'end' OR meets THEN NULL ELSE e END, CASE WHEN meets THEN NULL ELSE t END,
+         CASE WHEN w = 'c' AND meets THEN CASE WHEN t < since + 900 THEN 'payed successfully' ELSE 'payed but already timeout' END
+              WHEN w = 'c' AND NOT (e = 'c' AND t < since + 900) THEN 'timeout'
+              WHEN w = 'p' THEN CASE WHEN meets THEN 'payed successfully' ELSE 'payed but not found created log' END END, since
+  FROM (SELECT walk.order_id, walk.i, walk.w, walk.since, n.e, n.t,
+               coalesce((w = 'c' AND e = 'p' AND t < since + 900 + 3600) OR (w = 'p' AND e = 'c' AND t <= since + 1800), false) AS meets
+        FROM walk JOIN n ON n.order_id = walk.order_id AND n.i = walk.i))
+SELECT order_id, opened AS cycle_time, result AS result_state FROM walk WHERE result IS NOT NULL"""
+
 
 ORACLES: dict[str, str] = {
     "hot_items": HOT_ITEMS,
@@ -312,6 +337,8 @@ ORACLES: dict[str, str] = {
     "login_fail_timed": LOGIN_FAIL_TIMED,
     "order_pay_timeout": ORDER_PAY_TIMEOUT,
     "order_timeout": ORDER_TIMEOUT,
+    "order_cycles": ORDER_CYCLES,
+    "published_receipts": PUBLISHED_RECEIPTS,
     "tx_match": _tx_match(True),
     "tx_match_key": _tx_match(False),
     "tx_join": TX_JOIN,

@@ -31,6 +31,7 @@ QUERIES = {
     "login_fail_timed": jobs.login_fail_timed,
     "order_pay_timeout": jobs.order_pay_timeout,
     "order_timeout": jobs.order_timeout,
+    "order_cycles": jobs.order_cycles,
     "tx_match": jobs.tx_match,
     "tx_match_key": jobs.tx_match_key,
     "tx_join": jobs.tx_join,
@@ -47,6 +48,7 @@ QUERIES = {
     "records_order": jobs.records_order,
     "records_receipt": jobs.records_receipt,
     "access_log_lenient": jobs.access_log_lenient,
+    "published_receipts": jobs.published_receipts,
 }
 
 # uv_approx is an estimate and has no SQL (uv_approx_checked holds it against the exact count); login_fail_timed's greedy grouping is a recursive SQL query.
@@ -57,5 +59,5 @@ FLAGSHIP = "hot_items"
 # Further inputs of queries above (NULL keys, repeated ids, record lines): checked, but no headline of the bench.
 VARIANTS = {"tx_match_repeated", "order_timeout_early", "channel_counts_null", "ad_blacklist_daily", "ad_passed_daily",
             "uv_bitmap_small", "uv_approx_checked", "records_behavior", "records_ad_click", "records_login",
-            "records_order", "records_receipt", "access_log_lenient"}
+            "records_order", "records_receipt", "access_log_lenient", "published_receipts"}
 assert set(QUERIES) >= VARIANTS

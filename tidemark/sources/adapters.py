@@ -219,6 +219,24 @@ def early_paid_orders(orders: DataFrame) -> DataFrame:
             .withColumn("ts", F.timestamp_seconds("timestamp")))
 
 
+def reused_orders(orders: DataFrame) -> DataFrame:
+    """Order events whose ids come back: keys 2m and 2m + 1 share id 2m, and each has four cycles 3000 s apart. In cycle
+    j a create at o_orderdate + 3000 j unless (key + j) % 7 = 0, a second one 500 s later for (key + j) % 9 = 0, and a pay
+    (key * 7919 + j * 1009) % 5000 s after the create's time unless (key + j) % 5 = 0 (order_id, event_type, tx_id,
+    timestamp s, ts, seq)."""
+    key, j = F.col("o_orderkey"), F.col("j")
+    base = _epoch_s("o_orderdate") + 3000 * j
+    event = lambda kind, t: F.struct(F.lit(kind).alias("event_type"), t.alias("timestamp"))
+    rows = F.array_compact(F.array(
+        F.when((key + j) % 7 != 0, event("create", base)),
+        F.when((key + j) % 9 == 0, event("create", base + 500)),
+        F.when((key + j) % 5 != 0, event("pay", base + (key * 7919 + j * 1009) % 5000))))
+    return (orders.select("o_orderkey", "o_orderdate", F.explode(F.sequence(F.lit(0), F.lit(3))).alias("j"))
+            .select((key - key % 2).alias("order_id"), (key * 4 + j).alias("seq"), F.explode(rows).alias("e"))
+            .select("order_id", "e.event_type", F.lit("").alias("tx_id"), "e.timestamp",
+                    F.timestamp_seconds("e.timestamp").alias("ts"), "seq"))
+
+
 def cut_lines(lines: DataFrame) -> DataFrame:
     """Access-log lines with every ninth (by ``seq``) cut before the method and every eleventh without a time."""
     short = F.regexp_extract("value", r"^(\S+ \S+ \S+ \S+)", 1)

@@ -27,14 +27,17 @@ def line_stream(spark: SparkSession, fmt: str, options: dict[str, str] | None =
     return df.select("value")
 
 
+def lines_of(df: DataFrame, sep: str = ",") -> DataFrame:
+    """One line per row (``value``): the columns joined by ``sep``, a NULL as an empty field in its place."""
+    return df.select(F.concat_ws(sep, *[F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("")) for c in df.columns]).alias("value"))
+
+
 def publish_lines(df: DataFrame, fmt: str, options: dict[str, str] | None = None,
                   path: str | None = None, sep: str = ","):
-    """Write each row as one keyless line/message: the columns joined by ``sep`` in a ``value`` column.
-
-    Batch DataFrames are written once; streaming ones start a query (returned).
+    """Write each row as one keyless line/message: the columns joined by ``sep`` in a ``value`` column (see
+    :func:`lines_of`). Batch DataFrames are written once; streaming ones start a query (returned).
     """
-    value = F.concat_ws(sep, *[F.col(c).cast("string") for c in df.columns]).alias("value")
-    out = df.select(value)
+    out = lines_of(df, sep)
     writer = out.writeStream if df.isStreaming else out.write
     writer = writer.format(fmt)
     for k, v in (options or {}).items():

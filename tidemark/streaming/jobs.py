@@ -20,8 +20,8 @@ from tidemark.operators.lateness import last_end
 from tidemark.session import delete_path, list_names, path_exists
 from tidemark.streaming.aggregations import event_time, pane_window_count_stream, window_count_stream
 from tidemark.streaming.processors import (
-    LOGIN_WARNING, ORDER_RESULT, RUNNING_UV, TX_RESULT, ClickBlockerProcessor, LoginFailPairProcessor,
-    LoginFailStreakProcessor, LoginFailTimerProcessor, OrderStateProcessor,
+    CYCLE_RESULT, LOGIN_WARNING, ORDER_RESULT, RUNNING_UV, TX_RESULT, ClickBlockerProcessor, LoginFailPairProcessor,
+    LoginFailStreakProcessor, LoginFailTimerProcessor, OrderCycleProcessor, OrderStateProcessor,
     RunningNumberProcessor, TxMatchProcessor)
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
@@ -36,6 +36,16 @@ def order_state_stream(orders: DataFrame, timeout_s: int = 900, delay: str = "20
             .transformWithState(OrderStateProcessor(timeout_s), ORDER_RESULT, "Append", "EventTime"))
 
 
+def order_cycles_stream(orders: DataFrame, timeout_s: int = 900, late_s: int = 900, early_s: int = 900,
+                        delay: str = "200 milliseconds") -> DataFrame:
+    """(order_id, cycle_time, result_state) per cycle of an order id (arrival order by ``seq``, if there is one)."""
+    src = event_time(orders, "ts", delay).filter(F.col("event_type").isin("create", "pay"))
+    if "seq" not in orders.columns:
+        src = src.withColumn("seq", F.lit(None).cast("long"))
+    return src.groupBy("order_id").transformWithState(
+        OrderCycleProcessor(timeout_s, late_s, early_s), CYCLE_RESULT, "Append", "EventTime")
+
+
 def order_pay_timeout_stream(orders: DataFrame, within_s: int = 300,
                              delay: str = "200 milliseconds") -> DataFrame:
     """(order_id, result_state) per create: 'payed' if a pay of the order follows within the limit (strict), else

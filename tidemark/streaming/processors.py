@@ -20,6 +20,8 @@ from tidemark.operators.joins import MATCHED, UNMATCHED_PAYS, UNMATCHED_RECEIPTS
 
 ORDER_RESULT = T.StructType([T.StructField("order_id", T.LongType()),
                              T.StructField("result_state", T.StringType())])
+CYCLE_RESULT = T.StructType([T.StructField("order_id", T.LongType()), T.StructField("cycle_time", T.LongType()),
+                             T.StructField("result_state", T.StringType())])
 LOGIN_WARNING = T.StructType([T.StructField("user_id", T.LongType()),
                               T.StructField("first_fail_time", T.LongType()),
                               T.StructField("last_fail_time", T.LongType()),
@@ -38,20 +40,123 @@ def _by(*names):
     return lambda r: tuple((r[n] if r[n] is not None else 0) for n in names)
 
 
+class InOrderProcessor(StatefulProcessor):
+    """Rows of a key applied in event-time order, each once the watermark has passed it.
+
+    Rows wait in a list state; a timer per row time wakes the key, and the first timer of a watermark applies all that
+    it has passed. So results depend neither on where batches are cut nor on the order of rows in them. A subclass
+    names what it keeps of a row (``ROW``, the time in seconds first; rows are ordered by all of it), applies rows
+    (``apply``) and may ask to be woken at a later time by :meth:`wake`, without rows if none have come. A key with
+    no rows waiting and no state of its subclass leaves nothing behind."""
+
+    ROW = "timestamp long"
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.buffer = handle.getListState("buffer", self.ROW)
+        self.drained = handle.getValueState("drained", "watermark long")
+
+    def row(self, r) -> tuple:
+        raise NotImplementedError
+
+    def apply(self, key, rows: list[tuple], watermark: int) -> list[Row]:
+        raise NotImplementedError
+
+    def wake(self, at_ms: int) -> None:
+        self.handle.registerTimer(at_ms)
+
+    def handleInputRows(self, key, rows, timerValues):
+        new = [self.row(r) for r in rows if r["timestamp"] is not None]
+        for t in sorted({n[0] for n in new}):
+            self.wake(t * 1000)
+        if new:
+            self.buffer.appendList(new)
+        return iter([])
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
+        watermark = timerValues.getCurrentWatermarkInMs()
+        if self.drained.exists() and self.drained.get()[0] == watermark:
+            return iter([])
+        held = [tuple(b) for b in self.buffer.get()] if self.buffer.exists() else []
+        ready = sorted(b for b in held if b[0] * 1000 <= watermark)
+        rest = [b for b in held if b[0] * 1000 > watermark]
+        out = self.apply(key, ready, watermark)
+        if not rest:
+            self.buffer.clear()
+            self.drained.clear()
+        else:
+            if ready:
+                self.buffer.put(rest)
+            self.drained.update((watermark,))
+        return iter(out)
+
+    def close(self) -> None:
+        pass
+
+
+class OrderCycleProcessor(InOrderProcessor):
+    """One result per cycle of an order id, by the rule of :func:`tidemark.operators.patterns.order_cycles`. State is
+    what waits, a create or a pay, and since when; it goes when its wait is over."""
+
+    ROW = "timestamp long, kind int, seq long"
+
+    def __init__(self, timeout_s: int = 900, late_s: int = 900, early_s: int = 900):
+        self.timeout_s, self.late_s, self.early_s = timeout_s, late_s, early_s
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        super().init(handle)
+        self.waiting = handle.getValueState("waiting", "kind int, since long")
+
+    def row(self, r):
+        return r["timestamp"], int(r["event_type"] == "pay"), r["seq"] if r["seq"] is not None else 0
+
+    def _end(self, kind, since):
+        """When (ms) nothing can meet what waits any more."""
+        return (since + self.early_s) * 1000 + 1 if kind else (since + self.timeout_s + self.late_s) * 1000
+
+    def apply(self, key, rows, watermark):
+        kind, since = self.waiting.get() if self.waiting.exists() else (None, None)
+        out = []
+
+        def result(state):
+            out.append(Row(order_id=key[0], cycle_time=since, result_state=state))
+
+        for t, new, _ in rows:
+            if kind is not None and kind != new and t * 1000 < self._end(kind, since):
+                result(patterns.PAYED_LATE if new and t >= since + self.timeout_s else patterns.PAYED_OK)
+                kind = None
+                continue
+            if kind == 1:
+                result(patterns.NO_CREATE)
+            elif kind == 0 and (new or t >= since + self.timeout_s):
+                result(patterns.TIMED_OUT)
+            kind, since = new, t
+        if kind is not None and watermark >= self._end(kind, since):
+            result(patterns.NO_CREATE if kind else patterns.TIMED_OUT)
+            kind = None
+        if kind is None:
+            self.waiting.clear()
+        else:
+            self.waiting.update((kind, since))
+            self.wake(self._end(kind, since))
+        return out
+
+
 class OrderStateProcessor(StatefulProcessor):
     """One result per order from its first create and first pay, by the rule of
     :func:`tidemark.operators.patterns.order_state`.
 
     State is what the rule needs, the two event times. With both known the result is out; with one known it
     has a deadline in event time, after which the rule decides with what there is: a lone create waits
-    until create + ``timeout_s``, a lone pay until the watermark reaches it, as its create lies before it."""
+    until create + ``timeout_s``, a lone pay until the watermark reaches it, as its create lies before it.
+    Further rows of an order whose result came from both are passed over until ``timeout_s`` after them."""
 
     def __init__(self, timeout_s: int = 900):
         self.timeout_s = timeout_s
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.times = handle.getValueState("times", "create long, pay long")
+        self.times = handle.getValueState("times", "create long, pay long, done boolean")
 
     def _result(self, order_id, create, pay):
         if pay is None:
@@ -66,7 +171,9 @@ class OrderStateProcessor(StatefulProcessor):
         return (pay if create is None else create + self.timeout_s) * 1000
 
     def handleInputRows(self, key, rows, timerValues):
-        create, pay = self.times.get() if self.times.exists() else (None, None)
+        create, pay, done = self.times.get() if self.times.exists() else (None, None, False)
+        if done:
+            return iter([])
         if create is not None or pay is not None:
             self.handle.deleteTimer(self._deadline(create, pay))
         for r in rows:
@@ -75,19 +182,20 @@ class OrderStateProcessor(StatefulProcessor):
             elif r["event_type"] == "pay":
                 pay = r["timestamp"] if pay is None else min(pay, r["timestamp"])
         if create is not None and pay is not None:
-            self.times.clear()
+            self.times.update((create, pay, True))
+            self.handle.registerTimer((max(create, pay) + self.timeout_s) * 1000)
             return iter([self._result(key[0], create, pay)])
         if create is not None or pay is not None:
-            self.times.update((create, pay))
+            self.times.update((create, pay, False))
             self.handle.registerTimer(self._deadline(create, pay))
         return iter([])
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
         if not self.times.exists():
             return iter([])
-        create, pay = self.times.get()
+        create, pay, done = self.times.get()
         self.times.clear()
-        return iter([self._result(key[0], create, pay)])
+        return iter([] if done else [self._result(key[0], create, pay)])
 
     def close(self) -> None:
         pass
@@ -180,59 +288,48 @@ class LoginFailPairProcessor(StatefulProcessor):
         pass
 
 
-class LoginFailTimerProcessor(StatefulProcessor):
-    """Per user: the first fail opens a group closed by an event-time timer at first + limit; a success
-    cancels it; at the timer, ``min_fails`` or more fails warn. A row at or after the deadline closes the
-    group first also inside a micro-batch, so results do not depend on where batches are cut."""
+class LoginFailTimerProcessor(InOrderProcessor):
+    """Per user: the first fail opens a group that ends at first + limit (exclusive); a success before that cancels it;
+    at its end, ``min_fails`` or more fails warn (:func:`tidemark.operators.patterns.login_fail_timed`)."""
+
+    ROW = "timestamp long, seq long, fail boolean"
 
     def __init__(self, limit_s: int = 2, min_fails: int = 2):
-        self.limit_ms, self.limit_s, self.n = limit_s * 1000, limit_s, min_fails
+        self.limit_s, self.n = limit_s, min_fails
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
-        self.group = handle.getValueState("group", "first long, last long, n long, timer long")
+        super().init(handle)
+        self.group = handle.getValueState("group", "first long, last long, n long")
 
-    def _warn(self, user, g):
-        msg = patterns.TIMED_MSG.format(limit=self.limit_s, n=g[2])
-        return Row(user_id=user, first_fail_time=g[0], last_fail_time=g[1], warning_msg=msg)
+    def row(self, r):
+        return r["timestamp"], r["seq"] if r["seq"] is not None else 0, r["login_state"] == "fail"
 
-    def handleInputRows(self, key, rows, timerValues):
-        (user,) = key
-        g = self.group.get() if self.group.exists() else None
+    def apply(self, key, rows, watermark):
+        group = self.group.get() if self.group.exists() else None
         out = []
-        for r in sorted(rows, key=_by("timestamp", "seq")):
-            if g is not None and r["timestamp"] * 1000 >= g[3]:
-                # The group's time is up before this row (in event time), even if its timer has not fired.
-                self.handle.deleteTimer(g[3])
-                if g[2] >= self.n:
-                    out.append(self._warn(user, g))
-                g = None
-            if r["login_state"] == "fail":
-                if g is None:
-                    timer = r["timestamp"] * 1000 + self.limit_ms
-                    self.handle.registerTimer(timer)
-                    g = (r["timestamp"], r["timestamp"], 1, timer)
-                else:
-                    g = (g[0], r["timestamp"], g[2] + 1, g[3])
-            elif g is not None:
-                self.handle.deleteTimer(g[3])
-                g = None
-        if g is None:
+
+        def ended(at_s):
+            """Close the group if its time is up at ``at_s``."""
+            nonlocal group
+            if group is not None and at_s >= group[0] + self.limit_s:
+                if group[2] >= self.n:
+                    out.append(Row(user_id=key[0], first_fail_time=group[0], last_fail_time=group[1],
+                                   warning_msg=patterns.TIMED_MSG.format(limit=self.limit_s, n=group[2])))
+                group = None
+
+        for t, _, fail in rows:
+            ended(t)
+            if not fail:
+                group = None
+            else:
+                group = (t, t, 1) if group is None else (group[0], t, group[2] + 1)
+        ended(watermark / 1000)
+        if group is None:
             self.group.clear()
         else:
-            self.group.update(g)
-        return iter(out)
-
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
-        (user,) = key
-        g = self.group.get() if self.group.exists() else None
-        self.group.clear()
-        if g is not None and g[2] >= self.n:
-            return iter([self._warn(user, g)])
-        return iter([])
-
-    def close(self) -> None:
-        pass
+            self.group.update(group)
+            self.wake((group[0] + self.limit_s) * 1000)
+        return out
 
 
 class TxMatchProcessor(StatefulProcessor):
@@ -323,61 +420,34 @@ class RunningNumberProcessor(StatefulProcessor):
         pass
 
 
-class LoginFailStreakProcessor(StatefulProcessor):
-    """k strictly consecutive fails per user in event-time order, last - first < within.
+class LoginFailStreakProcessor(InOrderProcessor):
+    """k strictly consecutive fails per user in event-time order, last - first < within. The last fails, k - 1 at most,
+    are kept as context, so matches may span batches and overlap; they go when nothing near enough can follow."""
 
-    Rows are buffered until the watermark passes them (a timer per row time), then consumed in event-time
-    order; the last k - 1 consumed rows are kept as context, so matches may span batches and overlap."""
+    ROW = "timestamp long, seq long, fail boolean"
 
     def __init__(self, times: int = 3, within_s: int = 5):
         self.k, self.within_s = times, within_s
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
-        self.buffer = handle.getListState("buffer", "timestamp long, seq long, fail boolean")
-        self.context = handle.getListState("context", "timestamp long, seq long, fail boolean")
-        self.drained = handle.getValueState("drained", "watermark long")
+        super().init(handle)
+        self.context = handle.getListState("context", "timestamp long")
 
-    def handleInputRows(self, key, rows, timerValues):
-        new = [(r["timestamp"], r["seq"] if r["seq"] is not None else 0, r["login_state"] == "fail")
-               for r in rows]
-        for ts in sorted({t for t, _, _ in new}):
-            self.handle.registerTimer(ts * 1000)
-        self.buffer.appendList(new)
-        return iter([])
+    def row(self, r):
+        return r["timestamp"], r["seq"] if r["seq"] is not None else 0, r["login_state"] == "fail"
 
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
-        (user,) = key
-        # the first timer of a watermark takes all that it has passed; the others of it find nothing to do
-        due = timerValues.getCurrentWatermarkInMs()
-        if self.drained.exists() and self.drained.get()[0] == due:
-            return iter([])
-        self.drained.update((due,))
-        buffered = list(self.buffer.get()) if self.buffer.exists() else []
-        ready = sorted(tuple(b) for b in buffered if b[0] * 1000 <= due)
-        if not ready:
-            return iter([])
-        rest = [tuple(b) for b in buffered if b[0] * 1000 > due]
-        ctx = [tuple(c) for c in self.context.get()] if self.context.exists() else []
-        seq_rows = ctx + ready
+    def apply(self, key, rows, watermark):
+        fails = [c[0] for c in self.context.get()] if self.context.exists() else []
         out = []
-        msg = patterns.STREAK_MSG.format(k=self.k)
-        for i in range(len(ctx), len(seq_rows)):
-            start = i - self.k + 1
-            if start < 0:
-                continue
-            window = seq_rows[start:i + 1]
-            if all(f for _, _, f in window) and window[-1][0] - window[0][0] < self.within_s:
-                out.append(Row(user_id=user, first_fail_time=window[0][0], last_fail_time=window[-1][0],
-                               warning_msg=msg))
-        self.buffer.clear()
-        if rest:
-            self.buffer.put(rest)
-        self.context.clear()
-        keep = seq_rows[-(self.k - 1):] if self.k > 1 else []
-        if keep:
-            self.context.put(keep)
-        return iter(out)
-
-    def close(self) -> None:
-        pass
+        for t, _, fail in rows:
+            fails = (fails + [t])[-self.k:] if fail else []
+            if len(fails) == self.k and t - fails[0] < self.within_s:
+                out.append(Row(user_id=key[0], first_fail_time=fails[0], last_fail_time=t,
+                               warning_msg=patterns.STREAK_MSG.format(k=self.k)))
+        fails = fails[1 - self.k:] if self.k > 1 else []
+        if not fails or watermark >= (fails[-1] + self.within_s) * 1000:
+            self.context.clear()
+        else:
+            self.context.put([(t,) for t in fails])
+            self.wake((fails[-1] + self.within_s) * 1000)
+        return out
