@@ -3,6 +3,7 @@
 import random
 
 from tidemark.operators import joins
+from tidemark.operators import sequence as seq
 
 
 def simulate(pays, receipts, pay_wait=5, receipt_wait=3):
@@ -54,6 +55,36 @@ def test_random_repeated_ids(spark):
     assert sorted(map(repr, map(tuple, chunked.collect()))) == sorted(map(repr, map(tuple, found)))
 
 
+def test_one_tx_id_that_never_pauses(spark):
+    """Thousands of rows of a single tx id without a gap: no Python, and no task with all of them."""
+    rng = random.Random(4)
+    pays = [(i, None, rng.randrange(4000)) for i in range(3000)]
+    receipts = [(None, "x", rng.randrange(4000)) for _ in range(2500)]
+    p = spark.createDataFrame(pays, "order_id long, tx_id string, timestamp long")
+    r = spark.createDataFrame(receipts, "tx_id string, pay_channel string, timestamp long")
+    out = joins.reconcile(p, r, rows_per_chunk=500)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "MapInArrow" not in plan
+    want = [(a and a[0], b and b[0]) for a, b in simulate([(t, i) for i, _, t in pays], [(t, c) for _, c, t in receipts])]
+    assert sorted(((x["pay_time"], x["receipt_time"]) for x in out.collect()), key=repr) == sorted(want, key=repr)
+
+
+def test_running_clamp_over_levels(spark):
+    rng = random.Random(9)
+    rows, want = [], {}
+    for key, n in (("a", 700), (None, 30), ("b", 1)):
+        y = 5
+        for i in range(1, n + 1):
+            low, high = rng.randrange(-9, 20), rng.randrange(-9, 20)     # they may cross
+            want[key, i] = y
+            rows.append((key, i, low, high))
+            y = min(high, max(low, y))
+    df = spark.createDataFrame(rows, "k string, i long, lo long, hi long")
+    for block in (4, 64, 1024):
+        got = seq.running_clamp(df, ["k"], "i", "lo", "hi", "y", start=5, block=block)
+        assert {(r["k"], r["i"]): r["y"] for r in got.collect()} == want
+
+
 def test_walk_equals_simulation():
     rng = random.Random(1)
     for _ in range(300):

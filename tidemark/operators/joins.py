@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.operators import sequence as seq
+from tidemark.session import materialize
 
 # Bytes up to which a dimension is broadcast (by the optimizer's own estimate of its size).
 DIMENSION_MAX_BYTES = 32 << 20
@@ -74,19 +75,6 @@ def pair_waiting(pays: list[tuple], receipts: list[tuple], pay_wait: int, receip
     return out + [(p, None) for p in pays[i:]] + [(None, r) for r in receipts[j:]]
 
 
-def _sessions(events: DataFrame, wait_s: int, chunking: str, rows_per_chunk: int) -> DataFrame:
-    """``events`` with ``_session``: rows of a tx id that lie more than ``wait_s`` apart from all before them
-    begin a new one, and no pair can reach over that gap. Gaps are found on the distinct times of a tx id,
-    chunked along time, so a busy tx id is spread over tasks."""
-    times = events.select("tx_id", "t").distinct()
-    times, chunk = seq.chunk_by(times, ["tx_id"], "t", chunking, target_rows=rows_per_chunk)
-    times = seq.shift(times, ["tx_id"], ["t"], chunk, ["t"], 1, "prev")
-    opens = F.col("prev1_t").isNull() | (F.col("t") - F.col("prev1_t") > wait_s)
-    times = seq.running_agg(times, ["tx_id"], ["t"], chunk, F.when(opens, F.col("t")), "_session", "max")
-    times = times.select(F.col("tx_id").alias("_tx"), F.col("t").alias("_t"), "_session")
-    return events.join(times, F.col("tx_id").eqNullSafe(F.col("_tx")) & (F.col("t") == F.col("_t"))).drop("_tx", "_t")
-
-
 def _paired_by_waiting(pays: DataFrame, receipts: DataFrame, pay_wait_s: int, receipt_wait_s: int, chunking: str,
                        rows_per_chunk: int) -> DataFrame:
     """One row per pair or single: tx_id, order_id, pay_time, pay_channel, receipt_time."""
@@ -100,7 +88,7 @@ def _paired_by_waiting(pays: DataFrame, receipts: DataFrame, pay_wait_s: int, re
         F.count(F.when(pay, 1)).alias("_np"), F.count(F.when(receipt, 1)).alias("_nr"),
         F.max(F.when(pay, F.struct("t", "order_id"))).alias("p"),
         F.max(F.when(receipt, F.struct("t", "pay_channel"))).alias("r"))
-    # almost every tx id has at most one row of either side; only the others are walked through
+    # almost every tx id has at most one row of either side
     simple = (F.col("_np") <= 1) & (F.col("_nr") <= 1)
     near = (F.col("r.t") <= F.col("p.t") + pay_wait_s) & (F.col("p.t") <= F.col("r.t") + receipt_wait_s)
     apart = F.col("p").isNotNull() & F.col("r").isNotNull() & ~near
@@ -111,37 +99,55 @@ def _paired_by_waiting(pays: DataFrame, receipts: DataFrame, pay_wait_s: int, re
              .select("tx_id", F.col("p.order_id").alias("order_id"), F.col("p.t").alias("pay_time"),
                      F.col("r.pay_channel").alias("pay_channel"), F.col("r.t").alias("receipt_time")))
 
-    def walk(batches):
-        import pyarrow as pa
-        kinds = [pa.string(), pa.int64(), pa.int64(), pa.string(), pa.int64()]
-        names = ["tx_id", "order_id", "pay_time", "pay_channel", "receipt_time"]
-        session, held = None, ([], [])
-
-        def pairs():
-            return [(session[0], p and p[1], p and p[0], r and r[1], r and r[0])
-                    for p, r in pair_waiting(*held, pay_wait_s, receipt_wait_s)]
-
-        def batch_of(rows):
-            return pa.RecordBatch.from_arrays([pa.array([x[i] for x in rows], k) for i, k in enumerate(kinds)], names=names)
-
-        for batch in batches:
-            out = []
-            for tx, s, t, side, order_id, channel in zip(*(c.to_pylist() for c in batch.columns)):
-                if (tx, s) != session:
-                    out += pairs() if session else []
-                    session, held = (tx, s), ([], [])
-                held[side].append((t, channel if side else order_id))
-            yield batch_of(out)
-        if session:
-            yield batch_of(pairs())
-
+    most = per.agg(F.max("_np"), F.max("_nr")).first()
+    n_pays, n_receipts = most[0] or 0, most[1] or 0
+    if n_pays <= 1 and n_receipts <= 1:
+        return split
     busy = per.filter(~simple).select(F.col("tx_id").alias("_busy"))
-    rows = events.join(busy, F.col("tx_id").eqNullSafe(F.col("_busy")), "left_semi")
-    rows = _sessions(rows, max(pay_wait_s, receipt_wait_s), chunking, rows_per_chunk)
-    order = ["tx_id", "_session", "t", "side", "order_id", "pay_channel"]
-    walked = (rows.select(*order).repartition("tx_id", "_session").sortWithinPartitions(*order)
-              .mapInArrow(walk, "tx_id string, order_id long, pay_time long, pay_channel string, receipt_time long"))
-    return split.unionByName(walked)
+    rows = materialize(events.join(busy, F.col("tx_id").eqNullSafe(F.col("_busy")), "left_semi"), "busy-tx")
+
+    def chunked(df: DataFrame) -> tuple[DataFrame, str | None]:
+        if chunking == "balanced" and 2 * n_pays + n_receipts <= rows_per_chunk:
+            return df, None
+        return seq.chunk_by(df, ["tx_id"], "t", chunking, target_rows=rows_per_chunk)
+
+    return split.unionByName(_matched(rows.filter(pay), rows.filter(receipt), pay_wait_s, receipt_wait_s, chunked, n_pays))
+
+
+def _matched(pays: DataFrame, receipts: DataFrame, pay_wait_s: int, receipt_wait_s: int, chunked, n_pays: int) -> DataFrame:
+    """The rule of :func:`pair_waiting` for tx ids with any number of rows, without walking through them.
+
+    Both sides are numbered 1, 2, 3 .. per tx id. Of the i-th pay, let L be the number of receipts too old for it and U
+    the number that come before its wait ends (a running count of receipts, asked at both times). With x receipts done
+    with before it, it takes receipt max(x, L) + 1 if that is at most U, and x becomes that number; else it stays
+    alone and x becomes max(x, L), which then is U. So x - i becomes min(U - i, max(L + 1 - i, its value before)): a
+    running clamp (:func:`tidemark.operators.sequence.running_clamp`), which is cut into blocks and folded in parallel
+    however many rows a tx id has and however closely they follow each other. ``chunked`` cuts busy tx ids along time."""
+    p, chunk = chunked(pays.select("tx_id", "t", "order_id"))
+    p = seq.rank(p, ["tx_id"], ["t", "order_id"], chunk, out="_i").drop("_chunk")
+    r, chunk = chunked(receipts.select("tx_id", "t", "pay_channel"))
+    r = seq.rank(r, ["tx_id"], ["t", "pay_channel"], chunk, out="_j").drop("_chunk")
+    none = F.lit(None).cast("long")
+    # at the same time, a question for the receipts before it comes first, and one for those up to it last
+    asked = p.select("tx_id", F.explode(F.array(
+        F.struct((F.col("t") - receipt_wait_s).alias("t"), F.lit(0).alias("_what"), F.col("_i").alias("_n")),
+        F.struct((F.col("t") + pay_wait_s).alias("t"), F.lit(2).alias("_what"), F.col("_i").alias("_n")))).alias("_q")).select("tx_id", "_q.*")
+    line = asked.unionByName(r.select("tx_id", "t", F.lit(1).alias("_what"), F.col("_j").alias("_n")))
+    line, chunk = chunked(line)
+    line = seq.running_sum(line, ["tx_id"], ["t", "_what", "_n"], chunk, (F.col("_what") == 1).cast("long"), out="_seen")
+    key = F.struct("tx_id", F.col("_n").alias("_i")).alias("_k")
+    bounds = line.filter("_what <> 1").groupBy(key).agg(
+        F.max(F.when(F.col("_what") == 0, F.col("_seen"))).alias("_l"), F.max(F.when(F.col("_what") == 2, F.col("_seen"))).alias("_u"))
+    p = p.withColumn("_k", F.struct("tx_id", "_i")).join(bounds, "_k").drop("_k")
+    p = p.withColumn("_lo", F.col("_l") + 1 - F.col("_i")).withColumn("_hi", F.col("_u") - F.col("_i"))
+    p = seq.running_clamp(p, ["tx_id"], "_i", "_lo", "_hi", "_y", longest=n_pays)
+    first = F.greatest(F.col("_y") + F.col("_i") - 1, F.col("_l"))
+    p = p.select(F.struct("tx_id", F.when(first < F.col("_u"), first + 1).alias("_j"),
+                          # a pay alone is a key of its own
+                          F.when(first >= F.col("_u"), F.col("_i")).alias("_i")).alias("_k"),
+                 "order_id", F.col("t").alias("pay_time"))
+    r = r.select(F.struct("tx_id", "_j", none.alias("_i")).alias("_k"), "pay_channel", F.col("t").alias("receipt_time"))
+    return p.join(r, "_k", "full_outer").select(F.col("_k.tx_id").alias("tx_id"), "order_id", "pay_time", "pay_channel", "receipt_time")
 
 
 def _paired_by_rank(pays: DataFrame, receipts: DataFrame, chunking: str, rows_per_chunk: int) -> DataFrame:
@@ -164,8 +170,7 @@ def reconcile(pays: DataFrame, receipts: DataFrame, mode: str = "interval", pay_
     ``mode='interval'``: in event time a pay waits ``pay_wait`` seconds for a receipt and a receipt
     ``receipt_wait`` seconds for a pay (both inclusive); whichever comes takes the one that has waited
     longest, and a row whose wait ends is unmatched. A tx id with one row of either side is decided in an
-    aggregation. Those of others are cut into sessions between which nothing can reach (see ``_sessions``), and
-    each session is walked through in order.
+    aggregation, those of others by counting and a running clamp (see ``_matched``).
 
     ``mode='key'`` pairs the n-th pay of a tx id with its n-th receipt, however far apart (a bounded replay
     where each side waits for the other). A NULL tx id is a key like any other.

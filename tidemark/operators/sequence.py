@@ -253,3 +253,49 @@ def next_value(df: DataFrame, keys: Cols, order: Cols, chunk: str | None, value:
     return (df.join(carry, [*keys, chunk])
             .withColumn(out, F.coalesce(F.last("_v", ignorenulls=True).over(after), F.col("_later")))
             .drop("_v", "_later", KEY))
+
+
+def running_clamp(df: DataFrame, keys: Cols, order: str, low: str, high: str, out: str, start: int = 0,
+                  block: int = 256, longest: int | None = None) -> DataFrame:
+    """Add ``out``: the value y *before* each row of a key, where y begins at ``start`` and each row, in the order of
+    ``order`` (1, 2, 3 .. per key), makes it min(high, max(low, y)).
+
+    Such steps compose to steps of the same form, so they are folded in a tree: rows are folded per block of ``block``
+    of a key, blocks per block of blocks, as often as the longest key needs it (one level where no key is longer than
+    a block; the length of the ``longest`` is looked up first where it is not given), and the values at the beginning of each block come back down. An array
+    holds one block at most, whatever the key.
+    """
+    df, keys = _keyed(df, keys)
+    longest = (df.agg(F.max(order)).first()[0] or 0) if longest is None else longest
+    own = df.select(*keys, F.col(order).alias("_i"), F.col(low).alias("_lo"), F.col(high).alias("_hi"))
+
+    def blocks(steps: DataFrame) -> DataFrame:
+        return steps.groupBy(*keys, F.floor((F.col("_i") - 1) / block).alias("_b")).agg(
+            F.array_sort(F.collect_list(F.struct("_i", "_lo", "_hi"))).alias("_steps"))
+
+    def apply(step: Column, y: Column) -> Column:
+        return F.least(step["_hi"], F.greatest(step["_lo"], y))
+
+    levels = [blocks(own)]
+    while longest > block:
+        # the fold of a block as one step; a step whose bounds cross gives its upper one
+        lowest, highest = F.lit(-(1 << 62)).cast("long"), F.lit(1 << 62).cast("long")
+        folded = F.aggregate("_steps", F.struct(lowest.alias("_lo"), highest.alias("_hi")), lambda a, s: F.struct(
+            apply(s, a["_lo"]).alias("_lo"), apply(s, a["_hi"]).alias("_hi")))
+        up = levels[-1].withColumn("_f", folded).select(*keys, (F.col("_b") + 1).alias("_i"), "_f._lo", "_f._hi")
+        levels[-1] = materialize(levels[-1], "clamp-blocks")
+        levels.append(blocks(up))
+        longest = -(-longest // block)
+    y = None
+    for level in reversed(levels):
+        if y is None:
+            begun = level.withColumn("_y", F.lit(start).cast("long"))
+        else:
+            begun = level.join(y.select(*keys, (F.col("_i") - 1).alias("_b"), "_y"), [*keys, "_b"])
+        # the value before each step of the block
+        run = F.aggregate("_steps", F.struct(F.array().cast("array<bigint>").alias("ys"), F.col("_y").alias("y")),
+                          lambda a, s: F.struct(F.concat(a["ys"], F.array(a["y"])).alias("ys"), apply(s, a["y"]).alias("y")))
+        y = begun.select(*keys, "_steps", run["ys"].alias("_ys")).select(
+            *keys, F.inline(F.arrays_zip(F.col("_steps._i").alias("_i"), F.col("_ys").alias("_y"))))
+    found = y.select(*keys, F.col("_i").alias(order), F.col("_y").alias(out))
+    return df.join(found, [*keys, order]).drop(KEY)
