@@ -149,7 +149,7 @@ def test_window_streams_equal_batch(rocks, tmp_path):
         "tidemark.operators.topn", fromlist=["top_n"]).top_n(d, 5, id_col="item_id")),
         "window_end", "rank", "item_id", "cnt")
     assert sorted(ranked) == top
-    pane = collect_stream(spark, sagg.pane_window_count_stream(src.filter("behavior = 'pv'"), ["category_id"],
+    pane = collect_stream(spark, sagg.sliding_count_stream(src.filter("behavior = 'pv'"), ["category_id"],
                                                                "1 hour", "5 minutes"), tmp_path, "pane")
     exp2 = rows(windows.window_count(beh.filter("behavior = 'pv'"), ["category_id"], "1 hour", "5 minutes",
                                      count_col="cnt"))

@@ -1,4 +1,5 @@
-"""Unique visitors per tumbling window: exact, bitmap, running (one row per newly seen id) and sketch.
+"""Unique visitors per tumbling window: exact, bitmap, running (one row per newly seen id) and sketch; and mergeable
+sketches per pane (:func:`uv_sketches`), from which sliding windows and longer periods are counted without the rows.
 
 All forms aggregate by (window, visitor) or (window, bitmap bucket) before aggregating by window, so a
 busy window is spread over many tasks before its final (small) merge.
@@ -64,3 +65,26 @@ def uv_approx(df: DataFrame, size: str = "1 hour", user_col: str = "user_id", ts
     return (df.select(tumbling_end(size, ts_col).alias("window_end"), F.col(user_col).alias("_u"))
             .groupBy("window_end").agg(F.approx_count_distinct("_u", rsd).alias("cnt"))
             .select(F.lit(tag).alias("url"), "window_end", "cnt"))
+
+
+def uv_sketches(df: DataFrame, pane: str = "5 minutes", user_col: str = "user_id", ts_col: str = "ts",
+                lg_k: int = 12) -> DataFrame:
+    """(pane_end, sketch): a HyperLogLog sketch of 2^lg_k registers per pane, as binary. A pane's sketch is a few kB
+    whatever its visitors, merges with any others, and can be stored and used again."""
+    return (df.select(tumbling_end(pane, ts_col).alias("pane_end"), F.col(user_col).alias("_u"))
+            .groupBy("pane_end").agg(F.hll_sketch_agg("_u", lg_k).alias("sketch")))
+
+
+def uv_from_sketches(sketches: DataFrame, pane: str, size: str, slide: str | None = None, tag: str = "uv") -> DataFrame:
+    """(url=tag, window_end, cnt): estimates for windows that are made of whole panes, from the union of their sketches.
+    ``slide=None`` means tumbling. A union counts a visitor of several panes once; its relative error is that of one
+    sketch, about 1.04 / sqrt(2^lg_k)."""
+    pane_ms, size_ms, slide_ms = duration_ms(pane), duration_ms(size), duration_ms(slide or size)
+    if size_ms % pane_ms or slide_ms % pane_ms:
+        raise ValueError("a window must be made of whole panes")
+    # the first window that holds the pane ends at the next multiple of the slide at or after the pane's end
+    first = (F.ceil(F.col("pane_end") / slide_ms) * slide_ms).cast("long")
+    last = F.col("pane_end") - pane_ms + size_ms
+    ends = sketches.filter(first <= last).select(F.explode(F.sequence(first, last, F.lit(slide_ms).cast("long"))).alias("window_end"), "sketch")
+    return (ends.groupBy("window_end").agg(F.hll_sketch_estimate(F.hll_union_agg("sketch")).alias("cnt"))
+            .select(F.lit(tag).alias("url"), "window_end", "cnt"))

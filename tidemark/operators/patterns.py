@@ -79,11 +79,7 @@ def login_fail_timed(logins: DataFrame, limit_s: int = 2, min_fails: int = 2,
     ``min_fails`` warns.
 
     Runs of fails split at successes and at gaps of at least ``limit`` are independent. Inside a run the
-    group starts are the orbit of its first fail under ``next(i)`` = the first fail at or after
-    ``t_i + limit``. The orbit is built by pointer doubling: O(log n) rounds of joins on (run, index), each
-    round written to the shared checkpoint folder to cut the lineage. The jump table keeps only fails whose
-    jump stays inside the run, so it shrinks with every round and the loop ends when it is empty. Positions
-    and ``next`` come from the chunked sequence operators. What joins on the run alone is one row per run; a
+    group starts are found by pointer doubling (:func:`tidemark.operators.sequence.greedy_starts`). What joins on the run alone is one row per run; a
     run with very many fails is split there by adaptive execution only.
     """
     order = ["timestamp", "seq"]
@@ -104,26 +100,10 @@ def login_fail_timed(logins: DataFrame, limit_s: int = 2, min_fails: int = 2,
     fails = materialize(seq.rank(df.filter("_fail").drop("_fail"), keys, order, chunk, out="_i")
                         .withColumn("_i", F.col("_i") - 1), "fail-index")
     runs = fails.groupBy("run").agg(F.count(F.lit(1)).alias("_n")).join(ends, "run", "left")
-    # next(i): first fail with t >= t_i + limit, found as the next data row after a probe at t_i + limit.
-    probes = fails.select("run", (F.col("timestamp") + limit_s).alias("timestamp"), F.lit(0).alias("_kind"),
-                          F.col("_i").alias("_src"), F.lit(None).cast("long").alias("_val"))
-    data = fails.select("run", "timestamp", F.lit(1).alias("_kind"), F.col("_i").alias("_src"),
-                        F.col("_i").alias("_val"))
-    both, chunk = seq.chunk_by(probes.unionByName(data), keys, "timestamp", "balanced", target_rows=rows_per_chunk)
-    nxt = materialize(seq.next_value(both, keys, ["timestamp", "_kind", "_src"], chunk, "_val", out="_p")
-                      .filter(F.col("_kind") == 0).select("run", F.col("_src").alias("_i"), "_p"), "fail-next")
-    # Pointer doubling: starts holds the jumps 0 .. 2^k - 1 from index 0, jumps the 2^k-th successors. A round
-    # writes the starts that it adds and the jumps that are left.
-    starts = nxt.filter(F.col("_i") == 0).select("run", "_i")
-    jumps = nxt.filter(F.col("_p").isNotNull())
-    while not jumps.isEmpty():
-        reached = materialize(starts.join(jumps, ["run", "_i"]).select("run", F.col("_p").alias("_i")), "fail-starts")
-        starts = starts.unionByName(reached)
-        hop = jumps.select("run", F.col("_i").alias("_p"), F.col("_p").alias("_q"))
-        jumps = materialize(jumps.join(hop, ["run", "_p"]).select("run", "_i", F.col("_q").alias("_p")), "fail-jumps")
+    starts = seq.greedy_starts(fails, "run", "_i", "timestamp", limit_s, rows_per_chunk)
     # Each start s covers fails s .. next(s) - 1; the run's last group may be cancelled by its success.
-    groups = (starts.join(nxt, ["run", "_i"]).join(runs, "run")
-              .select("run", F.col("_i").alias("_s"), F.coalesce("_p", "_n").alias("_e"), F.col("_p").isNull().alias("_last"),
+    groups = (starts.join(runs, "run")
+              .select("run", F.col("_i").alias("_s"), F.coalesce("next", "_n").alias("_e"), F.col("next").isNull().alias("_last"),
                       "_succ"))
     first = fails.select("run", F.col("_i").alias("_s"), F.col("timestamp").alias("first_fail_time"))
     last = fails.select("run", (F.col("_i") + 1).alias("_e"), F.col("timestamp").alias("last_fail_time"))

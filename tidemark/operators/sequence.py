@@ -299,3 +299,29 @@ def running_clamp(df: DataFrame, keys: Cols, order: str, low: str, high: str, ou
             *keys, F.inline(F.arrays_zip(F.col("_steps._i").alias("_i"), F.col("_ys").alias("_y"))))
     found = y.select(*keys, F.col("_i").alias(order), F.col("_y").alias(out))
     return df.join(found, [*keys, order]).drop(KEY)
+
+
+def greedy_starts(points: DataFrame, key: str, index: str, time: str, length: int, rows_per_chunk: int = 1 << 20) -> DataFrame:
+    """(key, index, next): the points of a key that begin a period: its first, then the first point at or after a
+    start's time + ``length``, and so on; ``next`` is the index of the next start, NULL after the last.
+
+    ``index`` is 0, 1, 2 .. along ``time``. The starts are the orbit of point 0 under next(i) = the first point at or after
+    t_i + length, which a chunked next-value lookup finds for every point. The orbit is built by pointer doubling:
+    O(log n) rounds of joins on (key, index), each written to the shared checkpoint folder to cut the lineage. A round
+    writes the starts that it adds and the jumps that stay inside their key, so the loop ends when none are left."""
+    none = F.lit(None).cast("long")
+    probes = points.select(key, (F.col(time) + length).alias(time), F.lit(0).alias("_kind"), F.col(index).alias("_src"),
+                           none.alias("_val"))
+    data = points.select(key, time, F.lit(1).alias("_kind"), F.col(index).alias("_src"), F.col(index).alias("_val"))
+    both, chunk = chunk_by(probes.unionByName(data), [key], time, "balanced", target_rows=rows_per_chunk)
+    nxt = materialize(next_value(both, [key], [time, "_kind", "_src"], chunk, "_val", out="next")
+                      .filter(F.col("_kind") == 0).select(key, F.col("_src").alias(index), "next"), "greedy-next")
+    # starts holds the jumps 0 .. 2^k - 1 from index 0, jumps the 2^k-th successors
+    starts = nxt.filter(F.col(index) == 0).select(key, index)
+    jumps = nxt.filter(F.col("next").isNotNull())
+    while not jumps.isEmpty():
+        starts = starts.unionByName(materialize(
+            starts.join(jumps, [key, index]).select(key, F.col("next").alias(index)), "greedy-starts"))
+        hop = jumps.select(key, F.col(index).alias("next"), F.col("next").alias("_q"))
+        jumps = materialize(jumps.join(hop, [key, "next"]).select(key, index, F.col("_q").alias("next")), "greedy-jumps")
+    return starts.join(nxt, [key, index])

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import report
 from tidemark.functions.time import end_string
-from tidemark.operators import blocking, distinct, joins, lateness, patterns, topn, windows
+from tidemark.operators import blocking, changelog, distinct, joins, lateness, patterns, topn, windows
 from tidemark.sources import adapters, lines, records
 from tidemark.session import materialize
 from tidemark.sources.access_log import parse_access_log, rejected_lines
@@ -87,21 +87,31 @@ def hot_items_pure_sql(spark: SparkSession, sf_dir: str, n: int = 5) -> DataFram
         " WHERE row_num <= {n}", data=data, n=n)
 
 
+def hot_items_changelog(spark: SparkSession, sf_dir: str, n: int = 5) -> DataFrame:
+    """(op, epoch, window_end, rank, item_id, cnt): how the ranking of each 1 h window changes from one 5 min epoch to
+    the next, as a retract stream; all of it folds to ``hot_items``."""
+    ranks = changelog.running_ranks(page_views(spark, sf_dir), "item_id", n, "1 hour", "5 minutes")
+    return changelog.ranking_changes(ranks, "item_id")
+
+
 # ---- pages, page views, unique visitors -----------------------------------------------------------------
 
 def access_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     return parse_access_log(adapters.access_log_lines(_t(spark, sf_dir, "events"), _t(spark, sf_dir, "pages")))
 
 
-def _page_split(spark, sf_dir, size, slide, bound, allowed_lateness, write=True):
+def _page_requests(spark, sf_dir, bound, write=True):
     # The watermark follows every log line; the method and asset filters come after it. The marked
     # requests feed the pane window, whose chunk summaries and joins read them several times; they are
     # written once to the shared checkpoint folder so the log is not rebuilt from the scans per branch.
     marked = lateness.watermark_before(access_log(spark, sf_dir), "timestamp", bound)
     requests = (marked.filter((F.col("method") == "GET") & ~F.col("url").rlike(STATIC_ASSET))
                 .withColumn("ts", F.timestamp_millis("timestamp")))
-    if write:
-        requests = materialize(requests, "page-requests")
+    return materialize(requests, "page-requests") if write else requests
+
+
+def _page_split(spark, sf_dir, size, slide, bound, allowed_lateness, write=True):
+    requests = _page_requests(spark, sf_dir, bound, write)
     return lateness.split_late(requests, "timestamp", size, slide, watermark="watermark",
                                lateness=allowed_lateness)
 
@@ -129,6 +139,14 @@ def late_pages(spark: SparkSession, sf_dir: str, size: str = "10 minutes", slide
     return late.select("ip", "user_id", "timestamp", "method", "url")
 
 
+def page_firings(spark: SparkSession, sf_dir: str, size: str = "10 minutes", slide: str = "5 seconds",
+                 bound: str = "1 second", allowed_lateness: str = "1 minute") -> DataFrame:
+    """(url, window_end, firing, cnt): every firing of a page's window, the first when the watermark passes its end and
+    one per late row after that; the last firing of a window has the count of ``page_counts``."""
+    requests = _page_requests(spark, sf_dir, bound)
+    return changelog.window_firings(requests, ["url"], "timestamp", size, slide, bound, allowed_lateness, watermark="watermark")
+
+
 def page_view(spark: SparkSession, sf_dir: str, size: str = "1 hour", salt: int = 0) -> DataFrame:
     """(url='pv', window_end, cnt): page views per tumbling window.
 
@@ -308,6 +326,12 @@ def ad_blacklist_daily(spark: SparkSession, sf_dir: str, limit: int = 2) -> Data
     return blocking.blacklist_warnings(_clicks(spark, sf_dir), limit, reset="calendar_day")
 
 
+def ad_blacklist_rolling(spark: SparkSession, sf_dir: str, limit: int = 2, period_s: int = 7 * 86400) -> DataFrame:
+    """(user_id, ad_id, warning_msg): one warning per key and period over the limit; a period is a week from the first
+    click that it counts."""
+    return blocking.blacklist_warnings(_clicks(spark, sf_dir), limit, reset="rolling", period_s=period_s)
+
+
 def ad_passed_daily(spark: SparkSession, sf_dir: str, limit: int = 2) -> DataFrame:
     """The ad clicks that pass the blocker when its counts begin anew each calendar day."""
     return blocking.block_clicks(_clicks(spark, sf_dir), limit, reset="calendar_day").select(
@@ -327,6 +351,22 @@ def uv_approx_checked(spark: SparkSession, sf_dir: str, rsd: float = 0.01) -> Da
         "url", "window_end", "cnt", (F.abs(F.col("_a") - F.col("cnt")) <= 5 * rsd * F.col("cnt") + 1).alias("within"))
 
 
+def uv_sketch_sliding(spark: SparkSession, sf_dir: str, lg_k: int = 12) -> DataFrame:
+    """(period, window_end, cnt, within): the exact count of visitors per hour sliding by 5 min and per day, and whether
+    the estimate from 5 min sketches is within 5 standard errors (and 1) of it. Both come from one set of sketches."""
+    views = page_views(spark, sf_dir)
+    sketches = materialize(distinct.uv_sketches(views, lg_k=lg_k), "uv-sketches")
+    out = None
+    for period, size, slide in (("hour", "1 hour", "5 minutes"), ("day", "1 day", None)):
+        est = distinct.uv_from_sketches(sketches, "5 minutes", size, slide).select("window_end", F.col("cnt").alias("_est"))
+        exact = views.groupBy(F.window("ts", size, slide or size).alias("w")).agg(F.countDistinct("user_id").alias("cnt"))
+        both = exact.select(F.unix_millis(F.col("w.end")).alias("window_end"), "cnt").join(est, "window_end", "full_outer")
+        close = F.abs(F.col("_est") - F.col("cnt")) <= 5 * 1.04 / 2 ** (lg_k / 2) * F.col("cnt") + 1
+        own = both.select(F.lit(period).alias("period"), "window_end", "cnt", close.alias("within"))
+        out = own if out is None else out.unionByName(own)
+    return out
+
+
 def _round_trip(df: DataFrame, kind: str) -> DataFrame:
     """Records written as lines and parsed again."""
     return records.parse_records(records.render_records(df, kind), kind)

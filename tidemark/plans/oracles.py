@@ -44,6 +44,24 @@ SELECT item_id, window_end, cnt, row_num FROM (
 WHERE row_num <= 5"""
 
 
+# Every ranking of every window at every epoch, compared with the one before.
+HOT_ITEMS_CHANGELOG = f"""WITH pv AS ({PV}),
+counted AS (
+  SELECT item_id, w AS window_end, e AS epoch, count(*) AS cnt
+  FROM (SELECT item_id, (t // 300 + 1 + j) * 300000 AS w, (t // 300 + 1 + i) * 300000 AS e FROM pv, range(12) r(j), range(12) s(i)
+        WHERE i <= j)
+  GROUP BY ALL),
+ranked AS (
+  SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY window_end, epoch ORDER BY cnt DESC, item_id) AS rank FROM counted)
+  WHERE rank <= 5),
+steps AS (
+  SELECT a.window_end, a.epoch, a.rank, a.item_id, a.cnt, b.item_id AS old_item, b.cnt AS old_cnt
+  FROM ranked a LEFT JOIN ranked b ON b.window_end = a.window_end AND b.rank = a.rank AND b.epoch = a.epoch - 300000
+  WHERE b.rank IS NULL OR a.item_id <> b.item_id OR a.cnt <> b.cnt)
+SELECT true AS op, epoch, window_end, rank, item_id, cnt FROM steps
+UNION ALL SELECT false, epoch, window_end, rank, old_item, old_cnt FROM steps WHERE old_item IS NOT NULL"""
+
+
 def _report(ranked: str, id_col: str, labels: tuple[str, str]) -> str:
     return f"""WITH r AS ({ranked})
 SELECT window_end, '============================' || chr(10) || '窗口结束时间：' || {_ts_string('window_end')} || chr(10)
@@ -71,6 +89,17 @@ w AS (SELECT url, (t // 5000 + 1 + j) * 5000 AS window_end, wm FROM req, range(1
 c AS (SELECT url, window_end, count(*) AS cnt FROM w WHERE wm IS NULL OR window_end - 1 + 60000 > wm
       GROUP BY url, window_end)"""
 
+# Every (request, window) pair: before the window's first firing, a firing of its own, or too late.
+PAGE_FIRINGS = f"""{LOG},
+w AS (SELECT url, seq, (t // 5000 + 1 + j) * 5000 AS window_end, wm FROM req, range(120) r(j)),
+kept AS (SELECT url, seq, window_end, wm IS NULL OR window_end - 1 > wm AS on_time FROM w
+         WHERE wm IS NULL OR window_end - 1 + 60000 > wm),
+numbered AS (
+  SELECT url, window_end, on_time, row_number() OVER (PARTITION BY url, window_end ORDER BY NOT on_time, seq) AS cnt,
+         count(*) FILTER (WHERE on_time) OVER (PARTITION BY url, window_end) AS n_first FROM kept)
+SELECT url, window_end, CASE WHEN on_time THEN 1 ELSE cnt - n_first + CASE WHEN n_first > 0 THEN 1 ELSE 0 END END AS firing, cnt
+FROM numbered WHERE NOT on_time OR cnt = n_first"""
+
 HOT_PAGES_RANKED = f"""{PAGE_COUNTS}
 SELECT window_end, rank, url, cnt FROM (
   SELECT *, row_number() OVER (PARTITION BY window_end ORDER BY cnt DESC, url) AS rank FROM c)
@@ -311,10 +340,29 @@ walk AS (
         FROM walk JOIN n ON n.order_id = walk.order_id AND n.i = walk.i))
 SELECT order_id, opened AS cycle_time, result AS result_state FROM walk WHERE result IS NOT NULL"""
 
+# The clicks of a key one after the other: when the period began and how many it has.
+AD_BLACKLIST_ROLLING = f"""WITH RECURSIVE clicks AS ({CLICKS.replace('r AS (', 'r0 AS (')}
+SELECT user_id, ad_id, timestamp AS t, row_number() OVER (PARTITION BY user_id, ad_id ORDER BY timestamp, seq) AS i FROM r0),
+walk AS (
+  SELECT user_id, ad_id, i, t AS began, 1 AS n FROM clicks WHERE i = 1
+  UNION ALL
+  SELECT c.user_id, c.ad_id, c.i, CASE WHEN c.t >= began + 604800 THEN c.t ELSE began END,
+         CASE WHEN c.t >= began + 604800 THEN 1 ELSE n + 1 END
+  FROM walk w JOIN clicks c ON c.user_id = w.user_id AND c.ad_id = w.ad_id AND c.i = w.i + 1)
+SELECT user_id, ad_id, 'click over 2times.' AS warning_msg FROM walk WHERE n = 3"""
+
+UV_SKETCH_SLIDING = f"""WITH pv AS ({PV})
+SELECT 'hour' AS period, (t // 300 + 1 + j) * 300000 AS window_end, count(DISTINCT user_id) AS cnt, true AS within
+FROM pv, range(12) r(j) GROUP BY 2
+UNION ALL
+SELECT 'day', (t // 86400 + 1) * 86400000, count(DISTINCT user_id), true FROM pv GROUP BY 2"""
+
 
 ORACLES: dict[str, str] = {
     "hot_items": HOT_ITEMS,
     "item_counts": ITEM_COUNTS,
+    "hot_items_changelog": HOT_ITEMS_CHANGELOG,
+    "page_firings": PAGE_FIRINGS,
     "hot_items_report": _report(HOT_ITEMS, "item_id", (" 商品ID = ", " 热门度 = ")),
     "hot_items_sql": HOT_ITEMS_SQL,
     "hot_items_pure_sql": HOT_ITEMS_SQL,
@@ -347,6 +395,8 @@ ORACLES: dict[str, str] = {
     "channel_counts_null": CHANNEL_COUNTS_NULL,
     "ad_blacklist_daily": AD_BLACKLIST_DAILY,
     "ad_passed_daily": AD_PASSED_DAILY,
+    "ad_blacklist_rolling": AD_BLACKLIST_ROLLING,
+    "uv_sketch_sliding": UV_SKETCH_SLIDING,
     "uv_bitmap_small": UV_BITMAP_SMALL,
     "uv_approx_checked": UV_APPROX_CHECKED,
     "records_behavior": RECORDS_BEHAVIOR,

@@ -11,7 +11,9 @@ QUERIES = {
     "hot_items_report": jobs.hot_items_report,
     "hot_items_sql": jobs.hot_items_sql,
     "hot_items_pure_sql": jobs.hot_items_pure_sql,
+    "hot_items_changelog": jobs.hot_items_changelog,
     "page_counts": jobs.page_counts,
+    "page_firings": jobs.page_firings,
     "hot_pages": jobs.hot_pages,
     "hot_pages_report": jobs.hot_pages_report,
     "late_pages": jobs.late_pages,
@@ -40,6 +42,8 @@ QUERIES = {
     "channel_counts_null": jobs.channel_counts_null,
     "ad_blacklist_daily": jobs.ad_blacklist_daily,
     "ad_passed_daily": jobs.ad_passed_daily,
+    "ad_blacklist_rolling": jobs.ad_blacklist_rolling,
+    "uv_sketch_sliding": jobs.uv_sketch_sliding,
     "uv_bitmap_small": jobs.uv_bitmap_small,
     "uv_approx_checked": jobs.uv_approx_checked,
     "records_behavior": jobs.records_behavior,
@@ -56,8 +60,10 @@ assert set(ORACLES) <= set(QUERIES)
 
 FLAGSHIP = "hot_items"
 
-# Further inputs of queries above (NULL keys, repeated ids, record lines): checked, but no headline of the bench.
+# Further inputs and forms of queries above (NULL keys, repeated ids, record lines, changelogs): checked, but no headline
+# of the bench.
 VARIANTS = {"tx_match_repeated", "order_timeout_early", "channel_counts_null", "ad_blacklist_daily", "ad_passed_daily",
             "uv_bitmap_small", "uv_approx_checked", "records_behavior", "records_ad_click", "records_login",
-            "records_order", "records_receipt", "access_log_lenient", "published_receipts"}
+            "records_order", "records_receipt", "access_log_lenient", "published_receipts",
+            "ad_blacklist_rolling", "uv_sketch_sliding", "hot_items_changelog", "page_firings", "order_cycles"}
 assert set(QUERIES) >= VARIANTS

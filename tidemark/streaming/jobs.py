@@ -18,7 +18,8 @@ from tidemark.functions.time import duration_ms
 from tidemark.operators import patterns, topn
 from tidemark.operators.lateness import last_end
 from tidemark.session import delete_path, list_names, path_exists
-from tidemark.streaming.aggregations import event_time, pane_window_count_stream, window_count_stream
+from tidemark.streaming.aggregations import (
+    counts_and_late_rows, event_time, sliding_count_stream, window_count_stream)
 from tidemark.streaming.processors import (
     CYCLE_RESULT, LOGIN_WARNING, ORDER_RESULT, RUNNING_UV, TX_RESULT, ClickBlockerProcessor, LoginFailPairProcessor,
     LoginFailStreakProcessor, LoginFailTimerProcessor, OrderCycleProcessor, OrderStateProcessor,
@@ -67,22 +68,23 @@ def order_pay_timeout_stream(orders: DataFrame, within_s: int = 300,
 
 
 def blocker_stream(clicks: DataFrame, limit: int = 100, reset: str = "none", delay: str | None = None,
-                   ttl_s: int | None = None) -> DataFrame:
+                   ttl_s: int | None = None, period_s: int = 86400) -> DataFrame:
     """Clicks plus ``tag`` ('data' | 'blacklist') and ``warning_msg``; arrival order by ``seq``.
 
     ``reset='calendar_day'`` counts each day of event time anew (needs ``delay``). With ``delay`` the input gets
     a watermark on ``ts`` and the output keeps ``ts`` as its event-time column, so windowed aggregations can
-    follow (see :func:`ad_province_stream`). ``ttl_s`` bounds the life of the counts without a reset."""
-    if reset != "none" and not delay:
+    follow (see :func:`ad_province_stream`). ``reset='rolling'`` counts anew ``period_s`` after a key's first row, by the
+    clock. ``ttl_s`` bounds the life of the counts without a reset."""
+    if reset == "calendar_day" and not delay:
         raise ValueError("a daily reset needs a watermark delay")
     if delay:
         clicks = event_time(clicks, "ts", delay)
     schema = T.StructType(clicks.schema.fields + [T.StructField("tag", T.StringType()),
                                                   T.StructField("warning_msg", T.StringType())])
     extra = {"eventTimeColumnName": "ts"} if delay else {}
-    mode = "EventTime" if reset != "none" else "ProcessingTime" if ttl_s else "None"
+    mode = "EventTime" if reset == "calendar_day" else "ProcessingTime" if ttl_s or reset == "rolling" else "None"
     return clicks.groupBy("user_id", "ad_id").transformWithState(
-        ClickBlockerProcessor(limit, reset, ttl_s), schema, "Append", mode, **extra)
+        ClickBlockerProcessor(limit, reset, ttl_s, period_s), schema, "Append", mode, **extra)
 
 
 def ad_province_stream(clicks: DataFrame, limit: int = 100, size: str = "1 hour", slide: str = "5 minutes",
@@ -145,14 +147,14 @@ def item_counts_stream(behaviors: DataFrame, size: str = "1 hour", slide: str =
 def channel_counts_stream(marketing: DataFrame, size: str = "1 hour", slide: str = "5 seconds",
                           delay: str = "200 milliseconds") -> DataFrame:
     m = marketing.filter(~F.col("behavior").eqNullSafe("UNINSTALL"))
-    return pane_window_count_stream(m, ["channel", "behavior"], size, slide, delay=delay)
+    return sliding_count_stream(m, ["channel", "behavior"], size, slide, delay=delay)
 
 
 def channel_total_stream(marketing: DataFrame, size: str = "1 hour", slide: str = "5 seconds",
                          delay: str = "200 milliseconds") -> DataFrame:
     """(window_end, cnt) over all channels and behaviours but UNINSTALL."""
     m = marketing.filter(~F.col("behavior").eqNullSafe("UNINSTALL"))
-    return pane_window_count_stream(m, [], size, slide, delay=delay)
+    return sliding_count_stream(m, [], size, slide, delay=delay)
 
 
 def page_view_stream(behaviors: DataFrame, size: str = "1 hour", salt: int = 10,
@@ -209,10 +211,17 @@ def page_counts_stream(requests: DataFrame, size: str = "10 minutes", slide: str
     counted per pane first instead of being copied to all their windows."""
     delay = f"{duration_ms(bound) + duration_ms(allowed_lateness)} milliseconds"
     if mode == "append" and duration_ms(size) % duration_ms(slide) == 0:
-        return pane_window_count_stream(requests, ["url"], size, slide, delay=delay)
+        return sliding_count_stream(requests, ["url"], size, slide, delay=delay)
     return window_count_stream(requests, ["url"], size, slide, delay=delay)
 
 
+def page_counts_with_late_rows(requests: DataFrame, size: str = "10 minutes", slide: str = "5 seconds",
+                               bound: str = "1 second", allowed_lateness: str = "1 minute") -> DataFrame:
+    """Page counts and the requests too late for every window, as two tags of one query (see
+    :func:`tidemark.streaming.aggregations.counts_and_late_rows`); :func:`split_writer` hands each to its writer."""
+    return counts_and_late_rows(requests, ["url"], size, slide, bound, allowed_lateness)
+
+
 class EpochState:
     """Tables of a foreachBatch writer, one folder per epoch under ``state_dir`` (shared storage).
 

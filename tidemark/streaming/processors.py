@@ -206,20 +206,31 @@ class ClickBlockerProcessor(StatefulProcessor):
     reset period a row passes (up to ``limit``, tag 'data'), warns (the next one, 'blacklist') or is dropped.
 
     State is the number of rows per period. With ``reset='calendar_day'`` a period is a day of event time and
-    its number goes when the watermark passes the day's end; without a reset the one number stays, for
+    its number goes when the watermark passes the day's end; with ``rolling`` the number goes ``period_s`` after its first
+    row by the clock, by a processing-time timer or by the next row, whichever comes first; without a reset the one number stays, for
     ``ttl_s`` if that is given. Only the rows that can still get out are held in memory."""
 
-    def __init__(self, limit: int = 100, reset: str = "none", ttl_s: int | None = None):
-        assert reset in ("none", "calendar_day")
+    def __init__(self, limit: int = 100, reset: str = "none", ttl_s: int | None = None, period_s: int = DAY_S):
+        assert reset in ("none", "calendar_day", "rolling")
         self.limit, self.daily, self.ttl_s = limit, reset == "calendar_day", ttl_s
+        self.rolling_ms = period_s * 1000 if reset == "rolling" else None
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
         extra = {"ttlDurationMs": self.ttl_s * 1000} if self.ttl_s else {}
         self.seen = handle.getMapState("seen", "period long", "rows long", **extra)
+        self.began = handle.getValueState("began", "at long") if self.rolling_ms else None
+
+    def _over(self, timerValues) -> None:
+        """The rolling period's state goes if the period is over by the clock."""
+        if self.began.exists() and timerValues.getCurrentProcessingTimeInMs() >= self.began.get()[0] + self.rolling_ms:
+            self.seen.clear()
+            self.began.clear()
 
     def handleInputRows(self, key, rows, timerValues):
         heads, counts = {}, {}
+        if self.rolling_ms:
+            self._over(timerValues)
         for n, r in enumerate(rows):
             period = r["timestamp"] // DAY_S if self.daily else 0
             if period not in counts:
@@ -235,6 +246,10 @@ class ClickBlockerProcessor(StatefulProcessor):
             self.seen.updateValue((period,), (min(before + new, self.limit + 1),))
             if self.daily and not before:
                 self.handle.registerTimer((period + 1) * DAY_S * 1000)
+            if self.rolling_ms and not before:
+                now = timerValues.getCurrentProcessingTimeInMs()
+                self.began.update((now,))
+                self.handle.registerTimer(now + self.rolling_ms)
             for pos, (_, _, r) in enumerate(sorted(heads.get(period, []), key=lambda i: (-i[0], i[1])), before + 1):
                 passed = pos <= self.limit
                 out.append(Row(**r.asDict(), tag="data" if passed else "blacklist",
@@ -242,6 +257,9 @@ class ClickBlockerProcessor(StatefulProcessor):
         return iter(out)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
+        if self.rolling_ms:
+            self._over(timerValues)
+            return iter([])
         period = expiredTimerInfo.getExpiryTimeInMs() // (DAY_S * 1000) - 1
         if self.seen.containsKey((period,)):
             self.seen.removeKey((period,))
@@ -451,3 +469,125 @@ class LoginFailStreakProcessor(InOrderProcessor):
             self.context.put([(t,) for t in fails])
             self.wake((fails[-1] + self.within_s) * 1000)
         return out
+
+
+class SlidingCountProcessor(StatefulProcessor):
+    """Counts per sliding window of a key, emitted as runs of equal counts when the watermark has closed the windows.
+
+    State is the ring of the key's pane counts, those that an open window still holds, and the last window that is out.
+    A pane's count enters at the first window that ends after it and leaves after size / slide windows; between two
+    such changes the count stays, so a run (``first_end`` to ``last_end``, ``cnt``) is one row however many windows it
+    spans. The key wakes when its panes enter and leave, so a run may come as late as its end.
+
+    A window is closed when its end - 1 + ``lateness_ms`` is at or below the query's own watermark. A row counts for the
+    windows still open when it comes; one that finds none is emitted at once with tag 'late' and what ``row`` holds of
+    it. Rows must reach the operator without a watermark column, which Spark would drop late ones by.
+
+    ``whole_panes``: the rows are panes that an aggregation before this one has closed, each once. None of them is late, and
+    a window is closed when the watermark has reached its end."""
+
+    def __init__(self, size_ms: int, slide_ms: int, lateness_ms: int = 0, keys: tuple = (), payload: bool = False,
+                 whole_panes: bool = False):
+        self.n, self.slide, self.keys, self.payload = size_ms // slide_ms, slide_ms, keys, payload
+        self.whole_panes, self.lateness = whole_panes, 1 if whole_panes else lateness_ms
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.panes = handle.getMapState("panes", "pane long", "n long")
+        self.done = handle.getValueState("done", "window long")
+
+    def _closed(self, timerValues) -> int | None:
+        """The last window (its end in slides) that the watermark has closed."""
+        watermark = timerValues.getCurrentWatermarkInMs()
+        return (watermark - self.lateness + 1) // self.slide if watermark else None
+
+    def _row(self, key, **own):
+        extra = {"late": own.pop("late", None)} if self.payload else {}
+        return Row(**dict(zip(self.keys, key)), **{"tag": "count", "first_end": None, "last_end": None, "cnt": None, **own}, **extra)
+
+    def _flush(self, key, closed: int | None) -> list[Row]:
+        if closed is None or not self.done.exists():
+            return []
+        done = self.done.get()[0]
+        steps: dict[int, int] = {}
+        for (pane,), (n,) in list(self.panes.iterator()):
+            enters, leaves = max(pane, done) + 1, pane + self.n + 1
+            steps[enters] = steps.get(enters, 0) + n
+            steps[leaves] = steps.get(leaves, 0) - n
+            if leaves <= closed + 1:
+                self.panes.removeKey((pane,))
+        out, level, at = [], 0, None
+        for end in sorted(steps):
+            last = min(end - 1, closed)
+            if level and last >= at:
+                out.append(self._row(key, first_end=at * self.slide, last_end=last * self.slide, cnt=level))
+            if end > closed:
+                break
+            level, at = level + steps[end], end
+        self.done.update((max(done, closed),))
+        return out
+
+    def handleInputRows(self, key, rows, timerValues):
+        closed = None if self.whole_panes else self._closed(timerValues)
+        out = self._flush(key, closed)
+        new: dict[int, int] = {}
+        for r in rows:
+            pane = r["_ms"] // self.slide
+            if closed is not None and pane + self.n <= closed:
+                out.append(self._row(key, tag="late", cnt=r["_n"], **({"late": r["_row"]} if self.payload else {})))
+            else:
+                new[pane] = new.get(pane, 0) + r["_n"]
+        if new:
+            # nothing that is closed is counted again, and what is open begins at the first pane
+            first = min(new) if not self.done.exists() else self.done.get()[0] if self.whole_panes else min(min(new), self.done.get()[0])
+            self.done.update((first if closed is None else max(first, closed),))
+        for pane, n in new.items():
+            n += self.panes.getValue((pane,))[0] if self.panes.containsKey((pane,)) else 0
+            self.panes.updateValue((pane,), (n,))
+            for end in (pane + 1, pane + self.n):
+                if closed is None or end > closed:
+                    self.handle.registerTimer(end * self.slide - 1 + self.lateness)
+        return iter(out)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
+        out = self._flush(key, self._closed(timerValues))
+        if not any(True for _ in self.panes.keys()):
+            self.done.clear()
+        return iter(out)
+
+    def close(self) -> None:
+        pass
+
+
+class BitmapProcessor(StatefulProcessor):
+    """Newly set positions of one block of a window's bitmap: state is the block, ``BLOCK_BITS`` / 8 bytes however many
+    rows and visitors there are, and goes when the watermark passes the window's end."""
+
+    BLOCK_BITS = 1 << 15
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.block = handle.getValueState("block", "bits binary")
+
+    def handleInputRows(self, key, rows, timerValues):
+        held = self.block.exists()
+        bits = bytearray(self.block.get()[0]) if held else bytearray(self.BLOCK_BITS // 8)
+        n, ts = 0, None
+        for r in rows:
+            byte, bit = r["_pos"] >> 3, 1 << (r["_pos"] & 7)
+            n += not bits[byte] & bit
+            bits[byte] |= bit
+            ts = r["ts"] if ts is None else max(ts, r["ts"])
+        if not held:
+            self.handle.registerTimer(key[0])
+        if not n:
+            return iter([])
+        self.block.update((bytes(bits),))
+        return iter([Row(ts=ts, n=n)])
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
+        self.block.clear()
+        return iter([])
+
+    def close(self) -> None:
+        pass
