@@ -2,7 +2,7 @@
 extra columns whose names clash with those that the operators add."""
 
 SCHEMA = ("doc_id long, text string, lang string, source string, n_chars long, score double, kept boolean, "
-          "h1 long, key string, size long, target double, level int")
+          "h1 long, key string, size long, target double, level int, copy_no int")
 
 LONG_LINE = "this very line stands in many of the documents of this table"
 PASSAGE = "one two three four five six seven eight nine ten eleven twelve"
@@ -25,7 +25,7 @@ def texts():
 def documents(spark):
     sources = ["s1", "s2", None, "S3", "é"]
     langs = ["en", "de", None]
-    rows = [(d, t, langs[i % 3], sources[i % 5], None if t is None else len(t), 0.5, True, 1, "k", 7, 0.1, 3)
+    rows = [(d, t, langs[i % 3], sources[i % 5], None if t is None else len(t), 0.5, True, 1, "k", 7, 0.1, 3, 9)
             for i, (d, t) in enumerate(texts())]
     return spark.createDataFrame(rows, SCHEMA)
 

@@ -96,3 +96,43 @@ def test_held_out_accuracy(spark):
     got = ppm.identify(docs).join(docs.select("doc_id", "lang"), "doc_id").where("held_out and lang_pred <> 'und'")
     right = got.agg(F.avg((F.col("lang") == F.col("lang_pred")).cast("int"))).first()[0]
     assert right > 0.95
+
+
+def test_numerals_are_no_letters(spark):
+    rows = [(i, t, lang) for i, (t, lang) in enumerate([("the cat and the dog", "en"), ("der hund und die katze", "de")] * 20)]
+    rows += [(200, "\u00bd \u00b2 \u2460 \u2167", None), (201, "\u4e2d", None), (202, "\u00aa", None)]
+    got = {r["doc_id"]: r for r in ppm.identify(spark.createDataFrame(rows, "doc_id long, text string, lang string")).collect()}
+    assert got[200]["lang_pred"] == "und" and got[200]["score"] == 0
+    assert got[201]["lang_pred"] != "und" and got[202]["lang_pred"] != "und"
+
+
+def test_a_language_of_long_texts_is_learnt(spark):
+    long = "der hund und die katze laufen durch den wald und schlafen " * 1700     # 98,600 characters
+    rows = [(i, long[i:], "de") for i in range(12)] + [(100 + i, "the cat and the dog are asleep", "en") for i in range(30)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    sample = ppm.training_rows(docs).collect()
+    assert {r["lang"] for r in sample} == {"de", "en"} and max(len(r["raw"]) for r in sample) == ppm.FIT_CHARS
+    got = {r["doc_id"]: r["lang_pred"] for r in ppm.identify(docs).collect()}
+    assert all(got[i] == ("de" if i < 100 else "en") for i in got)
+
+
+def test_registered_query_text_by_text(spark):
+    """The registered query on its whole table gives what trees built beside it say of each text alone (the trees
+    themselves are held against the plain version above)."""
+    from tests.conftest import SF
+    from tidemark.llm.queries import QUERIES
+    docs = spark.read.parquet(f"{SF['0.001']}/documents.parquet")
+    counted = {}
+    for r in ppm.gram_counts(ppm.training_rows(docs)).collect():
+        counted.setdefault(r["lang"], {})[r["gram"]] = r["n"]
+    trees = ppm.Trees({k: (np.array(sorted(v)), np.array([v[g] for g in sorted(v)])) for k, v in counted.items()})
+    got = {r["doc_id"]: r for r in QUERIES["op7_language"](spark, SF["0.001"]).collect()}
+    rows = docs.select("doc_id", "text").collect()
+    assert len(got) == len(rows)
+    for r in rows:
+        raw = (r["text"] or "").encode()
+        bits = trees.code_lengths([raw])[0]
+        if any(c.isalpha() for c in r["text"] or ""):
+            assert got[r["doc_id"]]["lang_pred"] == trees.langs[int(bits.argmin())]
+        else:
+            assert got[r["doc_id"]]["lang_pred"] == "und"

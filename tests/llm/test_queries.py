@@ -67,10 +67,10 @@ def mcd(x):
         order = np.sort(b)
         return x[b <= order[int(np.ceil(share * len(x))) - 1]]
 
-    def estimate(rows, factor):
+    def estimate(rows, factor, add=floors):
         m = rows.mean(0)
         cov = factor * np.cov(rows.T, bias=True).reshape(d, d)
-        np.fill_diagonal(cov, np.maximum(np.diag(cov), 0) + floors)
+        np.fill_diagonal(cov, np.maximum(np.diag(cov), 0) + add)
         return m, cov
 
     def dist(est):
@@ -90,13 +90,19 @@ def mcd(x):
     est = min(found, key=lambda e: np.linalg.slogdet(e[1])[1])
     inside = outliers.chi2_quantile(1 - outliers.REWEIGHT_TAIL, d)
     rows = x[dist(est) <= inside]
-    return estimate(rows, (1 - outliers.REWEIGHT_TAIL) / outliers.chi2_cdf(inside, d + 2))
-
-
-def test_op5_outliers(spark):
-    """Each document's verdict, by its group's estimate or, where that is too small, its language's or all's."""
-    sf = SF["0.01"]
-    docs = [tuple(r) for r in spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text", "lang", "source").collect()]
+    return estimate(rows, (1 - outliers.REWEIGHT_TAIL) / outliers.chi2_cdf(inside, d + 2), 0)
+
+
+@pytest.mark.parametrize("merged", [False, True])
+def test_op5_outliers(spark, merged, tmp_path):
+    """Each document's verdict by its group's estimate, pulled towards its language's and that towards all's. The groups of
+    the table are small; merged, some have far more documents than the estimates are pulled by, others one."""
+    table = spark.read.parquet(f"{SF['0.01']}/documents.parquet")
+    if merged:
+        own = F.when(F.col("doc_id") % 50 == 1, F.col("doc_id").cast("string")).when(F.col("doc_id") % 5 > 0, "big")
+        table = table.withColumn("source", own.otherwise(F.col("source")))
+    table.write.parquet(f"{tmp_path}/documents.parquet")
+    docs = [tuple(r) for r in table.select("doc_id", "text", "lang", "source").collect()]
     base = {d: brute_base(t) for d, t, _, _ in docs}
 
     def feature(n, chars, symbols, lines, repeats, _):
@@ -109,20 +115,27 @@ def test_op5_outliers(spark):
         if not base[d][5]:
             for g in ((lang, source), (lang,), ()):
                 groups.setdefault(g, []).append(x[d])
-    est = {g: mcd(np.array(v)) for g, v in groups.items() if len(v) >= outliers.MIN_GROUP}
-    assert 1 < len(est) < len(groups)
-    got = {r["doc_id"]: r for r in outliers.judge(spark.read.parquet(f"{sf}/documents.parquet")).collect()}
-    near = 0
+    sizes = [len(v) for g, v in groups.items() if len(g) == 2]
+    assert min(sizes) < outliers.SHRINK and (max(sizes) > 2 * outliers.SHRINK) == merged
+    prior = np.diag(np.square(outliers.PRIOR))
+    shrunk = {}
+    for g in sorted(groups, key=len):
+        m, cov = mcd(np.array(groups[g]))
+        up_m, up_cov = shrunk[g[:-1]] if g else (m, prior)
+        w = len(groups[g]) / (len(groups[g]) + outliers.SHRINK)
+        shrunk[g] = w * m + (1 - w) * up_m, w * cov + (1 - w) * up_cov
+    got = {r["doc_id"]: r for r in QUERIES["op5_outliers"](spark, str(tmp_path)).collect()}
+    dist = {r["doc_id"]: r["distance"] for r in outliers.judge(table).collect()}
     for d, _, lang, source in docs:
         assert tuple(got[d][c] for c in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed")) == base[d]
         if base[d][5]:
             assert got[d]["kept"] is False
             continue
-        m, cov = next(est[g] for g in ((lang, source), (lang,), ()) if g in est)
-        want = (x[d] - m) @ np.linalg.solve(cov, x[d] - m)
-        assert got[d]["distance"] == pytest.approx(want, rel=1e-6, abs=1e-9)
-        near += abs(want / outliers.CUTOFF - 1) < 1e-6
-        assert got[d]["kept"] == (want <= outliers.CUTOFF) or near
+        m, cov = shrunk[lang, source]
+        want = (x[d] - m) @ np.linalg.solve(cov + np.diag(np.square(outliers.FLOORS)), x[d] - m)
+        assert dist[d] == pytest.approx(want, rel=1e-6, abs=1e-9)
+        if abs(want / outliers.CUTOFF - 1) > 1e-6:
+            assert got[d]["kept"] == (want <= outliers.CUTOFF)
 
 
 def test_op7_language(spark):
@@ -191,7 +204,7 @@ def test_stages_on_awkward_documents(spark, tmp_path):
     assert out.columns == columns and key(pairs(out)) == key(clean)
 
     out = by_name["mixing"](spark, docs, sf)
-    assert out.columns == columns + ["copy_no"]
+    assert out.columns == columns   # the documents' own copy_no, the last column, gives way to that of the copies
     assert out.count() == sum(r["copies"] for r in mixing.mix(docs).collect())
 
 

@@ -72,3 +72,13 @@ def test_random_lists_and_buckets(spark):
     want = brute(captures, entries)
     for bucket in (7, 250, 10_000):
         assert got(spark, captures, entries, bucket_seconds=bucket) == want
+
+
+def test_clashing_columns_are_replaced(spark):
+    entries = [("a", "domain", "bad.example", "block", "add", 100, 1)]
+    c = spark.createDataFrame([(1, "http://bad.example/", 150, "x", "y", "z", "p", 4, 5)],
+                              "id long, url string, fetched_at long, action string, host string, list string, pattern string, "
+                              "valid_from long, n_active long")
+    out = url_lists.evaluate(c, spark.createDataFrame(entries, ENTRY))
+    assert out.columns == ["id", "url", "fetched_at", "host", "action", "list", "pattern", "valid_from", "n_active"]
+    assert [tuple(r) for r in out.collect()] == [(1, "http://bad.example/", 150, "bad.example", "block", "a", "bad.example", 100, 1)]

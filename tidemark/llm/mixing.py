@@ -7,7 +7,8 @@ retried tasks agree.
 
 Defined cases: a null text has no words; a document without words is taken 0 words (its copies are empty); a
 null source is a source of its own, sorted last; rows that repeat a doc_id and text share one draw; an empty
-table gives an empty mix. A source without any word has target 0 and rate 0.
+table gives an empty mix. A source without any word has target 0 and rate 0. ``emit`` keeps extra columns, but for one
+named ``copy_no``, which its own replaces.
 """
 
 from __future__ import annotations
@@ -97,7 +98,7 @@ def emit(docs: DataFrame, seed: str = SEED, **targets) -> DataFrame:
     """The mix itself: each document's row as often as it is taken, with ``copy_no`` from 1."""
     per = source_rates(docs.select("source", words_in("text").alias("size")), **targets).select(
         F.col("source").alias("_src"), F.col("rate").alias("_rate"))
-    own = [F.col(f"`{c}`") for c in docs.columns]
+    own = [F.col(f"`{c}`") for c in docs.columns if c != "copy_no"]
     out = docs.join(per, F.col("source").eqNullSafe(F.col("_src"))).withColumn(
         "_copies", _copies(draw(seed), "_rate").cast("int"))
     return out.where(F.col("_copies") > 0).select(

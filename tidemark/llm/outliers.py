@@ -11,11 +11,13 @@ copies of one junk text: these share a bin, and a mark that falls into it would
 A step is a single aggregation: distances fall into bins of their logarithm, and count and moments are summed
 per group and bin, at most ``BINS`` rows a group however many documents it has; the bins up to the half mark are
 then added up. So a group with most of the documents is summed by all tasks. Scatter matrices get a small
-diagonal, as features such as symbols are constant in most clean text. Cholesky factors and their inverses are
-columns of the small table of estimates.
+diagonal (``FLOORS``), as features such as symbols are constant in most clean text. Cholesky factors and their inverses
+are columns of the small table of estimates.
 
-A group of fewer than ``MIN_GROUP`` documents uses the estimate of its language, and if that is as small the
-one of all documents; below that nothing is rejected by distance.
+Every group has an estimate of its own, whatever its size, pulled towards that of its language with the weight of
+``SHRINK`` documents: centre and scatter are n / (n + SHRINK) its own. The language's is pulled towards that of all
+documents likewise, and the scatter of that towards ``PRIOR``. So a small group is judged mostly by its language, a
+large one by itself, and nothing changes at any size at once.
 
 Defined cases: a null or empty text has no words, so it fails the base rules; a null lang or source is a value
 of its own; rows that repeat count each; documents that fail the base rules take no part in the estimates; an
@@ -44,7 +46,10 @@ FLOORS = (0.5, 0.15, 0.1, 0.05, 0.1)
 D = len(FLOORS)
 KEPT_SHARE = 0.5
 STEPS = 3
-MIN_GROUP = 50
+#: Documents that the estimate of the level above counts for, and the standard deviations that the scatter of all documents
+#: is pulled towards, which matters for tables of a few documents only.
+SHRINK = 50
+PRIOR = (1.5, 0.5, 0.3, 0.3, 0.3)
 #: Documents of a clean group beyond the cutoff: 1 in 100,000 if its features were normal.
 CUTOFF_TAIL = 1e-5
 REWEIGHT_TAIL = 0.025
@@ -143,14 +148,23 @@ def _moments(weight: Column | None = None) -> list[Column]:
 _SUMS = ["n", *[f"s{i}" for i in range(D)], *[f"q{i}{j}" for i, j in _PAIRS]]
 
 
-def _estimate(sums: DataFrame, factor: float) -> DataFrame:
-    """Centre m, inverse Cholesky factor w and log determinant from sums; ``factor`` corrects for the trimming."""
+_MOMENTS = [*[f"m{i}" for i in range(D)], *[f"c{i}{j}" for i, j in _PAIRS]]
+
+
+def _moments_of(sums: DataFrame, factor: float) -> DataFrame:
+    """Centre m and scatter c from sums; ``factor`` corrects for the trimming."""
     keys = [c for c in sums.columns if c not in _SUMS]
     out = sums.select(*keys, "n", *[(F.col(f"s{i}") / F.col("n")).alias(f"m{i}") for i in range(D)],
                       *[F.col(f"q{i}{j}") for i, j in _PAIRS])
     cov = {(i, j): factor * (F.col(f"q{i}{j}") / F.col("n") - F.col(f"m{i}") * F.col(f"m{j}")) for i, j in _PAIRS}
-    out = out.withColumns({f"c{i}{j}": F.greatest(v, F.lit(0.0)) + FLOORS[i] ** 2 if i == j else v
-                           for (i, j), v in cov.items()})
+    return out.select(*keys, *[f"m{i}" for i in range(D)], *[
+        (F.greatest(v, F.lit(0.0)) if i == j else v).alias(f"c{i}{j}") for (i, j), v in cov.items()])
+
+
+def _factored(moments: DataFrame) -> DataFrame:
+    """Centre m, inverse Cholesky factor w and log determinant of centre and scatter; the scatter gets its floors."""
+    keys = [c for c in moments.columns if c not in _MOMENTS]
+    out = moments.withColumns({f"c{i}{i}": F.col(f"c{i}{i}") + FLOORS[i] ** 2 for i in range(D)})
     low = lambda i, j: F.col(f"l{i}{j}")
     dot = lambda terms: sum(terms, F.lit(0.0))
     for j in range(D):
@@ -163,10 +177,14 @@ def _estimate(sums: DataFrame, factor: float) -> DataFrame:
         out = out.withColumns({f"w{j + off}{j}": 1 / low(j, j) if not off else
                                -dot(low(j + off, k) * F.col(f"w{k}{j}") for k in range(j, j + off)) / low(j + off, j + off)
                                for j in range(D - off)})
-    return out.select(*keys, F.col("n").alias("n_used"), *[f"m{i}" for i in range(D)], *[f"w{i}{j}" for i, j in _PAIRS],
+    return out.select(*keys, *[f"m{i}" for i in range(D)], *[f"w{i}{j}" for i, j in _PAIRS],
                       (2 * dot(F.log(low(j, j)) for j in range(D))).alias("log_det"))
 
 
+def _estimate(sums: DataFrame, factor: float) -> DataFrame:
+    return _factored(_moments_of(sums, factor))
+
+
 def distance() -> Column:
     """Squared Mahalanobis distance of x under the estimate beside it."""
     total = F.lit(0.0)
@@ -208,46 +226,63 @@ def _medians(members: DataFrame) -> DataFrame:
 
 
 def estimates(rows: DataFrame, steps: int = STEPS, share: float = KEPT_SHARE) -> DataFrame:
-    """One row per group g of rows (g, x0 ..): n (its rows), m, w, the minimum-covariance-determinant estimate."""
+    """One row per group g of rows (g, x0 ..): n (its rows), m, c, the minimum-covariance-determinant estimate."""
     d2 = chi2_quantile(share, D)
     factor = share / chi2_cdf(d2, D + 2)
     inside = chi2_quantile(1 - REWEIGHT_TAIL, D)
     # the small tables are written, in few files, so that their size is known and the rows need not be dealt out
-    # by group to meet them
+    # by group to meet them; a shuffle of the result makes the files, so the tasks before it stay as many as they are
     files = files_for(rows.select("g").distinct().count())
-    centre = materialize(_medians(rows), "mcd", files)
+    written = lambda df: materialize(df.repartition(files), "mcd")
+    centre = written(_medians(rows))
     # the first subsets: nearest to the medians in all features together, and in the worst of them
     scaled = [(F.col(X[i]) - F.col(f"c{i}")) / F.lit(FLOORS[i]) for i in range(D)]
     first = rows.join(centre, "g").select("g", *X, F.explode(F.array(
         F.struct(F.lit(0).alias("start"), _bin(sum((s * s for s in scaled), F.lit(0.0))).alias("bin")),
         F.struct(F.lit(1).alias("start"), _bin(F.greatest(*[s * s for s in scaled])).alias("bin")))).alias("b"))
     binned = first.select("g", "b.start", "b.bin", *X).groupBy("g", "start", "bin").agg(*_moments())
-    est = materialize(_estimate(_concentrated(binned, share), factor), "mcd", files)
+    est = written(_estimate(_concentrated(binned, share), factor))
     for _ in range(steps):
         binned = rows.join(est, "g").select("g", "start", _bin(distance()).alias("bin"), *X).groupBy(
             "g", "start", "bin").agg(*_moments())
-        est = materialize(_estimate(_concentrated(binned, share), factor), "mcd", files)
+        est = written(_estimate(_concentrated(binned, share), factor))
     best = est.groupBy("g").agg(F.min(F.struct("log_det", "start")).alias("b")).select("g", F.col("b.start").alias("start"))
-    est = materialize(est.join(best, ["g", "start"]), "mcd", files)
+    est = written(est.join(best, ["g", "start"]))
     near = rows.join(est, "g").withColumn("near", distance() <= F.lit(inside))
     sums = near.groupBy("g").agg(F.count(F.lit(1)).alias("n_rows"), *_moments(F.col("near")))
-    return materialize(_estimate(sums, (1 - REWEIGHT_TAIL) / chi2_cdf(inside, D + 2)), "mcd", files).withColumnRenamed("n_rows", "n")
-
-
-def judge(docs: DataFrame, cutoff: float = CUTOFF, min_group: int = MIN_GROUP) -> DataFrame:
-    """The base statistics with distance (null without an estimate) and kept, one row per document."""
+    return written(_moments_of(sums, (1 - REWEIGHT_TAIL) / chi2_cdf(inside, D + 2))).withColumnRenamed("n_rows", "n")
+
+
+def shrunk(est: DataFrame, names: DataFrame, shrink: int = SHRINK) -> DataFrame:
+    """names (group, g0 its own group, g1 its language's, g2 all) with m and w: each level's estimate (g, n, m, c) pulled
+    towards the one above, the scatter of all documents towards ``PRIOR``."""
+    out = names
+    for level in (2, 1, 0):
+        own = est.select(F.col("g").alias(f"g{level}"), F.col("n").alias("_n"), *[F.col(c).alias(f"_{c}") for c in _MOMENTS])
+        out = out.join(own, f"g{level}")
+        weight = F.col("_n") / (F.col("_n") + F.lit(shrink))
+        if level == 2:
+            above = {c: F.col(f"_{c}") for c in _MOMENTS} | {
+                f"c{i}{j}": F.lit(PRIOR[i] ** 2 if i == j else 0.0) for i, j in _PAIRS}
+        else:
+            above = {c: F.col(c) for c in _MOMENTS}
+        # an estimate without any near row (a few rows far apart) leaves it to the level above
+        out = out.withColumns({c: F.coalesce(weight * F.col(f"_{c}") + (1 - weight) * above[c], above[c]) for c in _MOMENTS})
+        out = out.drop("_n", *[f"_{c}" for c in _MOMENTS])
+    return _factored(out.drop("g0", "g1", "g2"))
+
+
+def judge(docs: DataFrame, cutoff: float = CUTOFF, shrink: int = SHRINK) -> DataFrame:
+    """The base statistics with distance (null for documents that fail the base rules) and kept, one row per document."""
     base = materialize(base_statistics(docs.select("doc_id", "lang", "source", "text"))
                        .withColumns(dict(zip(X, features()))), "mcd-base")
     good = base.where(~F.col("base_failed"))
     levels = [group_key("lang", "source"), group_key("lang", None), group_key(None, None)]
     rows = materialize(good.select(F.explode(F.array(*levels)).alias("g"), *X), "mcd-rows")
-    est = estimates(rows).where((F.col("n") >= min_group) & (F.col("n_used") > D))
-    # each group's estimate: its own, its language's, or that of all
-    names = base.select("lang", "source").distinct().select(
-        group_key("lang", "source").alias("group"), F.posexplode(F.array(*levels)).alias("rank", "g"))
-    chosen = names.join(est, "g").groupBy("group").agg(F.min(F.struct("rank", "g")).alias("b"))
-    chosen = materialize(chosen.select(F.col("group"), F.col("b.g").alias("g")).join(est, "g").drop("g", "n"),
-                         "mcd", files_for(names.count()))
+    est = estimates(rows)
+    names = good.select("lang", "source").distinct().select(
+        group_key("lang", "source").alias("group"), *[g.alias(f"g{i}") for i, g in enumerate(levels)])
+    chosen = materialize(shrunk(est, names, shrink).repartition(files_for(est.count())), "mcd")
     out = base.withColumn("group", group_key("lang", "source")).join(chosen, "group", "left")
     out = out.withColumn("distance", F.when(~F.col("base_failed"), distance()))
     return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",

@@ -11,8 +11,9 @@ The frozen trees of all languages are unrolled into tables over the union of the
 bytes to the longest context known to any language, and from context and byte to the code length under every
 language. Scoring a byte is ORDER + 1 table look-ups, over whole texts.
 
-Training takes a bounded sample of labelled rows: on average ``FIT_DOCS`` documents per language of at most
-``FIT_CHARS`` characters, chosen by a hash of the doc_id; fewer only where a language has fewer. Gram counts
+Training takes a bounded sample of labelled rows: on average ``FIT_DOCS`` documents per language, chosen by a hash of
+the doc_id, fewer only where a language has fewer; of a text of more than ``FIT_CHARS`` characters a span of so many,
+placed by a hash. Gram counts
 are aggregated by Spark, and the driver builds the tables. Contexts that are seen less than ``MIN_COUNT``
 times in all languages together are not kept; the bound rises until the tables have at most ``MOST_ENTRIES``.
 
@@ -26,11 +27,11 @@ not held out; repeated rows are predicted alike; extra columns are not read.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -47,7 +48,8 @@ UNKNOWN = "und"
 NONE = 0xFF
 _CUT = bytes([NONE]) * ORDER
 _BLOCK = 1 << 19
-_LETTER = re.compile(r"[^\W\d_]")
+#: A letter is a character of a Unicode category L; numerals such as \u00bd or \u2167 are none.
+_LETTER = regex.compile(r"\p{L}")
 
 
 def held_out(doc_id: str = "doc_id") -> Column:
@@ -56,12 +58,15 @@ def held_out(doc_id: str = "doc_id") -> Column:
 
 def training_rows(docs: DataFrame, fit_docs: int = FIT_DOCS, fit_chars: int = FIT_CHARS) -> DataFrame:
     """lang and raw of the sample that is learnt from."""
-    rows = docs.where(F.col("lang").isNotNull() & (crc_mod("doc_id", FOLDS) != HELD_OUT))
+    rows = docs.where(F.col("lang").isNotNull() & (crc_mod("doc_id", FOLDS) != HELD_OUT) & (F.length("text") > 0))
     # one row per language, written so that its size is known and no text is dealt out by language to meet it
     sizes = materialize(rows.groupBy(F.col("lang").alias("_lang")).agg(F.count(F.lit(1)).alias("_n")), "ppm-sizes", 1)
     draw = F.pmod(F.xxhash64(F.lit("ppm"), "doc_id"), F.lit(1 << 30)) / F.lit(float(1 << 30))
-    return (rows.where(F.length("text").between(1, fit_chars)).join(sizes, F.col("lang") == F.col("_lang"))
-            .where(draw * F.col("_n") < fit_docs).select("lang", F.col("text").cast("binary").alias("raw")))
+    begin = F.pmod(F.xxhash64(F.lit("span"), "doc_id"), F.greatest(F.length("text") - fit_chars, F.lit(0)) + 1)
+    span = F.when(F.length("text") <= fit_chars, F.col("text")).otherwise(
+        F.substring("text", (begin + 1).cast("int"), F.lit(fit_chars)))
+    return (rows.join(sizes, F.col("lang") == F.col("_lang")).where(draw * F.col("_n") < fit_docs)
+            .select("lang", span.cast("binary").alias("raw")))
 
 
 def _grams(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:

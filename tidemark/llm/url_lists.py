@@ -18,7 +18,9 @@ before block, then the list name.
 Defined cases: captures without a url, host or fetch time match nothing and are returned; an entry with a null
 in list, kind, pattern, op or time is void; entries of one instant count as removed first, then added; repeated
 entries are one; rows that repeat a capture are returned as often; patterns and hosts are compared in lower
-case. Empty tables give empty results or no matches. Extra columns of the captures are kept by ``evaluate``.
+case. Empty tables give empty results or no matches. Extra columns of the captures are kept by ``evaluate``, but for
+those named like a column that it adds (``ADDED``), which the new one replaces. The history of one pattern of a list is
+put in order in one task: it is as long as the log of that list for that pattern.
 """
 
 from __future__ import annotations
@@ -30,6 +32,8 @@ from tidemark.llm.common import ascii_lower
 
 BUCKET_SECONDS = 30 * 86400
 KINDS = ("domain", "prefix")
+#: Columns that ``evaluate`` adds to the captures.
+ADDED = ("host", "action", "list", "pattern", "valid_from", "n_active")
 
 
 def host_of(url: Column) -> Column:
@@ -99,8 +103,8 @@ def evaluate(captures: DataFrame, entries: DataFrame, bucket_seconds: int = BUCK
                        F.col("pattern"), F.col("valid_from"), F.col("action").alias("action"))).alias("b"))
     best = best.select("_u", "_t", "n_active", F.col("b.action").alias("action"), F.col("b.list").alias("list"),
                        F.col("b.pattern").alias("pattern"), F.col("b.valid_from").alias("valid_from"))
-    own = [F.col(f"`{c}`") for c in captures.columns]
-    return (captures.join(best, (F.col("url") == F.col("_u")) & (F.col("fetched_at") == F.col("_t")), "left")
+    own = [F.col(f"`{c}`") for c in captures.columns if c not in ADDED]
+    return (captures.select(*own).join(best, (F.col("url") == F.col("_u")) & (F.col("fetched_at") == F.col("_t")), "left")
             .select(*own, host_of(F.col("url")).alias("host"), "action", "list", "pattern", "valid_from",
                     F.coalesce("n_active", F.lit(0).cast("long")).alias("n_active")))
 
