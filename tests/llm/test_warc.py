@@ -80,6 +80,28 @@ def test_layout_each_record_alone(spark):
     assert seen == len(ROWS)
 
 
+def test_archives_of_bounded_size(spark):
+    rng = random.Random(6)
+    rows = [(i, f"http://h/{i}", "".join(rng.choices("abcdefghij <>", k=rng.randrange(4000)))) for i in range(400)]
+    rows.append((400, "http://long/", "".join(rng.choices("abcdefghij <>", k=200_000))))
+    bound = 40_000
+    path = warc.write(pages(spark, rows).coalesce(1), archive_bytes=bound)
+    archives = [bytes(f["content"]) for f in spark.read.format("binaryFile").load(path).collect()]
+    archives = [a for a in archives if a]
+    assert len(archives) > 8
+    held = 0
+    for raw in archives:
+        dictionary, _ = warc.read_dictionary(raw)
+        sizes = [len(block) for _, block in warc.records(raw)]
+        held += len(sizes)
+        # only an archive that ends in the long record is much larger than the bound
+        assert raw[:4] == warc.DICT_FRAME and dictionary is not None and sizes
+        assert len(raw) < bound + 8_000 or sizes[-1] > 200_000
+    assert held == len(rows)
+    got = sorted((tuple(r[c] for c in COLUMNS) for r in warc.read(spark, path).collect()), key=repr)
+    assert got == brute(rows)
+
+
 def test_dictionary_helps_and_small_samples_work():
     texts = [f"<html><head><title>page {i}</title></head><body>boilerplate of this site {i * 7}</body></html>".encode()
              for i in range(2000)]

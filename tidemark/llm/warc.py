@@ -13,8 +13,9 @@ become the archives.
 
 Files are written by Spark's own text writer, whose commit protocol keeps retried tasks from leaving parts
 behind and which reaches every file system that Spark reaches. Its line separator is an empty skippable frame,
-which readers of the format skip. ``read`` takes them with the binaryFile source; a file is one row, so
-archives should stay far below 2 GB, which the size of shuffle partitions sees to.
+which readers of the format skip. A task closes an archive once its frames reach ``archive_bytes`` (64 MB) and begins
+the next with a dictionary frame of its own, so a file exceeds the bound by one record at most, however large the
+partition is. ``read`` takes the files with the binaryFile source, a file per row.
 
 Defined cases: a null html is an empty payload; a null url has no target URI, and line ends in one are
 written as %0D and %0A; rows that repeat a page_id and payload are records of their own with the same
@@ -41,6 +42,7 @@ from tidemark.session import checkpoint_path
 LEVEL = 3
 DICT_BYTES = 64 << 10
 SAMPLE, SAMPLE_BYTES = 400, 64 << 10
+ARCHIVE_BYTES = 64 << 20
 #: Fixed values of the Zstandard and .warc.zst formats.
 FRAME_MAGIC = b"\x28\xb5\x2f\xfd"
 DICT_FRAME = b"\x5d\x2a\x4d\x18"
@@ -142,30 +144,39 @@ def plan_records(pages: DataFrame, min_revisit: int = 0) -> DataFrame:
                     "sha1", "revisit", F.when(F.col("revisit"), F.col("latest")).alias("refers_to")))
 
 
-def write(pages: DataFrame, path: str | None = None, level: int = LEVEL, min_revisit: int = 0) -> str:
+def write(pages: DataFrame, path: str | None = None, level: int = LEVEL, min_revisit: int = 0,
+          archive_bytes: int = ARCHIVE_BYTES) -> str:
     """Write the archives of pages (page_id, url, html); the folder they are in."""
     spark = pages.sparkSession
     path = path or checkpoint_path(spark, f"warc-{uuid.uuid4().hex}")
     dictionary = build_dictionary(pages)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        compressor = None
+        compressor = zstandard.ZstdCompressor(
+            level=level, dict_data=zstandard.ZstdCompressionDict(dictionary), write_checksum=True)
+        first = dictionary_frame(dictionary)
+        frames, size = [first], len(first)
+
+        def archive():
+            return pa.RecordBatch.from_arrays([pa.array([b"".join(frames)], pa.binary())], names=["archive"])
+
         for batch in batches:
-            out = []
-            if compressor is None and batch.num_rows:
-                compressor = zstandard.ZstdCompressor(
-                    level=level, dict_data=zstandard.ZstdCompressionDict(dictionary), write_checksum=True)
-                out.append(dictionary_frame(dictionary))
             for r in zip(*(batch.column(c).to_pylist() for c in
                            ("page_id", "url", "payload", "payload_bytes", "sha1", "revisit", "refers_to"))):
                 page_id, url, payload, length, sha1, revisit, refers_to = r
                 digest = base64.b32encode(bytes.fromhex(sha1)).decode()
-                out.append(compressor.compress(record(page_id, url, payload or b"", digest, refers_to, revisit, length)))
-            yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], names=["frame"])
-
-    frames = plan_records(pages, min_revisit).mapInArrow(run, "frame binary")
-    (frames.select(F.col("frame").cast("string").alias("value")).write
-     .option("lineSep", EMPTY_FRAME.decode("latin-1")).text(path))
+                if size >= archive_bytes and len(frames) > 1:
+                    yield archive()
+                    frames, size = [first], len(first)
+                frames.append(compressor.compress(record(page_id, url, payload or b"", digest, refers_to, revisit, length)))
+                size += len(frames[-1])
+        if len(frames) > 1:
+            yield archive()
+
+    # a row is a whole archive, and a file holds one row
+    archives = plan_records(pages, min_revisit).mapInArrow(run, "archive binary")
+    (archives.select(F.col("archive").cast("string").alias("value")).write
+     .option("maxRecordsPerFile", 1).option("lineSep", EMPTY_FRAME.decode("latin-1")).text(path))
     return path
 
 
