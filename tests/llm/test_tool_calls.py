@@ -70,6 +70,37 @@ def test_long_chains_need_no_rounds(spark, monkeypatch):
     assert {r["status"] for r in out.values()} == {"no_result"} and len(rounds) < 8
 
 
+def test_forward_chains_need_few_rounds(spark, monkeypatch):
+    n = 200
+    # a depends on later turns, b on calls of its own turn, c on earlier turns down to one that waits for the last turn
+    calls = [(1, f"c{i}", i, "ask", '{"q":"x"}', [f"c{i + 1}"] if i < n else []) for i in range(n + 1)]
+    calls += [(2, f"c{i}", 5, "ask", '{"q":"x"}', [f"c{i + 1}"] if i < n else []) for i in range(n + 1)]
+    calls += [(3, f"c{i}", i, "ask", '{"q":"x"}', [f"c{i - 1}"] if i else ["last"]) for i in range(n + 1)]
+    calls += [(3, "last", 1000, "ask", '{"q":"x"}', [])]
+    rounds = []
+    real = tool_calls.materialize
+    monkeypatch.setattr(tool_calls, "materialize", lambda df, tag: rounds.append(tag) or real(df, tag))
+    out = {(r["conv_id"], r["call_id"]): (r["place"], r["step"]) for r in run(spark, calls, [])}
+    for i in range(n + 1):
+        assert out[1, f"c{i}"] == (n, n - i) and out[2, f"c{i}"] == (5, n - i) and out[3, f"c{i}"] == (1000, i + 1)
+    assert rounds.count("tool-places") <= 12 and rounds.count("tool-state") <= 12
+
+
+def test_a_long_cycle_ends(spark):
+    calls = [(1, f"c{i}", 3, "ask", '{"q":"x"}', [f"c{(i + 1) % 7}"]) for i in range(7)]
+    calls += [(1, "behind", 3, "ask", '{"q":"x"}', ["c0", "free"]), (1, "free", 3, "ask", '{"q":"x"}', []),
+              (1, "self", 3, "ask", '{"q":"x"}', ["self"])]
+    out = {r["call_id"]: (r["place"], r["step"]) for r in run(spark, calls, [])}
+    assert out.pop("free") == (3, 0) and set(out.values()) == {(3, None)}
+
+
+def test_calls_and_results_meet_in_a_hash_join(spark):
+    c = spark.createDataFrame([(*x, "l") for x in CALLS], CALL)
+    r = spark.createDataFrame([(*x, "j") for x in RESULTS], RESULT)
+    plan = tool_calls.link(c, r, schemas(spark))._jdf.queryExecution().executedPlan().toString()
+    assert any("ShuffledHashJoin" in line and "FullOuter" in line for line in plan.splitlines())
+
+
 def test_any_graph_is_ordered_topologically(spark):
     rng = random.Random(7)
     calls = []
@@ -89,6 +120,20 @@ def test_any_graph_is_ordered_topologically(spark):
             if me["step"] is not None and out[conv, d]["step"] is not None:
                 key = lambda r: (r["place"], r["step"], r["turn"], r["call_id"])
                 assert key(out[conv, d]) < key(me)
+    # the longest chain of dependencies at the same place
+    for conv in range(30):
+        if conv % 3 == 0:
+            continue
+        own = {c: set(d) for k, c, _, _, _, d in calls if k == conv}
+        turns = {c: t for k, c, t, _, _, _ in calls if k == conv}
+
+        def place(c):
+            return max([turns[c], *map(place, own[c])])
+
+        def step(c):
+            return max([0, *(step(d) + 1 for d in own[c] if place(d) == place(c))])
+
+        assert all((out[conv, c]["place"], out[conv, c]["step"]) == (place(c), step(c)) for c in own)
     # a call has no step if and only if it is in a cycle or behind one at its place
     for conv in range(0, 30, 3):
         own = {c: set(d) for k, c, _, _, _, d in calls if k == conv}

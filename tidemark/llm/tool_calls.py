@@ -9,8 +9,10 @@ join, so an identifier that very many rows repeat is no load on one task. No con
 is (place, step, turn, call_id). A call's place is its turn, or the place of a call it depends on, if that is
 later; turns order all dependencies that point back, however long their chains, and only what depends on a
 call of its own turn or later is moved. Calls of one place that depend on each other are told apart by the
-step, found by peeling: in each round those that wait for none that is left get the next step. So the rounds
-are as many as dependencies that point forward stand in a row.
+step, the longest chain of such dependencies below a call. Both are found in rounds that shorten chains by pointer
+doubling: what depends on a call with a single dependency is made to depend on that one, at the sum of the two
+lengths. A chain of n calls takes about log2(n) rounds; only where several dependencies of a call stay open does a
+round peel one layer.
 
 Statuses: ``ok``, ``invalid`` (errors say why), ``no_result``, ``orphan_result``. Errors: ``json`` (arguments are
 no JSON object), ``tool`` (unknown), ``missing:<p>``, ``type:<p>``, ``unknown:<p>``, ``dependency`` (on a call that
@@ -77,44 +79,74 @@ def _on(a: str, b: str, left: str = "conv_id", right: str = "kc") -> Column:
     return F.col(left).eqNullSafe(F.col(right)) & (F.col(a) == F.col(b))
 
 
+def _single(edges: DataFrame, *values: str) -> DataFrame:
+    """(kc, ki, n, next, ...): how many edges each call has, and, where it is one, where that leads."""
+    return edges.groupBy("conv_id", "call_id").agg(
+        F.count(F.lit(1)).alias("n"), F.min("dep").alias("next"), *[F.min(v).alias(f"next_{v}") for v in values]
+    ).withColumnsRenamed({"conv_id": "kc", "call_id": "ki"})
+
+
 def _places(edges: DataFrame) -> DataFrame:
     """(kc, ki, moved): the calls whose place is later than their turn, by edges (conv_id, call_id, turn, dep,
-    dep_turn). A place only grows, up to the last turn, so the rounds end, with cycles too."""
-    def largest(rows: DataFrame) -> DataFrame:
-        return rows.groupBy("conv_id", "call_id").agg(F.max("at").alias("moved")).select(
-            F.col("conv_id").alias("kc"), F.col("call_id").alias("ki"), "moved")
-
-    moved = materialize(largest(edges.where("dep_turn > turn").select("conv_id", "call_id", F.col("dep_turn").alias("at"))),
-                        "tool-moved")
-    known = moved.agg(F.count(F.lit(1)), F.sum("moved")).first()
-    while known[0]:
-        behind = edges.join(moved, _on("dep", "ki")).where("moved >= turn").select(
-            "conv_id", "call_id", F.greatest("moved", "turn").alias("at"))
-        old = moved.select(F.col("kc").alias("conv_id"), F.col("ki").alias("call_id"), F.col("moved").alias("at"))
-        moved = materialize(largest(old.unionByName(behind)), "tool-moved")
-        now = moved.agg(F.count(F.lit(1)), F.sum("moved")).first()
-        if tuple(now) == tuple(known):
-            break
-        known = now
-    return moved
+    dep_turn). Only conversations with a dependency that points forward are looked at."""
+    forward = edges.where("dep_turn > turn").select(F.col("conv_id").alias("fc")).distinct()
+    edges = materialize(edges.join(forward, F.col("conv_id").eqNullSafe(F.col("fc")), "left_semi"), "tool-forward")
+    turns = edges.select("conv_id", "call_id", "turn").union(edges.select("conv_id", "dep", "dep_turn")).distinct()
+    at = materialize(turns.withColumn("at", F.col("turn")), "tool-places")
+    edges = edges.select("conv_id", "call_id", "dep")
+    known = None
+    # ``at`` only grows, up to the last turn, so the rounds end, with cycles too
+    while (total := at.agg(F.sum("at")).first()[0]) != known:
+        known = total
+        other = at.select(F.col("conv_id").alias("dc"), F.col("call_id").alias("di"), F.col("at").alias("dep_at"))
+        more = _single(edges).select(F.col("kc").alias("nc"), F.col("ki").alias("ni"), "n", "next")
+        seen = materialize(edges.join(other, _on("dep", "di", right="dc")).join(more, _on("dep", "ni", right="nc"), "left")
+                           .select("conv_id", "call_id", "dep", "dep_at", "n", "next"), "tool-seen")
+        best = seen.groupBy("conv_id", "call_id").agg(F.max("dep_at").alias("best")).select(
+            F.col("conv_id").alias("kc"), F.col("call_id").alias("ki"), "best")
+        at = materialize(at.join(best, _on("call_id", "ki"), "left")
+                         .select("conv_id", "call_id", "turn", F.greatest("at", "best").alias("at")), "tool-places")
+        # a dependency without any of its own has told all that it can
+        edges = (seen.where("n is not null").select(
+            "conv_id", "call_id", F.when(F.col("n") == 1, F.col("next")).otherwise(F.col("dep")).alias("dep")).distinct())
+    return at.where("at > turn").select(F.col("conv_id").alias("kc"), F.col("call_id").alias("ki"), F.col("at").alias("moved"))
 
 
 def _steps(edges: DataFrame) -> DataFrame:
-    """conv_id, call_id, step of the calls in edges (conv_id, call_id, dep); null in and behind a cycle."""
-    pending = materialize(edges.select("conv_id", "call_id").union(edges.select("conv_id", "dep")).distinct(), "tool-pending")
-    parts, step = [], 0
+    """conv_id, call_id, step of the calls in edges (conv_id, call_id, dep); null in and behind a cycle.
+
+    The step is the largest of ``low`` and of step(dep) + length over the edges that are left. A round without a call
+    that has no edges left means that all of them are in cycles or behind one."""
+    pending = materialize(edges.select("conv_id", "call_id").union(edges.select("conv_id", "dep")).distinct()
+                          .withColumn("low", F.lit(0).cast("long")), "tool-pending")
+    edges = edges.distinct().withColumn("length", F.lit(1).cast("long"))
+    parts = []
     while not pending.isEmpty():
-        waiting = edges.select(F.col("conv_id").alias("kc"), F.col("call_id").alias("ki")).distinct()
-        ready = materialize(pending.join(waiting, _on("call_id", "ki"), "left_anti"), "tool-ready")
+        state = materialize(pending.join(_single(edges, "length"), _on("call_id", "ki"), "left")
+                            .select("conv_id", "call_id", "low", "n", "next", "next_length"), "tool-state")
+        ready = state.where("n is null").select("conv_id", "call_id", F.col("low").cast("int").alias("step"))
         if ready.isEmpty():
-            parts.append(pending.withColumn("step", F.lit(None).cast("int")))
+            parts.append(state.select("conv_id", "call_id", F.lit(None).cast("int").alias("step")))
             break
-        parts.append(ready.withColumn("step", F.lit(step)))
-        pending = materialize(pending.join(waiting, _on("call_id", "ki"), "left_semi"), "tool-pending")
-        done = ready.select(F.col("conv_id").alias("kc"), F.col("call_id").alias("ki"))
-        edges = materialize(edges.join(done, _on("dep", "ki"), "left_anti"), "tool-edges")
-        step += 1
-    out = pending.withColumn("step", F.lit(None).cast("int")).limit(0) if not parts else parts[0]
+        parts.append(ready)
+        after = state.select(F.col("conv_id").alias("ac"), F.col("call_id").alias("ai"), F.col("low").alias("next_low"),
+                             F.col("n").isNotNull().alias("next_open"))
+        other = (state.withColumn("target", F.when(F.col("n") == 1, F.col("next")))
+                 .join(after, _on("target", "ai", right="ac"), "left")
+                 .select(F.col("conv_id").alias("kc"), F.col("call_id").alias("ki"), F.col("low").alias("dep_low"),
+                         F.col("n").isNotNull().alias("open"), "target", "next_length", "next_low", "next_open"))
+        seen = materialize(edges.join(other, _on("dep", "ki")).drop("kc", "ki"), "tool-seen")
+        # what an edge already tells of the steps of its end and of the one that it will lead to
+        told = F.col("length") + F.greatest("dep_low", F.col("next_low") + F.col("next_length"))
+        low = seen.groupBy("conv_id", "call_id").agg(F.max(told).alias("least")).select(
+            F.col("conv_id").alias("kc"), F.col("call_id").alias("ki"), "least")
+        pending = materialize(state.where("n is not null").join(low, _on("call_id", "ki"))
+                              .select("conv_id", "call_id", F.greatest("low", "least").alias("low")), "tool-pending")
+        edges = (seen.where("open and coalesce(next_open, true)").select(
+            "conv_id", "call_id", F.coalesce("target", "dep").alias("dep"),
+            (F.col("length") + F.when(F.col("target").isNotNull(), F.col("next_length")).otherwise(0)).alias("length"))
+            .groupBy("conv_id", "call_id", "dep").agg(F.max("length").alias("length")))
+    out = pending.select("conv_id", "call_id", F.lit(None).cast("int").alias("step")).limit(0) if not parts else parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
     return out
@@ -166,7 +198,8 @@ def link(calls: DataFrame, results: DataFrame, schemas: DataFrame) -> DataFrame:
         F.lit(None).cast("long").alias("place"), F.lit(None).cast("int").alias("step"),
         F.lit(0).cast("long").alias("n_unknown"))
     linked = linked.select(*loose.columns).unionByName(loose).withColumn("is_call", F.lit(True))
-    both = linked.join(found, F.col("conv_id").eqNullSafe(F.col("rc")) & (F.col("call_id") == F.col("ri")), "full")
+    # a hash join: both sides have one row per identifier, so its tables are as large as a shuffle partition
+    both = linked.join(found.hint("shuffle_hash"), F.col("conv_id").eqNullSafe(F.col("rc")) & (F.col("call_id") == F.col("ri")), "full")
     both = both.join(tools, F.col("name") == F.col("tool"), "left")
     is_call = F.coalesce("is_call", F.lit(False))
     flag = lambda cond, name: F.when(cond, F.array(F.lit(name))).otherwise(F.array().cast("array<string>"))
