@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from tidemark.functions import report
 from tidemark.functions.time import end_string
 from tidemark.operators import blocking, changelog, distinct, joins, lateness, patterns, topn, windows
+from tidemark.operators.arrival import arrival_order
 from tidemark.sources import adapters, lines, records
 from tidemark.session import materialize
 from tidemark.sources.access_log import parse_access_log, rejected_lines
@@ -392,6 +393,11 @@ def records_receipt(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _round_trip(_receipts(spark, sf_dir), "receipt")
 
 
+def topic_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(partition, offset, seq): the arrival order of a topic's messages over all its partitions."""
+    return arrival_order(adapters.topic_messages(_t(spark, sf_dir, "events"))).select("partition", "offset", "seq")
+
+
 def access_log_lenient(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(method, url, kept, rejected): lines per request that the lenient reading keeps, and the number of lines
     that it rejects (method and url NULL)."""

@@ -358,6 +358,12 @@ UNION ALL
 SELECT 'day', (t // 86400 + 1) * 86400000, count(DISTINCT user_id), true FROM pv GROUP BY 2"""
 
 
+TOPIC_ORDER = f"""WITH m AS (
+  SELECT CASE WHEN event_id % 2 = 0 THEN 0 ELSE CAST(1 + event_id % 5 AS INTEGER) END AS p, event_id AS o,
+    {T_MS} - event_id * 7919 % 86400 * 1000 AS t FROM events),
+r AS (SELECT p, o, max(t) OVER (PARTITION BY p ORDER BY o ROWS UNBOUNDED PRECEDING) AS progress FROM m)
+SELECT CAST(p AS INTEGER) AS "partition", o AS "offset", row_number() OVER (ORDER BY progress, p, o) - 1 AS seq FROM r"""
+
 ORACLES: dict[str, str] = {
     "hot_items": HOT_ITEMS,
     "item_counts": ITEM_COUNTS,
@@ -387,6 +393,7 @@ ORACLES: dict[str, str] = {
     "order_timeout": ORDER_TIMEOUT,
     "order_cycles": ORDER_CYCLES,
     "published_receipts": PUBLISHED_RECEIPTS,
+    "topic_order": TOPIC_ORDER,
     "tx_match": _tx_match(True),
     "tx_match_key": _tx_match(False),
     "tx_join": TX_JOIN,

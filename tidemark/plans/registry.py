@@ -53,6 +53,7 @@ QUERIES = {
     "records_receipt": jobs.records_receipt,
     "access_log_lenient": jobs.access_log_lenient,
     "published_receipts": jobs.published_receipts,
+    "topic_order": jobs.topic_order,
 }
 
 # uv_approx is an estimate and has no SQL (uv_approx_checked holds it against the exact count); login_fail_timed's greedy grouping is a recursive SQL query.
@@ -65,5 +66,5 @@ FLAGSHIP = "hot_items"
 VARIANTS = {"tx_match_repeated", "order_timeout_early", "channel_counts_null", "ad_blacklist_daily", "ad_passed_daily",
             "uv_bitmap_small", "uv_approx_checked", "records_behavior", "records_ad_click", "records_login",
             "records_order", "records_receipt", "access_log_lenient", "published_receipts",
-            "ad_blacklist_rolling", "uv_sketch_sliding", "hot_items_changelog", "page_firings", "order_cycles"}
+            "ad_blacklist_rolling", "uv_sketch_sliding", "hot_items_changelog", "page_firings", "order_cycles", "topic_order"}
 assert set(QUERIES) >= VARIANTS

@@ -237,6 +237,14 @@ def reused_orders(orders: DataFrame) -> DataFrame:
                     F.timestamp_seconds("e.timestamp").alias("ts"), "seq"))
 
 
+def topic_messages(events: DataFrame) -> DataFrame:
+    """Messages of a topic with six partitions, half of them in partition 0, their offsets with gaps, and timestamps that
+    run up to a day behind the event's time (partition, offset, timestamp_ms)."""
+    e = F.col("event_id")
+    return events.select(F.when(e % 2 == 0, F.lit(0)).otherwise(1 + e % 5).cast("int").alias("partition"),
+                         e.alias("offset"), (_epoch_ms() - e * 7919 % 86400 * 1000).alias("timestamp_ms"))
+
+
 def cut_lines(lines: DataFrame) -> DataFrame:
     """Access-log lines with every ninth (by ``seq``) cut before the method and every eleventh without a time."""
     short = F.regexp_extract("value", r"^(\S+ \S+ \S+ \S+)", 1)

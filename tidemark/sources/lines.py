@@ -6,14 +6,30 @@ on the classpath (not present in the test image); the socket format is a develop
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.operators.arrival import arrival_order
+
+
+def topic_seq(partition: Column, offset: Column) -> Column:
+    """A number per message that no other message of the topic has, in the order of the offsets inside a partition
+    (partitions below 65,536, offsets below 2^47)."""
+    return offset.cast("long") * (1 << 16) + partition.cast("long")
+
+
+def topic_lines(messages: DataFrame) -> DataFrame:
+    """(value, seq): the lines of a stored or batch-read topic (value, partition, offset, timestamp) in their arrival
+    order over all partitions, see :func:`arrival_order`."""
+    own = messages.select(F.col("value").cast("string").alias("value"), "partition", "offset",
+                          F.unix_millis("timestamp").alias("timestamp_ms"))
+    return arrival_order(own).select("value", "seq")
+
 
 def line_stream(spark: SparkSession, fmt: str, options: dict[str, str] | None = None,
                 path: str | None = None) -> DataFrame:
-    """A streaming DataFrame with one string column ``value`` per line or message (kafka: and its offset as
-    ``seq``).
+    """A streaming DataFrame with one string column ``value`` per line or message (kafka: and ``seq``, see
+    :func:`topic_seq`).
 
     ``fmt`` is ``kafka`` (options such as ``kafka.bootstrap.servers``, ``subscribe``, ``startingOffsets``),
     ``socket`` (``host``, ``port``) or ``text`` (a folder of files, ``path``).
@@ -23,7 +39,7 @@ def line_stream(spark: SparkSession, fmt: str, options: dict[str, str] | None =
         reader = reader.option(k, v)
     df = reader.load(path) if path else reader.load()
     if fmt == "kafka":
-        return df.select(F.col("value").cast("string").alias("value"), F.col("offset").alias("seq"))
+        return df.select(F.col("value").cast("string").alias("value"), topic_seq(F.col("partition"), F.col("offset")).alias("seq"))
     return df.select("value")
 
 
