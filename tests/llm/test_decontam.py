@@ -48,7 +48,7 @@ def test_awkward_rows(spark):
     want = norm(brute(awkward.texts(), items))
     assert norm(got(decontam.phrase_matches(index, awkward.items(spark)))) == want
     # the same with a query set of many blocks
-    assert norm(got(decontam.phrase_matches(index, awkward.items(spark), block_chars=20))) == want
+    assert norm(got(decontam.phrase_matches(index, awkward.items(spark), block_windows=3))) == want
     digest = decontam.digest(decontam.phrase_matches(index, awkward.items(spark)))
     assert all(r["contaminated"] == (r["n_hit"] > 0) for r in digest.collect())
 
@@ -119,3 +119,20 @@ def test_queries_of_common_words_are_taken_in_parts(monkeypatch):
                   for s in range(len(words) - 2) if words[s:s + 3] == q)
     monkeypatch.setattr(decontam, "CANDIDATES", 50)
     assert whole == want == sorted(zip(*(x.tolist() for x in seg.phrases(queries))))
+
+
+def test_long_items_are_cut_into_blocks_without_losing_a_window(spark):
+    words = [f"w{i}" for i in range(500)]
+    # every window of the long item once, alone in a document, so that a lost one shows
+    docs = spark.createDataFrame([(i, "x " + " ".join(words[i:i + 10]) + " y") for i in range(491)] + [(999, "w1 w2 w3")],
+                                 "doc_id long, text string")
+    items = spark.createDataFrame([("long", " ".join(words)), ("short", "W1, w2 w3"), ("none", "!"), (None, None)],
+                                  "item_id string, text string")
+    sizes = [(sum(len(m) for m, _ in block.values()), last) for block, last in decontam._blocks(items, 10, 64)]
+    assert len(sizes) == 8 and [last for _, last in sizes] == [False] * 7 + [True]
+    assert sum(n for n, _ in sizes) == 492 and max(n for n, _ in sizes) < 2 * 64
+    index = decontam.build_index(docs)
+    whole = decontam.digest(decontam.phrase_matches(index, items)).collect()
+    cut = decontam.digest(decontam.phrase_matches(index, items, block_windows=64)).collect()
+    assert sorted(whole) == sorted(cut) and all(r["contaminated"] for r in cut) and len(cut) == 492
+    assert {r["doc_id"]: r["n_hit"] for r in cut} == {**{i: 10 for i in range(491)}, 999: 3}

@@ -10,9 +10,11 @@ rarest term there: the term's positions less its offset in the phrase are the ca
 rarest terms' offset-adjusted postings are intersected with them one by one, until the phrase is exact. All
 queries of a segment are intersected together: (term, position) pairs are one sorted list that is searched.
 
-The queries are a stated set. They are cut into blocks of bounded size; each block is sent to all tasks, and
-the matches of several blocks are put together per document. A query that shares its words with others is
-matched once.
+The queries are a stated set. Tasks cut them into pieces of a bounded number of windows, and pieces are dealt into
+blocks of about ``block_windows`` windows by a hash; a long item is in several. One block at a time is on the driver
+and sent to all tasks; its matches are written and its broadcast is released before the next, and the matches
+of the blocks are put together per document (those of a single block are not written). Within a block a window that
+several items share is matched once. Without windows an item is one phrase, and never cut.
 
 Words are compared by 64-bit hashes.
 
@@ -33,7 +35,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import WordHashes, binary_values
-from tidemark.session import checkpoint_path
+from tidemark.session import checkpoint_path, materialize, release
 
 WINDOW = 10
 #: Words of a segment (a longer document is a segment of its own), and words between two documents.
@@ -41,8 +43,8 @@ SEGMENT_WORDS = 1 << 18
 GAP = 64
 #: Candidate positions that are intersected at once, about.
 CANDIDATES = 1 << 21
-#: Characters of query texts that are sent to the tasks at once.
-BLOCK_CHARS = 32 << 20
+#: Query windows that are sent to the tasks at once, about (20 MB of hashes for windows of ten words).
+BLOCK_WINDOWS = 1 << 18
 
 #: The contract's words, [^\x00-\x2F\x3A-\x60\x7B-\x7F]+ after lower-casing A-Z, in UTF-8: every byte of
 #: another character becomes a space.
@@ -189,22 +191,44 @@ def windows_of(words: list[bytes], size: int) -> list[tuple[bytes, ...]]:
     return [tuple(words[i:i + size]) for i in range(max(1, len(words) - size + 1))]
 
 
-def _blocks(items: DataFrame, size: int | None, block_chars: int) -> Iterator[dict]:
-    """The query set in blocks of bounded size: {length: (matrix of term hashes, item names of each row)}.
-    ``size``: cut each item into windows of so many words; None: each item is one phrase."""
-    chars = items.agg(F.sum(F.length("text"))).first()[0] or 0
-    n = -(-chars // block_chars) or 1
+def _pieces(items: DataFrame, size: int | None, most: int) -> DataFrame:
+    """(name, words, windows): each item's words, joined by blanks, in pieces of at most ``most`` windows. Neighbouring
+    pieces share the size - 1 words that keep every window whole in one of them."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = []
+            for name, raw in zip(batch.column("name").to_pylist(), binary_values(batch.column("raw"))):
+                words = tokens(raw)
+                n = max(1, len(words) - size + 1) if size else 1
+                for at in range(0, n if words else 0, most):
+                    held = min(most, n - at)
+                    piece = words[at:at + held + size - 1] if size else words
+                    out.append((name, b" ".join(piece), held))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([r[i] for r in out], t) for i, t in enumerate((pa.string(), pa.binary(), pa.int64()))],
+                names=["name", "words", "windows"])
+
     own = items.select(F.coalesce(F.col("item_id").cast("string"), F.lit("")).alias("name"),
                        F.col("text").cast("binary").alias("raw"))
+    return own.mapInArrow(run, "name string, words binary, windows long")
+
+
+def _blocks(items: DataFrame, size: int | None, block_windows: int) -> Iterator[tuple[dict, bool]]:
+    """The query set in blocks of bounded size: {length: (matrix of term hashes, item names of each row)}, last or not.
+    ``size``: cut each item into windows of so many words; None: each item is one phrase."""
+    pieces = materialize(_pieces(items, size, max(1, block_windows // 16)), "query-pieces")
+    n = -(-(pieces.agg(F.sum("windows")).first()[0] or 0) // block_windows) or 1
     for i in range(n):
-        part = own.where(F.pmod(F.xxhash64("name", "raw"), F.lit(n)) == i) if n > 1 else own
+        part = pieces.where(F.pmod(F.xxhash64("name", "words"), F.lit(n)) == i) if n > 1 else pieces
         hashes, by = WordHashes(), {}
-        for r in part.collect():  # at most about block_chars characters
-            words = tokens(bytes(r["raw"]) if r["raw"] is not None else None)
-            for w in windows_of(words, size or max(1, len(words))):
+        for r in part.select("name", "words").collect():  # about block_windows windows
+            words = bytes(r["words"]).split()
+            for w in windows_of(words, size or len(words)):
                 by.setdefault(len(w), {}).setdefault(w, set()).add(r["name"])
+        if i == n - 1:
+            release(pieces)
         yield {k: (np.array([hashes.of(list(w)) for w in ws], np.uint64), [sorted(names) for names in ws.values()])
-               for k, ws in by.items()}
+               for k, ws in by.items()}, i == n - 1
 
 
 def _covered(starts: np.ndarray, lengths: np.ndarray) -> list[dict]:
@@ -218,13 +242,13 @@ def _covered(starts: np.ndarray, lengths: np.ndarray) -> list[dict]:
     return [{"from": s, "to": e} for s, e in out]
 
 
-def _match(index: DataFrame, items: DataFrame, size: int | None, within: int | None, block_chars: int) -> DataFrame:
+def _match(index: DataFrame, items: DataFrame, size: int | None, within: int | None, block_windows: int) -> DataFrame:
     spark = index.sparkSession
     kind = index.schema["doc_ids"].dataType.elementType.simpleString()
     schema = (f"doc_id {kind}, row string, n_words long, spans array<struct<`from`:long,`to`:long>>, "
               "items array<string>")
     parts = []
-    for block in _blocks(items, size, block_chars):
+    for block, last in _blocks(items, size, block_windows):
         sent = spark.sparkContext.broadcast(block)
 
         def run(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
@@ -255,9 +279,12 @@ def _match(index: DataFrame, items: DataFrame, size: int | None, within: int | N
                          pa.array([sorted(r[2]) for r in rows], pa.list_(pa.string()))],
                         names=["doc_id", "row", "n_words", "spans", "items"])
 
-        parts.append(index.mapInArrow(run, schema))
-    if len(parts) == 1:
-        return parts[0]
+        matches = index.mapInArrow(run, schema)
+        if last and not parts:
+            return matches
+        # every document once, with the first block; with the others those that they hit
+        parts.append(materialize(matches.where(F.size("spans") > 0) if parts else matches, "block-matches"))
+        sent.destroy()
     both = parts[0]
     for p in parts[1:]:
         both = both.unionByName(p)
@@ -268,17 +295,17 @@ def _match(index: DataFrame, items: DataFrame, size: int | None, within: int | N
 
 
 def phrase_matches(index: DataFrame, items: DataFrame, window: int | None = WINDOW,
-                   block_chars: int = BLOCK_CHARS) -> DataFrame:
+                   block_windows: int = BLOCK_WINDOWS) -> DataFrame:
     """Per document: doc_id, row (its name in the index), n_words, spans (of words that exact occurrences of a
     window cover) and items (names, sorted). ``window`` None: each item is one phrase."""
-    return _match(index, items, window, None, block_chars)
+    return _match(index, items, window, None, block_windows)
 
 
-def proximity_matches(index: DataFrame, items: DataFrame, within: int, block_chars: int = BLOCK_CHARS) -> DataFrame:
+def proximity_matches(index: DataFrame, items: DataFrame, within: int, block_windows: int = BLOCK_WINDOWS) -> DataFrame:
     """As ``phrase_matches``, for spans of ``within`` words that hold all distinct words of an item."""
     if not 0 < within <= GAP:
         raise ValueError(f"within must lie between 1 and {GAP}")
-    return _match(index, items, None, within, block_chars)
+    return _match(index, items, None, within, block_windows)
 
 
 def span_words(spans: str = "spans") -> Column:
