@@ -43,6 +43,18 @@ def test_shuffle_partitions_are_only_set_when_asked_for():
     assert "N 23" in out and "M 5" in out
 
 
+def test_scratch_goes_with_the_driver():
+    code = ("import sys; sys.path.insert(0, %r)\n"
+            "from tidemark.session import build_session, scratch_path\n"
+            "spark = build_session('local[1]')\n"
+            "path = scratch_path(spark, 'product')\n"
+            "spark.range(3).write.parquet(path)\n"
+            "import os; print('P', path, os.path.exists(path))\n") % ROOT
+    out = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, timeout=300).stdout
+    path, was = next(line for line in out.splitlines() if line.startswith("P ")).split()[1:]
+    assert was == "True" and not os.path.exists(path)
+
+
 def test_materialize_and_release(spark):
     df = session.materialize(spark.range(5), "t")
     assert df.count() == 5 and session.path_exists(spark, df.scratch_path)

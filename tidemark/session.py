@@ -60,6 +60,15 @@ def checkpoint_path(spark: SparkSession, name: str) -> str:
     return os.path.join(base, name)
 
 
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A path to write to, in a folder under the shared checkpoint folder that goes when the driver ends."""
+    folder = checkpoint_path(spark, os.path.join("tidemark", name))
+    fs, p = _hadoop(spark, folder)
+    fs.mkdirs(p)  # only what exists can be marked
+    fs.deleteOnExit(p)
+    return os.path.join(folder, "data")
+
+
 def _hadoop(spark: SparkSession, path: str):
     p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
