@@ -35,7 +35,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import WordHashes, binary_values
-from tidemark.session import checkpoint_path, materialize, release
+from tidemark.session import materialize, release, scratch_path
 
 WINDOW = 10
 #: Words of a segment (a longer document is a segment of its own), and words between two documents.
@@ -72,7 +72,8 @@ def _segment(ids: list, starts: list, counts: list, parts: list[np.ndarray], sch
 
 
 def build_index(docs: DataFrame, segment_words: int = SEGMENT_WORDS) -> DataFrame:
-    """Write the postings of doc_id, text under the shared checkpoint folder; the table of segments."""
+    """Write the postings of doc_id, text under the shared checkpoint folder; the table of segments. It goes when the driver
+    ends."""
     spark = docs.sparkSession
     kind = docs.schema["doc_id"].dataType.simpleString()
 
@@ -99,7 +100,7 @@ def build_index(docs: DataFrame, segment_words: int = SEGMENT_WORDS) -> DataFram
         if ids:
             yield _segment(ids, starts, counts, parts, schema)
 
-    path = checkpoint_path(spark, f"postings-{uuid.uuid4().hex}")
+    path = scratch_path(spark, f"postings-{uuid.uuid4().hex}")
     (docs.select("doc_id", F.col("text").cast("binary").alias("raw"))
      .mapInArrow(run, INDEX_SCHEMA.format(id=kind)).write.parquet(path))
     return spark.read.parquet(path)

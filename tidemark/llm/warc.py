@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import binary_values
-from tidemark.session import checkpoint_path
+from tidemark.session import scratch_path
 
 LEVEL = 3
 DICT_BYTES = 64 << 10
@@ -146,9 +146,10 @@ def plan_records(pages: DataFrame, min_revisit: int = 0) -> DataFrame:
 
 def write(pages: DataFrame, path: str | None = None, level: int = LEVEL, min_revisit: int = 0,
           archive_bytes: int = ARCHIVE_BYTES) -> str:
-    """Write the archives of pages (page_id, url, html); the folder they are in."""
+    """Write the archives of pages (page_id, url, html); the folder they are in. Without a ``path`` it goes when the driver
+    ends."""
     spark = pages.sparkSession
-    path = path or checkpoint_path(spark, f"warc-{uuid.uuid4().hex}")
+    path = path or scratch_path(spark, f"warc-{uuid.uuid4().hex}")
     dictionary = build_dictionary(pages)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
