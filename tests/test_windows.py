@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tests.conftest import rows
 from tidemark.operators import distinct, lateness, windows
+from tidemark.session import materialize
 
 
 @pytest.fixture(scope="module")
@@ -81,3 +82,73 @@ def test_uv_forms(spark, events):
     for r in run:
         per.setdefault(r.window_end, []).append(r.cnt)
     assert {w: sorted(v) for w, v in per.items()} == {w: list(range(1, n + 1)) for w, n in bm.items()}
+
+
+@pytest.fixture
+def plans(monkeypatch):
+    """(tag, plan) of all that lateness writes."""
+    class Seen(list):
+        pass
+
+    seen, write = Seen(), lateness.materialize
+    seen.written = []
+
+    def noted(df, tag="stage", files=None):
+        seen.append((tag, df._jdf.queryExecution().executedPlan().toString()))
+        out = write(df, tag, files)
+        seen.written.append((tag, out))
+        return out
+
+    monkeypatch.setattr(lateness, "materialize", noted)
+    return seen
+
+
+@pytest.mark.parametrize("block,wide", [(1, 5), (3, 4), (7, 1000), (256, 1000)])
+def test_open_ends_of_awkward_arrivals(spark, monkeypatch, plans, block, wide):
+    """Every depth of blocks gives the ends that the exact watermark gives: many late rows, NULL times, gaps in seq."""
+    monkeypatch.setattr(lateness, "FANOUT", 4)
+    rng = random.Random(block)
+    data, now = [], 1_000_000
+    for i in range(0, 900, 2):
+        now += rng.randrange(0, 4000)
+        data.append((i + rng.randrange(2), rng.choice("ab"), rng.choice([now, now, now - rng.randrange(0, 700_000), None])))
+    data.append((None, "a", 5000))
+    df = spark.createDataFrame(data, "seq long, k string, t long").repartition(5)
+    got = lateness.open_ends(df, "t", "10 minutes", "5 seconds", "1 second", {"e0": 0, "e1": "1 minute"},
+                             wanted=F.col("k") == "a", block=block, broadcast_rows=wide)
+    assert got.columns == ["seq", "k", "t", "e0", "e1"]
+    want, top = [], None
+    for i, k, t in data:
+        if k == "a":
+            ends = []
+            for kept in (0, 60_000):
+                ends.append(None if t is None else (t // 5000 + 1) * 5000)
+                if top is not None and i is not None:
+                    gone = -(-(top - 1000 - kept + 2) // 5000) * 5000
+                    ends[-1] = gone if t is None else max(ends[-1], gone)
+            want.append((i, k, t, *ends))
+        top = t if top is None else top if t is None else max(top, t)
+    assert sorted(map(tuple, got.collect()), key=repr) == sorted(want, key=repr)
+    tags = [tag for tag, _ in plans]
+    assert tags.count("wide-ends") == (900 // block >= wide)
+
+
+def test_only_open_blocks_are_ordered(spark, plans):
+    """A dense log: 256 arrivals are short beside the slide, so few blocks hold rows that their bounds leave undecided."""
+    rng = random.Random(1)
+    data = [(i, "a", i - (rng.choice((65_000, 71_000)) if rng.random() < 0.01 else 0)) for i in range(200_000)]
+    df = materialize(spark.createDataFrame(data, "seq long, k string, t long"), "dense")
+    for most in (1 << 18, 10):
+        got = lateness.open_ends(df, "t", "10 minutes", "5 seconds", "1 second", {"e": "1 minute"}, broadcast_rows=most)
+        exact = lateness.watermark_before(df, "t", "1 second").withColumn(
+            "e", lateness.first_open_end("t", "watermark", "10 minutes", "5 seconds", "1 minute")).drop("watermark")
+        assert got.exceptAll(exact).isEmpty() and got.count() == 200_000
+    bounds = [b for tag, b in plans.written if tag == "block-bounds"][0]
+    assert 0 < bounds.filter("_open").count() < bounds.count() / 10
+    wide = [plan for tag, plan in plans if tag == "wide-ends"][0]
+    assert "BroadcastHashJoin" in wide and "Window" not in wide and "SortMergeJoin" not in wide
+
+
+def test_open_ends_of_an_empty_log(spark, events):
+    on_time, late = lateness.split_late(events.limit(0), "timestamp", "10 minutes", "5 seconds", "1 second", "1 minute")
+    assert on_time.count() == 0 and late.count() == 0

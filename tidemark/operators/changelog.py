@@ -13,12 +13,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.time import duration_ms
 from tidemark.operators import sequence as seq
-from tidemark.operators.lateness import first_open_end, last_end, watermark_before
+from tidemark.operators.lateness import last_end, open_ends
 from tidemark.operators.topn import top_n
 from tidemark.operators.windows import event_ms, window_count
 
@@ -69,28 +69,25 @@ def rankings_at(changes: DataFrame, id_col: str, epoch: int | None = None) -> Da
 
 
 def window_firings(df: DataFrame, keys: Sequence[str], ts_ms: str, size: str, slide: str, bound: str | int,
-                   lateness: str | int, seq_col: str = "seq", watermark: str | None = None,
+                   lateness: str | int, seq_col: str = "seq", wanted: Column | None = None,
                    rows_per_chunk: int = 1 << 20) -> DataFrame:
     """(*keys, window_end, firing, cnt): firing 1, 2, 3 .. of each window of a key.
 
     A row counts for a window before its first firing if the watermark that it meets on arrival is below the window's
     end; a later row, as long as the window is kept (end + ``lateness``), is a firing of its own, in the order of
-    ``seq_col``. A window with late rows only has its first firing at the first of them. ``watermark`` names an existing
-    column with the watermark (before a filter, as it follows every row); else it is computed from ``bound``.
+    ``seq_col``. A window with late rows only has its first firing at the first of them. Only ``wanted`` rows are counted, but
+    the watermark follows every row of ``df``.
 
     The first firings are window counts over panes. Only the late rows are listed per window, lateness / slide at most
     for each; they are numbered per key and window, in chunks of arrival."""
     keys = list(keys)
     slide_ms = duration_ms(slide)
-    marked = df if watermark else watermark_before(df, ts_ms, bound, seq_col)
-    wm = watermark or "watermark"
-    end = last_end(ts_ms, size, slide)
-    marked = (marked.withColumn("_on_time", first_open_end(ts_ms, wm, size, slide, 0))
-              .withColumn("_open", first_open_end(ts_ms, wm, size, slide, lateness)).withColumn("_end", end))
+    marked = (open_ends(df, ts_ms, size, slide, bound, {"_on_time": 0, "_kept": lateness}, seq_col, wanted)
+              .withColumn("_end", last_end(ts_ms, size, slide)))
     first = window_count(marked.filter("_on_time <= _end").withColumn("_ts", F.timestamp_millis(ts_ms)), keys, size, slide,
                          ts_col="_ts", count_col="_first", first_end="_on_time")
-    late = (marked.filter((F.col("_open") < F.col("_on_time")) & (F.col("_open") <= F.col("_end")))
-            .select(*keys, seq_col, F.explode(F.sequence("_open", F.least(F.col("_on_time") - slide_ms, F.col("_end")),
+    late = (marked.filter((F.col("_kept") < F.col("_on_time")) & (F.col("_kept") <= F.col("_end")))
+            .select(*keys, seq_col, F.explode(F.sequence("_kept", F.least(F.col("_on_time") - slide_ms, F.col("_end")),
                                                          F.lit(slide_ms).cast("long"))).alias("window_end"))
             .withColumn("_chunk", seq.arrival_chunk(seq_col, rows_per_chunk)))
     late = seq.rank(late, [*keys, "window_end"], [seq_col], "_chunk", out="_late").drop("_chunk", seq_col)

@@ -12,8 +12,7 @@ from pyspark.sql import functions as F
 from tidemark.functions import report
 from tidemark.functions.time import end_string
 from tidemark.operators import blocking, distinct, joins, lateness, patterns, topn, windows
-from tidemark.plans.jobs import STATIC_ASSET
-from tidemark.session import materialize
+from tidemark.plans.jobs import page_request
 from tidemark.sources import read_access_log, read_records
 
 
@@ -33,11 +32,9 @@ def hot_items(spark: SparkSession, behavior: str, n: int = 5, report_text: bool
 
 
 def hot_pages(spark: SparkSession, log: str, n: int = 3, report_text: bool = False) -> DataFrame:
-    marked = lateness.watermark_before(read_access_log(spark, log), "timestamp", "1 second")
-    requests = materialize(_with_ts(marked.filter((F.col("method") == "GET") & ~F.col("url").rlike(STATIC_ASSET)),
-                                    "ms"), "page-requests")
-    on_time, _ = lateness.split_late(requests, "timestamp", "10 minutes", "5 seconds", watermark="watermark",
-                                     lateness="1 minute")
+    on_time, _ = lateness.split_late(read_access_log(spark, log), "timestamp", "10 minutes", "5 seconds", "1 second",
+                                     "1 minute", wanted=page_request())
+    on_time = _with_ts(on_time, "ms")
     counts = windows.window_count(on_time, ["url"], "10 minutes", "5 seconds", count_col="cnt",
                                   first_end="first_end")
     ranked = topn.top_n(counts, n, id_col="url").select("window_end", "rank", "url", "cnt")

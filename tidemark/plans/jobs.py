@@ -6,7 +6,7 @@ about every 11 hours), ``DRIVER`` holds the scaled values the registered queries
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions import report
@@ -101,26 +101,20 @@ def access_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     return parse_access_log(adapters.access_log_lines(_t(spark, sf_dir, "events"), _t(spark, sf_dir, "pages")))
 
 
-def _page_requests(spark, sf_dir, bound, write=True):
-    # The watermark follows every log line; the method and asset filters come after it. The marked
-    # requests feed the pane window, whose chunk summaries and joins read them several times; they are
-    # written once to the shared checkpoint folder so the log is not rebuilt from the scans per branch.
-    marked = lateness.watermark_before(access_log(spark, sf_dir), "timestamp", bound)
-    requests = (marked.filter((F.col("method") == "GET") & ~F.col("url").rlike(STATIC_ASSET))
-                .withColumn("ts", F.timestamp_millis("timestamp")))
-    return materialize(requests, "page-requests") if write else requests
+def page_request() -> Column:
+    """What is counted of the log; the watermark follows every line."""
+    return (F.col("method") == "GET") & ~F.col("url").rlike(STATIC_ASSET)
 
 
-def _page_split(spark, sf_dir, size, slide, bound, allowed_lateness, write=True):
-    requests = _page_requests(spark, sf_dir, bound, write)
-    return lateness.split_late(requests, "timestamp", size, slide, watermark="watermark",
-                               lateness=allowed_lateness)
+def _page_split(spark, sf_dir, size, slide, bound, allowed_lateness):
+    return lateness.split_late(access_log(spark, sf_dir), "timestamp", size, slide, bound, allowed_lateness, wanted=page_request())
 
 
 def page_counts(spark: SparkSession, sf_dir: str, size: str = "10 minutes", slide: str = "5 seconds",
                 bound: str = "1 second", allowed_lateness: str = "1 minute") -> DataFrame:
     """(url, window_end, cnt): GET requests per page and window, minus what lateness drops."""
     on_time, _ = _page_split(spark, sf_dir, size, slide, bound, allowed_lateness)
+    on_time = on_time.withColumn("ts", F.timestamp_millis("timestamp"))
     return windows.window_count(on_time, ["url"], size, slide, count_col="cnt", first_end="first_end")
 
 
@@ -136,7 +130,7 @@ def hot_pages_report(spark: SparkSession, sf_dir: str, n: int = 3) -> DataFrame:
 def late_pages(spark: SparkSession, sf_dir: str, size: str = "10 minutes", slide: str = "5 seconds",
                bound: str = "1 second", allowed_lateness: str = "1 minute") -> DataFrame:
     """(ip, user_id, timestamp, method, url): requests too late for every window (the late side output)."""
-    _, late = _page_split(spark, sf_dir, size, slide, bound, allowed_lateness, write=False)
+    _, late = _page_split(spark, sf_dir, size, slide, bound, allowed_lateness)
     return late.select("ip", "user_id", "timestamp", "method", "url")
 
 
@@ -144,8 +138,8 @@ def page_firings(spark: SparkSession, sf_dir: str, size: str = "10 minutes", sli
                  bound: str = "1 second", allowed_lateness: str = "1 minute") -> DataFrame:
     """(url, window_end, firing, cnt): every firing of a page's window, the first when the watermark passes its end and
     one per late row after that; the last firing of a window has the count of ``page_counts``."""
-    requests = _page_requests(spark, sf_dir, bound)
-    return changelog.window_firings(requests, ["url"], "timestamp", size, slide, bound, allowed_lateness, watermark="watermark")
+    return changelog.window_firings(access_log(spark, sf_dir), ["url"], "timestamp", size, slide, bound, allowed_lateness,
+                                    wanted=page_request())
 
 
 def page_view(spark: SparkSession, sf_dir: str, size: str = "1 hour", salt: int = 0) -> DataFrame:
