@@ -21,6 +21,7 @@ from tidemark.operators import sequence as seq
 from tidemark.operators.lateness import last_end, open_ends
 from tidemark.operators.topn import top_n
 from tidemark.operators.windows import event_ms, window_count
+from tidemark.session import materialize
 
 
 def running_ranks(df: DataFrame, id_col: str, n: int, size: str, slide: str, ts_col: str = "ts") -> DataFrame:
@@ -82,8 +83,9 @@ def window_firings(df: DataFrame, keys: Sequence[str], ts_ms: str, size: str, sl
     for each; they are numbered per key and window, in chunks of arrival."""
     keys = list(keys)
     slide_ms = duration_ms(slide)
-    marked = (open_ends(df, ts_ms, size, slide, bound, {"_on_time": 0, "_kept": lateness}, seq_col, wanted)
-              .withColumn("_end", last_end(ts_ms, size, slide)))
+    marked = open_ends(df, ts_ms, size, slide, bound, {"_on_time": 0, "_kept": lateness}, seq_col, wanted)
+    marked = materialize(marked.select(*dict.fromkeys([*keys, ts_ms, seq_col]), "_on_time", "_kept",
+                                       last_end(ts_ms, size, slide).alias("_end")), "firing-rows")
     first = window_count(marked.filter("_on_time <= _end").withColumn("_ts", F.timestamp_millis(ts_ms)), keys, size, slide,
                          ts_col="_ts", count_col="_first", first_end="_on_time")
     late = (marked.filter((F.col("_kept") < F.col("_on_time")) & (F.col("_kept") <= F.col("_end")))

@@ -98,20 +98,20 @@ def open_ends(df: DataFrame, ts_ms: str, size: str, slide: str, bound: str | int
 
     # a wanted row without a time counts as the earliest
     least = F.min(F.when(wanted, F.coalesce(F.col(ts_ms), F.lit(-(1 << 62)))))
-    blocks = materialize(df.filter(F.col(seq_col).isNotNull()).groupBy(at(block).alias("_at"))
-                         .agg(F.max(ts_ms).alias("_max"), least.alias("_min")), "block-maxima")
-    last = blocks.agg(F.max("_at")).first()[0] or 0
+    blocks = materialize(df.groupBy(at(block).alias("_at")).agg(F.max(ts_ms).alias("_max"), least.alias("_min")), "block-maxima")
+    last, unplaced = blocks.agg(F.coalesce(F.max("_at"), F.lit(0)), F.count_if(F.col("_at").isNull())).first()
+    blocks = blocks.filter("_at is not null")
     bounds = _prefix(blocks.select("_at", "_max"), last).select("_at", *[(F.col(c) - bound_ms).alias(c) for c in ("_low", "_high")])
     small = materialize(blocks.select("_at", "_min").join(bounds, "_at").select(
         "_at", "_low", "_high", (apart("_min") & F.col("_min").isNotNull()).alias("_open")), "block-bounds")
     states = {r["_open"]: r["n"] for r in small.groupBy("_open").agg(F.count(F.lit(1)).alias("n")).collect()}
     per = max(1, -(-(last + 1) // broadcast_rows))  # small blocks in a wide one
     rows = df.filter(wanted)
-    parts = [rows.filter(F.col(seq_col).isNull()).withColumns({"_low": F.lit(None).cast("long"), "_high": F.lit(None).cast("long")})]
+    parts = []
     if per == 1:
-        if states.get(False):
-            parts.append(rows.withColumn("_at", at(block)).join(F.broadcast(small.filter("not _open")), "_at"))
-        parts = [decided(p) for p in parts]
+        if states.get(False) or unplaced or not states:
+            met = rows.withColumn("_at", at(block)).join(F.broadcast(small), "_at", "left")
+            parts = [decided(met.filter("_open is null or not _open"))]
     else:
         wide = small.groupBy(F.floor(F.col("_at") / per).cast("long").alias("_at")).agg(
             F.min_by("_low", "_at").alias("_low"), F.max("_high").alias("_high"))

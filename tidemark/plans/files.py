@@ -13,6 +13,7 @@ from tidemark.functions import report
 from tidemark.functions.time import end_string
 from tidemark.operators import blocking, distinct, joins, lateness, patterns, topn, windows
 from tidemark.plans.jobs import page_request
+from tidemark.session import materialize
 from tidemark.sources import read_access_log, read_records
 
 
@@ -34,7 +35,7 @@ def hot_items(spark: SparkSession, behavior: str, n: int = 5, report_text: bool
 def hot_pages(spark: SparkSession, log: str, n: int = 3, report_text: bool = False) -> DataFrame:
     on_time, _ = lateness.split_late(read_access_log(spark, log), "timestamp", "10 minutes", "5 seconds", "1 second",
                                      "1 minute", wanted=page_request())
-    on_time = _with_ts(on_time, "ms")
+    on_time = materialize(_with_ts(on_time, "ms"), "page-requests")
     counts = windows.window_count(on_time, ["url"], "10 minutes", "5 seconds", count_col="cnt",
                                   first_end="first_end")
     ranked = topn.top_n(counts, n, id_col="url").select("window_end", "rank", "url", "cnt")

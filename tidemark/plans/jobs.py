@@ -114,7 +114,8 @@ def page_counts(spark: SparkSession, sf_dir: str, size: str = "10 minutes", slid
                 bound: str = "1 second", allowed_lateness: str = "1 minute") -> DataFrame:
     """(url, window_end, cnt): GET requests per page and window, minus what lateness drops."""
     on_time, _ = _page_split(spark, sf_dir, size, slide, bound, allowed_lateness)
-    on_time = on_time.withColumn("ts", F.timestamp_millis("timestamp"))
+    # the pane window reads its input several times; it is written once
+    on_time = materialize(on_time.select("url", "first_end", F.timestamp_millis("timestamp").alias("ts")), "page-requests")
     return windows.window_count(on_time, ["url"], size, slide, count_col="cnt", first_end="first_end")
 
 
