@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from tests.llm import awkward
 from tidemark.llm import line_dedup
+from tidemark.session import path_exists
 
 SPACES = " \t\n\x0b\x0c\r"
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -78,6 +79,33 @@ def test_runs_join_without_a_shuffle_of_their_own(spark):
     assert "SortMergeJoin" in plan and "Exchange" not in plan
 
 
+def test_runs_go_when_dropped(spark):
+    def batch(k):
+        return spark.range(k, k + 3).select(F.col("id").alias("h1"), F.col("id").alias("h2"), F.lit(1).cast("long").alias("n_docs"),
+                                            F.col("id").alias("top"))
+
+    store = line_dedup.LineRuns(spark, buckets=2, fanout=2)
+    for k in (0, 2):
+        store.add(batch(k))
+    old = {n: store.paths[n] for n in store.merged}
+    assert len(old) == 2 and all(path_exists(spark, p) for p in old.values())
+    store.drop(list(store.merged))
+    assert not store.merged and not any(path_exists(spark, p) or spark.catalog.tableExists(n) for n, p in old.items())
+    assert store.lines().count() == 5
+    last = dict(store.paths)
+    store.drop()
+    assert len(last) == 1 and not store.runs() and not any(
+        path_exists(spark, p) or spark.catalog.tableExists(n) for n, p in last.items())
+
+
+def test_dedup_leaves_no_merged_runs(spark):
+    before = {t.name for t in spark.catalog.listTables()}
+    rows = [(d, f"a line that is longer than forty characters, for everyone\nown {d}") for d in range(20)]
+    out = line_dedup.dedup(spark.createDataFrame(rows, "doc_id long, text string"), batches=4, fanout=2)
+    assert out.agg(F.sum("_n_dropped")).first()[0] == 19
+    assert len({t.name for t in spark.catalog.listTables()} - before) == 1
+
+
 def test_empty_table(spark):
     assert got(awkward.empty(spark)) == []
 

@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import SPACES, ascii_lower, let
-from tidemark.session import checkpoint_path
+from tidemark.session import checkpoint_path, delete_path, scratch_path
 
 MIN_CHARS = 40
 MIN_DOCS = 5
@@ -50,20 +50,26 @@ def lines_of(text: str = "text") -> Column:
 
 
 class LineRuns:
-    """The runs of one store, as bucketed tables of the session's warehouse (shared on a cluster)."""
+    """The runs of one store, as bucketed tables with their files in the shared checkpoint folder. ``kept``: a store that
+    later sessions go on with; else its files go when the driver ends. ``merged`` names the runs that a compaction has
+    put into another; they stay while the lines returned by :meth:`add` may read them, until :meth:`drop`."""
 
-    def __init__(self, spark: SparkSession, buckets: int | None = None, fanout: int = FANOUT):
-        self.spark, self.fanout = spark, fanout
+    def __init__(self, spark: SparkSession, buckets: int | None = None, fanout: int = FANOUT, kept: bool = True):
+        self.spark, self.fanout, self.kept = spark, fanout, kept
         self.buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
         self.name = f"line_runs_{uuid.uuid4().hex}"
         self.levels: list[list[str]] = []
+        self.paths: dict[str, str] = {}
+        self.merged: list[str] = []
         self.n = 0
 
     def _write(self, rows: DataFrame) -> str:
         name = f"{self.name}_{self.n}"
         self.n += 1
+        folder = f"{self.name}-{self.n}"
+        self.paths[name] = checkpoint_path(self.spark, folder) if self.kept else scratch_path(self.spark, folder)
         (rows.repartition(self.buckets, *KEY).write.bucketBy(self.buckets, *KEY).sortBy(*KEY).format("parquet")
-         .option("path", checkpoint_path(self.spark, f"{self.name}/{self.n}")).saveAsTable(name))
+         .option("path", self.paths[name]).saveAsTable(name))
         return name
 
     def runs(self) -> list[str]:
@@ -112,8 +118,18 @@ class LineRuns:
                 merged = self._write(self._merged(names))
                 self.levels[level] = []
                 self._push(level + 1, merged)
+                self.merged += names
             level += 1
 
+    def drop(self, names: list[str] | None = None) -> None:
+        """Remove runs (all by default): tables and files. What still reads them fails afterwards."""
+        gone = list(self.paths) if names is None else names
+        for name in gone:
+            self.spark.sql(f"DROP TABLE IF EXISTS {name}")
+            delete_path(self.spark, self.paths.pop(name))
+        self.levels = [[n for n in level if n not in gone] for level in self.levels]
+        self.merged = [n for n in self.merged if n not in gone]
+
     def lines(self) -> DataFrame:
         """One row per hash over all runs: h1, h2, n_docs, top."""
         return self._merged(self.runs())
@@ -141,14 +157,15 @@ def dropped_lines(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = M
     n = max(1, batches)
     hashed = (docs.select("doc_id", _ranges(docs, n).alias("batch"), F.explode(_long_hashes(min_chars)).alias("k"))
               .select("doc_id", "batch", "k.h1", "k.h2"))
-    path = checkpoint_path(spark, f"line-hashes-{uuid.uuid4().hex}")
+    path = scratch_path(spark, f"line-hashes-{uuid.uuid4().hex}")
     hashed.write.partitionBy("batch").parquet(path)
     hashed = spark.read.schema("doc_id " + docs.schema["doc_id"].dataType.simpleString()
                                + ", h1 long, h2 long, batch int").parquet(path)
-    store = LineRuns(spark, fanout=fanout)
+    store = LineRuns(spark, fanout=fanout, kept=False)
     for b in range(n):
         store.add(hashed.where(F.col("batch") == b).groupBy(*KEY).agg(
             F.count_distinct(F.struct("doc_id")).alias("n_docs"), F.max("doc_id").alias("top")))
+        store.drop(list(store.merged))  # the batch's new lines are read no more
     common = store.lines().where(F.col("n_docs") >= min_docs).select(
         *[F.col(k).alias(f"c{k}") for k in KEY], "top")
     gone = (hashed.join(common, (F.col("h1") == F.col("ch1")) & (F.col("h2") == F.col("ch2")))
