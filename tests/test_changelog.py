@@ -50,6 +50,35 @@ def test_firings_by_hand_and_in_chunks(spark):
         assert {tuple(r) for r in got.collect()} == want
 
 
+@pytest.fixture()
+def small_broadcasts(spark):
+    """Fails whatever broadcasts more than the small tables that are meant to be (a hash table takes 1 or 2 MB at least)."""
+    spark.conf.set("spark.sql.maxBroadcastTableSize", "4m")
+    yield
+    spark.conf.unset("spark.sql.maxBroadcastTableSize")
+
+
+def test_firings_are_never_broadcast(spark, small_broadcasts):
+    # few rows in small files, but 120 windows for each; every 7th row is late for a part of its windows
+    data = [(f"/page/{i % 5}", 20_000 * i - (90_000 if i % 7 == 3 else 0), i) for i in range(5, 1500)]
+    df = spark.createDataFrame(data, "url string, t long, seq long")
+    first, again, top = {}, {}, None
+    for url, t, _ in data:
+        for end in range(t // 5000 * 5000 + 5000, t // 5000 * 5000 + 605_000, 5000):
+            if top is None or end - 1 > top - 1000:
+                first[url, end] = first.get((url, end), 0) + 1
+            elif end - 1 + 60_000 > top - 1000:
+                again[url, end] = again.get((url, end), 0) + 1
+        top = max(t, top or t)
+    assert len(again) > 100
+    want = [(*k, 1, n) for k, n in first.items()]
+    for k, n in again.items():
+        had = first.get(k, 0)
+        want += [(*k, i + (had > 0), had + i) for i in range(1, n + 1)]
+    got = changelog.window_firings(df, ["url"], "t", "10 minutes", "5 seconds", "1 second", "1 minute")
+    assert sorted(map(tuple, got.collect())) == sorted(want)
+
+
 def test_the_last_firing_has_the_count_of_the_window(spark):
     firings = jobs.page_firings(spark, SF["0.001"])
     last = firings.groupBy("url", "window_end").agg(F.max("cnt").alias("cnt"), F.max("firing").alias("n"), F.count("*").alias("m"))

@@ -21,7 +21,7 @@ from tidemark.operators import sequence as seq
 from tidemark.operators.lateness import last_end, open_ends
 from tidemark.operators.topn import top_n
 from tidemark.operators.windows import event_ms, window_count
-from tidemark.session import materialize
+from tidemark.session import materialize, shuffled
 
 
 def running_ranks(df: DataFrame, id_col: str, n: int, size: str, slide: str, ts_col: str = "ts") -> DataFrame:
@@ -80,7 +80,8 @@ def window_firings(df: DataFrame, keys: Sequence[str], ts_ms: str, size: str, sl
     the watermark follows every row of ``df``.
 
     The first firings are window counts over panes. Only the late rows are listed per window, lateness / slide at most
-    for each; they are numbered per key and window, in chunks of arrival."""
+    for each; they are numbered per key and window, in chunks of arrival. The first firings, size / slide for a row, are met by
+    a shuffle: they are by far the largest table here, and the planner takes them for as small as the rows' files."""
     keys = list(keys)
     slide_ms = duration_ms(slide)
     marked = open_ends(df, ts_ms, size, slide, bound, {"_on_time": 0, "_kept": lateness}, seq_col, wanted)
@@ -94,7 +95,7 @@ def window_firings(df: DataFrame, keys: Sequence[str], ts_ms: str, size: str, sl
             .withColumn("_chunk", seq.arrival_chunk(seq_col, rows_per_chunk)))
     late = seq.rank(late, [*keys, "window_end"], [seq_col], "_chunk", out="_late").drop("_chunk", seq_col)
     key = F.struct(*keys, "window_end").alias("_k")
-    again = late.select(key, "_late").join(first.select(key, "_first"), "_k", "left").select(
+    again = late.select(key, "_late").join(shuffled(first.select(key, "_first")), "_k", "left").select(
         *[F.col(f"_k.{c}").alias(c) for c in [*keys, "window_end"]],
         (F.col("_late") + F.when(F.col("_first").isNotNull(), 1).otherwise(0)).alias("firing"),
         (F.col("_late") + F.coalesce("_first", F.lit(0))).alias("cnt"))

@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.time import duration_ms
 from tidemark.operators.sequence import BROADCAST_ROWS, arrival_chunk, running_agg
-from tidemark.session import materialize
+from tidemark.session import materialize, shuffled
 
 #: Arrivals per block; an open block is ordered as a whole.
 BLOCK = 256
@@ -102,7 +102,7 @@ def open_ends(df: DataFrame, ts_ms: str, size: str, slide: str, bound: str | int
     last, unplaced = blocks.agg(F.coalesce(F.max("_at"), F.lit(0)), F.count_if(F.col("_at").isNull())).first()
     blocks = blocks.filter("_at is not null")
     bounds = _prefix(blocks.select("_at", "_max"), last).select("_at", *[(F.col(c) - bound_ms).alias(c) for c in ("_low", "_high")])
-    small = materialize(blocks.select("_at", "_min").join(bounds, "_at").select(
+    small = materialize(blocks.select("_at", "_min").join(shuffled(bounds), "_at").select(
         "_at", "_low", "_high", (apart("_min") & F.col("_min").isNotNull()).alias("_open")), "block-bounds")
     states = {r["_open"]: r["n"] for r in small.groupBy("_open").agg(F.count(F.lit(1)).alias("n")).collect()}
     per = max(1, -(-(last + 1) // broadcast_rows))  # small blocks in a wide one
@@ -119,10 +119,10 @@ def open_ends(df: DataFrame, ts_ms: str, size: str, slide: str, bound: str | int
                                      apart().alias("_undecided")), "wide-ends")
         left = marked.filter("_undecided").select(*cols)
         parts = [marked.filter("not _undecided").drop("_undecided"),
-                 decided(left.withColumn("_at", at(block)).join(small.filter("not _open"), "_at"))]
+                 decided(left.withColumn("_at", at(block)).join(shuffled(small.filter("not _open")), "_at"))]
     if states.get(True):
         mine = small.filter("_open").drop("_open")
-        mine = F.broadcast(mine) if states[True] <= broadcast_rows else mine
+        mine = F.broadcast(mine) if states[True] <= broadcast_rows else shuffled(mine)
         before = Window.partitionBy("_at").orderBy(seq_col).rowsBetween(Window.unboundedPreceding, -1)
         exact = (df.withColumn("_at", at(block)).join(mine, "_at")
                  .withColumn("_wm", F.greatest(F.col("_low"), F.max(ts_ms).over(before) - bound_ms)).filter(wanted))

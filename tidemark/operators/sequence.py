@@ -9,7 +9,9 @@ are cut into ordered *chunks* (an arrival range, or an event-time bucket), the r
   as context rows, taken from the last (first) ``k`` rows of every chunk.
 * :func:`next_value`: first non-null value strictly after each row (in-chunk, then from later chunks).
 
-The chunk summaries hold at most a few rows per (key, chunk), so their windows partitioned by key are small.
+The chunk summaries hold at most a few rows per (key, chunk), so their windows partitioned by key are small. With many
+sparse keys they are still about as many rows as the input, so they meet the rows in the shuffle that the windows
+need anyway and are never broadcast.
 ``order`` columns must give a total order within a key (add a unique tie-breaker).
 
 NULL is a key value like any other. The operators work on one struct column of the key columns: a struct is
@@ -24,7 +26,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.session import materialize
+from tidemark.session import materialize, shuffled
 
 Cols = Sequence[str]
 KEY = "_seq_key"
@@ -166,13 +168,13 @@ def running_agg(df: DataFrame, keys: Cols, order: Cols, chunk: str | None, value
     if next_of:
         heads = totals.select(*keys, chunk, F.lead("_head").over(
             Window.partitionBy(*keys).orderBy(chunk)).alias("_next_head"))
-        carry = carry.join(heads, [*keys, chunk])
+        carry = carry.join(shuffled(heads), [*keys, chunk])
     if carry_below is not None:
         carry = carry.filter(F.coalesce(F.col("_carry"), F.lit(0)) < carry_below)
     inside = Window.partitionBy(*keys, chunk).orderBy(*_order(order))
     frame = inside.rowsBetween(Window.unboundedPreceding, Window.currentRow if inclusive else -1)
     local = fn("_v").over(frame)
-    out_df = df.join(carry, [*keys, chunk]).withColumn(out, _PICK[agg](F.col("_carry"), local))
+    out_df = df.join(shuffled(carry), [*keys, chunk]).withColumn(out, _PICK[agg](F.col("_carry"), local))
     if next_of:
         out_df = out_df.withColumn(f"next_{next_of}",
                                    F.coalesce(F.lead(next_of).over(inside), F.col("_next_head")))

@@ -108,6 +108,15 @@ def materialize(df: DataFrame, tag: str = "stage", files: int | None = None) ->
     return out
 
 
+def shuffled(df: DataFrame) -> DataFrame:
+    """``df`` as a side of a join that is never broadcast, for tables that grow with the input.
+
+    The planner takes a table's size from the compressed files that it was read from, which can be a hundredth of its
+    rows in memory, and less before an ``explode``: left to it, such a table goes through the driver and into every task.
+    """
+    return df.hint("merge")
+
+
 def release(*written: DataFrame) -> None:
     """Delete the folders behind results of :func:`materialize` that nothing reads any more."""
     for df in written:
