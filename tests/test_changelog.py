@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tests.conftest import SF, rows
 from tidemark.operators import blocking, changelog, distinct, topn, windows
+from tidemark.operators import sequence as seq
 from tidemark.plans import jobs
 
 
@@ -108,6 +109,17 @@ def test_rolling_reset(spark):
         assert sorted(((r["user_id"], r["ad_id"]) for r in warn.collect()), key=repr) == sorted(warned, key=repr)
 
 
+def test_rolling_reset_broadcasts_no_keys_or_starts(spark, small_broadcasts, monkeypatch):
+    monkeypatch.setattr(seq, "BROADCAST_ROWS", 1000)  # the table of heavy keys is broadcast up to this on purpose
+    # every user alike: periods of 100 s begin at 0, 120 and 300, the first two of them with a third click
+    times = [0, 30, 60, 120, 130, 140, 300]
+    clicks = spark.range(20_000).select(F.col("id").alias("user_id"), F.lit(1).alias("ad_id"), F.posexplode(F.array(*map(F.lit, times))))
+    clicks = clicks.select("user_id", "ad_id", F.col("col").cast("long").alias("timestamp"), (F.col("user_id") * 7 + F.col("pos")).alias("seq"))
+    for chunk in (1 << 20, 3):
+        warned = blocking.blacklist_warnings(clicks, 2, reset="rolling", period_s=100, rows_per_chunk=chunk).groupBy("user_id").count()
+        assert [tuple(r) for r in warned.groupBy("count").agg(F.count("*")).collect()] == [(2, 20_000)]
+
+
 def test_sketches_make_windows_of_whole_panes(spark):
     df = spark.createDataFrame([(i % 40, i * 50) for i in range(400)], "user_id long, t long").withColumn("ts", F.timestamp_seconds("t"))
     sketches = distinct.uv_sketches(df, "5 minutes")

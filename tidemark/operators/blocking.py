@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.operators import sequence as seq
-from tidemark.session import materialize
+from tidemark.session import materialize, shuffled
 
 # Fixed value: warning text, "click over <limit>times." (no space before "times").
 WARNING_MSG = "click over {limit}times."
@@ -42,14 +42,14 @@ def _ranked(clicks: DataFrame, keys: Sequence[str], limit: int, reset: str, peri
 def _rolling(clicks: DataFrame, keys: Sequence[str], limit: int, period_s: int, rows_per_chunk: int) -> DataFrame:
     """Positions in periods of ``period_s`` that begin at a key's first row, and at the first row after each. Rows are in
     the order of time, then ``seq``. Only keys with more than ``limit`` rows are cut into periods; all rows of the others
-    pass (position 1)."""
+    pass (position 1). Busy keys and starts grow with the clicks: both are joined by a shuffle."""
     df = clicks.withColumn("_key", F.struct(*keys))
-    busy = df.groupBy("_key").agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > limit).select("_key")
+    busy = shuffled(df.groupBy("_key").agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > limit).select("_key"))
     rest = df.join(busy, "_key", "left_anti").withColumn("_pos", F.lit(1).cast("long"))
     rows, chunk = seq.chunk_by(df.join(busy, "_key", "left_semi"), ["_key"], "timestamp", "balanced", target_rows=rows_per_chunk)
     rows = materialize(seq.rank(rows, ["_key"], ["timestamp", "seq"], chunk, out="_i").withColumn("_i", F.col("_i") - 1), "busy-clicks")
     starts = seq.greedy_starts(rows, "_key", "_i", "timestamp", period_s, rows_per_chunk)
-    rows = rows.join(starts.select("_key", "_i", F.lit(True).alias("_opens")), ["_key", "_i"], "left")
+    rows = rows.join(shuffled(starts.select("_key", "_i", F.lit(True).alias("_opens"))), ["_key", "_i"], "left")
     rows = seq.running_agg(rows, ["_key"], ["_i"], chunk, F.when(F.col("_opens"), F.col("_i")), "_begin", "max")
     rows = rows.withColumn("_pos", F.col("_i") - F.col("_begin") + 1)
     return rows.select(*rest.columns).unionByName(rest).drop("_key")

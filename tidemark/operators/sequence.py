@@ -77,7 +77,7 @@ def _balanced(df: DataFrame, keys: Cols, col: str, bucket: int, target_rows: int
         return own, None
     df = df.withColumn("_bk", F.floor(F.col(col) / bucket).cast("long"))
     heavy = materialize(per_key.filter(F.col("_cnt") > target_rows).select(*keys), "heavy-keys")
-    heavy = F.broadcast(heavy) if heavy.count() <= BROADCAST_ROWS else heavy
+    heavy = F.broadcast(heavy) if heavy.count() <= BROADCAST_ROWS else shuffled(heavy)
     busy = df.join(heavy, keys, "left_semi")
     hist = busy.filter(F.col("_bk").isNotNull()).groupBy(*keys, "_bk").agg(F.count(F.lit(1)).alias("_cnt"))
     before = Window.partitionBy(*keys).orderBy("_bk").rowsBetween(Window.unboundedPreceding, -1)
@@ -87,7 +87,7 @@ def _balanced(df: DataFrame, keys: Cols, col: str, bucket: int, target_rows: int
         df = df.join(F.broadcast(hist), [*keys, "_bk"], "left")
     else:
         rest = df.join(heavy, keys, "left_anti").withColumn("_at", F.lit(0).cast("long"))
-        df = busy.join(hist, [*keys, "_bk"], "left").unionByName(rest)
+        df = busy.join(shuffled(hist), [*keys, "_bk"], "left").unionByName(rest)
     return df.withColumn(out, F.coalesce("_at", F.lit(0))).drop("_bk", "_at", KEY), out
 
 
@@ -249,10 +249,10 @@ def next_value(df: DataFrame, keys: Cols, order: Cols, chunk: str | None, value:
     order_key = F.struct(*[F.col(c) for c in order])
     firsts = (df.filter(F.col("_v").isNotNull()).groupBy(*keys, chunk)
               .agg(F.min_by("_v", order_key).alias("_first")))
-    chunks = df.select(*keys, chunk).distinct().join(firsts, [*keys, chunk], "left")
+    chunks = df.select(*keys, chunk).distinct().join(shuffled(firsts), [*keys, chunk], "left")
     later = Window.partitionBy(*keys).orderBy(F.col(chunk).desc()).rowsBetween(Window.unboundedPreceding, -1)
     carry = chunks.select(*keys, chunk, F.last("_first", ignorenulls=True).over(later).alias("_later"))
-    return (df.join(carry, [*keys, chunk])
+    return (df.join(shuffled(carry), [*keys, chunk])
             .withColumn(out, F.coalesce(F.last("_v", ignorenulls=True).over(after), F.col("_later")))
             .drop("_v", "_later", KEY))
 
@@ -310,7 +310,8 @@ def greedy_starts(points: DataFrame, key: str, index: str, time: str, length: in
     ``index`` is 0, 1, 2 .. along ``time``. The starts are the orbit of point 0 under next(i) = the first point at or after
     t_i + length, which a chunked next-value lookup finds for every point. The orbit is built by pointer doubling:
     O(log n) rounds of joins on (key, index), each written to the shared checkpoint folder to cut the lineage. A round
-    writes the starts that it adds and the jumps that stay inside their key, so the loop ends when none are left."""
+    writes the starts that it adds and the jumps that stay inside their key, so the loop ends when none are left. Starts and
+    jumps grow with the points: their joins are by a shuffle, never a broadcast."""
     none = F.lit(None).cast("long")
     probes = points.select(key, (F.col(time) + length).alias(time), F.lit(0).alias("_kind"), F.col(index).alias("_src"),
                            none.alias("_val"))
@@ -323,7 +324,7 @@ def greedy_starts(points: DataFrame, key: str, index: str, time: str, length: in
     jumps = nxt.filter(F.col("next").isNotNull())
     while not jumps.isEmpty():
         starts = starts.unionByName(materialize(
-            starts.join(jumps, [key, index]).select(key, F.col("next").alias(index)), "greedy-starts"))
+            starts.join(shuffled(jumps), [key, index]).select(key, F.col("next").alias(index)), "greedy-starts"))
         hop = jumps.select(key, F.col(index).alias("next"), F.col("next").alias("_q"))
-        jumps = materialize(jumps.join(hop, [key, "next"]).select(key, index, F.col("_q").alias("next")), "greedy-jumps")
-    return starts.join(nxt, [key, index])
+        jumps = materialize(jumps.join(shuffled(hop), [key, "next"]).select(key, index, F.col("_q").alias("next")), "greedy-jumps")
+    return starts.join(shuffled(nxt), [key, index])
